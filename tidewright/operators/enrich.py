@@ -39,7 +39,7 @@ def lookup_valid_time(df: DataFrame, ref: DataFrame, key: str, ts: str, cols: Se
     time; an open period has no valid_to. Periods of a key must not overlap, which
     is checked. Done as an as-of attach, so long periods cost nothing extra."""
     after = neighbour_row(ref.select(key, valid_from, valid_to).filter(F.col(key).isNotNull()),
-                          [key], [valid_from, valid_to], [valid_from], "__next", hot=hot)
+                          [key], [valid_from, valid_to], [valid_from], "__next", forward=False, hot=hot)
     nxt = F.col(f"__next.{valid_from}")
     overlap = after.filter(F.col("__next").isNotNull()
                            & (F.col(valid_to).isNull() | (nxt < F.col(valid_to)))).head(1)

@@ -61,7 +61,7 @@ def period_summary(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int
         return panes.select(*dims, "period_start", *[c for c in panes.columns if c not in (*dims, "period_start")])
     shifts = F.sequence(F.lit(0), F.lit(size_seconds // slide - 1))
     start = F.timestamp_micros(F.unix_micros(F.col("period_start").cast("timestamp"))
-                               - F.col("__k") * F.lit(slide * 1_000_000)).cast(panes.schema["period_start"].dataType)
+                               - F.col("__k") * F.lit(slide * 1_000_000).cast("bigint")).cast(panes.schema["period_start"].dataType)
     spread = panes.withColumn("__k", F.explode(shifts)).withColumn("period_start", start).drop("__k")
     return spread.groupBy(*dims, "period_start").agg(*merged)
 

@@ -49,17 +49,30 @@ def ship_contract(spark: SparkSession, xsd: str) -> str:
     return xsd.rsplit("/", 1)[-1]
 
 
-def validate_xml(df: DataFrame, col: str, schema: T.StructType, xsd: str, row_tag: str,
-                 out: str = "doc") -> tuple[DataFrame, DataFrame]:
-    """(valid, invalid) rows of a column of XML elements. Valid rows gain the
-    parsed struct, invalid ones keep their text as it was."""
+def check_xml(df: DataFrame, col: str, schema: T.StructType, xsd: str, row_tag: str,
+              out: str = "doc") -> DataFrame:
+    """Adds the parsed struct `out` and `error`, set where the element in `col`
+    breaks the contract; both from one pass of the XSD validator."""
     name = ship_contract(df.sparkSession, xsd)
     options = {"rowTag": row_tag, "rowValidationXSDPath": name, "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": CORRUPT, **XML_TIMES}
     parsed = df.withColumn("__doc", F.from_xml(F.col(col), _with_corrupt(schema), options))
     bad = F.col(col).isNull() | F.col("__doc").isNull() | F.col(f"__doc.{CORRUPT}").isNotNull()
     fields = F.struct(*[F.col(f"__doc.{f.name}") for f in schema.fields])
-    return (parsed.filter(~bad).withColumn(out, fields).drop("__doc"), parsed.filter(bad).drop("__doc"))
+    return parsed.withColumns({out: F.when(~bad, fields),
+                               "error": F.when(bad, F.lit("breaks the contract"))}).drop("__doc")
+
+
+def validate_xml(df: DataFrame, col: str, schema: T.StructType, xsd: str, row_tag: str,
+                 out: str = "doc") -> tuple[DataFrame, DataFrame]:
+    """(valid, invalid) rows of a column of XML elements. Valid rows gain the
+    parsed struct, invalid ones keep their text as it was.
+
+    Reading both sides validates twice; `check_xml` with `write_split` does not.
+    """
+    checked = check_xml(df, col, schema, xsd, row_tag, out)
+    return (checked.filter(F.col("error").isNull()).drop("error"),
+            checked.filter(F.col("error").isNotNull()).drop(out, "error"))
 
 
 def validate_xml_files(spark: SparkSession, path: str, schema: T.StructType, xsd: str,
@@ -71,4 +84,7 @@ def validate_xml_files(spark: SparkSession, path: str, schema: T.StructType, xsd
             .options(rowTag=row_tag, rowValidationXSDPath=name, mode="PERMISSIVE",
                      columnNameOfCorruptRecord=CORRUPT, **XML_TIMES).load(path))
     good = rows.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return good, rows.filter(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("xml"))
+    # Spark refuses queries that need the corrupt text alone, so a parsed column is named too
+    some = F.col(schema.names[0])
+    bad = rows.filter(F.col(CORRUPT).isNotNull() & (some.isNull() | some.isNotNull()))
+    return good, bad.select(F.col(CORRUPT).alias("xml"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def write_final(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -22,6 +22,16 @@ def write_final(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fm
     writer.save(path)
 
 
+def write_split(df: DataFrame, path: str, condition: Column) -> tuple[DataFrame, DataFrame]:
+    """Stores `df` once, parted by a condition (null counts as false), and returns
+    the two stored sides: (where it holds, the rest). For stages with two outputs,
+    so that what leads up to them runs once."""
+    flagged = df.withColumn("__holds", F.coalesce(condition, F.lit(False)))
+    flagged.write.mode("overwrite").partitionBy("__holds").option("partitionOverwriteMode", "static").parquet(path)
+    stored = df.sparkSession.read.schema(flagged.schema).parquet(path)
+    return stored.filter("__holds").drop("__holds"), stored.filter("NOT __holds").drop("__holds")
+
+
 # Full precision: the XML writer otherwise cuts times to milliseconds.
 XML_TIMES = {
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
