@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 EARTH_M = 6_371_008.8          # mean radius
 METRES_PER_DEGREE = EARTH_M * math.pi / 180
@@ -28,6 +28,9 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     return 2 * EARTH_M * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
+BAND, CELL = "__band", "__cell"
+
+
 class Cells:
     """Latitude bands, each cut into longitude cells at least `cell_m` wide.
 
@@ -55,39 +58,37 @@ class Cells:
         """Cell number before wrapping: may be < 0 or >= n."""
         return F.floor((lon + 180.0) / 360.0 * n).cast("int")
 
-    def cell(self, lat: Column, lon: Column) -> Column:
-        band = self.band(lat)
-        n = self.per_band(band)
-        return F.struct(band.alias("band"), F.pmod(self.lon_cell(lon, n), n).alias("cell"))
-
-    def around(self, lat: Column, lon: Column, radius_m: float) -> Column:
-        """All cells a circle around the point can meet, without repeats."""
+    def _cells(self, df: DataFrame, first: Column, last: Column) -> DataFrame:
+        """One row per cell first..last of the row's band, wrapped around the globe."""
+        n = self.per_band(F.col(BAND))
+        run = F.sequence(first, F.least(last, first + n - 1))
+        return (df.withColumn("__run", F.explode(run))
+                  .withColumn(CELL, F.pmod(F.col("__run"), n)).drop("__run"))
+
+    def place(self, df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """Adds the one cell the point lies in."""
+        df = df.withColumn(BAND, self.band(F.col(lat)))
+        n = self.per_band(F.col(BAND))
+        return df.withColumn(CELL, F.pmod(self.lon_cell(F.col(lon), n), n))
+
+    def reach(self, df: DataFrame, lat: str, lon: str, radius_m: float) -> DataFrame:
+        """One row per cell that a circle around the point can meet."""
         angle = radius_m / EARTH_M
-        dlat = math.degrees(angle)
+        dlat = math.degrees(angle) + 1e-9
+        y, x = F.col(lat), F.col(lon)
         # widest longitude reach of the circle; the whole band once it holds a pole
-        ratio = math.sin(min(angle, math.pi / 2)) / F.cos(F.radians(lat))
-        dlon = F.when((F.abs(lat) + dlat >= 90.0) | (ratio >= 1.0), F.lit(180.0)) \
+        ratio = math.sin(min(angle, math.pi / 2)) / F.cos(F.radians(y))
+        dlon = F.when((F.abs(y) + dlat >= 90.0) | (ratio >= 1.0), F.lit(180.0)) \
                 .otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-9)
-        bands = F.sequence(self.band(lat - dlat - 1e-9), self.band(lat + dlat + 1e-9))
-
-        def cells_of(b: Column) -> Column:
-            n = self.per_band(b)
-            first = self.lon_cell(lon - dlon, n)
-            last = F.least(self.lon_cell(lon + dlon, n), first + n - 1)
-            return F.transform(F.sequence(first, last),
-                               lambda c: F.struct(b.alias("band"), F.pmod(c, n).alias("cell")))
-
-        return F.flatten(F.transform(bands, cells_of))
-
-    def covering(self, min_lat: Column, max_lat: Column, min_lon: Column, max_lon: Column) -> Column:
-        """Cells that a latitude/longitude box meets (min_lon <= max_lon)."""
-        def cells_of(b: Column) -> Column:
-            n = self.per_band(b)
-            first = self.lon_cell(min_lon, n)
-            last = F.least(self.lon_cell(max_lon, n), first + n - 1)
-            return F.transform(F.sequence(first, last),
-                               lambda c: F.struct(b.alias("band"), F.pmod(c, n).alias("cell")))
-        return F.flatten(F.transform(F.sequence(self.band(min_lat), self.band(max_lat)), cells_of))
+        df = df.withColumn(BAND, F.explode(F.sequence(self.band(y - dlat), self.band(y + dlat))))
+        n = self.per_band(F.col(BAND))
+        return self._cells(df, self.lon_cell(x - dlon, n), self.lon_cell(x + dlon, n))
+
+    def cover(self, df: DataFrame, min_lat: str, max_lat: str, min_lon: str, max_lon: str) -> DataFrame:
+        """One row per cell that the row's box meets (min_lon <= max_lon)."""
+        df = df.withColumn(BAND, F.explode(F.sequence(self.band(F.col(min_lat)), self.band(F.col(max_lat)))))
+        n = self.per_band(F.col(BAND))
+        return self._cells(df, self.lon_cell(F.col(min_lon), n), self.lon_cell(F.col(max_lon), n))
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
@@ -40,13 +40,6 @@ def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
     return size["n"] <= max_rows and size["b"] <= max_bytes
 
 
-def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def heavy_keys(df: DataFrame, keys: Sequence[str], hot: HotKeys = DEFAULT_HOT) -> list:
     """Rows (keys…, n) of the hot keys: one map-side combined count, at most
     `max_keys` rows returned."""
@@ -57,13 +50,14 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], hot: HotKeys = DEFAULT_HOT) -
 
 
 def unique_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                  hot: HotKeys = DEFAULT_HOT, null_safe: bool = False) -> DataFrame:
+                  hot: HotKeys = DEFAULT_HOT, null_safe: bool = False,
+                  small: bool | None = None) -> DataFrame:
     """Join to a right side that has at most one row per key.
 
     Small right side: broadcast, after measuring it. Otherwise the hot left keys
     (few, by construction) are looked up by broadcasting only their right rows,
     and the rest goes through an ordinary shuffle join with no hot key in it.
-    A streaming left side cannot be measured for hot keys and takes the plain join.
+    `small` passes on a size already known. A streaming left side cannot be measured for hot keys and takes the plain join.
     """
     on = list(on)
 
@@ -76,7 +70,7 @@ def unique_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
             cond = cond & l[k].eqNullSafe(r[f"__r_{k}"])
         return l.join(r, cond, how).drop(*[f"__r_{k}" for k in on])
 
-    if fits_broadcast(right):
+    if fits_broadcast(right) if small is None else small:
         return joined(left, F.broadcast(right))
     if left.isStreaming:
         return joined(left, right)

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.geo import Cells, haversine_m
+from ..functions.geo import BAND, CELL, Cells, haversine_m
 from ..functions.ordered import OrderedCut, neighbour_row, running_last
 from ..functions.skew import DEFAULT_HOT, HotKeys, fits_broadcast, unique_lookup
 from ..functions.timecols import bucket, micros, seconds_between
@@ -56,23 +56,38 @@ def asof_attach(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, c
     time (`tie` orders right rows of one instant); null if none, or if older than
     `tolerance` seconds. One shuffle of both sides together; keys with very many
     rows are cut along time. Null keys match nothing."""
-    by = list(by)
     value = [on, *tie, *[c for c in cols if c != on and c not in tie]]
-    keyed = F.lit(True)
+    packed = right.select(*by, on, F.struct(*value).alias("__r"))
+    rows = (left.withColumn("__left", F.lit(True))
+                .unionByName(packed.withColumn("__left", F.lit(False)), allowMissingColumns=True))
+    return _last_right(rows, left.columns, by, on, cols, tolerance, prefix, tie, hot)
+
+
+def asof_within(df: DataFrame, is_left: Column, is_right: Column, by: Sequence[str], on: str,
+                cols: Sequence[str], tolerance: float | None = None, prefix: str = "right_",
+                tie: Sequence[str] = (), hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+    """`asof_attach` between two kinds of rows of one table, read once. A row of
+    both kinds counts as left."""
+    value = [on, *tie, *[c for c in cols if c != on and c not in tie]]
+    rows = df.withColumn("__left", F.coalesce(is_left, F.lit(False)))
+    rows = rows.filter(F.col("__left") | is_right).withColumn("__r", F.when(~F.col("__left"), F.struct(*value)))
+    return _last_right(rows, df.columns, by, on, cols, tolerance, prefix, tie, hot)
+
+
+def _last_right(rows, keep, by, on, cols, tolerance, prefix, tie, hot) -> DataFrame:
+    by = list(by)
+    keyed = F.col(on).isNotNull()
     for k in by:
         keyed = keyed & F.col(k).isNotNull()
-    packed = right.filter(keyed & F.col(on).isNotNull()).select(
-        *by, on, F.struct(*value).alias("__r"), F.lit(0).alias("__side"))
-    rows = left.withColumn("__side", F.lit(1)).unionByName(packed, allowMissingColumns=True)
-    rows = rows.withColumns({f"__o{i}": F.col(f"__r.{c}") for i, c in enumerate(tie)})
-    order = [on, "__side", *[f"__o{i}" for i in range(len(tie))]]
-    edge = [on, *[f"__o{i}" for i in range(len(tie))]]
-    found = running_last(rows, by, order, "__r", "__m", edge, hot=hot).filter(F.col("__side") == 1)
-    ok = keyed & F.col(on).isNotNull()
+    rows = rows.filter(keyed | F.col("__left")).withColumns(
+        {"__r": F.when(keyed, F.col("__r")), **{f"__o{i}": F.col(f"__r.{c}") for i, c in enumerate(tie)}})
+    ties = [f"__o{i}" for i in range(len(tie))]
+    found = running_last(rows, by, [on, "__left", *ties], "__r", "__m", [on, *ties], hot=hot)
+    ok = keyed
     if tolerance is not None:
         ok = ok & (micros(F.col(on)) - micros(F.col(f"__m.{on}")) <= int(tolerance * 1e6))
-    return found.select(*left.columns,
-                        *[F.when(ok, F.col(f"__m.{c}")).alias(prefix + c) for c in cols])
+    return found.filter("__left").select(
+        *keep, *[F.when(ok, F.col(f"__m.{c}")).alias(prefix + c) for c in cols])
 
 
 def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_col: str = "obs_id",
@@ -81,26 +96,26 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
     left_id, right_id, dt_seconds, dist_m, score (1 = same place and time).
     `ordered` keeps left_id < right_id, for pairing a table with itself.
 
-    Space is cut into cells of max_m and time into windows. A row of `a` has one
-    cell; a row of `b` (pass the smaller side) is copied to the cells its circle
-    meets. Only pairs in a shared cell are tried, each once; the shuffle carries
-    ids and positions only and adaptive execution splits crowded cells.
+    Space is cut into cells of twice max_m and time into twice the window, so a
+    row of `b` (pass the smaller side) is copied about eight times to the cells it
+    can reach, and a row of `a` has one cell. Only pairs in a shared cell are
+    tried, each once; the shuffle carries ids and positions only, and adaptive
+    execution splits crowded cells.
     """
-    cells = Cells(max_m)
-    here = (a.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-             .select(F.col(id_col).alias("left_id"), F.col(ts).alias("__ts"), F.col(lat).alias("__lat"),
-                     F.col(lon).alias("__lon"), cells.cell(F.col(lat), F.col(lon)).alias("__c"),
-                     bucket(ts, window).alias("__t"))
-             .select("*", F.col("__c.band").alias("__band"), F.col("__c.cell").alias("__cell")).drop("__c"))
-    there = (b.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-              .select(F.col(id_col).alias("right_id"), F.col(ts).alias("__ts2"), F.col(lat).alias("__lat2"),
-                      F.col(lon).alias("__lon2"),
-                      F.explode(F.sequence(bucket(ts, window, -window), bucket(ts, window, window))).alias("__t"))
-              .select("*", F.explode(cells.around(F.col("__lat2"), F.col("__lon2"), max_m)).alias("__c"))
-              .select("*", F.col("__c.band").alias("__band"), F.col("__c.cell").alias("__cell")).drop("__c"))
+    cells, width = Cells(2 * max_m), 2 * window
+
+    def points(df: DataFrame, name: str, tail: str) -> DataFrame:
+        return (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+                  .select(F.col(id_col).alias(name), F.col(ts).alias("__ts" + tail),
+                          F.col(lat).alias("__lat" + tail), F.col(lon).alias("__lon" + tail)))
+
+    here = cells.place(points(a, "left_id", ""), "__lat", "__lon").withColumn("__t", bucket("__ts", width))
+    times = F.sequence(bucket("__ts2", width, -window), bucket("__ts2", width, window))
+    there = points(b, "right_id", "2").withColumn("__t", F.explode(times))
+    there = cells.reach(there, "__lat2", "__lon2", max_m)
     dt = seconds_between("__ts", "__ts2")
     dist = haversine_m(F.col("__lat"), F.col("__lon"), F.col("__lat2"), F.col("__lon2"))
-    pairs = here.join(there, ["__band", "__cell", "__t"])
+    pairs = here.join(there, [BAND, CELL, "__t"])
     if ordered:
         pairs = pairs.filter(F.col("left_id") < F.col("right_id"))
     pairs = pairs.select("left_id", "right_id", dt.alias("dt_seconds"), dist.alias("dist_m"))

@@ -6,9 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geo import Cells, haversine_m, in_ring
+from ..functions.geo import BAND, CELL, Cells, haversine_m, in_ring
 from ..functions.ordered import neighbour_row
-from ..functions.skew import DEFAULT_HOT, HotKeys, fits_broadcast, unique_lookup
+from ..functions.skew import (BROADCAST_BYTES, BROADCAST_ROWS, DEFAULT_HOT, HotKeys, fits_broadcast,
+                              unique_lookup)
 from .correlate import asof_attach
 from .ingest import first_rows
 
@@ -23,13 +24,19 @@ def lookup(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str]
     a static reference.
     """
     on = list(on)
+    ref = ref.select(*on, *cols, *[c for c in ref.columns if duplicates == "first" and c not in (*on, *cols)])
     if duplicates == "first":
-        ref = first_rows(ref, on, order)
-    else:
-        twice = ref.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).head(1)
-        if twice:
-            raise ValueError(f"reference key is not unique, for example {twice[0].asDict()}")
-    return unique_lookup(df, ref.select(*on, *cols), on, hot=hot)
+        return unique_lookup(df, first_rows(ref, on, order).select(*on, *cols), on, hot=hot)
+    # one job tells both whether the key is unique and whether the table is small
+    shape = (ref.groupBy(*on).agg(F.count(F.lit(1)).alias("n"),
+                                  F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"))
+                .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max_by(F.struct(*on), "n").alias("key"),
+                     F.coalesce(F.max("n"), F.lit(0)).alias("most"), F.coalesce(F.sum("b"), F.lit(0)).alias("b"))
+                .first())
+    if shape["most"] > 1:
+        raise ValueError(f"reference key is not unique, for example {shape['key'].asDict()}")
+    small = shape["n"] <= BROADCAST_ROWS and shape["b"] <= BROADCAST_BYTES
+    return unique_lookup(df, ref, on, hot=hot, small=small)
 
 
 def lookup_valid_time(df: DataFrame, ref: DataFrame, key: str, ts: str, cols: Sequence[str],
@@ -60,15 +67,12 @@ def zone_containment(df: DataFrame, zones: DataFrame, cell_m: float, id_col: str
     the ±180° line must be given as two rings.
     """
     cells = Cells(cell_m)
-    listed = (zones.select("zone_id", F.explode(cells.covering(
-                  F.col("min_y"), F.col("max_y"), F.col("min_x"), F.col("max_x"))).alias("__c"))
-              .select("zone_id", F.col("__c.band").alias("__band"), F.col("__c.cell").alias("__cell")))
+    listed = cells.cover(zones.select("zone_id", "min_x", "max_x", "min_y", "max_y"),
+                         "min_y", "max_y", "min_x", "max_x").select("zone_id", BAND, CELL)
     listed = F.broadcast(listed) if fits_broadcast(listed) else listed
     points = (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                .select(F.col(id_col), F.col(lat).alias("__y"), F.col(lon).alias("__x"),
-                        cells.cell(F.col(lat), F.col(lon)).alias("__c"))
-                .select(id_col, "__x", "__y", F.col("__c.band").alias("__band"), F.col("__c.cell").alias("__cell")))
-    met = points.join(listed, ["__band", "__cell"]).drop("__band", "__cell")
+                .select(F.col(id_col), F.col(lat).alias("__y"), F.col(lon).alias("__x")))
+    met = cells.place(points, "__y", "__x").join(listed, [BAND, CELL]).drop(BAND, CELL)
     shapes = zones.select("zone_id", "ring", "min_x", "max_x", "min_y", "max_y")
     shapes = F.broadcast(shapes) if fits_broadcast(shapes) else shapes
     x, y = F.col("__x"), F.col("__y")
@@ -83,18 +87,14 @@ def nearest_reference(df: DataFrame, ref: DataFrame, k: int, max_m: float, id_co
     dist_m, rank), ties by ref_id. Candidates come from shared grid cells."""
     cells = Cells(max_m)
     spread = (ref.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                 .select(F.col(ref_id), F.col(lat).alias("__lat2"), F.col(lon).alias("__lon2"))
-                 .select("*", F.explode(cells.around(F.col("__lat2"), F.col("__lon2"), max_m)).alias("__c"))
-                 .select(ref_id, "__lat2", "__lon2", F.col("__c.band").alias("__band"),
-                         F.col("__c.cell").alias("__cell")))
+                 .select(F.col(ref_id), F.col(lat).alias("__lat2"), F.col(lon).alias("__lon2")))
+    spread = cells.reach(spread, "__lat2", "__lon2", max_m)
     spread = F.broadcast(spread) if fits_broadcast(spread) else spread
     points = (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                .select(F.col(id_col), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"),
-                        cells.cell(F.col(lat), F.col(lon)).alias("__c"))
-                .select(id_col, "__lat", "__lon", F.col("__c.band").alias("__band"),
-                        F.col("__c.cell").alias("__cell")))
+                .select(F.col(id_col), F.col(lat).alias("__lat"), F.col(lon).alias("__lon")))
+    points = cells.place(points, "__lat", "__lon")
     dist = haversine_m(F.col("__lat"), F.col("__lon"), F.col("__lat2"), F.col("__lon2"))
-    near = (points.join(spread, ["__band", "__cell"]).select(id_col, ref_id, dist.alias("dist_m"))
+    near = (points.join(spread, [BAND, CELL]).select(id_col, ref_id, dist.alias("dist_m"))
                   .filter(F.col("dist_m") <= max_m))
     w = Window.partitionBy(id_col).orderBy("dist_m", ref_id)
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

@@ -21,19 +21,22 @@ def rank_of(source: str, priority: Sequence[str]) -> Column:
 
 
 def fuse_attributes(df: DataFrame, key: str, attrs: Sequence[str], priority: Sequence[str],
-                    source: str = "source", ts: str = "ts", tie: Sequence[str] = ("obs_id",)) -> DataFrame:
+                    source: str = "source", ts: str = "ts", tie: Sequence[str] = ("obs_id",),
+                    also: Sequence[Column] = ()) -> DataFrame:
     """One row per entity: for each attribute its best non-null value and the
     source it came from, by source priority, then recency, then id. A plain
-    aggregate with map-side combine, so a hot entity is no problem."""
+    aggregate with map-side combine, so a hot entity is no problem; `also` takes
+    further aggregates to compute in the same pass."""
     order = F.struct((-rank_of(source, priority)).alias("p"), F.col(ts).alias("t"), *tie)
     picks = []
     for a in attrs:
         best = F.max_by(F.struct(F.col(a).alias("v"), F.col(source).alias("s")),
                         F.when(F.col(a).isNotNull(), order))
         picks.append(best.alias(f"__{a}"))
-    fused = df.groupBy(key).agg(*picks)
+    fused = df.groupBy(key).agg(*picks, *also)
+    rest = [c for c in fused.columns if c != key and c not in {f"__{a}" for a in attrs}]
     return fused.select(key, *[c for a in attrs for c in (F.col(f"__{a}.v").alias(a),
-                                                          F.col(f"__{a}.s").alias(f"{a}_source"))])
+                                                          F.col(f"__{a}.s").alias(f"{a}_source"))], *rest)
 
 
 def fuse_measurements(df: DataFrame, key: str, ts: str, step: str, means: Mapping[str, float],

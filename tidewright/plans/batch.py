@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.skew import DEFAULT_HOT, HotKeys
 from ..functions.timecols import micros
-from ..operators.correlate import asof_attach
+from ..operators.correlate import asof_within
 from ..operators.decode import parse_document, route_rejects
 from ..operators.deliver import deliver, manifest, record_delivery, undelivered
 from ..operators.enrich import lookup
@@ -80,14 +80,13 @@ def run_batch(raw: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFr
     """
     good, rejects = route_rejects(reports(raw))
     valid, quarantine = split_quarantine(apply_rules(good, plan.rules), plan.rules)
-    linked = asof_attach(valid.filter(F.col("source") == plan.then_source),
-                         valid.filter(F.col("source") == plan.lead_source),
+    linked = asof_within(valid, F.col("source") == plan.then_source, F.col("source") == plan.lead_source,
                          ["entity_key"], "ts", ["ts", "obs_id", "speed"], prefix="lead_", hot=plan.hot)
-    fused = fuse_attributes(valid, "entity_key", ["speed"], plan.priority)
-    seen = valid.groupBy("entity_key").agg(F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_reports"))
+    fused = fuse_attributes(valid, "entity_key", ["speed"], plan.priority,
+                            also=[F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_reports")])
     within = micros("ts") - micros("lead_ts") <= int(plan.within_seconds * 1e6)
     followed = linked.groupBy("entity_key").agg(F.count_if(within).alias("n_followed"))
-    entity = (fused.join(seen, "entity_key").join(followed, "entity_key", "left")
+    entity = (fused.join(followed, "entity_key", "left")
                    .withColumn("n_followed", F.coalesce("n_followed", F.lit(0).cast("bigint"))))
     entity = lookup(entity, places, ["entity_key"], ["name", "nation"], hot=plan.hot)
     return {"rejects": rejects, "quarantine": quarantine, "linked": linked, "fused": entity}

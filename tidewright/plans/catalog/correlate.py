@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from ...operators.correlate import (asof_attach, best_match, interval_correlate, link_clusters,
+from ...operators.correlate import (asof_attach, asof_within, best_match, interval_correlate, link_clusters,
                                     proximity_pairs, session_spans, sessions)
 from ...session import scratch
 from ...streaming.run import run_available
@@ -84,6 +84,14 @@ def asof_hot(spark, sf):
     return _asof(spark, sf, hot=FORCED)
 
 
+@query("asof_within", ASOF)
+def asof_same_table(spark, sf):
+    rows = obs(spark, sf)
+    found = asof_within(rows, F.col("source") == "click", F.col("source") == "view", ["entity_key"], "ts",
+                        ["ts", "obs_id", "speed"], prefix="view_")
+    return found.select("obs_id", "entity_key", "ts", "view_ts", "view_obs_id", "view_speed")
+
+
 @query("asof_attach_tolerance", f"""
     SELECT obs_id, entity_key, ts, CASE WHEN ok THEN view_ts END AS view_ts,
            CASE WHEN ok THEN view_obs_id END AS view_obs_id, CASE WHEN ok THEN view_speed END AS view_speed

@@ -82,7 +82,9 @@ def contract(spark, sf):
            event_id % 5 <> 0 AND event_id % 7 <> 0 AS keeps_contract FROM events""")
 def contract_files(spark, sf):
     path = scratch(spark, "xml")
-    suspect_elements(spark, sf).select("xml").write.text(path)
+    v = F.when(F.col("event_id") % 7 == 0, F.lit("much")).otherwise(F.col("value").cast("string"))
+    v = F.when(F.col("event_id") % 5 != 0, v)
+    write_xml(events(spark, sf).select(F.col("event_id").alias("id"), v.alias("v")), path, "reports", "report")
     good, bad = validate_xml_files(spark, path, REPORT, REPORT_XSD, "report")
     refused = bad.select(F.regexp_extract("xml", r"<id>(\d+)</id>", 1).cast("bigint").alias("id"),
                          F.lit(None).cast("double").alias("v"), F.lit(False).alias("keeps_contract"))

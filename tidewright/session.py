@@ -53,8 +53,9 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives the loss of any executor."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_root(df.sparkSession))
-    return df.checkpoint()
+    """Stores the rows as a table in the shared folder and goes on from there: it
+    survives the loss of any executor, computes the rows once (a checkpoint of rows
+    that are not cached computes them twice) and brings sizes for the planner."""
+    path = scratch(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
