@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import DEFAULT_HOT, HotKeys, heavy_keys
+from .skew import DEFAULT_HOT, Hot, HotKeys, heavy_keys
 
 CHUNK = "__chunk"
 BLOCK = 64
@@ -30,11 +30,25 @@ def _axis(df: DataFrame, ts: str) -> Column:
 
 
 class OrderedCut:
-    """Cut points of the hot keys of one dataset; empty when there are none."""
+    """Cut points of the hot keys of one dataset; empty when there are none. Made
+    once, they can be passed as `hot` to every operator on the same keys."""
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], ts: str, hot: HotKeys = DEFAULT_HOT):
-        self.keys, self.ts = list(keys), ts
+    hot: HotKeys = DEFAULT_HOT
+
+    @classmethod
+    def of(cls, df: DataFrame, keys: Sequence[str], ts: str, hot: Hot) -> OrderedCut:
+        """`hot` as operators take it: when a key counts as hot, or cut points made
+        earlier for these keys, or None where no key can be hot."""
+        return hot if isinstance(hot, OrderedCut) and hot.keys == list(keys) else cls(df, keys, ts, hot)
+
+    def __init__(self, df: DataFrame, keys: Sequence[str], ts: str, hot: Hot = DEFAULT_HOT):
+        self.keys = list(keys)
         self.cuts = None
+        if hot is None:
+            return
+        if isinstance(hot, OrderedCut):
+            hot = hot.hot
+        self.hot = hot
         heavy = heavy_keys(df, self.keys, hot)
         if not heavy:
             return
@@ -75,11 +89,11 @@ class OrderedCut:
     def by(self) -> list[str]:
         return self.keys + ([CHUNK] if self.cuts is not None else [])
 
-    def assign(self, df: DataFrame) -> DataFrame:
+    def assign(self, df: DataFrame, ts: str) -> DataFrame:
         """Adds the chunk number: 0, 1, … for hot keys, -1 for the others."""
         if self.cuts is None:
             return df
-        t = _axis(df, self.ts)
+        t = _axis(df, ts)
         below = F.size(F.filter("__blocks", lambda b: b[0] < t))
         within = F.size(F.filter(F.get("__blocks", below - 1), lambda x: x < t))
         chunk = (F.when(F.col("__blocks").isNull(), -1).when(below <= 0, 0)
@@ -121,18 +135,17 @@ class OrderedCut:
 
 
 def neighbour_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str],
-                  out: str, forward: bool = True, hot: HotKeys = DEFAULT_HOT,
-                  cut: OrderedCut | None = None) -> DataFrame:
+                  out: str, forward: bool = True, hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds struct `out` of `cols` from the row before (forward) or after, null at
     the end of a key. `order` must be total within a key; its first column is the
     time axis."""
-    cut = cut or OrderedCut(df, keys, order[0], hot)
+    cut = OrderedCut.of(df, keys, order[0], hot)
     value = F.struct(*cols)
     w = Window.partitionBy(*cut.by).orderBy(*order)
     step = F.lag(value) if forward else F.lead(value)
     if cut.cuts is None:
         return df.withColumn(out, step.over(w))
-    parts = cut.assign(df)
+    parts = cut.assign(df, order[0])
     edge = F.max_by if forward else F.min_by
     summary = (parts.filter(F.col(CHUNK) >= 0).groupBy(*cut.by)
                .agg(edge(value, F.struct(*order)).alias("__edge")))
@@ -141,18 +154,17 @@ def neighbour_row(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols
     return done.withColumn(out, F.coalesce(out, "__edge")).drop("__edge", CHUNK)
 
 
-def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: str,
-                 out: str, edge_order: Sequence[str], hot: HotKeys = DEFAULT_HOT,
-                 ts: str | None = None, cut: OrderedCut | None = None) -> DataFrame:
+def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
+                 out: str, edge_order: Sequence[str], hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds `out`: the latest non-null `value` up to and including the row.
 
     `edge_order` names the columns that order the non-null values themselves."""
-    cut = cut or OrderedCut(df, keys, ts or order[0], hot)
+    cut = OrderedCut.of(df, keys, order[0], hot)
     w = (Window.partitionBy(*cut.by).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     if cut.cuts is None:
         return df.withColumn(out, F.last(value, True).over(w))
-    parts = cut.assign(df)
+    parts = cut.assign(df, order[0])
     summary = (parts.filter((F.col(CHUNK) >= 0) & F.col(value).isNotNull()).groupBy(*cut.by)
                .agg(F.max_by(value, F.struct(*edge_order)).alias("__edge")))
     local = parts.withColumn(out, F.last(value, True).over(w))
@@ -161,13 +173,13 @@ def running_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
 
 
 def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str,
-                hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds `out`: 1, 2, … within each key in the given total order."""
-    cut = OrderedCut(df, keys, order[0], hot)
+    cut = OrderedCut.of(df, keys, order[0], hot)
     number = F.row_number().over(Window.partitionBy(*cut.by).orderBy(*order)).cast("bigint")
     if cut.cuts is None:
         return df.withColumn(out, number)
-    parts = cut.assign(df)
+    parts = cut.assign(df, order[0])
     summary = (parts.filter(F.col(CHUNK) >= 0).groupBy(*cut.by)
                .agg(F.count(F.lit(1)).alias("__before")))
     done = cut.join_carry(parts.withColumn(out, number), cut.carry_sum(summary, "__before"), "__before")

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,6 +30,10 @@ class HotKeys:
 
 DEFAULT_HOT = HotKeys()
 
+# What operators take as `hot`: HotKeys, cut points made earlier (ordered.OrderedCut),
+# or None where no key can be hot.
+Hot = Any
+
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS,
                    max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -50,7 +55,7 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], hot: HotKeys = DEFAULT_HOT) -
 
 
 def unique_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "left",
-                  hot: HotKeys = DEFAULT_HOT, null_safe: bool = False,
+                  hot: Hot = DEFAULT_HOT, null_safe: bool = False,
                   small: bool | None = None) -> DataFrame:
     """Join to a right side that has at most one row per key.
 
@@ -72,9 +77,10 @@ def unique_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
 
     if fits_broadcast(right) if small is None else small:
         return joined(left, F.broadcast(right))
-    if left.isStreaming:
+    policy = getattr(hot, "hot", hot)
+    if left.isStreaming or policy is None:
         return joined(left, right)
-    hot_rows = heavy_keys(left, on, hot)
+    hot_rows = heavy_keys(left, on, policy)
     if not hot_rows:
         return joined(left, right)
     schema = left.select(*on).schema

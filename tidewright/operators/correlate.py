@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.geo import BAND, CELL, Cells, haversine_m
 from ..functions.ordered import OrderedCut, neighbour_row, running_last
-from ..functions.skew import DEFAULT_HOT, HotKeys, fits_broadcast, unique_lookup
+from ..functions.skew import DEFAULT_HOT, Hot, fits_broadcast, unique_lookup
 from ..functions.timecols import bucket, micros, seconds_between
 from ..session import cut_lineage
 from .ingest import first_rows
@@ -51,7 +51,7 @@ def interval_correlate(a: DataFrame, b: DataFrame, on: str, ts: str, before: flo
 
 def asof_attach(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, cols: Sequence[str],
                 tolerance: float | None = None, prefix: str = "right_", tie: Sequence[str] = (),
-                hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Each left row with the last right row of the same keys at or before its
     time (`tie` orders right rows of one instant); null if none, or if older than
     `tolerance` seconds. One shuffle of both sides together; keys with very many
@@ -65,7 +65,7 @@ def asof_attach(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, c
 
 def asof_within(df: DataFrame, is_left: Column, is_right: Column, by: Sequence[str], on: str,
                 cols: Sequence[str], tolerance: float | None = None, prefix: str = "right_",
-                tie: Sequence[str] = (), hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                tie: Sequence[str] = (), hot: Hot = DEFAULT_HOT) -> DataFrame:
     """`asof_attach` between two kinds of rows of one table, read once. A row of
     both kinds counts as left."""
     value = [on, *tie, *[c for c in cols if c != on and c not in tie]]
@@ -125,20 +125,20 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
 
 
 def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: float, tie: Sequence[str] = (),
-             hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+             hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds `session_start`: the first time of the row's track segment. A segment
     ends where the next row of the key is more than `gap` seconds later."""
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tie]
-    cut = OrderedCut(df, keys, ts, hot)
-    rows = neighbour_row(df, keys, order, [ts], "__prev", cut=cut)
+    cut = OrderedCut.of(df, keys, ts, hot)
+    rows = neighbour_row(df, keys, order, [ts], "__prev", hot=cut)
     opens = F.col("__prev").isNull() | (micros(F.col(ts)) - micros(F.col(f"__prev.{ts}")) > int(gap * 1e6))
     rows = rows.withColumn("__opens", F.when(opens, F.col(ts))).drop("__prev")
-    return running_last(rows, keys, order, "__opens", "session_start", [ts], cut=cut).drop("__opens")
+    return running_last(rows, keys, order, "__opens", "session_start", [ts], hot=cut).drop("__opens")
 
 
 def session_spans(df: DataFrame, key: str, ts: str, gap: float, tie: Sequence[str] = (),
-                  watermark: str | None = None, hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                  watermark: str | None = None, hot: Hot = DEFAULT_HOT) -> DataFrame:
     """One row per track segment: key, session_start, last_ts, n_rows. Batch
     segments are combined map-side; streams use Spark's session windows, whose
     state is dropped by the watermark."""
@@ -163,7 +163,7 @@ def best_match(pairs: DataFrame, score: str = "score", left: str = "left_id", ri
 
 
 def link_clusters(links: DataFrame, left: str = "left_id", right: str = "right_id",
-                  max_rounds: int = 50, hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                  max_rounds: int = 50, hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Connected ids to one cluster: rows (id, cluster_id), cluster_id being the
     lowest id of the cluster.
 

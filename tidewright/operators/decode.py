@@ -9,7 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..functions import sixbit
-from ..functions.skew import DEFAULT_HOT, HotKeys
+from ..functions.skew import DEFAULT_HOT, Hot
 from .correlate import sessions
 
 ERROR = "error"
@@ -38,7 +38,8 @@ def parse_document(df: DataFrame, col: str, schema: T.StructType, fmt: str, out:
     if fmt == "csv":
         given = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in full.fields)
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", **opts}
-    parsed = df.withColumn("__doc", parse(F.col(col), given, options))
+    # explode keeps the parser from being copied into every filter that uses its result
+    parsed = df.withColumn("__doc", F.explode(F.array(parse(F.col(col), given, options))))
     return parsed.withColumns({
         out: F.struct(*[F.col(f"__doc.{f.name}") for f in schema.fields]),
         ERROR: F.when(F.col(col).isNull(), "no text")
@@ -60,7 +61,7 @@ def check_integrity(df: DataFrame, col: str) -> DataFrame:
 
 def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no: str, n_parts: str,
                      payload: str, gap_seconds: float, max_parts: int = 10_000,
-                     hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                     hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Multi-part messages to one row each: payload joined in part order.
 
     Parts of one key belong together while they are no further apart than the

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import BAND, CELL, Cells, haversine_m, in_ring
 from ..functions.ordered import neighbour_row
-from ..functions.skew import (BROADCAST_BYTES, BROADCAST_ROWS, DEFAULT_HOT, HotKeys, fits_broadcast,
+from ..functions.skew import (BROADCAST_BYTES, BROADCAST_ROWS, DEFAULT_HOT, Hot, fits_broadcast,
                               unique_lookup)
 from .correlate import asof_attach
 from .ingest import first_rows
@@ -16,7 +16,7 @@ from .ingest import first_rows
 
 def lookup(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str],
            duplicates: str = "error", order: Sequence[str | Column] = (),
-           hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+           hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds the reference columns; never changes the number of rows.
 
     A key that occurs twice in the reference is an error, or with
@@ -41,7 +41,7 @@ def lookup(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str]
 
 def lookup_valid_time(df: DataFrame, ref: DataFrame, key: str, ts: str, cols: Sequence[str],
                       valid_from: str = "valid_from", valid_to: str = "valid_to", prefix: str = "",
-                      hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                      hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds the reference row whose period [valid_from, valid_to) holds the row's
     time; an open period has no valid_to. Periods of a key must not overlap, which
     is checked. Done as an as-of attach, so long periods cost nothing extra."""

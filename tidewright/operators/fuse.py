@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import geo
 from ..functions.ordered import neighbour_row
-from ..functions.skew import DEFAULT_HOT, HotKeys
+from ..functions.skew import DEFAULT_HOT, Hot
 from ..functions.timecols import floor_div, micros
 
 
@@ -68,7 +68,7 @@ def fuse_measurements(df: DataFrame, key: str, ts: str, step: str, means: Mappin
 
 def resample(df: DataFrame, key: str, ts: str, step_seconds: int, cols: Sequence[str],
              method: str = "last", max_gap: float | None = None, tie: Sequence[str] = (),
-             hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+             hot: Hot = DEFAULT_HOT) -> DataFrame:
     """A regular time grid per entity, from its first to its last fix.
 
     Each fix fills the grid points from itself up to the next fix (method "last":

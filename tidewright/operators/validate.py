@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.ordered import neighbour_row
-from ..functions.skew import DEFAULT_HOT, HotKeys, fits_broadcast, unique_lookup
+from ..functions.skew import DEFAULT_HOT, Hot, fits_broadcast, unique_lookup
 from ..functions.timecols import seconds_between
 
 
@@ -40,7 +40,7 @@ def split_quarantine(df: DataFrame, rules: Sequence[Rule],
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], out: str = "is_repeated",
-                 hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                 hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Flags rows whose key occurs more than once. Keys are counted with a
     map-side combine and only the repeated ones are joined back."""
     repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1))
@@ -55,7 +55,7 @@ def check_reference(df: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFra
 
 
 def check_motion(df: DataFrame, key: str, ts: str, max_speed: float, lat: str = "lat", lon: str = "lon",
-                 tie: Sequence[str] = (), hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                 tie: Sequence[str] = (), hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds distance, time and implied speed (m/s) from the previous fix, and
     `too_fast`. Two places at one instant are too fast as well."""
     order = [ts, *tie]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ordered import row_numbers
-from ..functions.skew import DEFAULT_HOT, HotKeys
+from ..functions.skew import DEFAULT_HOT, Hot
 from ..sources.sinks import XML_TIMES
 
 CORRUPT = "_corrupt"
@@ -22,7 +22,7 @@ def to_xml_column(df: DataFrame, cols: Sequence[str], row_tag: str, out: str = "
 
 def xml_documents(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str],
                   root_tag: str, row_tag: str, max_rows: int = 10_000,
-                  hot: HotKeys = DEFAULT_HOT) -> DataFrame:
+                  hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Documents per delivery unit: (group…, part, n_rows, document).
 
     A unit of more than max_rows rows becomes several numbered documents, so a
@@ -56,7 +56,8 @@ def check_xml(df: DataFrame, col: str, schema: T.StructType, xsd: str, row_tag:
     name = ship_contract(df.sparkSession, xsd)
     options = {"rowTag": row_tag, "rowValidationXSDPath": name, "mode": "PERMISSIVE",
                "columnNameOfCorruptRecord": CORRUPT, **XML_TIMES}
-    parsed = df.withColumn("__doc", F.from_xml(F.col(col), _with_corrupt(schema), options))
+    # explode keeps the validator from being copied into every filter that uses its result
+    parsed = df.withColumn("__doc", F.explode(F.array(F.from_xml(F.col(col), _with_corrupt(schema), options))))
     bad = F.col(col).isNull() | F.col("__doc").isNull() | F.col(f"__doc.{CORRUPT}").isNotNull()
     fields = F.struct(*[F.col(f"__doc.{f.name}") for f in schema.fields])
     return parsed.withColumns({out: F.when(~bad, fields),

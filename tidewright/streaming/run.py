@@ -40,9 +40,10 @@ def late_split(stream: DataFrame, ts: str, delay_seconds: float, on_time: str, l
     """Writes rows later than the delay allows to `late`, all others to `on_time`.
 
     A row is late when it lies more than the delay before the newest event time of
-    the earlier micro-batches, which is what a watermark would have dropped. That
-    time is one number per batch in `state`; every write is keyed by batch id, so
-    a repeated batch gives the same split.
+    the earlier micro-batches. Spark's own watermark takes effect a batch later, so
+    everything it would drop without a word is among the late rows. The newest time
+    is one number per batch in `state`; every write is keyed by batch id, so a
+    repeated batch gives the same split.
     """
     def split(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
