@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import BAND, CELL, Cells, haversine_m
-from ..functions.ordered import OrderedCut, neighbour_row, running_last
+from ..functions.ordered import CHUNK, OrderedCut, running_last
 from ..functions.skew import DEFAULT_HOT, Hot, fits_broadcast, unique_lookup
 from ..functions.timecols import bucket, micros, seconds_between
 from ..session import cut_lineage
@@ -131,10 +131,30 @@ def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: float, tie:
     keys = [key] if isinstance(key, str) else list(key)
     order = [ts, *tie]
     cut = OrderedCut.of(df, keys, ts, hot)
-    rows = neighbour_row(df, keys, order, [ts], "__prev", hot=cut)
-    opens = F.col("__prev").isNull() | (micros(F.col(ts)) - micros(F.col(f"__prev.{ts}")) > int(gap * 1e6))
-    rows = rows.withColumn("__opens", F.when(opens, F.col(ts))).drop("__prev")
-    return running_last(rows, keys, order, "__opens", "session_start", [ts], hot=cut).drop("__opens")
+    w = Window.partitionBy(*cut.by).orderBy(*order)
+    so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    apart = lambda before, now: micros(now) - micros(before) > int(gap * 1e6)
+    start = lambda: F.last("__opens", True).over(so_far)
+    if cut.cuts is None:
+        rows = df.withColumn("__prev", F.lag(ts).over(w))
+        rows = rows.withColumn("__opens", F.when(F.col("__prev").isNull() | apart("__prev", ts), F.col(ts)))
+        return rows.withColumn("session_start", start()).drop("__prev", "__opens")
+
+    # inside a chunk of a hot key, its first row is open to what the chunks before say
+    rows = cut.assign(df, ts).withColumn("__prev", F.lag(ts).over(w))
+    alone = F.col("__prev").isNull() & (F.col(CHUNK) < 0)
+    rows = rows.withColumn("__opens", F.when(alone | apart("__prev", ts), F.col(ts))).drop("__prev")
+    chunks = Window.partitionBy(*keys).orderBy(CHUNK)
+    edges = (rows.filter(F.col(CHUNK) >= 0).groupBy(*cut.by)
+             .agg(F.min(ts).alias("__a"), F.max(ts).alias("__b"), F.max("__opens").alias("__in"))
+             .withColumn("__before", F.lag("__b").over(chunks))
+             .withColumn("__new", F.when(F.col("__before").isNull() | apart("__before", "__a"), F.col("__a")))
+             .withColumn("__end", F.coalesce("__in", "__new"))
+             .withColumn("__from", F.coalesce("__new", F.last("__end", True).over(
+                 chunks.rowsBetween(Window.unboundedPreceding, -1)))))
+    done = cut.join_carry(rows.withColumn("session_start", start()), edges, "__from")
+    return (done.withColumn("session_start", F.coalesce("session_start", "__from"))
+                .drop("__opens", "__from", CHUNK))
 
 
 def session_spans(df: DataFrame, key: str, ts: str, gap: float, tie: Sequence[str] = (),
@@ -186,7 +206,7 @@ def link_clusters(links: DataFrame, left: str = "left_id", right: str = "right_i
 
     def look_up(rows: DataFrame, minima: DataFrame, on: str) -> DataFrame:
         return (rows.join(F.broadcast(minima), on) if small
-                else unique_lookup(rows, minima, [on], "inner", hot))
+                else unique_lookup(rows, minima, [on], "inner", hot, small=False))
 
     state = mark(edges)
     for _ in range(max_rounds):

@@ -26,7 +26,8 @@ def lookup(df: DataFrame, ref: DataFrame, on: Sequence[str], cols: Sequence[str]
     on = list(on)
     ref = ref.select(*on, *cols, *[c for c in ref.columns if duplicates == "first" and c not in (*on, *cols)])
     if duplicates == "first":
-        return unique_lookup(df, first_rows(ref, on, order).select(*on, *cols), on, hot=hot)
+        return unique_lookup(df, first_rows(ref, on, order).select(*on, *cols), on, hot=hot,
+                             small=fits_broadcast(ref))
     # one job tells both whether the key is unique and whether the table is small
     shape = (ref.groupBy(*on).agg(F.count(F.lit(1)).alias("n"),
                                   F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b"))

@@ -77,14 +77,22 @@ def period_sketch(df: DataFrame, ts: str, size_seconds: int, dims: Sequence[str]
               .select(*dims, F.col("__w.start").alias("period_start"), "n_entities", "percentiles"))
 
 
+SALTS = 256
+
+
 def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n: int) -> DataFrame:
     """The first n rows of each group (or of all) by a total order, with `rank`.
 
     Spark cuts each group to n rows per task before the shuffle for n up to
-    spark.sql.optimizer.windowGroupLimitThreshold.
+    spark.sql.optimizer.windowGroupLimitThreshold; beyond it a group is first cut
+    to n rows in each of SALTS parts, so a group holding most rows is not one task.
     """
     if not group:
         return df.orderBy(*order).limit(n)
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
+        part = Window.partitionBy(*group, "__salt").orderBy(*order)
+        df = salted.withColumn("rank", F.row_number().over(part)).filter(F.col("rank") <= n).drop("__salt", "rank")
     w = Window.partitionBy(*group).orderBy(*order)
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 

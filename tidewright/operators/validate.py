@@ -12,6 +12,7 @@ from ..functions.geo import haversine_m
 from ..functions.ordered import neighbour_row
 from ..functions.skew import DEFAULT_HOT, Hot, fits_broadcast, unique_lookup
 from ..functions.timecols import seconds_between
+from ..session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -42,8 +43,9 @@ def split_quarantine(df: DataFrame, rules: Sequence[Rule],
 def check_unique(df: DataFrame, keys: Sequence[str], out: str = "is_repeated",
                  hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Flags rows whose key occurs more than once. Keys are counted with a
-    map-side combine and only the repeated ones are joined back."""
-    repeated = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1))
+    map-side combine; the repeated ones are stored, which also tells how many they
+    are, and joined back."""
+    repeated = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > 1))
     marked = unique_lookup(df, repeated, keys, hot=hot, null_safe=True)
     return marked.withColumn(out, F.col("__n").isNotNull()).drop("__n")
 

@@ -80,6 +80,11 @@ def run_batch(raw: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFr
     """
     good, rejects = route_rejects(reports(raw))
     valid, quarantine = split_quarantine(apply_rules(good, plan.rules), plan.rules)
+    return {"rejects": rejects, "quarantine": quarantine, **fuse_valid(valid, places, plan)}
+
+
+def fuse_valid(valid: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFrame]:
+    """Correlation, enrichment and fusion of validated reports: linked, fused."""
     linked = asof_within(valid, F.col("source") == plan.then_source, F.col("source") == plan.lead_source,
                          ["entity_key"], "ts", ["ts", "obs_id", "speed"], prefix="lead_", hot=plan.hot)
     fused = fuse_attributes(valid, "entity_key", ["speed"], plan.priority,
@@ -89,7 +94,7 @@ def run_batch(raw: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFr
     entity = (fused.join(followed, "entity_key", "left")
                    .withColumn("n_followed", F.coalesce("n_followed", F.lit(0).cast("bigint"))))
     entity = lookup(entity, places, ["entity_key"], ["name", "nation"], hot=plan.hot)
-    return {"rejects": rejects, "quarantine": quarantine, "linked": linked, "fused": entity}
+    return {"linked": linked, "fused": entity}
 
 
 def store(fused: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from ...operators.validate import Rule
 from ...session import scratch
 from ..batch import Plan, publish, run_batch, store
-from .base import events, query, table
+from ..stream import run_stream, stored_picture
+from .base import event_stream, events, feed, query, table
 
 PLAN = Plan(
     rules=(Rule("speed_high", "speed < 200.0"), Rule("k_known", "k IS NOT NULL"),
@@ -40,6 +41,29 @@ def entity_picture(spark, sf):
     return run_batch(events(spark, sf), named_places(spark, sf), PLAN)["fused"]
 
 
+@query("entity_picture_stream", PICTURE)
+def entity_picture_stream(spark, sf):
+    """The same records from the events as a stream, taken in over two runs."""
+    out, checkpoint, path = scratch(spark, "out"), scratch(spark, "ck"), feed(spark, sf)
+    for _ in range(2):
+        run_stream(event_stream(spark, path).withColumn("ts", F.col("ts").cast("timestamp_ntz")), PLAN, out, checkpoint)
+    return stored_picture(spark, out, named_places(spark, sf), PLAN)["fused"]
+
+
+@query("run_batch_sides", """
+    SELECT side, count(*) AS n_rows FROM (
+      SELECT CASE WHEN value < 200.0 AND json_extract(props, '$.k') IS NOT NULL THEN 'valid' ELSE 'quarantine' END AS side FROM events)
+    GROUP BY 1 UNION ALL SELECT 'linked', count(*) FROM events
+    WHERE value < 200.0 AND json_extract(props, '$.k') IS NOT NULL AND event_type = 'click'""")
+def sides(spark, sf):
+    """How many rows each side output of the batch run holds."""
+    parts = run_batch(events(spark, sf), named_places(spark, sf), PLAN)
+    count = lambda name, df: df.groupBy(F.lit(name).alias("side")).agg(F.count(F.lit(1)).alias("n_rows"))
+    valid = parts["fused"].groupBy(F.lit("valid").alias("side")).agg(F.sum("n_reports").alias("n_rows"))
+    return (valid.unionAll(count("quarantine", parts["quarantine"])).unionAll(count("rejects", parts["rejects"]))
+            .unionAll(count("linked", parts["linked"])))
+
+
 @query("publish", f"SELECT CAST(entity_key AS VARCHAR) AS record_key, 'b1' AS batch_id, count(*) AS n FROM ({PICTURE}) GROUP BY 1")
 def published(spark, sf):
     """Stored, published, and published again under the next id: the second batch

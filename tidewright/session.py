@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,11 +43,15 @@ def shared_root(spark: SparkSession) -> str:
     if root is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidewright-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root(spark.sparkContext.applicationId)
     return root.rstrip("/")
 
 
+@cache
+def _local_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="tidewright-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A path not used before, below the shared folder."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
