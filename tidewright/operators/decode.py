@@ -104,13 +104,14 @@ def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no:
 
 def decode_bits(df: DataFrame, col: str, layout: Sequence[sixbit.Field]) -> DataFrame:
     """Six-bit payload to one column per layout field; reason in `error`."""
-    text = F.col(col)
-    legal = sixbit.armoured(text)
+    text, hexed = F.col(col), F.col("__hex")
     need = -(-max(f.start + f.width for f in layout) // 6)
-    fields = {f.name: F.when(legal, sixbit.field(text, f)) for f in layout}
-    error = (F.when(text.isNull() | (text == ""), "no payload").when(~legal, "illegal character")
+    fields = {f.name: sixbit.field(text, hexed, f) for f in layout}
+    error = (F.when(text.isNull() | (text == ""), "no payload").when(hexed.isNull(), "illegal character")
              .when(F.length(text) < need, "cut short"))
-    return df.withColumns({**fields, ERROR: error})
+    # explode makes the digits a column of their own, so that every field reads the same ones
+    return (df.withColumn("__hex", F.explode(F.array(sixbit.digits(text))))
+              .withColumns({**fields, ERROR: error}).drop("__hex"))
 
 
 def route_rejects(df: DataFrame, error_col: str = ERROR) -> tuple[DataFrame, DataFrame]:
