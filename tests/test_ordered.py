@@ -103,6 +103,13 @@ def test_lookup_of_a_hot_key_without_broadcast(spark, fixes):
             unique_lookup(fixes, ref, ["entity_key"], how, HOT, small=False))
 
 
+def test_null_safe_lookup_of_hot_keys(fixes):
+    ref = fixes.groupBy("entity_key").agg(F.count(F.lit(1)).alias("n"))
+    small = unique_lookup(fixes, ref, ["entity_key"], hot=HOT, null_safe=True)
+    split = unique_lookup(fixes, ref, ["entity_key"], hot=HOT, null_safe=True, small=False)
+    assert rows(small) == rows(split) and split.filter("n IS NULL").count() == 0
+
+
 def test_valid_time_periods(spark):
     t = lambda d: datetime(2024, 1, d)
     ref = spark.createDataFrame([(1, t(1), t(5), "a"), (1, t(5), t(7), "b"), (1, t(10), None, "c")],

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
+from ..functions.skew import fits_broadcast
 from ..sources.sinks import write_final
 from .ingest import first_rows
 
@@ -27,7 +28,8 @@ def merge_into(spark: SparkSession, path: str, changes: DataFrame, keys: Sequenc
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
     touched = changes.select(*partition_cols).distinct()
-    current = spark.read.parquet(path).join(F.broadcast(touched), list(partition_cols), "left_semi")
+    touched = F.broadcast(touched) if fits_broadcast(touched) else touched
+    current = spark.read.parquet(path).join(touched, list(partition_cols), "left_semi")
     merged = upsert_final(current.select(*changes.columns), changes, keys, version, tie)
     merged.write.mode("overwrite").parquet(staging)
     write_final(spark.read.parquet(staging), path, partition_cols)

@@ -55,7 +55,7 @@ def interval_anti(spark, sf):
 @query("interval_correlate_stream", PAIRS)
 def interval_stream(spark, sf):
     path, out = feed(spark, sf), scratch(spark, "out")
-    pairs = interval_correlate(_clicks(as_obs(event_stream(spark, path))), _buys(as_obs(event_stream(spark, path))),
+    pairs = interval_correlate(_clicks(as_obs(event_stream(spark, path, 2))), _buys(as_obs(event_stream(spark, path, 2))),
                                "entity_key", "ts", 0, 1800, watermark="1 hour")
     run_available(pairs, out, scratch(spark, "ck"))
     return plain_times(spark.read.parquet(out))
@@ -149,7 +149,7 @@ def spans(spark, sf):
 def spans_stream(spark, sf):
     """Segments the watermark has closed by the end of the feed."""
     out = scratch(spark, "out")
-    rows = as_obs(event_stream(spark, feed(spark, sf)))
+    rows = as_obs(event_stream(spark, feed(spark, sf), 2))
     run_available(session_spans(rows, "entity_key", "ts", 1800, watermark="1 hour"), out, scratch(spark, "ck"))
     return plain_times(spark.read.parquet(out))
 

@@ -74,7 +74,7 @@ def sliding(spark, sf):
 def tumbling_stream(spark, sf):
     """Periods the watermark has closed by the end of the feed."""
     out = scratch(spark, "out")
-    rows = cents(as_obs(event_stream(spark, feed(spark, sf))))
+    rows = cents(as_obs(event_stream(spark, feed(spark, sf), 2)))
     done = run_available(period_summary(rows, "ts", 3600, dims=["source"], value="cents", watermark="1 hour"),
                          out, scratch(spark, "ck"))
     if dropped_rows(done):

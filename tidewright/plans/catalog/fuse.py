@@ -90,6 +90,6 @@ def newest(spark, sf):
 @query("latest_state_stream", LATEST)
 def newest_stream(spark, sf):
     out = scratch(spark, "out")
-    rows = as_obs(event_stream(spark, feed(spark, sf)))
+    rows = as_obs(event_stream(spark, feed(spark, sf), 2))
     latest_table(rows, "entity_key", "ts", ["obs_id"], out, scratch(spark, "ck"))
     return plain_times(read_latest(spark, out, "entity_key", "ts", ["obs_id"]))

@@ -84,7 +84,7 @@ def dedup_lines(spark, sf):
 @query("dedup_stream", ALL_EVENTS)
 def dedup_feed(spark, sf):
     out = scratch(spark, "out")
-    twice = event_stream(spark, feed(spark, sf, copies=2))
+    twice = event_stream(spark, feed(spark, sf, copies=2), files=4)
     run_available(dedup(twice, ["event_id"], ts="ts", delay="60 days"), out, scratch(spark, "ck"))
     return plain_times(spark.read.parquet(out))
 
