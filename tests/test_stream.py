@@ -13,7 +13,9 @@ from tidewright.operators.deliver import manifest, read_deliveries
 from tidewright.operators.final import merge_into, period_summary
 from tidewright.operators.ingest import dedup
 from tidewright.plans.catalog.base import as_obs, event_stream, events
-from tidewright.sources.sinks import deliver, write_final, write_split
+from tidewright.schemas import EVENTS
+from tidewright.sources.readers import stream_source
+from tidewright.sources.sinks import XML_TIMES, deliver, write_final, write_split, write_xml
 from tidewright.streaming.run import deliver_to, dropped_rows, late_split, run_available
 
 SF = "/root/testdata/sf0.001"
@@ -53,6 +55,14 @@ def test_running_again_adds_nothing(spark, ordered, tmp_path):
     assert got.count() == 1000 and got.select("event_id").distinct().count() == 1000
 
 
+def test_xml_files_as_a_stream(spark, tmp_path):
+    path, out = str(tmp_path / "xml"), str(tmp_path / "out")
+    write_xml(events(spark, SF), path, "events", "event")
+    stream = stream_source(spark, path, "xml", EVENTS, 1, rowTag="event", **XML_TIMES)
+    run_available(stream, out, str(tmp_path / "ck"))
+    assert rows(spark.read.parquet(out)) == rows(events(spark, SF))
+
+
 def test_crash_between_write_and_commit(spark, ordered, tmp_path):
     out, ck = str(tmp_path / "out"), str(tmp_path / "ck")
     write = deliver_to(out)

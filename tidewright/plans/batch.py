@@ -24,7 +24,6 @@ from ..operators.normalize import conform
 from ..operators.validate import Rule, apply_rules, split_quarantine
 from ..operators.xml import check_xml, to_xml_column
 from ..schemas import LEDGER
-from ..session import scratch
 from ..sources.readers import envelope
 from ..sources.sinks import write_final, write_split
 
@@ -107,8 +106,8 @@ def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
     contract, elements that break it, and a manifest; the ledger last.
 
     A run that dies before the ledger entry repeats the same batch; the same batch
-    id replaces its folders. The elements are made once and read back for the
-    rest, so all outputs tell of the same rows.
+    id replaces its folders. The elements are made and checked once, into
+    `_checked`, and read back for the rest, so all outputs tell of the same rows.
     """
     def ledger() -> DataFrame:
         try:
@@ -123,7 +122,7 @@ def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
     todo = undelivered(stored, ledger(), "entity_key")
     elements = to_xml_column(todo, ENTITY.names, row_tag).select(F.col("entity_key"), "xml")
     checked = check_xml(elements, "xml", ENTITY, contract, row_tag).select("entity_key", "xml", "error")
-    valid, invalid = write_split(checked, scratch(spark, "checked"), F.col("error").isNull())
+    valid, invalid = write_split(checked, f"{out}/_checked", F.col("error").isNull())
     deliver(valid.drop("error"), f"{out}/xml", batch_id)
     deliver(invalid, f"{out}/refused", batch_id)
     sent = spark.read.parquet(f"{out}/xml/batch_id={batch_id}")

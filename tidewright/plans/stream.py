@@ -12,17 +12,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.deliver import deliver, read_deliveries
 from ..operators.validate import apply_rules, split_quarantine
-from ..session import scratch
 from ..sources.sinks import write_split
 from ..streaming.run import run_available
 from .batch import Plan, fuse_valid, reports
 
 
 def run_stream(stream: DataFrame, plan: Plan, out: str, checkpoint: str):
-    """Takes in what has arrived: folders valid, quarantine and rejects below `out`."""
+    """Takes in what has arrived: folders valid, quarantine and rejects below `out`.
+    `_checked` there holds the micro-batch at hand, so that it is parsed once."""
     def take(batch: DataFrame, batch_id: int) -> None:
         checked = apply_rules(reports(batch), plan.rules)
-        good, rejects = write_split(checked, scratch(batch.sparkSession, "decoded"), F.col("error").isNull())
+        good, rejects = write_split(checked, f"{out}/_checked", F.col("error").isNull())
         valid, quarantine = split_quarantine(good.drop("error"), plan.rules)
         deliver(valid, f"{out}/valid", batch_id)
         deliver(quarantine, f"{out}/quarantine", batch_id)
