@@ -17,7 +17,7 @@ def test_every_sql_has_its_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_query(spark, name):
     result = compare(spark, SF, name)
     assert not result.startswith("FAIL"), result
