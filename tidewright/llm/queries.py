@@ -2,11 +2,22 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import quality
+from .bpe import encode_decode
+from .chat import digest_chat, format_chat
+from .decontam import contaminated
 from .fmindex import remove_repeated_words, words_joined
+from .common import cut_lineage
+from .simhash import hex_bits, near_duplicates
 from .suffix import remove_repeated_bytes
 
+# Where the vocabulary files of public tokenizers are
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,6 +29,12 @@ def removed(spans: str):
                   f"(s, i) -> s + coalesce(if(i % 2 = 0, -1L, 1L) * get({spans}, i), 0L))")
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stats = cut_lineage(quality.statistics(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return quality.judged(stats, quality.learn(stats)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_bytes(docs).select(
@@ -25,6 +42,11 @@ def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("cast(size(spans) div 2 as bigint)").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "coverage", F.size("tiles").cast("bigint").alias("n_tiles"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_words(docs).select(
@@ -32,12 +54,48 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(words_joined(F.col("kept")), 256).alias("kept_sha256"))
 
 
+def op8_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return encode_decode(docs, f"{TOKENIZERS}/word_bpe_49k.json").select(
+        "doc_id", F.size("token_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", hex_bits(F.col("fingerprint_bits")).alias("fingerprint"), "component_id")
+
+
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.sql(f"SELECT * FROM VALUES (-1L, 0L, 'user', '{said}'), (-1L, 1L, 'assistant', '{said}') "
+                      "AS t(conv_id, turn, role, text)")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(extra)
+    return digest_chat(format_chat(turns))
+
+
 QUERIES = {
+    "op1_quality_rules": op1_quality_rules,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
+    "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_bpe_encoding": op8_bpe_encoding,
+    "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_chat_formatting": op10_chat_formatting,
 }
 
 SQL = {
+    "op10_chat_formatting": """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')
+)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       cast(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS bigint) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       cast(sum(8 + length(role) + length(replace(replace(text, '&', '&amp;'), '<', '&lt;'))) AS bigint) AS formatted_chars
+FROM turns GROUP BY conv_id""",
     "op7_substring_dedup": r"""
 WITH w AS (
   SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
