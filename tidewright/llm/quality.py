@@ -58,7 +58,7 @@ def measure(text: bytes) -> tuple[int, ...]:
                 repeats += 1
             seen.add(line)
     if not n:
-        return (0,) * 9 + (0,)
+        return (0,) * len(STATS)
     words = re.findall(rb"[^\x20\x09-\x0D]+", text)
     known: dict[bytes, int] = {}
     numbers = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, n)
@@ -88,23 +88,31 @@ def statistics(docs: DataFrame, text_col: str = "text", chunk_bytes: int = 4 <<
 
 @dataclass(frozen=True)
 class QualityRule:
-    """Votes bad where `bad` holds, else good where `good` holds, else not at all."""
+    """Votes bad where `bad` holds, else good where `good` holds, else abstains. Most rules
+    know one kind of junk, and have nothing to say about texts without it."""
 
     name: str
-    bad: str
-    good: str
+    bad: str = "false"
+    good: str = "false"
 
 
 RULES = [
-    QualityRule("symbols", "n_symbols > 0.15 * n_words", "n_symbols <= 0.02 * n_words"),
-    QualityRule("marked", "n_marked_words > 0.3 * n_words", "n_marked_words <= 0.1 * n_words"),
-    QualityRule("shouting", "n_upper_words > 0.4 * n_words", "n_upper_words <= 0.1 * n_words"),
-    QualityRule("stutter", "n_top_pairs > 0.2 * n_words", "n_top_pairs <= 0.05 * n_words"),
-    QualityRule("repeats", "n_repeat_words > 0.3 * n_words", "n_repeat_words <= 0.1 * n_words"),
-    QualityRule("lines", "n_dup_lines > 0.3 * n_lines", "n_dup_lines <= 0.1 * n_lines"),
-    QualityRule("variety", "n_distinct < 0.15 * n_words and n_words < 5000", "n_distinct >= 0.3 * n_words"),
-    QualityRule("length", "word_chars < 2 * n_words or word_chars > 20 * n_words", "word_chars between 3 * n_words and 12 * n_words"),
+    QualityRule("symbols", bad="n_symbols > 0.1 * n_words"),
+    QualityRule("marked", bad="n_marked_words > 0.3 * n_words"),
+    QualityRule("shouting", bad="n_upper_words > 0.5 * n_words"),
+    QualityRule("stutter", bad="n_top_pairs > 0.15 * n_words"),
+    QualityRule("repeats", bad="n_repeat_words > 0.3 * n_words"),
+    QualityRule("lines", bad="n_dup_lines > 0.3 * n_lines and n_dup_lines >= 3"),
+    QualityRule("variety", bad="n_distinct < 0.2 * n_words and n_words < 2000"),
+    QualityRule("length", bad="word_chars < 2 * n_words or word_chars > 15 * n_words",
+                good="word_chars between 3 * n_words and 12 * n_words"),
+    QualityRule("prose", good="n_symbols <= 0.02 * n_words and n_marked_words <= 0.1 * n_words and n_upper_words <= 0.2 * n_words"),
+    QualityRule("fresh", good="n_repeat_words <= 0.25 * n_words and n_top_pairs <= 0.05 * n_words "
+                              "and (n_distinct >= 0.3 * n_words or n_words >= 2000)"),
 ]
+# Where the estimate starts: how likely a rule votes bad, abstains, votes good on bad and on
+# good texts, if it can vote that way at all
+START = np.array([[0.35, 0.55, 0.10], [0.02, 0.48, 0.50]])
 BASE_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
 
 
@@ -131,26 +139,29 @@ class VoteModel:
 
 def fit(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, smooth: float = 1.0) -> VoteModel:
     """Expectation-maximisation over vote patterns. It starts from "votes are mostly
-    right", and a rule that would come out worse than chance is held at chance, so good
-    and bad cannot change places. Counts are smoothed; no text at all gives the start.
+    right", and a vote that would come out likelier on the wrong side is held at equal
+    chances, so good and bad cannot change places. Counts are smoothed by the start; no
+    text at all gives the start.
     """
     n_rules = patterns.shape[1]
     total = max(1.0, float(counts.sum()))
     hot = np.eye(3)[patterns]  # patterns, rules, votes
+    cast = hot.any(0) if len(patterns) else np.ones((n_rules, 3), bool)
     prior = 0.8
-    like = np.tile(np.array([[0.6, 0.3, 0.1], [0.1, 0.3, 0.6]]), (n_rules, 1, 1))
+    start = START * np.maximum(cast[:, None, :], 1e-6)
+    start /= start.sum(2, keepdims=True)
+    like = start
     for _ in range(rounds):
         score = np.einsum("prv,rcv->pc", hot, np.log(like)) + np.log([1 - prior, prior])
         good = 1 / (1 + np.exp(np.clip(score[:, 0] - score[:, 1], -700, 700)))
         weight = np.stack([(1 - good) * counts, good * counts], 1)
         prior_new = float(np.clip((weight[:, 1].sum() + smooth) / (total + 2 * smooth), 0.05, 0.95))
-        new = np.einsum("prv,pc->rcv", hot, weight) + smooth * like
+        new = np.einsum("prv,pc->rcv", hot, weight) + smooth * start
         new /= new.sum(2, keepdims=True)
-        # a bad vote may not speak for good texts, nor a good one for bad texts
-        for vote, (less, more) in ((0, (1, 0)), (2, (0, 1))):
-            wrong = new[:, less, vote] > new[:, more, vote]
-            mean = (new[:, less, vote] + new[:, more, vote]) / 2
-            new[wrong, less, vote] = new[wrong, more, vote] = mean[wrong]
+        for vote, wrong, right in ((0, 1, 0), (2, 0, 1)):
+            turned = new[:, wrong, vote] > new[:, right, vote]
+            mean = (new[:, wrong, vote] + new[:, right, vote]) / 2
+            new[turned, wrong, vote] = new[turned, right, vote] = mean[turned]
         new /= new.sum(2, keepdims=True)
         done = np.abs(new - like).max() < 1e-9 and abs(prior - prior_new) < 1e-9
         prior, like = prior_new, new

@@ -12,8 +12,10 @@ from .chat import digest_chat, format_chat
 from .decontam import contaminated
 from .fmindex import remove_repeated_words, words_joined
 from .common import cut_lineage
+from .html import extract
 from .simhash import hex_bits, near_duplicates
 from .suffix import remove_repeated_bytes
+from .warc import archive_and_read
 
 # Where the vocabulary files of public tokenizers are
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -35,6 +37,15 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(spark, table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_bytes(docs).select(
@@ -77,6 +88,8 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_warc": op2_warc,
+    "op3_html_extraction": op3_html_extraction,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
     "op7_substring_dedup": op7_substring_dedup,
@@ -86,6 +99,16 @@ QUERIES = {
 }
 
 SQL = {
+    "op2_warc": """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+FROM f""",
     "op10_chat_formatting": """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
