@@ -178,7 +178,7 @@ def cut_words(text: bytes, spans: np.ndarray) -> bytes:
 
 
 def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 35,
-                          **limits) -> DataFrame:
+                          words_col: str = "n_words", spans_col: str = "spans", kept_col: str = "kept", **limits) -> DataFrame:
     """`docs` with, for each row, n_words, `spans` (first word, word after the last, … of
     what is removed) and `kept`, the text without those words and the white space after
     each.
@@ -193,8 +193,8 @@ def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str
     called like the new ones are replaced.
     """
     w = Windows("word", length, min(8, length), first_stays=False, **{"longest": 128, **limits})
-    docs = without(docs, "n_words", "spans", "kept")
-    schema = with_fields(docs, "n_words bigint, spans array<int>, kept string")
+    docs = without(docs, words_col, spans_col, kept_col)
+    schema = with_fields(docs, f"`{words_col}` bigint, `{spans_col}` array<int>, `{kept_col}` string")
 
     def finish(batch, texts, found):
         sizes = [int(np.count_nonzero(np.diff((~IS_SPACE[np.frombuffer(t, np.uint8)]).astype(np.int8), prepend=0) == 1))
@@ -203,7 +203,7 @@ def remove_repeated_words(docs: DataFrame, id_col: str = "doc_id", text_col: str
             [*batch.columns, pa.array(sizes, pa.int64()),
              pa.array([s.ravel().tolist() for s in found], pa.list_(pa.int32())),
              pa.array([cut_words(t, s) for t, s in zip(texts, found)], pa.binary()).cast(pa.string())],
-            names=[*batch.schema.names, "n_words", "spans", "kept"])
+            names=[*batch.schema.names, words_col, spans_col, kept_col])
 
     return removed_windows(docs, id_col, text_col, w, search, finish, schema)
 

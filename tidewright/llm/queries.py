@@ -6,7 +6,7 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import quality
+from . import quality, toxicity
 from .bpe import encode_decode
 from .chat import digest_chat, format_chat
 from .decontam import contaminated
@@ -58,6 +58,14 @@ def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
         "doc_id", "item_id", "coverage", F.size("tiles").cast("bigint").alias("n_tiles"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    network = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, network).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeated_words(docs).select(
@@ -92,6 +100,7 @@ QUERIES = {
     "op3_html_extraction": op3_html_extraction,
     "op4_suffix_array_dedup": op4_suffix_array_dedup,
     "op5_benchmark_decontamination": op5_benchmark_decontamination,
+    "op6_toxicity": op6_toxicity,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_bpe_encoding": op8_bpe_encoding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

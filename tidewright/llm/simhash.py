@@ -21,8 +21,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (PIECES, U, by_bucket, cut_lineage, dealt, fresh, gathered, joined, mixed, ship, slices, text_bytes,
-                     with_fields, without, word_spans)
+from .common import (PIECES, U, by_bucket, cut_lineage, dealt, fresh, gathered, mixed, ship, slices, text_bytes, with_fields,
+                     without)
 from .graph import components
 
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -30,26 +30,30 @@ ALL = U(0xFFFFFFFFFFFFFFFF)
 PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
 
 
-def shingle_bits(texts: list[bytes], words: int, seed: int) -> Iterator[int]:
-    """The fingerprint of each text."""
+def shingle_hashes(texts: list[bytes], words: int, seed: int) -> Iterator[np.ndarray]:
+    """Hashes of the shingles of each text, in turn; none for a text without words."""
     digest = xxhash.xxh64_intdigest
     for text in texts:
         found = re.findall(rb"[^\x20\x09-\x0D]+", text.translate(LOWER))
         if not found:
-            yield 0
+            yield np.zeros(0, U)
             continue
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ends = np.cumsum(sizes + 1) - 1
         begins = ends - sizes
         line = b" ".join(found)
         last = max(1, len(found) - words + 1)
-        hashes = np.fromiter((digest(line[a:b], seed) for a, b in zip(
+        yield np.fromiter((digest(line[a:b], seed) for a, b in zip(
             begins[:last].tolist(), ends[min(words, len(found)) - 1:].tolist())), U, last)
-        yield majority(hashes)
+
+
+def shingle_bits(texts: list[bytes], words: int, seed: int) -> Iterator[int]:
+    """The fingerprint of each text."""
+    return map(majority, shingle_hashes(texts, words, seed))
 
 
 def majority(hashes: np.ndarray, block: int = 1 << 16) -> int:
-    """Bits that are set in over half of the hashes."""
+    """Bits that are set in over half of the hashes; none without hashes."""
     counts = np.zeros(64, np.int64)
     for k in range(0, len(hashes), block):
         part = hashes[k:k + block]
@@ -123,8 +127,10 @@ def within(query: np.ndarray, word: np.ndarray, planes: np.ndarray, radius: int,
     return at, ~over
 
 
-def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block: int = 1 << 17) -> Iterator[np.ndarray]:
-    """Pairs (a < b) within the radius among fingerprints, sorted by key, of equal keys."""
+def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block: int = 1 << 17,
+             places: bool = False) -> Iterator[np.ndarray]:
+    """Pairs (a < b) within the radius among fingerprints, sorted by key, of equal keys: the
+    fingerprints, or their places."""
     free = [b for b in range(64) if not mask >> b & 1]
     new = np.flatnonzero(np.diff(key, prepend=key[:1] ^ U(1)) != 0)
     sizes = np.diff(np.append(new, len(key)))
@@ -138,8 +144,11 @@ def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block:
     place = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     lane = first_word[of] * 64 + place
     padded = np.zeros(int(n_words.sum()) * 64, U)
-    member = values[new[of] + place]
+    source = new[of] + place
+    member = values[source]
     padded[lane] = member
+    lane_source = np.zeros(len(padded), np.int64)
+    lane_source[lane] = source
     used = np.zeros(len(padded), np.uint8)
     used[lane] = 1
     used = np.packbits(used, bitorder="little").view("<u8")
@@ -165,13 +174,15 @@ def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block:
             bits = np.unpackbits(near[hit].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             row, j = np.nonzero(bits)
             pairs = np.zeros(len(row), PAIR)
-            x, y = member[q[hit[row]]], padded[word[hit[row]] * 64 + j]
+            x, y = source[q[hit[row]]], lane_source[word[hit[row]] * 64 + j]
+            if not places:
+                x, y = values[x], values[y]
             pairs["a"], pairs["b"] = np.minimum(x, y), np.maximum(x, y)
             yield pairs
         a = b
 
 
-def fingerprint_links(distinct: DataFrame, radius: int = 2, column: str = "bits", bucket_rows: int = 400_000) -> DataFrame:
+def fingerprint_links(distinct: DataFrame, radius: int = 2, column: str = "bits", bucket_rows: int = 50_000) -> DataFrame:
     """(a, b): all pairs of different fingerprints that differ in at most `radius` bits."""
     ship(distinct)
     masks = key_masks(radius)
@@ -237,3 +248,176 @@ def label_fingerprints(known: DataFrame, id_col: str, bits_col: str, radius: int
 
 def hex_bits(bits):
     return F.lpad(F.lower(F.hex(bits)), 16, "0")
+
+
+# Near copies by similarity: the same fingerprints at a wide radius. No choice of parts
+# is short enough there, so fingerprints meet where small hashes of their shingles agree.
+
+MEMBER = np.dtype([("key", "<u8"), ("bits", "<u8"), ("node", "<i8")])
+LINK = np.dtype([("a", "<i8"), ("b", "<i8")])
+
+
+def band_keys(hashes: np.ndarray, bands: int, rows: int, block: int = 1 << 14) -> np.ndarray:
+    """One key per band: the smallest of the shingle hashes under `rows` orders. Two texts
+    of similarity s share a band's key with chance s ** rows."""
+    n = bands * rows
+    factors = mixed(np.arange(1, n + 1, dtype=U)) | U(1)
+    low = np.full(n, np.iinfo(np.uint64).max, U)
+    for k in range(0, len(hashes), block):
+        low = np.minimum(low, (hashes[k:k + block, None] * factors ^ (factors >> U(7))).min(0))
+    found = np.arange(bands, dtype=U)
+    for r in range(rows):
+        found = mixed(found * U(0x9E3779B97F4A7C15) + low[r::rows])
+    return found
+
+
+def spanning(bits: np.ndarray, radius: int, most: int = 1 << 16, at_once: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) that join all fingerprints within the radius of each other into trees,
+    and the root of each tree. A fingerprint that is reached is compared no more, so a
+    dense group costs little more than its size. Beyond `most` fingerprints the roots so
+    far meet the next `most`."""
+    links, roots = [], np.zeros(0, np.int64)
+    free = list(range(64))
+    for start in range(0, len(bits), most):
+        here = np.concatenate([roots, np.arange(start, min(start + most, len(bits)))])
+        planes = planes_of(bits[here])
+        used = np.zeros(len(planes) * 64, np.uint8)
+        used[:len(here)] = 1
+        left = np.packbits(used, bitorder="little").view("<u8")
+        roots_here = []
+        while True:
+            words = np.flatnonzero(left)
+            if not len(words):
+                break
+            lane = int(words[0]) * 64 + (int(left[words[0]]) & -int(left[words[0]])).bit_length() - 1
+            roots_here.append(lane)
+            left[lane >> 6] &= ~(U(1) << U(lane & 63))
+            queue = [lane]
+            while queue:
+                part, queue = np.array(queue[:at_once]), queue[at_once:]
+                words = np.flatnonzero(left)
+                if not len(words):
+                    break
+                q, word = np.repeat(part, len(words)), np.tile(words, len(part))
+                at, near = within(bits[here[q]], word, planes, radius, free)
+                for k, hit in zip(at[near & left[word[at]] != 0].tolist(), near[near & left[word[at]] != 0].tolist()):
+                    hit &= int(left[word[k]])
+                    left[word[k]] &= ~U(hit)
+                    while hit:
+                        lane = int(word[k]) * 64 + (hit & -hit).bit_length() - 1
+                        hit &= hit - 1
+                        links.append((int(here[q[k]]), int(here[lane])))
+                        queue.append(lane)
+        roots = here[np.array(roots_here, np.int64)]
+    return np.array(links, np.int64).reshape(-1, 2), roots
+
+
+def _groups(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Members in order of their key, without repeats; where each key begins, and its size."""
+    members = np.unique(members)
+    new = np.flatnonzero(np.concatenate([[True], members["key"][1:] != members["key"][:-1]])) if len(members) else np.zeros(0, int)
+    return members, new, np.diff(np.append(new, len(members)))
+
+
+def _trees(members: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links of members (of one key) by node, and the members that are roots."""
+    pairs, roots = spanning(members["bits"], radius)
+    links = np.zeros(len(pairs), LINK)
+    x, y = members["node"][pairs[:, 0]], members["node"][pairs[:, 1]]
+    links["a"], links["b"] = np.minimum(x, y), np.maximum(x, y)
+    return links, members[roots]
+
+
+def similar_links(nodes: DataFrame, radius: int, crowd: int = 64, bucket_rows: int = 50_000) -> DataFrame:
+    """(a, b): links between nodes whose fingerprints differ in at most `radius` bits, among
+    those that share a key, enough to connect them. `nodes` has node, bits and keys (an
+    array). A key with over `crowd` nodes in one batch is reduced to its trees' roots
+    before the shuffle, so a hot group adds a few rows per batch."""
+    ship(nodes)
+    total = nodes.select(F.sum(F.size("keys"))).first()[0] or 0
+    buckets = 1 + total // bucket_rows
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(2)
+            size = np.diff(keys.offsets.to_numpy())
+            members = np.zeros(int(size.sum()), MEMBER)
+            members["key"] = keys.flatten().to_numpy().view(U)
+            members["node"] = np.repeat(batch.column(0).to_numpy(), size)
+            members["bits"] = np.repeat(batch.column(1).to_numpy().view(U), size)
+            members, new, sizes = _groups(members)
+            stay = np.ones(len(members), bool)
+            for a, n in zip(new[sizes > crowd].tolist(), sizes[sizes > crowd].tolist()):
+                links, roots = _trees(members[a:a + n], radius)
+                stay[a:a + n] = np.isin(members["node"][a:a + n], roots["node"])
+                yield from dealt(1, (mixed(links["a"].astype(U)) % U(buckets)).astype(np.int64), links)
+            members = members[stay]
+            yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
+
+    def told(links: np.ndarray) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(links[c].copy()) for c in "ab"], names=["a", "b"])
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in gathered(batches):
+            held = []
+            for kind, blob in rows:
+                if kind == 1:
+                    yield told(np.frombuffer(blob, LINK))
+                else:
+                    held.append(blob)
+            members, new, sizes = _groups(np.frombuffer(b"".join(held), MEMBER))
+            for a, n in zip(new[sizes > crowd].tolist(), sizes[sizes > crowd].tolist()):
+                yield told(_trees(members[a:a + n], radius)[0])
+            small = members[np.repeat(sizes <= crowd, sizes)]
+            for pairs in links_of(small["bits"], small["key"], 0, radius, places=True):
+                found = np.zeros(len(pairs), LINK)
+                x, y = small["node"][pairs["a"].astype(np.int64)], small["node"][pairs["b"].astype(np.int64)]
+                found["a"], found["b"] = np.minimum(x, y), np.maximum(x, y)
+                yield told(np.unique(found))
+
+    keyed = nodes.select("node", "bits", "keys").mapInArrow(deal, PIECES)
+    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 14,
+                     bands: int = 16, rows: int = 4, seed: int = 42, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """`docs` without near copies: of each group, one row of the smallest id stays.
+
+    Near copies share four fifths of their shingles of `words` words (lower-case A-Z). At
+    that similarity fingerprints differ in about ten of 64 bits; `radius` holds 94 of 100
+    such pairs, and most of similarity 0.7. They meet by `bands` keys of `rows` small
+    hashes: a pair of similarity 0.8 shares one with chance 0.9998. Groups are what such
+    links connect.
+
+    Texts are read once for the fingerprints, then only the kept rows move. Nulls: a null
+    text is like an empty one; a null id is above all others. Repeated rows: one stays.
+    Empty table: no rows. Extra columns are kept as they are.
+    """
+    ship(docs)
+    id_key, text_key = fresh(docs, "__id"), fresh(docs, "__text")
+    keyed = docs.withColumns({id_key: F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(2**63 - 1)),
+                              text_key: F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit("")))})
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", chunk_bytes):
+            bits, keys = [], []
+            for hashes in shingle_hashes(text_bytes(batch.column("text")), words, seed):
+                bits.append(majority(hashes))
+                keys.append(band_keys(hashes, bands, rows))
+            flat = np.concatenate(keys).view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(flat))
+            yield pa.record_batch([batch.column("id"), batch.column("node"), pa.array(np.array(bits, U).view(np.int64)), lists],
+                                  names=["id", "node", "bits", "keys"])
+
+    known = keyed.select(F.col(id_key).alias("id"), F.col(text_key).alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    known = cut_lineage(known.mapInArrow(run, "id bigint, node bigint, bits bigint, keys array<bigint>"))
+    nodes = cut_lineage(known.groupBy("node").agg(F.min("id").alias("id"), F.min("bits").alias("bits"), F.min("keys").alias("keys")))
+    roots = components(cut_lineage(similar_links(nodes, radius).distinct())).withColumnRenamed("node", "linked")
+    best = (nodes.join(roots, F.col("node") == F.col("linked"), "left")
+            .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("id", "node")).alias("best"))
+            .select(F.col("best.id").alias("best_id"), F.col("best.node").alias("best_node")))
+    best = best.toDF(fresh(keyed, "best_id"), fresh(keyed, "best_node"))
+    kept = keyed.join(best, (F.col(id_key) == F.col(best.columns[0])) & (F.col(text_key) == F.col(best.columns[1])), "left_semi")
+    return kept.dropDuplicates([id_key, text_key]).select(*(F.col(f"`{c}`") for c in docs.columns))
