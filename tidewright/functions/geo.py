@@ -21,11 +21,12 @@ def wrap_course(course: Column) -> Column:
 
 
 def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+    """Distance on the sphere; null if any of the four is null."""
     p1, p2 = F.radians(lat1), F.radians(lat2)
     s1 = F.sin((p2 - p1) / 2)
     s2 = F.sin(F.radians(lon2 - lon1) / 2)
     a = s1 * s1 + F.cos(p1) * F.cos(p2) * s2 * s2
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
+    return 2 * EARTH_M * F.asin(F.sqrt(F.when(a > 1.0, F.lit(1.0)).otherwise(a)))  # least() would pass over a null
 
 
 BAND, CELL = "__band", "__cell"

@@ -26,12 +26,19 @@ def slices_of(heavy: list, per_chunk: int) -> int:
     return sum(math.ceil(r["n"] / per_chunk) for r in heavy)
 
 
-def _axis(df: DataFrame, ts: str) -> Column:
-    """The order column as a bigint."""
+def _axis(df: DataFrame, ts: str) -> tuple[Column, T.DataType]:
+    """The order column as a number that never falls where the column rises, so cuts
+    along it keep the column's own order: fractions as doubles, texts by their first
+    seven bytes (Spark orders texts by bytes)."""
     kind = df.schema[ts].dataType
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.unix_micros(F.col(ts).cast("timestamp"))
-    return F.col(ts).cast("bigint")
+        return F.unix_micros(F.col(ts).cast("timestamp")), T.LongType()
+    if isinstance(kind, (T.FractionalType, T.DecimalType)):
+        return F.col(ts).cast("double"), T.DoubleType()
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        lead = F.rpad(F.substring(F.hex(F.col(ts).cast("binary")), 1, 14), 14, "0")
+        return F.conv(lead, 16, 10).cast("bigint"), T.LongType()
+    return F.col(ts).cast("bigint"), T.LongType()
 
 
 class OrderedCut:
@@ -68,7 +75,8 @@ class OrderedCut:
             T.StructType([*fields, T.StructField("__step", T.LongType())]))
         # where to cut may be estimated from a sample: the cuts decide balance, not results
         share = SAMPLE * slices_of(heavy, per_chunk) / total
-        times = df.select(*self.keys, _axis(df, ts).alias("__t"))
+        axis, number = _axis(df, ts)
+        times = df.select(*self.keys, axis.alias("__t"))
         marked = self._with(times.sample(share, 7) if share < 1 else times, named, "inner")
         points = (marked.groupBy(*[f.name for f in fields], "__step")
                   .agg(F.percentile_approx("__t", [i / slices for i in range(1, slices)],
@@ -84,7 +92,7 @@ class OrderedCut:
             rows.append((*[r[f.name] for f in fields], blocks, len(p)))
         self.cuts = spark.createDataFrame(rows, T.StructType([
             *fields,
-            T.StructField("__blocks", T.ArrayType(T.ArrayType(T.LongType()))),
+            T.StructField("__blocks", T.ArrayType(T.ArrayType(number))),
             T.StructField("__last", T.IntegerType())]))
 
     def _with(self, df: DataFrame, small: DataFrame, how: str) -> DataFrame:
@@ -101,7 +109,7 @@ class OrderedCut:
         """Adds the chunk number: 0, 1, … for hot keys, -1 for the others."""
         if self.cuts is None:
             return df
-        t = _axis(df, ts)
+        t, _ = _axis(df, ts)
         below = F.size(F.filter("__blocks", lambda b: b[0] < t))
         within = F.size(F.filter(F.get("__blocks", below - 1), lambda x: x < t))
         chunk = (F.when(F.col("__blocks").isNull(), -1).when(below <= 0, 0)

@@ -19,4 +19,4 @@ def floor_div(value: Column, width: int) -> Column:
 
 def bucket(col: str | Column, width_seconds: float, shift_seconds: float = 0.0) -> Column:
     """Number of the fixed-width time bucket that holds col + shift."""
-    return floor_div(micros(col) + F.lit(int(shift_seconds * 1_000_000)), int(width_seconds * 1_000_000))
+    return floor_div(micros(col) + F.lit(round(shift_seconds * 1_000_000)), round(width_seconds * 1_000_000))

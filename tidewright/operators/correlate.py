@@ -31,21 +31,23 @@ def interval_correlate(a: DataFrame, b: DataFrame, on: str, ts: str, before: flo
     crowded bucket. Streams join on the entity with both sides' watermarks, which
     bound the state.
     """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"rows of b stand in several buckets, so a {how} join cannot tell its unmatched rows")
     right = prefixed(b, prefix)
     rts = prefix + ts
     same = F.col(on) == F.col(prefix + on)
     if a.isStreaming or b.isStreaming:
         left = a.withWatermark(ts, watermark)
         right = right.withWatermark(rts, watermark)
-        near = F.expr(f"{rts} >= {ts} - interval {int(before * 1e6)} microseconds "
-                      f"AND {rts} <= {ts} + interval {int(after * 1e6)} microseconds")
+        near = F.expr(f"{rts} >= {ts} - interval {round(before * 1e6)} microseconds "
+                      f"AND {rts} <= {ts} + interval {round(after * 1e6)} microseconds")
         return left.join(right, same & near, how)
     width = max(float(before + after), 1.0)
     left = a.withColumn("__b", bucket(ts, width))
     spread = F.sequence(bucket(rts, width, -after), bucket(rts, width, before))
     right = right.withColumn("__rb", F.explode(spread))
     gap = micros(rts) - micros(ts)
-    near = gap.between(int(-before * 1e6), int(after * 1e6))
+    near = gap.between(round(-before * 1e6), round(after * 1e6))
     return left.join(right, same & (F.col("__b") == F.col("__rb")) & near, how).drop("__b", "__rb")
 
 
@@ -85,7 +87,7 @@ def _last_right(rows, keep, by, on, cols, tolerance, prefix, tie, hot) -> DataFr
     found = running_last(rows, by, [on, "__left", *ties], "__r", "__m", [on, *ties], hot=hot)
     ok = keyed
     if tolerance is not None:
-        ok = ok & (micros(F.col(on)) - micros(F.col(f"__m.{on}")) <= int(tolerance * 1e6))
+        ok = ok & (micros(F.col(on)) - micros(F.col(f"__m.{on}")) <= round(tolerance * 1e6))
     return found.filter("__left").select(
         *keep, *[F.when(ok, F.col(f"__m.{c}")).alias(prefix + c) for c in cols])
 
@@ -102,7 +104,7 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
     tried, each once; the shuffle carries ids and positions only, and adaptive
     execution splits crowded cells.
     """
-    cells, width = Cells(2 * max_m), 2 * window
+    cells, width = Cells(max(2 * max_m, 1.0)), max(2 * window, 1.0)
 
     def points(df: DataFrame, name: str, tail: str) -> DataFrame:
         return (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
@@ -120,8 +122,9 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
         pairs = pairs.filter(F.col("left_id") < F.col("right_id"))
     pairs = pairs.select("left_id", "right_id", dt.alias("dt_seconds"), dist.alias("dist_m"))
     pairs = pairs.filter((F.abs("dt_seconds") <= window) & (F.col("dist_m") <= max_m))
-    return pairs.withColumn(
-        "score", 1 - (F.col("dist_m") / max_m + F.abs("dt_seconds") / window) / 2)
+    # a bound of zero lets only zeros through
+    apart = (F.col("dist_m") / max_m if max_m else F.lit(0.0)) + (F.abs("dt_seconds") / window if window else F.lit(0.0))
+    return pairs.withColumn("score", 1 - apart / 2)
 
 
 def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: float, tie: Sequence[str] = (),
@@ -133,7 +136,7 @@ def sessions(df: DataFrame, key: str | Sequence[str], ts: str, gap: float, tie:
     cut = OrderedCut.of(df, keys, ts, hot)
     w = Window.partitionBy(*cut.by).orderBy(*order)
     so_far = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    apart = lambda before, now: micros(now) - micros(before) > int(gap * 1e6)
+    apart = lambda before, now: micros(now) - micros(before) > round(gap * 1e6)
     start = lambda: F.last("__opens", True).over(so_far)
     if cut.cuts is None:
         rows = df.withColumn("__prev", F.lag(ts).over(w))
@@ -164,7 +167,7 @@ def session_spans(df: DataFrame, key: str, ts: str, gap: float, tie: Sequence[st
     state is dropped by the watermark."""
     if df.isStreaming:
         # a row exactly `gap` later still belongs to the segment: windows are half open
-        width = f"{int(gap * 1e6) + 1} microseconds"
+        width = f"{round(gap * 1e6) + 1} microseconds"
         return (df.withWatermark(ts, watermark)
                   .groupBy(F.session_window(ts, width).alias("__w"), key)
                   .agg(F.min(ts).alias("session_start"), F.max(ts).alias("last_ts"),
@@ -183,17 +186,18 @@ def best_match(pairs: DataFrame, score: str = "score", left: str = "left_id", ri
 
 
 def link_clusters(links: DataFrame, left: str = "left_id", right: str = "right_id",
-                  max_rounds: int = 50, hot: Hot = DEFAULT_HOT) -> DataFrame:
+                  hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Connected ids to one cluster: rows (id, cluster_id), cluster_id being the
     lowest id of the cluster.
 
     Alternates large-star and small-star steps (Kiveris et al., "Connected
     Components in MapReduce and Beyond", 2014), so the number of rounds grows with
-    the logarithm of the size, not with the length of a chain. Each round is
-    checkpointed; a hub's neighbours are never gathered, only its minimum is, and
-    hubs are looked up by broadcast. Raises if `max_rounds` is not enough.
+    the logarithm of the size, not with the length of a chain; it ends when a round
+    changes nothing. Links are computed once, each round is stored; a hub's
+    neighbours are never gathered, only its minimum is, and hubs are looked up by
+    broadcast.
     """
-    linked = links.filter(F.col(left).isNotNull() & F.col(right).isNotNull())
+    linked = cut_lineage(links.filter(F.col(left).isNotNull() & F.col(right).isNotNull()).select(left, right).distinct())
     ids = (linked.select(F.explode(F.array(left, right)).alias("id")).distinct())
     edges = cut_lineage(linked.filter(F.col(left) != F.col(right))
                         .select(F.greatest(left, right).alias("hi"), F.least(left, right).alias("lo")).distinct())
@@ -209,7 +213,7 @@ def link_clusters(links: DataFrame, left: str = "left_id", right: str = "right_i
                 else unique_lookup(rows, minima, [on], "inner", hot, small=False))
 
     state = mark(edges)
-    for _ in range(max_rounds):
+    while True:
         lowest = (edges.select(F.explode(F.array("lo", "hi")).alias("u"), F.col("lo").alias("low"))
                        .groupBy("u").agg(F.min("low").alias("m")))
         starred = (look_up(edges, lowest.withColumnRenamed("u", "lo"), "lo")
@@ -224,7 +228,5 @@ def link_clusters(links: DataFrame, left: str = "left_id", right: str = "right_i
         if now == state:
             break
         state = now
-    else:
-        raise RuntimeError(f"clusters still changing after {max_rounds} rounds; raise max_rounds")
     return (ids.join(edges.withColumnRenamed("hi", "id"), "id", "left")
                .select("id", F.coalesce("lo", "id").alias("cluster_id")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..functions import sixbit
 from ..functions.skew import DEFAULT_HOT, Hot
@@ -60,18 +60,19 @@ def check_integrity(df: DataFrame, col: str) -> DataFrame:
 
 
 def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no: str, n_parts: str,
-                     payload: str, gap_seconds: float, max_parts: int = 10_000,
-                     hot: Hot = DEFAULT_HOT) -> DataFrame:
+                     payload: str, gap_seconds: float, hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Multi-part messages to one row each: payload joined in part order.
 
     Parts of one key belong together while they are no further apart than the
-    gap. Copies of a part count once (the first in time). Incomplete groups keep
-    their parts and say why in `error`; part numbers outside 1..n_parts and
-    messages claiming more than `max_parts` parts come back as rows of their own,
-    also with `error`. A group is thus at most n_parts long when it is collected.
+    gap. Sequence numbers are used again soon: a part number that comes again with
+    another payload begins the next message; exact copies of a part count once.
+    Incomplete messages, and those with two payloads for one part, keep all their
+    parts and say why in `error`; part numbers outside 1..n_parts come back as rows
+    of their own, also with `error`. No payload is lost. A message is collected
+    into one row, as long as its parts are.
     """
     keys = list(group_keys)
-    sane = F.coalesce(F.col(part_no).between(1, F.col(n_parts)) & (F.col(n_parts) <= max_parts), F.lit(False))
+    sane = F.coalesce(F.col(part_no).between(1, F.col(n_parts)), F.lit(False))
     parts = df.select(*keys, ts, F.col(part_no).cast("int").alias("part_no"),
                       F.col(n_parts).cast("int").alias("n_parts"), F.col(payload).alias("payload"), sane.alias("sane"))
 
@@ -85,18 +86,26 @@ def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no:
 
     many = parts.filter(F.col("sane") & (F.col("n_parts") > 1))
     spans = sessions(many, [*keys, "n_parts"], ts, gap_seconds, tie=["part_no", "payload"], hot=hot)
-    group = [*keys, "n_parts", "session_start"]
-    once = spans.groupBy(*group, "part_no").agg(
-        F.min_by("payload", F.struct(ts, "payload")).alias("payload"),
-        F.min(ts).alias("a"), F.max(ts).alias("b"))
+    run = [*keys, "n_parts", "session_start"]
+    same_part = Window.partitionBy(*run, "part_no").orderBy(ts, "payload")
+    in_time = Window.partitionBy(*run).orderBy(ts, "part_no", "payload").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    other = ~F.col("payload").eqNullSafe(F.lag("payload").over(same_part)) & (F.row_number().over(same_part) > 1)
+    spans = spans.withColumn("__other", other.cast("int"))
+    spans = spans.withColumn("__turn", F.sum("__other").over(same_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    spans = spans.withColumn("__message", F.max("__turn").over(in_time))
+    group = [*run, "__message"]
+    once = spans.groupBy(*group, "part_no", "payload").agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
     whole = once.groupBy(*group).agg(
-        F.min("a").alias("started"), F.max("b").alias("ended"), F.count(F.lit(1)).cast("int").alias("n_present"),
+        F.min("a").alias("started"), F.max("b").alias("ended"), F.count(F.lit(1)).alias("__given"),
         F.array_sort(F.collect_list(F.struct("part_no", "payload"))).alias("parts"))
-    full = F.col("n_present") == F.col("n_parts")
+    whole = whole.withColumn("n_present", F.size(F.array_distinct(F.col("parts.part_no"))))
+    torn = F.col("__given") > F.col("n_present")
+    full = (F.col("n_present") == F.col("n_parts")) & ~torn
     text = F.array_join(F.transform("parts", lambda p: p["payload"]), "")
     joined = whole.select(*keys, "n_parts", "started", "ended", "n_present",
                           F.when(full, text).alias("payload"), "parts",
-                          F.when(~full, "incomplete").alias(ERROR))
+                          F.when(torn, "two payloads for one part").when(~full, "incomplete").alias(ERROR))
     none = F.lit(None).cast("string")
     return (joined.unionByName(alone(single, F.col("payload"), none))
                   .unionByName(alone(odd, none, F.lit("bad part number"))))

@@ -64,10 +64,17 @@ def zone_containment(df: DataFrame, zones: DataFrame, cell_m: float, id_col: str
     """(id, zone_id) for every zone polygon that holds the point.
 
     Zones are listed under the grid cells their box meets; points meet only the
-    zones of their own cell and are then tested against the ring. Zones that cross
-    the ±180° line must be given as two rings.
+    zones of their own cell and are then tested against the ring. Longitudes of
+    points may be any number of turns; a zone across the ±180° line is given either
+    with longitudes beyond 180, or with min_x > max_x.
     """
     cells = Cells(cell_m)
+    # a box that ends before it begins goes on beyond 180
+    over = F.col("min_x") > F.col("max_x")
+    west = F.col("min_x")
+    zones = (zones.withColumn("ring", F.when(over, F.transform("ring", lambda p: F.struct(
+                 F.when(p["x"] < west, p["x"] + 360.0).otherwise(p["x"]).alias("x"), p["y"].alias("y")))).otherwise(F.col("ring")))
+             .withColumn("max_x", F.when(over, F.col("max_x") + 360.0).otherwise(F.col("max_x"))))
     listed = cells.cover(zones.select("zone_id", "min_x", "max_x", "min_y", "max_y"),
                          "min_y", "max_y", "min_x", "max_x").select("zone_id", BAND, CELL)
     listed = F.broadcast(listed) if fits_broadcast(listed) else listed
@@ -76,10 +83,12 @@ def zone_containment(df: DataFrame, zones: DataFrame, cell_m: float, id_col: str
     met = cells.place(points, "__y", "__x").join(listed, [BAND, CELL]).drop(BAND, CELL)
     shapes = zones.select("zone_id", "ring", "min_x", "max_x", "min_y", "max_y")
     shapes = F.broadcast(shapes) if fits_broadcast(shapes) else shapes
-    x, y = F.col("__x"), F.col("__y")
-    box = x.between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))
-    return (met.join(shapes, "zone_id").filter(box).filter(in_ring(x, y, F.col("ring")))
-               .select(id_col, "zone_id"))
+    # the point's longitude in the turn that begins where the box does
+    x, y = F.pmod(F.col("__x") - F.col("min_x"), F.lit(360.0)) + F.col("min_x"), F.col("__y")
+    near = met.join(shapes, "zone_id").withColumn("__x", F.when(
+        F.col("__x").between(F.col("min_x"), F.col("max_x")), F.col("__x")).otherwise(x))
+    box = F.col("__x").between(F.col("min_x"), F.col("max_x")) & y.between(F.col("min_y"), F.col("max_y"))
+    return near.filter(box).filter(in_ring(F.col("__x"), y, F.col("ring"))).select(id_col, "zone_id")
 
 
 def nearest_reference(df: DataFrame, ref: DataFrame, k: int, max_m: float, id_col: str = "obs_id",

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
-from ..functions.skew import fits_broadcast
+from ..session import exists, remove
 from ..sources.sinks import write_final
 from .ingest import first_rows
 
@@ -22,17 +24,34 @@ def upsert_final(current: DataFrame, changes: DataFrame, keys: Sequence[str], ve
 def merge_into(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], version: str,
                partition_cols: Sequence[str], staging: str, tie: Sequence[str] = ()) -> None:
     """Upserts into a stored table, reading and rewriting only the partitions that
-    `changes` touches. Partition columns must be among the keys, so that a record
-    never moves. The result is staged in full before the table is replaced: a run
-    that dies is simply run again."""
+    `changes` touches (the null partition included); their values, not their rows,
+    come to the driver. Partition columns must be among the keys, so that a record
+    never moves.
+
+    The new partitions are staged in full before the table's are replaced, and the
+    stage is removed last. A run that dies while staging left the table as it was;
+    one that dies while replacing is finished from its stage by the next run, never
+    computed again from a half-replaced table. `staging` belongs to this table alone.
+    """
     if not set(partition_cols) <= set(keys):
         raise ValueError("partition columns must be part of the key")
-    touched = changes.select(*partition_cols).distinct()
-    touched = F.broadcast(touched) if fits_broadcast(touched) else touched
-    current = spark.read.parquet(path).join(touched, list(partition_cols), "left_semi")
+    schema = changes.schema  # stored partition values are texts: "007" must not come back as 7
+
+    def replace() -> None:
+        write_final(spark.read.schema(schema).parquet(staging), path, partition_cols)
+        remove(spark, staging)
+
+    if exists(spark, f"{staging}/_SUCCESS"):
+        replace()
+    touched = changes.select(*partition_cols).distinct().collect()
+    if not touched:
+        return
+    here = reduce(or_, [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c]).cast(schema[c].dataType)) for c in partition_cols])
+                        for row in touched])
+    current = spark.read.schema(schema).parquet(path).filter(here)
     merged = upsert_final(current.select(*changes.columns), changes, keys, version, tie)
     merged.write.mode("overwrite").parquet(staging)
-    write_final(spark.read.parquet(staging), path, partition_cols)
+    replace()
 
 
 def period_summary(df: DataFrame, ts: str, size_seconds: int, slide_seconds: int | None = None,
@@ -89,8 +108,8 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n:
     spark.sql.optimizer.windowGroupLimitThreshold; beyond it a group is first cut
     to n rows in each of SALTS parts, so a group holding most rows is not one task.
     """
-    if not group:
-        return df.orderBy(*order).limit(n)
+    if not group:  # at most n rows are numbered
+        return df.orderBy(*order).limit(n).withColumn("rank", F.row_number().over(Window.orderBy(*order)))
     if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
         salted = df.withColumn("__salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)))
         part = Window.partitionBy(*group, "__salt").orderBy(*order)
@@ -107,7 +126,9 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
         raise ValueError("both tables must have the same columns")
 
     def digest(df: DataFrame, name: str) -> DataFrame:
-        body = F.to_json(F.struct(*rest), {"ignoreNullFields": "false"}) if rest else F.lit("")
+        body = F.to_json(F.struct(*rest), {  # times to the microsecond, as they are stored
+            "ignoreNullFields": "false", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}) if rest else F.lit("")
         return df.select(*keys, F.unhex(F.sha2(body, 256)).alias(name))
 
     a, b = digest(old, "__old"), digest(new, "__new")

@@ -81,7 +81,7 @@ def resample(df: DataFrame, key: str, ts: str, step_seconds: int, cols: Sequence
     first = -floor_div(-F.col("__t"), step) * step
     stop = F.coalesce(F.col("__u") - 1, F.col("__t"))
     if max_gap is not None:
-        stop = F.least(stop, F.col("__t") + int(max_gap * 1e6))
+        stop = F.least(stop, F.col("__t") + round(max_gap * 1e6))
     grid = rows.withColumns({"__a": first, "__b": stop}).filter(F.col("__a") <= F.col("__b"))
     grid = grid.withColumn("__g", F.explode(F.sequence("__a", "__b", F.lit(step).cast("bigint"))))
     share = (F.col("__g") - F.col("__t")) / (F.col("__u") - F.col("__t"))

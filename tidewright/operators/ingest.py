@@ -16,11 +16,11 @@ def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]
 
 def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = (),
           ts: str | None = None, delay: str | None = None) -> DataFrame:
-    """Keeps the first copy. A stream keeps the first to arrive and forgets keys
+    """Keeps the first copy by `order` (by all other columns, if not given). A stream keeps the first to arrive and forgets keys
     once the watermark on `ts` has passed them by `delay`."""
     if df.isStreaming:
         return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
-    return first_rows(df, keys, order)
+    return first_rows(df, keys, order or [c for c in df.columns if c not in keys] or list(keys))
 
 
 def checksum(cols: Sequence[str]) -> Column:

@@ -59,9 +59,13 @@ def check_reference(df: DataFrame, ref: DataFrame, on: Sequence[str]) -> DataFra
 def check_motion(df: DataFrame, key: str, ts: str, max_speed: float, lat: str = "lat", lon: str = "lon",
                  tie: Sequence[str] = (), hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Adds distance, time and implied speed (m/s) from the previous fix, and
-    `too_fast`. Two places at one instant are too fast as well."""
+    `too_fast`. Two places at one instant are too fast as well. Motion is measured
+    from the last row that has a position; the first of them, and rows without one,
+    have no distance, time or speed and are not too fast."""
     order = [ts, *tie]
-    prev = neighbour_row(df, [key], order, [ts, lat, lon], "__prev", hot=hot)
+    placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
+    prev = neighbour_row(df.filter(placed), [key], order, [ts, lat, lon], "__prev", hot=hot)
+    prev = prev.unionByName(df.filter(~placed), allowMissingColumns=True)
     dist = haversine_m(F.col(f"__prev.{lat}"), F.col(f"__prev.{lon}"), F.col(lat), F.col(lon))
     prev = prev.withColumns({"prev_dist_m": dist,
                              "prev_seconds": seconds_between(F.col(f"__prev.{ts}"), F.col(ts))})

@@ -49,10 +49,12 @@ OBS = """(SELECT event_id AS obs_id, event_type AS source, user_id AS entity_key
           value % 180 - 90 AS lat, CAST((event_id * 37) % 360 - 180 AS DOUBLE) AS lon,
           value AS speed FROM events)"""
 
-HAVERSINE = """2 * 6371008.8 * asin(sqrt(least(1.0,
+# DuckDB's least() passes over nulls, so the case without a position is told first
+HAVERSINE = """CASE WHEN {a}.lat IS NOT NULL AND {a}.lon IS NOT NULL AND {b}.lat IS NOT NULL AND {b}.lon IS NOT NULL
+    THEN 2 * 6371008.8 * asin(sqrt(least(1.0,
       sin((radians({b}.lat) - radians({a}.lat)) / 2) * sin((radians({b}.lat) - radians({a}.lat)) / 2)
     + cos(radians({a}.lat)) * cos(radians({b}.lat))
-      * sin(radians({b}.lon - {a}.lon) / 2) * sin(radians({b}.lon - {a}.lon) / 2))))"""
+      * sin(radians({b}.lon - {a}.lon) / 2) * sin(radians({b}.lon - {a}.lon) / 2)))) END"""
 
 
 def haversine_sql(a: str, b: str) -> str:

@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F, types as T
+from pyspark.sql import Window, functions as F, types as T
 
 from ...functions import sixbit
 from ...operators.decode import (check_integrity, decode_bits, parse_document, reassemble_parts,
@@ -101,6 +101,21 @@ def reassemble(spark, sf):
     return whole.select("conv_id", "n_parts", "n_present", "payload", "error")
 
 
+@query("reassemble_reused_numbers", """
+    SELECT user_id, CAST(2 AS INTEGER) AS n_parts, CAST(2 AS INTEGER) AS n_present, event_id || 'a' || event_id || 'b' AS payload,
+           CAST(NULL AS VARCHAR) AS error FROM events""")
+def reassemble_reused(spark, sf):
+    """Each event as a message of two parts, all of a user under one sequence number and
+    well within the gap: where a part number comes again, the next message begins."""
+    rows = events(spark, sf).withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    part = lambda k, tail: rows.select(
+        "user_id", F.lit(k).alias("part_no"), F.lit(2).alias("n_parts"),
+        F.timestamp_seconds(1_700_000_000 + F.col("n") * 10 + k).alias("received_ts"),
+        F.concat(F.col("event_id").cast("string"), F.lit(tail)).alias("payload"))
+    whole = reassemble_parts(part(1, "a").unionByName(part(2, "b")), ["user_id"], "received_ts", "part_no", "n_parts", "payload", 60)
+    return whole.select("user_id", "n_parts", "n_present", "payload", "error")
+
+
 def packed(spark, sf):
     rows = events(spark, sf).withColumn("value_cents", F.round(F.col("value") * 100).cast("bigint"))
     values = {"msg_type": F.lit(1), "repeat": F.lit(0), "user_id": F.col("user_id"),

@@ -7,11 +7,12 @@ from .base import event_stream, events, feed, plain_times, query
 from .ingest import ALL_EVENTS
 
 
-@query("deliver", "SELECT event_id, ts, user_id, event_type, value, props, event_type AS batch_id FROM events WHERE event_type IN ('click', 'view')")
+@query("deliver", "SELECT event_id, ts, user_id, event_type, value, props, event_type AS batch_id FROM events")
 def twice(spark, sf):
-    """Two batches, each delivered twice."""
+    """A batch for each type, some of them delivered twice."""
     out, rows = scratch(spark, "out"), events(spark, sf)
-    for batch in ("click", "view", "click", "view"):
+    types = sorted(r[0] for r in rows.select("event_type").distinct().collect())
+    for batch in [*types, *types[:2]]:
         deliver(rows.filter(F.col("event_type") == batch), out, batch)
     return read_deliveries(spark, out)
 

@@ -66,19 +66,20 @@ def valid_time(spark, sf):
 
 
 def nation_zones(spark, sf):
-    """One rectangle per nation, derived from its key: 20 by 15 degrees."""
+    """One rectangle per nation, derived from its key: 20 by 15 degrees; the last goes
+    over the ±180° line."""
     x, y = F.col("n_nationkey") * 14.0 - 175.0, F.col("n_nationkey") * 6.0 - 89.0
     corner = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
     return table(spark, sf, "nation").select(
         F.col("n_name").alias("zone_id"), F.array(corner(0.0, 0.0), corner(20.0, 0.0), corner(20.0, 15.0), corner(0.0, 15.0)).alias("ring"),
-        x.alias("min_x"), (x + 20.0).alias("max_x"), y.alias("min_y"), (y + 15.0).alias("max_y")).filter("max_x <= 180 AND max_y <= 90")
+        x.alias("min_x"), (x + 20.0).alias("max_x"), y.alias("min_y"), (y + 15.0).alias("max_y"))
 
 
 @query("zone_containment", f"""
     SELECT o.obs_id, z.n_name AS zone_id FROM {OBS} o JOIN
       (SELECT n_name, n_nationkey * 14.0 - 175.0 AS x, n_nationkey * 6.0 - 89.0 AS y FROM nation) z
-      ON o.lon >= z.x AND o.lon < z.x + 20.0 AND o.lat >= z.y AND o.lat < z.y + 15.0
-    WHERE z.x + 20.0 <= 180 AND z.y + 15.0 <= 90""")
+      ON ((o.lon >= z.x AND o.lon < z.x + 20.0) OR (o.lon + 360 >= z.x AND o.lon + 360 < z.x + 20.0))
+         AND o.lat >= z.y AND o.lat < z.y + 15.0""")
 def zones(spark, sf):
     return zone_containment(obs(spark, sf), nation_zones(spark, sf), 100_000)
 

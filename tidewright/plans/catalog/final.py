@@ -47,6 +47,26 @@ def merge(spark, sf):
     return spark.read.parquet(path).select(*current.columns)
 
 
+# Partition values that are no numbers, whatever they look like, and one that is null
+ODD_PARTS = "CASE o_orderpriority WHEN '1-URGENT' THEN '007' WHEN '2-HIGH' THEN '7' WHEN '3-MEDIUM' THEN NULL ELSE o_orderpriority END"
+
+
+@query("merge_into_odd_partitions", f"""
+    SELECT o_orderkey, part, o_totalprice, version FROM (
+      SELECT o_orderkey, {ODD_PARTS} AS part, o_totalprice, 1 AS version FROM orders
+      UNION ALL SELECT o_orderkey, {ODD_PARTS}, o_totalprice * 2, 2 FROM orders
+      WHERE o_orderpriority IN ('1-URGENT', '3-MEDIUM') AND o_orderkey % 2 = 0)
+    QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) = 1""")
+def merge_odd(spark, sf):
+    path = scratch(spark, "final")
+    current = table(spark, sf, "orders").select("o_orderkey", F.expr(ODD_PARTS).alias("part"), "o_totalprice", F.lit(1).alias("version"))
+    newer = current.filter("(part = '007' OR part IS NULL) AND o_orderkey % 2 = 0").withColumns(
+        {"o_totalprice": F.col("o_totalprice") * 2, "version": F.lit(2)})
+    write_final(current, path, ["part"])
+    merge_into(spark, path, newer, ["o_orderkey", "part"], "version", ["part"], scratch(spark, "staging"))
+    return spark.read.schema(current.schema).parquet(path)
+
+
 CENTS = f"(SELECT *, CAST(round(speed * 100) AS BIGINT) AS cents FROM {OBS})"
 MEASURES = "count(*) AS n_rows, CAST(sum(cents) AS BIGINT) AS total, min(cents) AS lowest, max(cents) AS highest"
 

@@ -57,7 +57,7 @@ def stream(spark, sf):
 
 
 @query("envelope", r"""
-    SELECT sha256(concat_ws('|', event_type, raw)) AS raw_id, event_type AS source, ts AS received_ts, raw
+    SELECT sha256(concat_ws('|', length(event_type) || ':' || event_type, length(raw) || ':' || raw)) AS raw_id, event_type AS source, ts AS received_ts, raw
     FROM (SELECT *, concat_ws('|', event_id, user_id, event_type, props) AS raw FROM events)""")
 def envelope_events(spark, sf):
     lines = events(spark, sf).withColumn("raw", F.concat_ws("|", "event_id", "user_id", "event_type", "props"))

@@ -78,6 +78,26 @@ def motion_hot(spark, sf):
     return _motion(spark, sf, hot=FORCED)
 
 
+# Every 5th report has lost its latitude, every 7th its longitude
+GAPS = OBS.replace("value % 180 - 90 AS lat", "CASE WHEN event_id % 5 <> 0 THEN value % 180 - 90 END AS lat").replace(
+    "CAST((event_id * 37) % 360 - 180 AS DOUBLE) AS lon", "CASE WHEN event_id % 7 <> 0 THEN CAST((event_id * 37) % 360 - 180 AS DOUBLE) END AS lon")
+
+
+@query("check_motion_gaps", f"""
+    WITH o AS {GAPS}, fixes AS (
+      SELECT *, lag(obs_id) OVER (PARTITION BY entity_key ORDER BY ts, obs_id) AS p FROM o WHERE lat IS NOT NULL AND lon IS NOT NULL)
+    SELECT obs_id, round(dist, 3) AS prev_dist_m, secs AS prev_seconds, round(dist / nullif(secs, 0), 4) AS speed_mps,
+           coalesce(dist / nullif(secs, 0) > 30.0 OR (secs = 0 AND dist > 0), false) AS too_fast
+    FROM (SELECT o.obs_id, {haversine_sql('a', 'o')} AS dist, (epoch_us(o.ts) - epoch_us(a.ts)) / 1000000.0 AS secs
+          FROM o LEFT JOIN fixes f ON f.obs_id = o.obs_id LEFT JOIN o a ON a.obs_id = f.p)""")
+def motion_gaps(spark, sf):
+    rows = obs(spark, sf).withColumns({"lat": F.when(F.col("obs_id") % 5 != 0, F.col("lat")),
+                                       "lon": F.when(F.col("obs_id") % 7 != 0, F.col("lon"))})
+    found = check_motion(rows, "entity_key", "ts", 30.0, tie=["obs_id"])
+    return found.select("obs_id", F.round("prev_dist_m", 3).alias("prev_dist_m"), "prev_seconds",
+                        F.round("speed_mps", 4).alias("speed_mps"), "too_fast")
+
+
 @query("quality_report", f"""
     SELECT source, rule, count(*) AS n_rows, CAST(grouping(source, rule) AS BIGINT) AS level
     FROM (SELECT source, unnest(CASE WHEN b = '' THEN [NULL] ELSE string_split(b, ',') END) AS rule

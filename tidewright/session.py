@@ -64,3 +64,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there, on any file system Spark reads."""
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder and all in it."""
+    files, place = _file_system(spark, path)
+    files.delete(place, True)

@@ -35,9 +35,10 @@ def stream_source(spark: SparkSession, path: str, fmt: str, schema: T.StructType
 
 
 def content_id(cols: Sequence[str | Column]) -> Column:
-    """SHA-256 over the columns as text; null and empty text differ."""
-    parts = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_MARK))
-             for c in cols]
+    """SHA-256 over the columns as text, each led by its length in characters, so no two
+    rows read alike; null and empty text differ."""
+    texts = [(F.col(c) if isinstance(c, str) else c).cast("string") for c in cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(NULL_MARK)) for t in texts]
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 

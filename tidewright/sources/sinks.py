@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def write_final(df: DataFrame, path: str, partition_cols: Sequence[str] = (), fmt: str = "parquet") -> None:
@@ -62,7 +62,11 @@ def deliver(df: DataFrame, path: str, batch_id: str | int, fmt: str = "parquet",
 
 
 def read_deliveries(spark, path: str, fmt: str = "parquet", schema=None, **opts) -> DataFrame:
-    reader = spark.read.format(fmt).options(basePath=path, **opts)
-    if schema is not None:
-        reader = reader.schema(schema)
-    return reader.load(f"{path}/batch_id=*").withColumn("batch_id", F.col("batch_id").cast("string"))
+    """All deliveries, with their batch ids as they were given: "001" stays "001"."""
+    if schema is None:
+        schema = spark.read.format(fmt).options(**opts, basePath=path).load(f"{path}/batch_id=*").drop("batch_id").schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    fields = [f for f in schema.fields if f.name != "batch_id"]
+    full = T.StructType([*fields, T.StructField("batch_id", T.StringType())])
+    return spark.read.format(fmt).options(**opts, basePath=path).schema(full).load(f"{path}/batch_id=*")

@@ -50,7 +50,7 @@ def late_split(stream: DataFrame, ts: str, delay_seconds: float, on_time: str, l
         before = None
         if batch_id > 0:
             before = spark.read.schema(STATE).parquet(f"{state}/batch_id={batch_id - 1}").first()["max_us"]
-        limit = None if before is None else before - int(delay_seconds * 1e6)
+        limit = None if before is None else before - round(delay_seconds * 1e6)
         rows = batch.withColumn("is_late", F.lit(False) if limit is None
                                 else F.coalesce(micros(ts) < F.lit(limit), F.lit(False)))
         rows = rows.persist()
