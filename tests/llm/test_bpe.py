@@ -65,4 +65,4 @@ def test_memory_is_bounded(both):
         small = Vocabulary(file.read(), remember=10)
     for k in range(100):
         same(small, both[1], f"word{k} other{k * k}")
-    assert len(small.words) <= 10 and len(small.fragments) <= 10
+    assert len(small.chunks) <= 10 and len(small.words) <= 10 and len(small.fragments) <= 10

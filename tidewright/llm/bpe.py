@@ -10,7 +10,9 @@ one space, lower case, split by a pattern, bytes as characters, an end-of-word m
 from __future__ import annotations
 
 import json
+import re
 import unicodedata
+from array import array
 from collections.abc import Iterable, Iterator
 from functools import cache
 
@@ -33,10 +35,34 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
 
 
+class Memory:
+    """What was computed for the latest keys: two halves of bounded size, the older of
+    which is dropped when the newer is full."""
+
+    def __init__(self, most: int):
+        self.half, self.new, self.old = max(1, most // 2), {}, {}
+
+    def get(self, key):
+        found = self.new.get(key)
+        if found is None:
+            found = self.old.get(key)
+            if found is not None:
+                self.put(key, found)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.half:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
+
+    def __len__(self) -> int:
+        return len(self.new) + len(self.old)
+
+
 class Vocabulary:
-    """Tokens, merges and cuts of one file; `words` is a bounded memory of encoded words."""
+    """Tokens, merges and cuts of one file, and bounded memories of chunks, words and fragments."""
 
-    def __init__(self, text: str, remember: int = 300_000):
+    def __init__(self, text: str, remember: int = 600_000):
         said = json.loads(text)
         model = said["model"]
         self.ids: dict[str, int] = dict(model["vocab"])
@@ -51,14 +77,12 @@ class Vocabulary:
             self.tokens[number] = name
         pattern = said["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.split = regex.compile(pattern)
-        self.chunks = regex.compile(f"[^{WHITE}]+")
+        self.unspaced = re.compile(f"[^{WHITE}]+")
         self.marked = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(special, key=len, reverse=True)) + ")")
         self.alphabet = byte_characters()
         # pairs of neighbours inside tokens; the last symbol of a word carries the mark
         self.inside = {pair for token in self.ids for s in [self.symbols(token)] for pair in zip(s, s[1:])}
-        self.remember = remember
-        self.words: dict[str, bytes] = {}
-        self.fragments: dict[tuple[str, ...], tuple[int, ...]] = {}
+        self.chunks, self.words, self.fragments = Memory(remember), Memory(remember), Memory(remember // 4)
 
     def symbols(self, token: str) -> tuple[str, ...]:
         if self.end and token.endswith(self.end) and len(token) > len(self.end):
@@ -66,19 +90,21 @@ class Vocabulary:
             return (*body[:-1], body[-1] + self.end)
         return tuple(token)
 
-    def fragment(self, symbols: tuple[str, ...]) -> tuple[int, ...]:
-        """Ids of one fragment: the merge of the lowest rank first, the leftmost of equals."""
+    def fragment(self, symbols: tuple[str, ...]) -> bytes:
+        """Ids of one fragment: the merge of the lowest rank first, from the left."""
         known = self.fragments.get(symbols)
         if known is not None:
             return known
-        parts, never = list(symbols), len(self.rank)
+        parts, ranks = list(symbols), self.rank
         while len(parts) > 1:
-            ranks = [self.rank.get(p, never) for p in zip(parts, parts[1:])]
-            best = min(ranks)
-            if best == never:
+            best, pair = len(ranks), None
+            for p in zip(parts, parts[1:]):
+                rank = ranks.get(p, best)
+                if rank < best:
+                    best, pair = rank, p
+            if pair is None:
                 break
-            at = ranks.index(best)
-            pair, merged, k = (parts[at], parts[at + 1]), [], 0
+            merged, k = [], 0
             while k < len(parts):
                 if k + 1 < len(parts) and (parts[k], parts[k + 1]) == pair:
                     merged.append(parts[k] + parts[k + 1])
@@ -87,43 +113,59 @@ class Vocabulary:
                     merged.append(parts[k])
                     k += 1
             parts = merged
-        found = tuple(self.ids[p] for p in parts)
-        if len(self.fragments) >= self.remember:
-            self.fragments.clear()
-        self.fragments[symbols] = found
+        found = array("i", [self.ids[p] for p in parts]).tobytes()
+        self.fragments.put(symbols, found)
         return found
 
-    def word(self, word: str) -> Iterator[int]:
+    def word(self, word: str) -> bytes:
+        """Ids of one word, fragment by fragment."""
         symbols = [self.alphabet[b] for b in word.encode()]
         symbols[-1] += self.end
-        cuts = [0, *(k for k, pair in enumerate(zip(symbols, symbols[1:]), 1) if pair not in self.inside), len(symbols)]
-        for a, b in zip(cuts, cuts[1:]):
-            yield from self.fragment(tuple(symbols[a:b]))
+        inside, found, start = self.inside, [], 0
+        for k, pair in enumerate(zip(symbols, symbols[1:]), 1):
+            if pair not in inside:
+                found.append(self.fragment(tuple(symbols[start:k])))
+                start = k
+        found.append(self.fragment(tuple(symbols[start:])))
+        ids = b"".join(found)
+        if len(word) <= 64:
+            self.words.put(word, ids)
+        return ids
 
     def chunk(self, chunk: str) -> bytes:
-        """Ids (little-endian int32) of a run of characters without white space."""
-        found: list[int] = []
+        """Ids (int32) of a run of characters without white space."""
+        known = self.chunks.get(chunk)
+        if known is not None:
+            return known
+        found: list[bytes] = []
         for part in self.marked.split(chunk) if "<" in chunk else (chunk,):
             if part in self.special:
-                found.append(self.special[part])
+                found.append(array("i", [self.special[part]]).tobytes())
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part)
-                part = "".join(c.lower() for c in part)  # one by one: no final sigma
+                part = "".join([c.lower() for c in part])  # one by one: no final sigma
             else:
                 part = part.lower()
             for word in self.split.findall(part):
-                found.extend(self.word(word))
-        ids = np.array(found, "<i4").tobytes()
-        if len(self.words) >= self.remember:
-            self.words.clear()
+                found.append(self.words.get(word) or self.word(word))
+        ids = b"".join(found)
         if len(chunk) <= 64:
-            self.words[chunk] = ids
+            self.chunks.put(chunk, ids)
         return ids
 
     def encode(self, text: str) -> bytes:
-        known, chunk = self.words.get, self.chunk
-        return b"".join([known(c) or chunk(c) for c in self.chunks.findall(text)])
+        # str.split knows the same white space, and four separators more
+        odd = "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text
+        known, chunk = self.chunks.new.get, self.chunk
+        found = []
+        for c in self.unspaced.findall(text) if odd else text.split():
+            ids = known(c)
+            if ids is None:
+                ids = chunk(c)
+                known = self.chunks.new.get
+            found.append(ids)
+        return b"".join(found)
 
     def decode(self, ids: list[int]) -> str:
         """Without a decoder in the file, the library joins tokens by spaces."""
