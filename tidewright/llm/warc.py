@@ -9,7 +9,6 @@ its digests; it never holds more than one record.
 from __future__ import annotations
 
 import hashlib
-import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -21,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .common import cut_lineage, scratch, ship
 
 LINE = b"\r\n"
-NAMESPACE = uuid.uuid5(uuid.NAMESPACE_URL, "urn:warc:page")
 FILES = "archive string, records bigint, bytes bigint"
 RECORDS = ("page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, "
            "payload binary, archive string, place bigint")
@@ -47,7 +45,7 @@ def record(page_id: int | None, url: str | None, kind: str, refers_to: int | Non
     http = LINE.join([b"HTTP/1.1 200 OK", b"Content-Type: text/html; charset=utf-8", b"Content-Length: %d" % len(payload), b"", b""])
     block = http if kind == "revisit" else http + payload
     lines = ["WARC/1.1", f"WARC-Type: {kind}", f"WARC-Record-ID: {record_id(page_id)}", f"WARC-Date: {date}",
-             f"Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
+             "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
              f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", f"WARC-Payload-Digest: sha256:{digest}"]
     if url is not None:
         lines.insert(4, f"WARC-Target-URI: {header_safe(url)}")
@@ -234,7 +232,9 @@ def read_archives(archives: DataFrame, folder: str, with_payload: bool = True, b
                 if rows:
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
-    return archives.select("archive").repartition("archive").mapInArrow(read, RECORDS)
+    # a task per archive: their names are a few bytes, so sizes would put all into one
+    names = archives.select("archive")
+    return names.repartition(max(1, names.count()), "archive").mapInArrow(read, RECORDS)
 
 
 def archive_and_read(spark: SparkSession, pages: DataFrame, **options) -> DataFrame:
