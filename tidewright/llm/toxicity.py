@@ -250,7 +250,7 @@ def train(texts: list[bytes], labels: np.ndarray, shape: Shape = Shape(), rounds
     rng = np.random.default_rng(seed)
     ready = Prepared(texts, shape)
     at, mask, text = windows_of(ready.counts, shape)
-    at = ready.place[at]
+    at = ready.place.astype(np.int32)[at]
     bad = labels[text] > 0
     truth = bad.astype(np.float32)
     first_piece = np.cumsum(ready.piece_counts) - ready.piece_counts
@@ -263,7 +263,7 @@ def train(texts: list[bytes], labels: np.ndarray, shape: Shape = Shape(), rounds
             use = drawn
         else:
             projected = network.project(network.inputs(ready.words, ready.pieces, ready.piece_counts))
-            score = np.concatenate([network.run(projected, at[k:k + 4096], mask[k:k + 4096]) for k in range(0, len(at), 4096)])
+            score = np.concatenate([network.run(projected, at[k:k + 2048], mask[k:k + 2048]) for k in range(0, len(at), 2048)])
             worst = _places(text, -score)
             use = np.where(bad, (worst < 1) | ((worst < per_text) & (score >= 0.7)), drawn | (worst < 2))
         chosen = rng.permutation(np.flatnonzero(use))
@@ -333,7 +333,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-          rows: int = 4000, text_bytes_most: int = 8_000, shape: Shape = Shape(), **options) -> Network:
+          rows: int = 3000, text_bytes_most: int = 8_000, shape: Shape = Shape(), **options) -> Network:
     """A network trained on a bounded sample: at most `rows` labelled texts of at most
     `text_bytes_most` bytes, whole. No label, or no labelled text: an untrained network."""
     ship(docs)
