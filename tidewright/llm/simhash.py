@@ -251,9 +251,11 @@ def hex_bits(bits):
 
 
 # Near copies by similarity: the same fingerprints at a wide radius. No choice of parts
-# is short enough there, so fingerprints meet where small hashes of their shingles agree.
+# is short enough there, so fingerprints meet where small hashes of their shingles agree;
+# what they find is then checked on the shingles themselves.
 
-MEMBER = np.dtype([("key", "<u8"), ("bits", "<u8"), ("node", "<i8")])
+BINS = 128
+MEMBER = np.dtype([("key", "<u8"), ("node", "<i8"), ("bits", "<u8"), ("sketch", "u1", BINS)])
 LINK = np.dtype([("a", "<i8"), ("b", "<i8")])
 
 
@@ -271,12 +273,33 @@ def band_keys(hashes: np.ndarray, bands: int, rows: int, block: int = 1 << 14) -
     return found
 
 
-def spanning(bits: np.ndarray, radius: int, most: int = 1 << 16, at_once: int = 64) -> tuple[np.ndarray, np.ndarray]:
-    """Links (places) that join all fingerprints within the radius of each other into trees,
-    and the root of each tree. A fingerprint that is reached is compared no more, so a
-    dense group costs little more than its size. Beyond `most` fingerprints the roots so
-    far meet the next `most`."""
-    links, roots = [], np.zeros(0, np.int64)
+def sketch_of(grams: np.ndarray) -> np.ndarray:
+    """BINS bytes of a set of hashes in rising order: each bin's smallest hash, as a byte;
+    255 for an empty bin."""
+    found = np.full(BINS, 255, np.uint8)
+    bins, first = np.unique(grams & U(BINS - 1), return_index=True)
+    found[bins.astype(np.int64)] = mixed(grams[first]) % U(255)
+    return found
+
+
+def likeness(a: np.ndarray, b: np.ndarray, block: int = 1 << 15) -> np.ndarray:
+    """Estimated similarity of rows of sketches; two empty sets are alike."""
+    found = np.ones(len(a))
+    for k in range(0, len(a), block):
+        x, y = a[k:k + block], b[k:k + block]
+        either = ((x != 255) | (y != 255)).sum(1)
+        both = ((x == y) & (x != 255)).sum(1)
+        found[k:k + block] = np.where(either > 0, both / np.maximum(either, 1), 1.0)
+    return found
+
+
+def spanning(bits: np.ndarray, sketches: np.ndarray, radius: int, alike: float, most: int = 1 << 16,
+             at_once: int = 64) -> tuple[np.ndarray, np.ndarray]:
+    """Links (places) that join all members within the radius and of likeness `alike` into
+    trees, and the root of each tree. A member that is reached is compared no more, so a
+    dense group costs little more than its size. Beyond `most` members the roots so far
+    meet the next `most`."""
+    links, roots = [np.zeros((0, 2), np.int64)], np.zeros(0, np.int64)
     free = list(range(64))
     for start in range(0, len(bits), most):
         here = np.concatenate([roots, np.arange(start, min(start + most, len(bits)))])
@@ -285,115 +308,153 @@ def spanning(bits: np.ndarray, radius: int, most: int = 1 << 16, at_once: int =
         used[:len(here)] = 1
         left = np.packbits(used, bitorder="little").view("<u8")
         roots_here = []
+
+        def reach(lanes: np.ndarray) -> None:
+            np.bitwise_and.at(left, lanes >> 6, ~(U(1) << (lanes & 63).astype(U)))
+
         while True:
             words = np.flatnonzero(left)
             if not len(words):
                 break
             lane = int(words[0]) * 64 + (int(left[words[0]]) & -int(left[words[0]])).bit_length() - 1
             roots_here.append(lane)
-            left[lane >> 6] &= ~(U(1) << U(lane & 63))
-            queue = [lane]
-            while queue:
-                part, queue = np.array(queue[:at_once]), queue[at_once:]
+            queue = np.array([lane])
+            reach(queue)
+            while len(queue):
+                part, queue = queue[:at_once], queue[at_once:]
                 words = np.flatnonzero(left)
                 if not len(words):
                     break
                 q, word = np.repeat(part, len(words)), np.tile(words, len(part))
                 at, near = within(bits[here[q]], word, planes, radius, free)
-                for k, hit in zip(at[near & left[word[at]] != 0].tolist(), near[near & left[word[at]] != 0].tolist()):
-                    hit &= int(left[word[k]])
-                    left[word[k]] &= ~U(hit)
-                    while hit:
-                        lane = int(word[k]) * 64 + (hit & -hit).bit_length() - 1
-                        hit &= hit - 1
-                        links.append((int(here[q[k]]), int(here[lane])))
-                        queue.append(lane)
+                near &= left[word[at]]
+                hit = np.flatnonzero(near)
+                row, j = np.nonzero(np.unpackbits(near[hit].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+                x, y = q[at[hit[row]]], word[at[hit[row]]] * 64 + j
+                close = likeness(sketches[here[x]], sketches[here[y]]) >= alike
+                y, first = np.unique(y[close], return_index=True)
+                links.append(np.stack([here[x[close][first]], here[y]], 1))
+                reach(y)
+                queue = np.concatenate([queue, y])
         roots = here[np.array(roots_here, np.int64)]
-    return np.array(links, np.int64).reshape(-1, 2), roots
+    return np.concatenate(links), roots
 
 
 def _groups(members: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Members in order of their key, without repeats; where each key begins, and its size."""
-    members = np.unique(members)
-    new = np.flatnonzero(np.concatenate([[True], members["key"][1:] != members["key"][:-1]])) if len(members) else np.zeros(0, int)
+    members = members[np.lexsort((members["node"], members["key"]))]
+    if not len(members):
+        return members, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    new_key = np.concatenate([[True], members["key"][1:] != members["key"][:-1]])
+    members = members[new_key | np.concatenate([[True], members["node"][1:] != members["node"][:-1]])]
+    new = np.flatnonzero(np.concatenate([[True], members["key"][1:] != members["key"][:-1]]))
     return members, new, np.diff(np.append(new, len(members)))
 
 
-def _trees(members: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links of members (of one key) by node, and the members that are roots."""
-    pairs, roots = spanning(members["bits"], radius)
-    links = np.zeros(len(pairs), LINK)
-    x, y = members["node"][pairs[:, 0]], members["node"][pairs[:, 1]]
+def _ordered(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    links = np.zeros(len(x), LINK)
     links["a"], links["b"] = np.minimum(x, y), np.maximum(x, y)
-    return links, members[roots]
-
-
-def similar_links(nodes: DataFrame, radius: int, crowd: int = 64, bucket_rows: int = 50_000) -> DataFrame:
-    """(a, b): links between nodes whose fingerprints differ in at most `radius` bits, among
-    those that share a key, enough to connect them. `nodes` has node, bits and keys (an
-    array). A key with over `crowd` nodes in one batch is reduced to its trees' roots
-    before the shuffle, so a hot group adds a few rows per batch."""
+    return links
+
+
+def _thinned(members: np.ndarray, radius: int, crowd: int, alike: float) -> tuple[np.ndarray, np.ndarray]:
+    """Members by key, those of crowded keys reduced to the roots of their trees of almost
+    equal texts; and the trees' links."""
+    members, new, sizes = _groups(members)
+    stay, links = np.ones(len(members), bool), [np.zeros(0, LINK)]
+    for a, n in zip(new[sizes > crowd].tolist(), sizes[sizes > crowd].tolist()):
+        group = members[a:a + n]
+        pairs, roots = spanning(group["bits"], group["sketch"], radius, alike)
+        links.append(_ordered(group["node"][pairs[:, 0]], group["node"][pairs[:, 1]]))
+        stay[a:a + n] = False
+        stay[a + roots] = True
+    return members[stay], np.concatenate(links)
+
+
+def similar_links(nodes: DataFrame, radius: int, similarity: float, crowd: int = 64, bucket_rows: int = 20_000) -> DataFrame:
+    """(a, b, sure): pairs of nodes that share a key, differ in at most `radius` bits of the
+    fingerprint and whose sketches do not speak against the similarity; to be checked
+    unless `sure`. `nodes` has node, bits, keys (an array) and sketch.
+
+    In a key with over `crowd` nodes those of almost equal texts (sketches alike by half
+    of what the similarity leaves open, fingerprints within two thirds of the radius) are
+    linked as trees and only the trees' roots go on, first in each batch, before the
+    shuffle, then in the whole key. So a large group of copies costs about its size."""
     ship(nodes)
     total = nodes.select(F.sum(F.size("keys"))).first()[0] or 0
     buckets = 1 + total // bucket_rows
+    sure, loose, narrow = (1 + similarity) / 2, similarity - 0.15, radius * 2 // 3
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             keys = batch.column(2)
-            size = np.diff(keys.offsets.to_numpy())
-            members = np.zeros(int(size.sum()), MEMBER)
+            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+            members = np.zeros(len(of), MEMBER)
             members["key"] = keys.flatten().to_numpy().view(U)
-            members["node"] = np.repeat(batch.column(0).to_numpy(), size)
-            members["bits"] = np.repeat(batch.column(1).to_numpy().view(U), size)
-            members, new, sizes = _groups(members)
-            stay = np.ones(len(members), bool)
-            for a, n in zip(new[sizes > crowd].tolist(), sizes[sizes > crowd].tolist()):
-                links, roots = _trees(members[a:a + n], radius)
-                stay[a:a + n] = np.isin(members["node"][a:a + n], roots["node"])
-                yield from dealt(1, (mixed(links["a"].astype(U)) % U(buckets)).astype(np.int64), links)
-            members = members[stay]
+            members["node"] = batch.column(0).to_numpy()[of]
+            members["bits"] = batch.column(1).to_numpy().view(U)[of]
+            members["sketch"] = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BINS)[of]
+            members, links = _thinned(members, narrow, crowd, sure)
+            yield from dealt(1, (mixed(links["a"].astype(U)) % U(buckets)).astype(np.int64), links)
             yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
 
-    def told(links: np.ndarray) -> pa.RecordBatch:
-        return pa.record_batch([pa.array(links[c].copy()) for c in "ab"], names=["a", "b"])
+    def told(links: np.ndarray, certain: bool) -> pa.RecordBatch:
+        links = np.unique(links)
+        return pa.record_batch([*(pa.array(links[c].copy()) for c in "ab"), pa.array(np.full(len(links), certain))],
+                               names=["a", "b", "sure"])
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in gathered(batches):
             held = []
             for kind, blob in rows:
                 if kind == 1:
-                    yield told(np.frombuffer(blob, LINK))
+                    yield told(np.frombuffer(blob, LINK), True)
                 else:
                     held.append(blob)
-            members, new, sizes = _groups(np.frombuffer(b"".join(held), MEMBER))
-            for a, n in zip(new[sizes > crowd].tolist(), sizes[sizes > crowd].tolist()):
-                yield told(_trees(members[a:a + n], radius)[0])
-            small = members[np.repeat(sizes <= crowd, sizes)]
-            for pairs in links_of(small["bits"], small["key"], 0, radius, places=True):
-                found = np.zeros(len(pairs), LINK)
-                x, y = small["node"][pairs["a"].astype(np.int64)], small["node"][pairs["b"].astype(np.int64)]
-                found["a"], found["b"] = np.minimum(x, y), np.maximum(x, y)
-                yield told(np.unique(found))
-
-    keyed = nodes.select("node", "bits", "keys").mapInArrow(deal, PIECES)
-    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint")
+            members, links = _thinned(np.frombuffer(b"".join(held), MEMBER), narrow, crowd, sure)
+            yield told(links, True)
+            for pairs in links_of(members["bits"], members["key"], 0, radius, places=True):
+                x, y = pairs["a"].astype(np.int64), pairs["b"].astype(np.int64)
+                close = likeness(members["sketch"][x], members["sketch"][y]) >= loose
+                yield told(_ordered(members["node"][x[close]], members["node"][y[close]]), False)
 
+    keyed = nodes.select("node", "bits", "keys", "sketch").mapInArrow(deal, PIECES)
+    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint, sure boolean")
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, radius: int = 14,
-                     bands: int = 16, rows: int = 4, seed: int = 42, chunk_bytes: int = 4 << 20) -> DataFrame:
-    """`docs` without near copies: of each group, one row of the smallest id stays.
 
-    Near copies share four fifths of their shingles of `words` words (lower-case A-Z). At
-    that similarity fingerprints differ in about ten of 64 bits; `radius` holds 94 of 100
-    such pairs, and most of similarity 0.7. They meet by `bands` keys of `rows` small
-    hashes: a pair of similarity 0.8 shares one with chance 0.9998. Groups are what such
-    links connect.
+def checked_links(pairs: DataFrame, sets: DataFrame, similarity: float, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """The pairs (a, b) whose sets of hashes (`sets`: node, grams) have at least the similarity."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "grams_a", chunk_bytes):
+            keep = []
+            for x, y in zip(batch.column("grams_a").to_pylist(), batch.column("grams_b").to_pylist()):
+                x, y = np.frombuffer(x, "<u4"), np.frombuffer(y, "<u4")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(both >= similarity * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    one = sets.select(F.col("node").alias("a"), F.col("grams").alias("grams_a"))
+    two = sets.select(F.col("node").alias("b"), F.col("grams").alias("grams_b"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "grams_a", "grams_b").mapInArrow(run, "a bigint, b bigint")
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
+                     radius: int = 21, bands: int = 16, rows: int = 4, seed: int = 42, chunk_bytes: int = 4 << 20) -> DataFrame:
+    """`docs` without near copies: of each group, one row of the smallest id stays.
 
-    Texts are read once for the fingerprints, then only the kept rows move. Nulls: a null
-    text is like an empty one; a null id is above all others. Repeated rows: one stays.
-    Empty table: no rows. Extra columns are kept as they are.
+    Near copies share at least `similarity` of their shingles of `words` words (lower-case
+    A-Z; Jaccard of the sets). At 0.8, fingerprints differ in about ten of 64 bits and in
+    more than `radius` once in thousands; texts meet by `bands` keys of `rows` small hashes,
+    of which such a pair shares one with chance 0.9998. What is found is checked on the
+    whole sets, but for almost equal texts in crowded keys (`similar_links`). Groups are
+    what such links connect.
+
+    Texts are read once for fingerprints and sets, then only the kept rows move. Nulls: a
+    null text is like an empty one, and texts without words are alike; a null id is above
+    all others. Repeated rows: one stays. Empty table: no rows. Extra columns are kept as
+    they are.
     """
     ship(docs)
     id_key, text_key = fresh(docs, "__id"), fresh(docs, "__text")
@@ -402,20 +463,30 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", chunk_bytes):
-            bits, keys = [], []
+            bits, keys, sketches, sets = [], [], [], []
             for hashes in shingle_hashes(text_bytes(batch.column("text")), words, seed):
+                grams = np.unique(hashes)
                 bits.append(majority(hashes))
-                keys.append(band_keys(hashes, bands, rows))
+                keys.append(band_keys(grams, bands, rows))
+                sketches.append(sketch_of(grams).tobytes())
+                sets.append(np.unique((grams >> U(32)).astype("<u4")).tobytes())
             flat = np.concatenate(keys).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(keys) + 1) * bands, pa.int32()), pa.array(flat))
-            yield pa.record_batch([batch.column("id"), batch.column("node"), pa.array(np.array(bits, U).view(np.int64)), lists],
-                                  names=["id", "node", "bits", "keys"])
+            yield pa.record_batch([batch.column("id"), batch.column("node"), pa.array(np.array(bits, U).view(np.int64)), lists,
+                                   pa.array(sketches, pa.binary()), pa.array(sets, pa.binary())],
+                                  names=["id", "node", "bits", "keys", "sketch", "grams"])
 
     known = keyed.select(F.col(id_key).alias("id"), F.col(text_key).alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    known = cut_lineage(known.mapInArrow(run, "id bigint, node bigint, bits bigint, keys array<bigint>"))
-    nodes = cut_lineage(known.groupBy("node").agg(F.min("id").alias("id"), F.min("bits").alias("bits"), F.min("keys").alias("keys")))
-    roots = components(cut_lineage(similar_links(nodes, radius).distinct())).withColumnRenamed("node", "linked")
-    best = (nodes.join(roots, F.col("node") == F.col("linked"), "left")
+    known = cut_lineage(known.mapInArrow(run, "id bigint, node bigint, bits bigint, keys array<bigint>, sketch binary, grams binary"))
+    firsts = known.groupBy("node").agg(F.min("id").alias("id"))
+    nodes = cut_lineage(known.select("node", "id", "bits", "keys", "sketch").join(firsts, ["node", "id"]).dropDuplicates(["node"]))
+    found = cut_lineage(similar_links(nodes, radius, similarity).groupBy("a", "b").agg(F.max("sure").alias("sure")))
+    doubtful = found.filter("NOT sure").select("a", "b")
+    asked = doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id"), "node")
+    sets = cut_lineage(known.select("node", "id", "grams").join(asked, ["node", "id"]).dropDuplicates(["node"]))
+    links = found.filter("sure").select("a", "b").unionByName(checked_links(doubtful, sets, similarity))
+    roots = components(cut_lineage(links)).withColumnRenamed("node", "linked")
+    best = (nodes.select("node", "id").join(roots, F.col("node") == F.col("linked"), "left")
             .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("id", "node")).alias("best"))
             .select(F.col("best.id").alias("best_id"), F.col("best.node").alias("best_node")))
     best = best.toDF(fresh(keyed, "best_id"), fresh(keyed, "best_node"))
