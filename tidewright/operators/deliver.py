@@ -24,14 +24,24 @@ def manifest(df: DataFrame, by: Sequence[str], batch_id: str) -> DataFrame:
                       F.current_timestamp().alias("created_ts")))
 
 
-def undelivered(df: DataFrame, ledger: DataFrame, key: str, record_key: str = "record_key") -> DataFrame:
-    """Rows whose key the ledger does not hold."""
-    done = ledger.select(F.col(record_key).alias("__done"))
+def undelivered(df: DataFrame, ledger: DataFrame, key: str, record_key: str = "record_key",
+                digest: str | None = None) -> DataFrame:
+    """Rows whose key the ledger does not hold. With `digest`, a column both sides have,
+    also rows whose digest is not the one that was delivered last for their key."""
+    same = F.col(key).cast("string") == F.col("__done")
+    if digest is None:
+        done = ledger.select(F.col(record_key).alias("__done"))
+    else:
+        latest = F.max_by(digest, F.struct("delivered_ts", "batch_id")).alias("__digest")
+        done = ledger.groupBy(F.col(record_key).alias("__done")).agg(latest)
+        same = same & (F.col(digest) == F.col("__digest"))
     done = F.broadcast(done) if fits_broadcast(done) else done
-    return df.join(done, F.col(key).cast("string") == F.col("__done"), "left_anti")
+    return df.join(done, same, "left_anti")
 
 
-def record_delivery(df: DataFrame, ledger_path: str, key: str, batch_id: str | int) -> None:
+def record_delivery(df: DataFrame, ledger_path: str, key: str, batch_id: str | int,
+                    digest: str | None = None) -> None:
     """Enters a batch in the ledger; last step of a delivery, repeatable."""
+    told = [F.col(digest).alias("digest")] if digest else []
     deliver(df.select(F.col(key).cast("string").alias("record_key"),
-                      F.current_timestamp().alias("delivered_ts")), ledger_path, batch_id)
+                      F.current_timestamp().alias("delivered_ts"), *told), ledger_path, batch_id)

@@ -1,8 +1,9 @@
 """The stages put together: raw reports to one record per entity, then out.
 
-`run_batch` only builds plans; `store` and `publish` are the actions. The stage
-order is fixed: rules see no linked records, and XML is made from the stored
-final table alone, so publishing can be repeated without the earlier stages.
+`run_batch` returns lazy tables, though hot keys and lookups are counted by small
+jobs while it builds them; `store` and `publish` are the actions. The stage order is
+fixed: rules see no linked records, and XML is made from the stored final table
+alone, so publishing can be repeated without the earlier stages.
 """
 
 from __future__ import annotations
@@ -24,8 +25,8 @@ from ..operators.normalize import conform
 from ..operators.validate import Rule, apply_rules, split_quarantine
 from ..operators.xml import check_xml, to_xml_column
 from ..schemas import LEDGER
-from ..sources.readers import envelope
-from ..sources.sinks import write_final, write_split
+from ..sources.readers import content_id, envelope
+from ..sources.sinks import XML_TIMES, write_final, write_split
 
 CONTRACTS = os.path.join(os.path.dirname(__file__), "contracts")
 
@@ -101,9 +102,11 @@ def store(fused: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> No
 
 
 def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
-            contract: str = os.path.join(CONTRACTS, "entity.xsd"), row_tag: str = "entity") -> None:
-    """Delivers the stored records the ledger does not know yet: XML that keeps the
-    contract, elements that break it, and a manifest; the ledger last.
+            contract: str = os.path.join(CONTRACTS, "entity.xsd"), row_tag: str = "entity",
+            root_tag: str = "entities") -> None:
+    """Delivers the stored records that the ledger does not know, or knows with other
+    content: XML files below `documents`, the same elements one a row below `xml`,
+    elements that break the contract below `refused`, and a manifest; the ledger last.
 
     A run that dies before the ledger entry repeats the same batch; the same batch
     id replaces its folders. The elements are made and checked once, into
@@ -119,12 +122,14 @@ def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
         return known.filter(F.col("batch_id") != batch_id)
 
     stored = spark.read.parquet(final_path)
-    todo = undelivered(stored, ledger(), "entity_key")
-    elements = to_xml_column(todo, ENTITY.names, row_tag).select(F.col("entity_key"), "xml")
-    checked = check_xml(elements, "xml", ENTITY, contract, row_tag).select("entity_key", "xml", "error")
+    told = stored.withColumn("digest", content_id(ENTITY.names))
+    todo = undelivered(told, ledger(), "entity_key", digest="digest")
+    elements = to_xml_column(todo, ENTITY.names, row_tag).select("entity_key", "digest", "xml")
+    checked = check_xml(elements, "xml", ENTITY, contract, row_tag).select("entity_key", "digest", "xml", "doc", "error")
     valid, invalid = write_split(checked, f"{out}/_checked", F.col("error").isNull())
-    deliver(valid.drop("error"), f"{out}/xml", batch_id)
-    deliver(invalid, f"{out}/refused", batch_id)
+    deliver(valid.select("entity_key", "digest", "xml"), f"{out}/xml", batch_id)
+    deliver(valid.select("doc.*"), f"{out}/documents", batch_id, "xml", rootTag=root_tag, rowTag=row_tag, **XML_TIMES)
+    deliver(invalid.drop("doc", "digest"), f"{out}/refused", batch_id)
     sent = spark.read.parquet(f"{out}/xml/batch_id={batch_id}")
     deliver(manifest(sent, [], batch_id).drop("batch_id"), f"{out}/manifest", batch_id)
-    record_delivery(sent, f"{out}/ledger", "entity_key", batch_id)
+    record_delivery(sent, f"{out}/ledger", "entity_key", batch_id, digest="digest")

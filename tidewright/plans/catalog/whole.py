@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from ...operators.validate import Rule
 from ...session import scratch
-from ..batch import Plan, publish, run_batch, store
+from ...sources.sinks import XML_TIMES, read_deliveries
+from ..batch import ENTITY, Plan, publish, run_batch, store
 from ..stream import run_stream, stored_picture
 from .base import event_stream, events, feed, query, table
 
@@ -75,3 +76,21 @@ def published(spark, sf):
     sent = spark.read.option("basePath", f"{out}/xml").parquet(f"{out}/xml/batch_id=*")
     keys = sent.select(F.regexp_extract("xml", "<entity_key>([0-9]+)</entity_key>", 1).alias("record_key"), "batch_id")
     return keys.groupBy("record_key", "batch_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("publish_changed", f"""
+    WITH picture AS ({PICTURE})
+    SELECT entity_key, name, n_reports, 'b1' AS batch_id FROM picture
+    UNION ALL SELECT entity_key, name, n_reports + 1, 'b2' FROM picture WHERE entity_key % 3 = 0
+    UNION ALL SELECT entity_key, name, n_reports, 'b3' FROM picture WHERE entity_key % 3 = 0""")
+def published_changes(spark, sf):
+    """Published, then with a third of the records altered, then as at first: the later
+    batches hold exactly what differs from the batch before. Read back from the XML files."""
+    first, second, out = scratch(spark, "final"), scratch(spark, "final"), scratch(spark, "out")
+    store(entity_picture(spark, sf), first)
+    altered = F.when(F.col("entity_key") % 3 == 0, F.col("n_reports") + 1).otherwise(F.col("n_reports"))
+    store(spark.read.parquet(first).withColumn("n_reports", altered), second)
+    for path, batch in ((first, "b1"), (second, "b2"), (second, "b2"), (first, "b3")):
+        publish(spark, path, out, batch)
+    sent = read_deliveries(spark, f"{out}/documents", "xml", ENTITY, rowTag="entity", **XML_TIMES)
+    return sent.select("entity_key", "name", "n_reports", "batch_id")

@@ -66,6 +66,7 @@ LEDGER = T.StructType([
     T.StructField("record_key", T.StringType()),
     T.StructField("batch_id", T.StringType()),
     T.StructField("delivered_ts", T.TimestampType()),
+    T.StructField("digest", T.StringType()),
 ])
 
 # The driver-style `events` feed, as read from parquet or as JSON lines.
