@@ -4,4 +4,4 @@ Importing this package fills `QUERIES` and `SQL`.
 """
 
 from .base import QUERIES, SQL  # noqa: F401
-from . import ingest, decode, normalize, validate, correlate, enrich, fuse, final, xml, deliver, whole  # noqa: F401,E402
+from . import ingest, decode, normalize, validate, correlate, enrich, fuse, final, xml, deliver, whole, sentences  # noqa: F401,E402
