@@ -12,7 +12,7 @@ import corpus_pipeline
 from check import compare
 from llm_cases import SF, awkward, nothing  # noqa: F401
 from tidewright.llm.queries import QUERIES, SQL
-from tidewright.llm.simhash import keep_one_of_each
+from tidewright.llm.simhash import keep_one_of_each, similar_links
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -144,3 +144,36 @@ def test_stages_on_the_given_documents(spark):
     result = corpus_pipeline.run(spark, sf)
     assert result.columns == ["doc_id", "lang", "source", "n_tokens", "token_ids", "decoded_sha256"]
     assert 0 < result.count() < docs.count()
+
+
+def swapped(rng, words, at):
+    words = list(words)
+    for k in at:
+        words[k] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def test_links_that_only_a_member_of_a_crowd_has(spark):
+    """A crowd of almost equal texts; some others are like one of its members only, some
+    are a little less than alike to all. Beside all pairs tried, in two layouts."""
+    rng = random.Random(8)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    crowd = [swapped(rng, base, [40 * (k % 10) + 10, 40 * (k // 10 % 10) + 25]) for k in range(150)]
+    far = [swapped(rng, m, [40 * j + 2 for j in range(7)]) for m in rng.sample(crowd, 25)]
+    under = [swapped(rng, base, [44 * j + 8 for j in range(9)]) for _ in range(40)]
+    rows = list(enumerate(" ".join(t) for t in crowd + far + under))
+    want = left_by_brute_force(rows)
+    assert 10 < len(want) < 100
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for layout in (docs.coalesce(1), docs.repartition(7)):
+        assert {r.doc_id for r in keep_one_of_each(layout).collect()} == want
+
+
+def test_parts_of_a_large_key_meet(spark):
+    """A key cut into parts tells the same pairs as a whole one, none within a label."""
+    rng = random.Random(9)
+    rows = [(k, rng.getrandbits(3), [7, 100 + k % 3], bytes(128), k if k < 40 else -1) for k in range(100)]
+    nodes = spark.createDataFrame(rows, "node long, bits long, keys array<long>, sketch binary, label long")
+    want = {(a, b) for a in range(100) for b in range(a + 1, 100) if a < 40}
+    for block in (1000, 30):
+        assert {(r.a, r.b) for r in similar_links(nodes, 21, 0.8, block=block).collect()} == want

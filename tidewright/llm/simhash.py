@@ -128,9 +128,9 @@ def within(query: np.ndarray, word: np.ndarray, planes: np.ndarray, radius: int,
 
 
 def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block: int = 1 << 17,
-             places: bool = False) -> Iterator[np.ndarray]:
+             places: bool = False, silent: np.ndarray | None = None) -> Iterator[np.ndarray]:
     """Pairs (a < b) within the radius among fingerprints, sorted by key, of equal keys: the
-    fingerprints, or their places."""
+    fingerprints, or their places. `silent` ones meet only those before them in their key."""
     free = [b for b in range(64) if not mask >> b & 1]
     new = np.flatnonzero(np.diff(key, prepend=key[:1] ^ U(1)) != 0)
     sizes = np.diff(np.append(new, len(key)))
@@ -156,6 +156,8 @@ def links_of(values: np.ndarray, key: np.ndarray, mask: int, radius: int, block:
     # a fingerprint meets its own word and the later ones of its key
     own = lane >> 6
     to_go = first_word[of] + n_words[of] - own
+    if silent is not None:
+        to_go[silent[source]] = 0
     ends = np.cumsum(to_go)
     a = 0
     while a < len(member):
@@ -255,7 +257,7 @@ def hex_bits(bits):
 # what they find is then checked on the shingles themselves.
 
 BINS = 128
-MEMBER = np.dtype([("key", "<u8"), ("node", "<i8"), ("bits", "<u8"), ("sketch", "u1", BINS)])
+MEMBER = np.dtype([("key", "<u8"), ("node", "<i8"), ("bits", "<u8"), ("label", "<i8"), ("sketch", "u1", BINS)])
 LINK = np.dtype([("a", "<i8"), ("b", "<i8")])
 
 
@@ -371,57 +373,112 @@ def _thinned(members: np.ndarray, radius: int, crowd: int, alike: float) -> tupl
     return members[stay], np.concatenate(links)
 
 
-def similar_links(nodes: DataFrame, radius: int, similarity: float, crowd: int = 64, bucket_rows: int = 20_000) -> DataFrame:
-    """(a, b, sure): pairs of nodes that share a key, differ in at most `radius` bits of the
-    fingerprint and whose sketches do not speak against the similarity; to be checked
-    unless `sure`. `nodes` has node, bits, keys (an array) and sketch.
+def _members(batch: pa.RecordBatch) -> np.ndarray:
+    """A member for each key of each row (node, bits, keys, sketch, label)."""
+    keys = batch.column(2)
+    of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
+    members = np.zeros(len(of), MEMBER)
+    members["key"] = keys.flatten().to_numpy().view(U)
+    members["node"] = batch.column(0).to_numpy()[of]
+    members["bits"] = batch.column(1).to_numpy().view(U)[of]
+    members["sketch"] = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BINS)[of]
+    members["label"] = batch.column(4).to_numpy()[of]
+    return members
 
-    In a key with over `crowd` nodes those of almost equal texts (sketches alike by half
-    of what the similarity leaves open, fingerprints within two thirds of the radius) are
-    linked as trees and only the trees' roots go on, first in each batch, before the
-    shuffle, then in the whole key. So a large group of copies costs about its size."""
+
+def _told(links: np.ndarray) -> pa.RecordBatch:
+    links = np.unique(links)
+    return pa.record_batch([pa.array(links[c].copy()) for c in "ab"], names=["a", "b"])
+
+
+def crowd_links(nodes: DataFrame, radius: int, similarity: float, crowd: int = 64, bucket_rows: int = 20_000) -> DataFrame:
+    """(a, b): trees of nodes within the radius whose sketches are alike by a little more
+    than the similarity, in keys with over `crowd` of them; to be checked. They only save comparisons: `similar_links` tells what they miss.
+    Found first in each batch, before the shuffle, then among the roots in the whole key."""
     ship(nodes)
     total = nodes.select(F.sum(F.size("keys"))).first()[0] or 0
     buckets = 1 + total // bucket_rows
-    sure, loose, narrow = (1 + similarity) / 2, similarity - 0.15, radius * 2 // 3
+    alike = (1 + 3 * similarity) / 4
 
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = batch.column(2)
-            of = np.repeat(np.arange(batch.num_rows), np.diff(keys.offsets.to_numpy()))
-            members = np.zeros(len(of), MEMBER)
-            members["key"] = keys.flatten().to_numpy().view(U)
-            members["node"] = batch.column(0).to_numpy()[of]
-            members["bits"] = batch.column(1).to_numpy().view(U)[of]
-            members["sketch"] = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, BINS)[of]
-            members, links = _thinned(members, narrow, crowd, sure)
-            yield from dealt(1, (mixed(links["a"].astype(U)) % U(buckets)).astype(np.int64), links)
-            yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
-
-    def told(links: np.ndarray, certain: bool) -> pa.RecordBatch:
-        links = np.unique(links)
-        return pa.record_batch([*(pa.array(links[c].copy()) for c in "ab"), pa.array(np.full(len(links), certain))],
-                               names=["a", "b", "sure"])
+            if batch.num_rows:
+                members, links = _thinned(_members(batch), radius, crowd, alike)
+                yield from dealt(1, (mixed(links["a"].astype(U)) % U(buckets)).astype(np.int64), links)
+                yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
 
-    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, rows in gathered(batches):
             held = []
             for kind, blob in rows:
                 if kind == 1:
-                    yield told(np.frombuffer(blob, LINK), True)
+                    yield _told(np.frombuffer(blob, LINK))
                 else:
                     held.append(blob)
-            members, links = _thinned(np.frombuffer(b"".join(held), MEMBER), narrow, crowd, sure)
-            yield told(links, True)
-            for pairs in links_of(members["bits"], members["key"], 0, radius, places=True):
+            yield _told(_thinned(np.frombuffer(b"".join(held), MEMBER), radius, crowd, alike)[1])
+
+    keyed = nodes.select("node", "bits", "keys", "sketch", F.col("node").alias("label")).mapInArrow(deal, PIECES)
+    return by_bucket(keyed).mapInArrow(join, "a bigint, b bigint").distinct()
+
+
+def similar_links(nodes: DataFrame, radius: int, similarity: float, block: int = 20_000, bucket_rows: int = 20_000) -> DataFrame:
+    """(a, b): all pairs of nodes of different labels that share a key, differ in at most
+    `radius` bits of the fingerprint and whose sketches do not speak against the similarity;
+    to be checked. `nodes` has node, bits, keys (an array), sketch and label: nodes of one
+    label are linked already.
+
+    A key of one label has no such pair. Another key with over `block` nodes is cut into
+    parts by the node, and each two parts meet in a bucket of their own."""
+    ship(nodes)
+    keys = nodes.select(F.explode("keys").alias("key"), "label").groupBy("key").agg(
+        F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high"))
+    total = nodes.select(F.sum(F.size("keys"))).first()[0] or 0
+    buckets = 1 + total // bucket_rows
+    large = {r.key % (1 << 64): 0 if r.low == r.high else -(-r.n // block) for r in keys.filter(F.col("n") > block).collect()}
+    large_keys = np.array(sorted(large), U)
+    loose = similarity - 0.15
+
+    def cut(members: np.ndarray) -> np.ndarray:
+        hot = np.isin(members["key"], large_keys)
+        found = [members[~hot]]
+        for key in np.unique(members["key"][hot]):
+            parts, group = large[int(key)], members[members["key"] == key]
+            own = mixed(group["node"].astype(U)) % U(max(parts, 1))
+            for i, j in combinations(range(parts), 2):
+                copy = group[(own == i) | (own == j)]
+                copy["key"] = mixed(np.array([int(key)], U) ^ mixed(np.array([i * parts + j + 1], U)))[0]
+                found.append(copy)
+        return np.concatenate(found)
+
+    def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                members = cut(_members(batch)) if large else _members(batch)
+                yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
+
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in gathered(batches):
+            members, new, sizes = _groups(np.frombuffer(b"".join(blob for _, blob in rows), MEMBER))
+            # the largest label of each key comes last and does not ask itself
+            of = np.repeat(np.arange(len(new)), sizes)
+            order = np.lexsort((members["label"], of))
+            changed = np.diff(members["label"][order], prepend=0) != 0
+            changed[new] = True
+            run = np.cumsum(changed) - 1
+            length = np.bincount(run, minlength=1)[run] if len(run) else run
+            order = order[np.lexsort((run, length, of))]
+            members = members[order]
+            last = np.repeat(members["label"][new + sizes - 1], sizes)
+            silent = members["label"] == last
+            for pairs in links_of(members["bits"], members["key"], 0, radius, places=True, silent=silent):
                 x, y = pairs["a"].astype(np.int64), pairs["b"].astype(np.int64)
+                apart = members["label"][x] != members["label"][y]
+                x, y = x[apart], y[apart]
                 close = likeness(members["sketch"][x], members["sketch"][y]) >= loose
-                yield told(_ordered(members["node"][x[close]], members["node"][y[close]]), False)
+                yield _told(_ordered(members["node"][x[close]], members["node"][y[close]]))
 
-    keyed = nodes.select("node", "bits", "keys", "sketch").mapInArrow(deal, PIECES)
-    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint, sure boolean")
+    keyed = nodes.select("node", "bits", "keys", "sketch", "label").mapInArrow(deal, PIECES)
+    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint").distinct()
 
 
 def checked_links(pairs: DataFrame, sets: DataFrame, similarity: float, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -447,9 +504,9 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Near copies share at least `similarity` of their shingles of `words` words (lower-case
     A-Z; Jaccard of the sets). At 0.8, fingerprints differ in about ten of 64 bits and in
     more than `radius` once in thousands; texts meet by `bands` keys of `rows` small hashes,
-    of which such a pair shares one with chance 0.9998. What is found is checked on the
-    whole sets, but for almost equal texts in crowded keys (`similar_links`). Groups are
-    what such links connect.
+    of which such a pair shares one with chance 0.9998. Every link is checked on the whole
+    sets. In crowded keys checked trees come first, then only pairs that these do not
+    connect are compared, so groups are those of all links, whatever the crowd or layout.
 
     Texts are read once for fingerprints and sets, then only the kept rows move. Nulls: a
     null text is like an empty one, and texts without words are alike; a null id is above
@@ -480,11 +537,17 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     known = cut_lineage(known.mapInArrow(run, "id bigint, node bigint, bits bigint, keys array<bigint>, sketch binary, grams binary"))
     firsts = known.groupBy("node").agg(F.min("id").alias("id"))
     nodes = cut_lineage(known.select("node", "id", "bits", "keys", "sketch").join(firsts, ["node", "id"]).dropDuplicates(["node"]))
-    found = cut_lineage(similar_links(nodes, radius, similarity).groupBy("a", "b").agg(F.max("sure").alias("sure")))
-    doubtful = found.filter("NOT sure").select("a", "b")
-    asked = doubtful.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id"), "node")
-    sets = cut_lineage(known.select("node", "id", "grams").join(asked, ["node", "id"]).dropDuplicates(["node"]))
-    links = found.filter("sure").select("a", "b").unionByName(checked_links(doubtful, sets, similarity))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id"), "node")
+        sets = cut_lineage(known.select("node", "id", "grams").join(asked, ["node", "id"]).dropDuplicates(["node"]))
+        return cut_lineage(checked_links(pairs, sets, similarity))
+
+    trees = checked(cut_lineage(crowd_links(nodes, radius, similarity)))
+    labels = components(trees).withColumnRenamed("node", "linked")
+    labelled = cut_lineage(nodes.join(labels, F.col("node") == F.col("linked"), "left").select(
+        "node", "bits", "keys", "sketch", F.coalesce("root", "node").alias("label")))
+    links = trees.unionByName(checked(cut_lineage(similar_links(labelled, radius, similarity))))
     roots = components(cut_lineage(links)).withColumnRenamed("node", "linked")
     best = (nodes.select("node", "id").join(roots, F.col("node") == F.col("linked"), "left")
             .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("id", "node")).alias("best"))
