@@ -177,3 +177,15 @@ def test_parts_of_a_large_key_meet(spark):
     want = {(a, b) for a in range(100) for b in range(a + 1, 100) if a < 40}
     for block in (1000, 30):
         assert {(r.a, r.b) for r in similar_links(nodes, 21, 0.8, block=block).collect()} == want
+
+
+def test_a_repeated_line_hides_no_copy(spark):
+    """Similarity is of sets: a line that stands 20 times counts once."""
+    rng, rows = random.Random(10), []
+    for k in range(30):
+        words = [f"w{rng.randrange(10**6)}" for _ in range(500)]
+        line = [f"l{rng.randrange(10**6)}" for _ in range(10)]
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + line * 20))]
+    assert left_by_brute_force(rows) == set(range(0, 60, 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert {r.doc_id for r in keep_one_of_each(docs).collect()} == set(range(0, 60, 2))

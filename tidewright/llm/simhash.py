@@ -502,8 +502,8 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """`docs` without near copies: of each group, one row of the smallest id stays.
 
     Near copies share at least `similarity` of their shingles of `words` words (lower-case
-    A-Z; Jaccard of the sets). At 0.8, fingerprints differ in about ten of 64 bits and in
-    more than `radius` once in thousands; texts meet by `bands` keys of `rows` small hashes,
+    A-Z; Jaccard of the sets). Fingerprints are of the sets too: at 0.8 they differ in about
+    ten of 64 bits and in more than `radius` once in thousands; texts meet by `bands` keys of `rows` small hashes,
     of which such a pair shares one with chance 0.9998. Every link is checked on the whole
     sets. In crowded keys checked trees come first, then only pairs that these do not
     connect are compared, so groups are those of all links, whatever the crowd or layout.
@@ -523,7 +523,7 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             bits, keys, sketches, sets = [], [], [], []
             for hashes in shingle_hashes(text_bytes(batch.column("text")), words, seed):
                 grams = np.unique(hashes)
-                bits.append(majority(hashes))
+                bits.append(majority(grams))
                 keys.append(band_keys(grams, bands, rows))
                 sketches.append(sketch_of(grams).tobytes())
                 sets.append(np.unique((grams >> U(32)).astype("<u4")).tobytes())
