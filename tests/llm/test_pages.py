@@ -116,3 +116,20 @@ def test_table_of_pages(spark):
         blocks = [re.sub(r"\s+", " ", html.unescape(re.sub(r"<[^>]+>", " ", b))).strip() for b in re.split(r"</?(?:p|h1)>", article)]
         assert texts[r.page_id] == "\n".join(b for b in blocks if b)
     assert extract(pages.limit(0)).count() == 0
+
+
+LONG = "Prose, with commas, and enough of it, to be a paragraph of an article, whatever it says."
+
+
+def test_parts_of_an_article_in_several_containers():
+    parts = (f"<section>{f'<p>{LONG}</p>' * 20}</section>bare words<section><p>Two, short.</p><p>ones</p></section>"
+             "<h5>Small head</h5><blockquote>Quoted</blockquote><ul><li>one</ul><pre>x = 1</pre><table><tr><td>cell</table>")
+    want = [LONG] * 20 + ["bare words", "Two, short.", "ones", "Small head", "Quoted", "one", "x = 1", "cell"]
+    links = "".join(f"<li><a href=/{k}>Read, this, too, number {k}</a>" for k in range(9))
+    for open_, close in (("<article>", "</article>"), ("<main><div>", "</div></main>"), ("<div>", "</div>")):
+        assert main_text(f"<body><div><ul>{links}</ul></div>{open_}{parts}{close}</body>").split("\n") == want
+
+
+def test_articles_beside_each_other():
+    page = "".join(f"<article><h2>{k}</h2>{f'<p>{LONG}</p>' * k}</article>" for k in (1, 9, 2))
+    assert main_text(f"<body><div>{page}</div></body>").split("\n") == ["1", LONG, "9", *[LONG] * 9, "2", LONG, LONG]

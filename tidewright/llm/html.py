@@ -2,8 +2,9 @@
 
 A page becomes a tree of blocks. Each paragraph earns points for its length and its
 commas, passed to its ancestors with falling weight; a container's points are
-discounted by the share of its text inside links. The best container is kept, with
-those of its siblings that score like it or read like prose. Menus, headers, footers,
+discounted by the share of its text inside links. An article or main element around
+the best container is kept whole; without one, the container that all prose has in
+common, with its siblings, but for those that are mostly links. Menus, headers, footers,
 sidebars, notices, adverts, forms, comments of readers and code are dropped on the way,
 by element or by name.
 """
@@ -217,10 +218,12 @@ def main_text(page: str) -> str:
             node.score = BONUS.get(node.tag, 0.0) + (5.0 if KEPT.search(f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}") else 0.0)
         node.score += value
 
-    texts = list(blocks(root))
-    for text, owner in texts:
+    prose: list[tuple[float, Node]] = []
+    for text, owner in blocks(root):
         value = points(text) * (1 - link_share(owner))
         inner = owner if owner.tag in ("div", "section", "article", "main", "body", "td", "blockquote", "#root") else owner.parent
+        if link_share(owner) < 0.5:
+            prose.append((points(text), inner))
         for level, a in enumerate(ancestors(inner)):
             if a.tag == "html" or level > 4:
                 break
@@ -233,29 +236,37 @@ def main_text(page: str) -> str:
 
     place = {id(node): k for k, node in enumerate(order)}
     best = max(scored.values(), key=lambda node: (worth(node), -place.get(id(node), 0)))
-    least = max(10.0, 0.2 * worth(best))
-    keep = [best]
-    if best.parent is not None and best.tag not in ("article", "main", "body", "#root"):
-        keep = [s for s in best.parent.children if isinstance(s, Node) and not s.dropped and (s is best or _belongs(s, best, least, worth, scored))]
+    whole = [a for a in ancestors(best) if a.tag in ("article", "main") and link_share(a) < 0.5]
+    if whole:
+        top = whole[-1]
+        keep = [top]
+        if top.tag == "article":
+            keep = [s for s in top.parent.children
+                    if isinstance(s, Node) and (s is top or s.tag == "article" and not s.dropped and link_share(s) < 0.5)]
+    else:
+        top = shared([inner for value, inner in prose if value >= 2] or [inner for _, inner in prose] or [best])
+        if top.tag not in ("article", "main", "body", "html", "#root"):
+            top = top.parent
+        for s in top.children:
+            if isinstance(s, Node) and s.tag in BLOCK and link_share(s) >= 0.5:
+                s.dropped = True
+        keep = [top]
     lines = []
     for node in keep:
         lines += [text for text, _ in blocks(node)]
     return "\n".join(lines)
 
 
-def _belongs(node: Node, best: Node, least: float, worth, scored: dict[int, Node]) -> bool:
-    """Whether a sibling of the best container is part of the article."""
-    if node.tag in RAW or node.tag == "br":
-        return False
-    extra = 0.2 * worth(best) if node.attrs.get("class") and node.attrs.get("class") == best.attrs.get("class") else 0.0
-    if id(node) in scored and worth(node) + extra >= least:
-        return True
-    if node.tag in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "blockquote", "pre", "ul", "ol", "table", "figure", "dl", "header", "hgroup"):
-        share = link_share(node)
-        if node.tag in ("h1", "h2", "h3", "header", "hgroup"):
-            return share < 0.5 and node.chars > 0
-        return (node.chars > 80 and share < 0.25) or (0 < node.chars <= 80 and share == 0 and node.tag == "p")
-    return False
+def shared(nodes: list[Node]) -> Node:
+    """The lowest element that holds all of them."""
+    found = nodes[0]
+    for node in nodes[1:]:
+        while found is not node:
+            if found.depth >= node.depth:
+                found = found.parent
+            else:
+                node = node.parent
+    return found
 
 
 def extract(pages: DataFrame, html_col: str = "html", text_col: str = "text", chars_col: str = "n_chars",
