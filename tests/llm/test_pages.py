@@ -133,3 +133,24 @@ def test_parts_of_an_article_in_several_containers():
 def test_articles_beside_each_other():
     page = "".join(f"<article><h2>{k}</h2>{f'<p>{LONG}</p>' * k}</article>" for k in (1, 9, 2))
     assert main_text(f"<body><div>{page}</div></body>").split("\n") == ["1", LONG, "9", *[LONG] * 9, "2", LONG, LONG]
+
+
+@pytest.mark.parametrize("names", ["content-area has-sidebar", "layout no-sidebar", "elementor-widget elementor-widget-text-editor",
+                                   "sidebar", "with-nav page", "widget"])
+def test_names_around_an_article(names):
+    text = f"<article>{f'<p>{LONG}</p>' * 3}</article>"
+    for inner in (text, text.replace("article>", "div>")):
+        page = f"<body><div class='{names}'>{inner}</div><div class='cookie-notice'><p>We, use, cookies</p></div></body>"
+        assert main_text(page) == "\n".join([LONG] * 3)
+
+
+def test_names_within_an_article():
+    page = (f"<article><p>{LONG}</p><section class='related-work'><p>Others, too</p></section><section class=legal><p>The law</p></section>"
+            "<div class='related-posts'>Read on</div><div class='social-share'>Tell</div><div id=comments><p>No, never</p></div></article>")
+    assert main_text(page).split("\n") == [LONG, "Others, too", "The law"]
+
+
+def test_many_comments_are_not_the_article():
+    said = f"<li><article class='comment-body'><p>{LONG} No.</p></article></li>" * 20
+    page = f"<body><article><p>{LONG}</p></article><div class='comments-area'><ol>{said}</ol></div></body>"
+    assert main_text(page) == LONG

@@ -14,6 +14,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,11 +37,18 @@ DEEPEST = 500
 # Elements that never hold the article's text
 DROPPED = frozenset("head script style noscript template iframe svg math object embed canvas audio video map nav footer aside "
                     "form button select option input textarea label fieldset legend dialog menu".split())
-NAMED = re.compile(
-    r"(^|[\s_-])(ads?|advert\w*|banner|sponsor\w*|promo\w*|popup|modal|overlay|cookies?|consent|gdpr|notices?|alerts?|newsletter|"
-    r"subscribe|subscription|signup|login|share|sharing|social|related|recommend\w*|sidebar|side-bar|aside|widget\w*|menu\w*|nav\w*|"
-    r"breadcrumbs?|pagination|pager|footer|foot|masthead|site-header|page-header|topbar|toolbar|comments?|comment-\w+|disqus|replies|"
-    r"respond|tags|tagcloud|copyright|legal|disclaimer|print-only|hidden|sr-only|visually-hidden)($|[\s_-])", re.I)
+# Names of what is not the article: in a class or id all parts must be such names or say
+# only where or how; WEAK ones do not count within an article
+NAMED = frozenset("ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion "
+                  "popup modal overlay cookie cookies consent gdpr newsletter subscribe subscription signup share sharing social related "
+                  "recommend recommended recommendations sidebar aside menu menus nav navi navbar navigation breadcrumb breadcrumbs "
+                  "pagination pager footer masthead topbar toolbar comment comments disqus replies respond tagcloud hidden".split())
+WEAK = frozenset("banner notice notices alert alerts login widget widgets foot tags copyright legal disclaimer".split())
+NAMED_WHOLE = frozenset("side-bar site-header page-header print-only sr-only visually-hidden visuallyhidden screen-reader-text".split())
+AROUND = frozenset("site page main top bottom left right primary secondary sub global mobile desktop list box bar area container wrapper wrap "
+                   "inner outer block links link posts post articles stories icons icon buttons button section form content items item "
+                   "header head title body text unit slot policy message us more media js".split())
+PART_OF_NAME = re.compile(r"[-_]+")
 KEPT = re.compile(r"(^|[\s_-])(article|content|entry|post|story|main|body|text)($|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split())
 TOKEN = re.compile(
@@ -63,17 +71,68 @@ class Node:
 
 
 def unwanted(tag: str, attrs: dict[str, str], parent: Node) -> bool:
-    """Whether an element is not part of the article, by what it is or by its names."""
+    """Whether an element is not part of the article, by what it is."""
     if tag in DROPPED or attrs.get("role", "").lower() in ROLES or "hidden" in attrs:
         return True
     if attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
     if tag == "header" and not any(a.tag in ("article", "main") for a in ancestors(parent)):
         return True
-    if tag in ("html", "body", "article", "main"):
+    return False
+
+
+def named(node: Node) -> bool:
+    """Whether one of an element's names says that it is not part of the article."""
+    if node.tag in ("html", "body", "article", "main"):
+        return False
+    names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
+    if not names:
+        return False
+    inside = any(a.tag in ("article", "main") for a in ancestors(node.parent))
+    return any(said(name, inside) for name in names)
+
+
+@lru_cache(1 << 14)
+def said(name: str, inside: bool) -> bool:
+    """Whether a name stands for something else than the article."""
+    if name in NAMED_WHOLE:
+        return True
+    parts = [part.rstrip("0123456789") for part in PART_OF_NAME.split(name)]
+    parts = [part for part in parts if part]
+    chrome = [part in NAMED or (part in WEAK and not inside) for part in parts]
+    return any(chrome) and all(c or part in AROUND for c, part in zip(chrome, parts))
+
+
+def drop_named(order: list[Node]) -> bool:
+    """Drops elements by name, the outer ones first, but none that holds the article: a
+    main element, a quarter of the text in article elements, or half of all text."""
+    def of_comment(node: Node) -> bool:
+        return any(part.startswith("comment") for name in f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
+                   for part in PART_OF_NAME.split(name))
+
+    wanted = [node for node in order if named(node)]
+    if not wanted:
         return False
-    names = f"{attrs.get('class', '')} {attrs.get('id', '')}".strip()
-    return bool(names) and bool(NAMED.search(names)) and not (tag in BLOCK and KEPT.fullmatch(names))
+    words = {id(node): 0 for node in order}
+    main = set()
+    for node in reversed(order):
+        held = sum(words.get(id(c), 0) for c in node.children if isinstance(c, Node))
+        words[id(node)] = node.chars - node.link_chars if node.tag in ("article", "main") and not of_comment(node) else held
+        if node.tag == "main" or any(id(c) in main for c in node.children if isinstance(c, Node)):
+            main.add(id(node))
+    top = order[0]
+    found = False
+    for node in wanted:
+        if id(node) in main:
+            continue
+        if words[id(top)]:
+            holds = 4 * words[id(node)] >= words[id(top)]
+        else:
+            holds = 2 * (node.chars - node.link_chars) > top.chars - top.link_chars
+        if not holds:
+            node.dropped = found = True
+            node.chars = node.link_chars = 0
+    return found
 
 
 def ancestors(node: Node | None) -> Iterator[Node]:
@@ -210,6 +269,8 @@ def main_text(page: str) -> str:
     """The article's blocks, one line each; empty if the page has none."""
     root = parse(page)
     order = count(root)
+    if drop_named(order):
+        order = count(root)
     scored: dict[int, Node] = {}
 
     def give(node: Node, value: float) -> None:
