@@ -188,6 +188,23 @@ def test_every_word_is_in_a_window():
         assert seen == set(range(first, first + n)) and (text == t).any()
 
 
+def test_long_words_are_read_to_their_end():
+    """Every stretch of 20 bytes stands whole in one of the words; the score sees the end."""
+    for text in ("x" * 40, "x" * 41, "".join(chr(97 + k * 7 % 26) for k in range(1001)), "\u6c49" * 14 + "\u5b57\u6bcd" * 300, "a" + "\U0001f600" * 99):
+        raw = text.encode()
+        data, starts, ends, counts = toxicity.words_in([b"one", raw, b"two"])
+        words = [bytes(data[a:b]) for a, b in zip(starts, ends)]
+        assert counts.tolist() == [1, len(words) - 2, 1] and words[0] == b"one" and words[-1] == b"two"
+        assert all(w.decode() and len(w) <= 43 for w in words)
+        step = len(text[-1].encode())
+        assert all(any(raw[k:k + 20 - step] in w for w in words) for k in range(len(raw)))
+        assert words[1:-1] == [raw] if len(raw) <= 40 else words[-2] == raw[-len(words[-2]):]
+    net = toxicity.Network.fresh(toxicity.Shape(), 1)
+    one, other = toxicity.score_texts(net, [("\u6c49" * 60 + end).encode() for end in ("\u5b57\u6bcd", "\u6bd2\u6027")])
+    same = toxicity.piece_table(*toxicity.words_in([b"q" * 60 + b"slur"])[:3], net.shape)[0]
+    assert one != other and set(toxicity.piece_table(*toxicity.words_in([b"slur"])[:3], net.shape)[0]) & set(same)
+
+
 def test_held_out_accuracy(spark):
     sf = SF.replace("0.001", "0.1")
     labels = spark.read.parquet(f"{sf}/labels.parquet")

@@ -21,6 +21,7 @@ from .common import U, joined, mixed, ship, slices, text_bytes, with_fields, wit
 # Bytes that are part of a word here: letters and digits, and any character beyond ASCII
 PART = np.zeros(256, bool)
 PART[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
+LONGEST = 40
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -37,20 +38,39 @@ class Shape:
 
 
 def words_in(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-case bytes of all texts, begin and end of each word, words of each text."""
+    """Lower-case bytes of all texts, begin and end of each word, words of each text. A word
+    over LONGEST bytes, as in scripts without spaces, is cut into words that overlap by half."""
     texts = [t.lower() if t.isascii() else t.decode("utf-8", "replace").lower().encode() for t in texts]
     data, begins, _ = joined(texts)
     inside = np.zeros(len(data) + 2, np.int8)
     inside[1:-1] = PART[data]
     step = np.diff(inside)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    starts, ends = _cut_long(data, starts, ends)
     return data, starts, ends, np.diff(np.append(np.searchsorted(starts, begins), len(starts)))
 
 
+def _cut_long(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Words of at most LONGEST bytes, and a few more where a character would be cut."""
+    stride = LONGEST // 2
+    number = np.maximum(0, -(-(ends - starts - LONGEST) // stride)) + 1
+    of = np.repeat(np.arange(len(starts)), number)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(number) - number, number)
+    begin = starts[of] + k * stride
+    end = np.minimum(begin + LONGEST, ends[of])
+
+    def whole(at: np.ndarray) -> np.ndarray:
+        for _ in range(3):
+            at = at - (data[np.minimum(at, len(data) - 1)] & 0xC0 == 0x80)
+        return at
+
+    return whole(begin), whole(end)
+
+
 def piece_table(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """Numbers of the character pieces of each word, in turn, and how many each has. Pieces
-    know where a word begins and ends; a word is read to its 40th byte."""
-    size = np.minimum(ends - starts, 40)
+    know where a word begins and ends."""
+    size = ends - starts
     total = int((size + 2).sum())
     begins = np.cumsum(size + 2) - (size + 2)
     line = np.full(total + max(shape.sizes), 1, np.uint64)
