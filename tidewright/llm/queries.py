@@ -13,6 +13,7 @@ from .decontam import contaminated
 from .fmindex import remove_repeated_words, words_joined
 from .common import cut_lineage
 from .html import extract
+from .periodic import find_runs
 from .simhash import hex_bits, near_duplicates
 from .suffix import remove_repeated_bytes
 from .warc import archive_and_read
@@ -94,6 +95,32 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_chat(format_chat(turns))
 
 
+def planted_period(doc_id: str = "doc_id", text: str = "text"):
+    """Every tenth text by checksum of its id goes on repeating its own words from some
+    place on; all others, and those without words, stay as they are."""
+    words = f"regexp_extract_all({text}, '[^\\\\x20\\\\x09-\\\\x0D]+', 0)"
+    return F.expr(f"""
+        case when crc32(cast({doc_id} as string)) % 10 = 0 and size({words}) > 0 then
+          array_join(transform(array(named_struct('w', {words}, 'g', crc32(cast({doc_id} as string)) div 10)), t ->
+            array_join(transform(array(named_struct('a', t.g % size(t.w),
+                                                    'p', 1 + (size(t.w) - t.g % size(t.w)) div (3 + t.g % 8))), s ->
+              array_join(transform(sequence(0, size(t.w) - 1), i ->
+                get(t.w, cast(if(i < s.a, i, s.a + (i - s.a) % s.p) as int))), ' ')), '')), '')
+        else {text} end""")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", planted_period().alias("text"))
+    best = F.expr("array_max(transform(runs, r -> struct(r.length as length, -r.start as start, -r.period as period)))")
+    return find_runs(docs).withColumn("best", best).select(
+        "doc_id", F.expr("cast(size(runs) as bigint)").alias("n_runs"), F.expr("-best.start").alias("start"),
+        F.col("best.length").alias("length"), F.expr("-best.period").alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.expr(r"sha2(array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\n')), ''), 256)")
+        .alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -105,6 +132,7 @@ QUERIES = {
     "op8_bpe_encoding": op8_bpe_encoding,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 SQL = {
