@@ -14,6 +14,7 @@ from .fmindex import remove_repeated_words, words_joined
 from .common import cut_lineage
 from .html import extract
 from .periodic import find_runs
+from .pii import find_personal_data, listed
 from .simhash import hex_bits, near_duplicates
 from .suffix import remove_repeated_bytes
 from .warc import archive_and_read
@@ -121,6 +122,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("collapsed", 256).alias("collapsed_sha256"))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select(
+        "doc_id", *(F.expr(f"cast(size(filter(spans, s -> s.base and s.kind = '{kind}')) as bigint) as n_{kind}")
+                    for kind in ("email", "ip", "card", "phone")),
+        F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -133,6 +143,7 @@ QUERIES = {
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_pii": op12_pii,
 }
 
 SQL = {
