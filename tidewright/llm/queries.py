@@ -7,6 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import quality, toxicity
+from .balltree import rank_documents
 from .bpe import encode_decode
 from .chat import digest_chat, format_chat
 from .decontam import contaminated
@@ -131,6 +132,10 @@ def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_warc": op2_warc,
@@ -144,9 +149,36 @@ QUERIES = {
     "op10_chat_formatting": op10_chat_formatting,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_pii": op12_pii,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 SQL = {
+    "op13_ranked_search": r"""
+WITH q AS (
+  SELECT item_id, term, count(*) AS times
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)
+  GROUP BY ALL
+), d AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL
+), sizes AS (
+  SELECT count(*) AS all_docs, cast(sum(len(terms)) AS bigint) AS all_terms FROM d WHERE len(terms) > 0
+), t AS (
+  SELECT doc_id, n, term, count(*) AS tf
+  FROM (SELECT doc_id, len(terms) AS n, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), w AS (
+  SELECT term, cast(floor(1000 * ln(cast(2 * any_value(all_docs) + 2 AS double) / cast(2 * count(*) + 1 AS double))) AS bigint) AS weight
+  FROM t, sizes GROUP BY term
+), s AS (
+  SELECT item_id, doc_id, cast(sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * all_docs) // all_terms))))
+                               AS bigint) AS score
+  FROM q JOIN t USING (term) JOIN w USING (term), sizes GROUP BY item_id, doc_id
+)
+SELECT item_id, cast(rank AS integer) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+WHERE rank <= 20""",
     "op2_warc": """
 WITH p AS (
   SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages
