@@ -6,10 +6,12 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import sixbit
+from ..functions.ordered import OrderedCut, neighbour_row, row_numbers, running_last
 from ..functions.skew import DEFAULT_HOT, Hot
+from ..session import cut_lineage
 from .correlate import sessions
 
 ERROR = "error"
@@ -59,56 +61,93 @@ def check_integrity(df: DataFrame, col: str) -> DataFrame:
                          .when(sixbit.xor_of(body) != stated, "wrong checksum"))
 
 
+def sane_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no: str, n_parts: str, payload: str) -> DataFrame:
+    """The columns that reassembly works on, `sane` where the part number can be one."""
+    sane = F.coalesce(F.col(part_no).between(1, F.col(n_parts)), F.lit(False))
+    return df.select(*group_keys, ts, F.col(part_no).cast("int").alias("part_no"),
+                     F.col(n_parts).cast("int").alias("n_parts"), F.col(payload).alias("payload"), sane.alias("sane"))
+
+
+def lone_parts(parts: DataFrame, keys: Sequence[str], ts: str, extra: Sequence[Column] = ()) -> DataFrame:
+    """Messages of one part, and parts with impossible numbers, as rows of their own."""
+    alone = F.col("sane") & (F.col("n_parts") == 1)
+    return parts.filter(~F.col("sane") | (F.col("n_parts") == 1)).select(
+        *keys, "n_parts", F.col(ts).alias("started"), F.col(ts).alias("ended"), F.lit(1).alias("n_present"),
+        F.when(alone, F.col("payload")).alias("payload"), F.array(F.struct("part_no", "payload")).alias("parts"),
+        F.when(~alone, F.lit("bad part number")).alias(ERROR), *extra)
+
+
+def _without_copies(rows: DataFrame, keys: list[str], ts: str, cut: OrderedCut, inner: Hot) -> DataFrame:
+    """Drops a part that was sent again as it was before its message's last part."""
+    place = F.struct(ts, "part_no", "payload")
+    rows = neighbour_row(rows, [*keys, "part_no"], [ts, "payload"], [ts, "part_no", "payload", "session_start"], "__same", hot=inner)
+    rows = rows.withColumn("__final", F.when(F.col("part_no") == F.col("n_parts"), place))
+    rows = running_last(rows, keys, [ts, "part_no", "payload"], "__final", "__done", [ts, "part_no", "payload"], hot=cut)
+    before = F.struct(f"__same.{ts}", "__same.part_no", "__same.payload")
+    open_still = (F.col("part_no") == F.col("n_parts")) | F.col("__done").isNull() | (F.col("__done") <= before)
+    copy = (F.col("__same").isNotNull() & (F.col("__same.session_start") == F.col("session_start"))
+            & F.col("payload").eqNullSafe(F.col("__same.payload")) & open_still)
+    return rows.filter(~copy).drop("__same", "__final", "__done")
+
+
 def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no: str, n_parts: str,
                      payload: str, gap_seconds: float, hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Multi-part messages to one row each: payload joined in part order.
 
-    Parts of one key belong together while they are no further apart than the
-    gap. Sequence numbers are used again soon: a part number that comes again with
-    another payload begins the next message; exact copies of a part count once.
-    Incomplete messages, and those with two payloads for one part, keep all their
-    parts and say why in `error`; part numbers outside 1..n_parts come back as rows
-    of their own, also with `error`. No payload is lost. A message is collected
-    into one row, as long as its parts are.
+    Parts of one key belong together while they are no further apart than the gap.
+    Sequence numbers are used again soon: a part number that is not above the one
+    before begins the next message, so a lost part spoils its own message only. A part
+    sent again as it was, before its message's last part came, counts once. Pieces
+    that lack parts and lie side by side (parts out of order) are put together where
+    their numbers fit. Messages still incomplete keep all their parts and say so in
+    `error`; part numbers outside 1..n_parts come back as rows of their own, also with
+    `error`. No payload is lost. A message is collected into one row, as long as its
+    parts are; all else goes by neighbours in time, and hot keys are cut along it.
     """
-    keys = list(group_keys)
-    sane = F.coalesce(F.col(part_no).between(1, F.col(n_parts)), F.lit(False))
-    parts = df.select(*keys, ts, F.col(part_no).cast("int").alias("part_no"),
-                      F.col(n_parts).cast("int").alias("n_parts"), F.col(payload).alias("payload"), sane.alias("sane"))
-
-    single = parts.filter(F.col("sane") & (F.col("n_parts") == 1))
-    odd = parts.filter(~F.col("sane"))
-
-    def alone(rows: DataFrame, text, error) -> DataFrame:
-        return rows.select(*keys, F.col("n_parts"), F.col(ts).alias("started"), F.col(ts).alias("ended"),
-                           F.lit(1).alias("n_present"), text.alias("payload"),
-                           F.array(F.struct("part_no", "payload")).alias("parts"), error.alias(ERROR))
-
-    many = parts.filter(F.col("sane") & (F.col("n_parts") > 1))
-    spans = sessions(many, [*keys, "n_parts"], ts, gap_seconds, tie=["part_no", "payload"], hot=hot)
-    run = [*keys, "n_parts", "session_start"]
-    same_part = Window.partitionBy(*run, "part_no").orderBy(ts, "payload")
-    in_time = Window.partitionBy(*run).orderBy(ts, "part_no", "payload").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    other = ~F.col("payload").eqNullSafe(F.lag("payload").over(same_part)) & (F.row_number().over(same_part) > 1)
-    spans = spans.withColumn("__other", other.cast("int"))
-    spans = spans.withColumn("__turn", F.sum("__other").over(same_part.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    spans = spans.withColumn("__message", F.max("__turn").over(in_time))
-    group = [*run, "__message"]
-    once = spans.groupBy(*group, "part_no", "payload").agg(F.min(ts).alias("a"), F.max(ts).alias("b"))
-    whole = once.groupBy(*group).agg(
-        F.min("a").alias("started"), F.max("b").alias("ended"), F.count(F.lit(1)).alias("__given"),
-        F.array_sort(F.collect_list(F.struct("part_no", "payload"))).alias("parts"))
-    whole = whole.withColumn("n_present", F.size(F.array_distinct(F.col("parts.part_no"))))
-    torn = F.col("__given") > F.col("n_present")
-    full = (F.col("n_present") == F.col("n_parts")) & ~torn
-    text = F.array_join(F.transform("parts", lambda p: p["payload"]), "")
-    joined = whole.select(*keys, "n_parts", "started", "ended", "n_present",
-                          F.when(full, text).alias("payload"), "parts",
-                          F.when(torn, "two payloads for one part").when(~full, "incomplete").alias(ERROR))
-    none = F.lit(None).cast("string")
-    return (joined.unionByName(alone(single, F.col("payload"), none))
-                  .unionByName(alone(odd, none, F.lit("bad part number"))))
+    keys = [*group_keys, "n_parts"]
+    parts = sane_parts(df, group_keys, ts, part_no, n_parts, payload)
+    many = parts.filter(F.col("sane") & (F.col("n_parts") > 1)).drop("sane")
+    cut = OrderedCut.of(many, keys, ts, hot)
+    inner = cut.hot if cut.cuts is not None else None  # no part of a key is hot unless the key is
+    cut = cut if cut.cuts is not None else None
+    order = [ts, "part_no", "payload"]
+
+    # with hot keys each step reads the one before it twice: store it in between
+    settled = cut_lineage if cut is not None else lambda rows: rows
+
+    rows = settled(sessions(many, keys, ts, gap_seconds, tie=["part_no", "payload"], hot=cut))
+    rows = settled(_without_copies(rows, keys, ts, cut, inner))
+    rows = neighbour_row(rows, keys, order, ["part_no", "session_start"], "__before", hot=cut)
+    opens = (F.col("__before").isNull() | (F.col("__before.session_start") != F.col("session_start"))
+             | (F.col("part_no") <= F.col("__before.part_no")))
+    rows = settled(rows.withColumn("__opens", F.when(opens, F.struct(*order))))
+    rows = running_last(rows, keys, order, "__opens", "__piece", order, hot=cut)
+    found = F.array_sort(F.collect_list(F.struct("part_no", "payload", F.col(ts).alias("at"))))
+    pieces = rows.groupBy(*keys, "session_start", "__piece").agg(found.alias("found")).withColumns({
+        "__t": F.col(f"__piece.{ts}"), "__p": F.col("__piece.part_no"), "__q": F.col("__piece.payload"),
+        "numbers": F.col("found.part_no"), "whole": F.size("found") == F.col("n_parts")})
+    order = ["__t", "__p", "__q"]
+
+    pieces = settled(pieces)
+    pieces = neighbour_row(pieces, keys, order, ["session_start", "numbers", "whole"], "__before", hot=cut)
+    beside = (F.col("__before").isNotNull() & (F.col("__before.session_start") == F.col("session_start"))
+              & ~F.col("__before.whole") & ~F.arrays_overlap("__before.numbers", "numbers"))
+    pieces = settled(pieces.withColumn("__opens", F.when(~F.col("whole") & ~beside, F.col("__piece"))))
+    pieces = settled(running_last(pieces, keys, order, "__opens", "__group", order, hot=cut))
+
+    loose = pieces.filter(~F.col("whole")).select(*keys, "session_start", "__group", F.explode("found").alias("r"))
+    loose = loose.select(*keys, "session_start", "__group", "r.*")
+    loose = row_numbers(loose, [*keys, "session_start", "__group", "part_no"], ["at", "payload"], "__k", hot=inner)
+    fitted = loose.groupBy(*keys, "session_start", "__group", "__k").agg(
+        F.array_sort(F.collect_list(F.struct("part_no", "payload", "at"))).alias("found"))
+    messages = pieces.filter("whole").select(*keys, "found").unionByName(fitted.select(*keys, "found"))
+    full = F.size("found") == F.col("n_parts")
+    joined = messages.select(
+        *keys, F.array_min("found.at").alias("started"), F.array_max("found.at").alias("ended"), F.size("found").alias("n_present"),
+        F.when(full, F.array_join("found.payload", "")).alias("payload"),
+        F.transform("found", lambda p: F.struct(p["part_no"].alias("part_no"), p["payload"].alias("payload"))).alias("parts"),
+        F.when(~full, F.lit("incomplete")).alias(ERROR))
+    return joined.unionByName(lone_parts(parts, group_keys, ts))
 
 
 def decode_bits(df: DataFrame, col: str, layout: Sequence[sixbit.Field]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ...functions.skew import HotKeys
 from ...schemas import EVENTS
 from ...session import scratch
 from ...sources.readers import read_source, stream_source
@@ -62,24 +63,25 @@ def haversine_sql(a: str, b: str) -> str:
 
 
 FEED_FILES = 4
+# Keys of ordinary size counted as hot, so that they are cut
+FORCED = HotKeys(min_rows=30, max_keys=400)
 
 
 def feed(spark: SparkSession, sf: str, copies: int = 1) -> str:
     """The whole events table as a feed: time ranges written one after another, so
     that file times follow event times. Returns its folder."""
+    return feed_of(spark, events(spark, sf), "ts", copies)
+
+
+def feed_of(spark: SparkSession, rows: DataFrame, ts: str, copies: int = 1) -> str:
+    """Rows in files of about equal size, one after another in time."""
     path = scratch(spark, "feed")
-    rows = events(spark, sf)
-    ends = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).first()
-    cuts = [ends["a"] + (ends["b"] - ends["a"]) * i / FEED_FILES for i in range(1, FEED_FILES)]
-    bounds = [None, *cuts, None]
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    cuts = rows.agg(F.percentile_approx(at, [i / FEED_FILES for i in range(1, FEED_FILES)])).first()[0]
     for _ in range(copies):
-        for lo, hi in zip(bounds, bounds[1:]):
-            part = rows
-            if lo is not None:
-                part = part.filter(F.col("ts") >= F.lit(lo).cast("timestamp_ntz"))
-            if hi is not None:
-                part = part.filter(F.col("ts") < F.lit(hi).cast("timestamp_ntz"))
-            part.write.mode("append").parquet(path)
+        for lo, hi in zip([None, *cuts], [*cuts, None]):
+            here = (F.lit(True) if lo is None else at >= lo) & (F.lit(True) if hi is None else at < hi)
+            rows.filter(here).coalesce(1).write.mode("append").parquet(path)
     return path
 
 

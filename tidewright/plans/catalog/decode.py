@@ -4,7 +4,12 @@ from ...functions import sixbit
 from ...operators.decode import (check_integrity, decode_bits, parse_document, reassemble_parts,
                                  route_rejects, split_fields)
 from ..layouts import EVENT_PACK
-from .base import events, query, table
+from ...session import cut_lineage, scratch
+from ...sources.readers import stream_source
+from ...sources.sinks import read_deliveries
+from ...streaming.run import deliver_to, run_available
+from ...streaming.state import reassemble_stream
+from .base import FORCED, events, feed_of, query, table
 
 
 def broken_lines(spark, sf):
@@ -116,6 +121,66 @@ def reassemble_reused(spark, sf):
     return whole.select("user_id", "n_parts", "n_present", "payload", "error")
 
 
+def busy_parts(spark, sf):
+    """Each event as a message of two parts, all of a user under one sequence number, ten
+    seconds apart: two messages in a row begin with the same first part, every 14th lost
+    its second part, every 14th has its parts the wrong way round, and every 5th has its
+    first part twice. A lone message of nobody comes an hour later."""
+    rows = events(spark, sf).withColumn("n", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    turned = (F.col("n") % 14 == 5).cast("int")
+    base = F.lit(1_700_000_000).cast("bigint") + F.col("n") * 10
+
+    def part(k, seconds, payload, rows=rows):
+        return rows.select("user_id", F.lit(k).alias("part_no"), F.lit(2).alias("n_parts"),
+                           F.timestamp_millis(((base + seconds) * 1000).cast("bigint")).alias("received_ts"), payload.alias("payload"))
+
+    first = F.concat(F.lit("P"), F.floor(F.col("n") / 2).cast("string"))
+    second = F.concat(F.lit("Q"), F.col("event_id").cast("string"))
+    hour = spark.range(1).select(F.lit(-1).cast("bigint").alias("user_id"), F.lit(1).alias("part_no"), F.lit(1).alias("n_parts"),
+                                 F.timestamp_seconds(F.lit(1_700_100_000)).alias("received_ts"), F.lit("end").alias("payload"))
+    return (part(1, turned + 1, first).unionByName(part(2, F.lit(2) - turned, second, rows.filter("n % 14 <> 3")))
+            .unionByName(part(1, turned + 1.5, first, rows.filter("n % 5 = 0"))).unionByName(hour))
+
+
+BUSY = """
+    SELECT user_id, CAST(2 AS INTEGER) AS n_parts, CAST(CASE WHEN n % 14 = 3 THEN 1 ELSE 2 END AS INTEGER) AS n_present,
+           make_timestamp((1700000000 + n * 10 + 1) * 1000000) AS started,
+           make_timestamp((1700000000 + n * 10 + CASE WHEN n % 14 = 3 THEN 1 ELSE 2 END) * 1000000) AS ended,
+           CASE WHEN n % 14 <> 3 THEN 'P' || (n // 2) || 'Q' || event_id END AS payload,
+           CASE WHEN n % 14 = 3 THEN 'incomplete' END AS error
+    FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events)
+    UNION ALL SELECT -1, 1, 1, make_timestamp(1700100000000000), make_timestamp(1700100000000000), 'end', NULL"""
+
+
+def told(whole):
+    return whole.select("user_id", "n_parts", "n_present", F.col("started").cast("timestamp_ntz").alias("started"),
+                        F.col("ended").cast("timestamp_ntz").alias("ended"), "payload", "error")
+
+
+@query("reassemble_busy", BUSY)
+def reassemble_busy(spark, sf):
+    return told(reassemble_parts(busy_parts(spark, sf), ["user_id"], "received_ts", "part_no", "n_parts", "payload", 60))
+
+
+@query("reassemble_busy_hot", BUSY)
+def reassemble_busy_hot(spark, sf):
+    """The same with the busiest numbers cut along time."""
+    parts = cut_lineage(busy_parts(spark, sf))
+    return told(reassemble_parts(parts, ["user_id"], "received_ts", "part_no", "n_parts", "payload", 60, hot=FORCED))
+
+
+@query("reassemble_stream", BUSY)
+def reassemble_as_stream(spark, sf):
+    """The same parts as a stream, taken in over two runs of one checkpoint."""
+    parts = cut_lineage(busy_parts(spark, sf))
+    path, out, checkpoint = feed_of(spark, parts, "received_ts"), scratch(spark, "out"), scratch(spark, "ck")
+    for _ in range(2):
+        rows = stream_source(spark, path, "parquet", parts.schema, 1)
+        whole = reassemble_stream(rows, ["user_id"], "received_ts", "part_no", "n_parts", "payload", 60, "30 seconds")
+        run_available(whole, deliver_to(out), checkpoint)
+    return told(read_deliveries(spark, out))
+
+
 def packed(spark, sf):
     rows = events(spark, sf).withColumn("value_cents", F.round(F.col("value") * 100).cast("bigint"))
     values = {"msg_type": F.lit(1), "repeat": F.lit(0), "user_id": F.col("user_id"),

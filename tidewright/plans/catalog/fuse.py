@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 from ...operators.fuse import conflicts, fuse_attributes, fuse_measurements, latest_state, resample
 from ...session import scratch
 from ...streaming.run import latest_table, read_latest
+from ...streaming.state import presence_table, read_presence
 from .base import OBS, as_obs, event_stream, feed, obs, plain_times, query, table
 from .validate import FORCED
 
@@ -93,3 +94,20 @@ def newest_stream(spark, sf):
     rows = as_obs(event_stream(spark, feed(spark, sf), 2))
     latest_table(rows, "entity_key", "ts", ["obs_id"], out, scratch(spark, "ck"))
     return plain_times(read_latest(spark, out, "entity_key", "ts", ["obs_id"]))
+
+
+@query("latest_state_expiring", f"""
+    WITH o AS (SELECT *, lead(epoch_us(ts)) OVER (PARTITION BY entity_key ORDER BY ts, obs_id) AS next FROM {OBS}),
+    w AS (SELECT (epoch_us(max(ts)) // 1000 - 3600000) * 1000 AS passed FROM events),
+    s AS (SELECT *, CASE WHEN next - epoch_us(ts) > 172800000000 OR (next IS NULL AND epoch_us(ts) + 172800000000 <= passed) THEN 'lost'
+                         WHEN next IS NULL THEN 'live' END AS status FROM o, w)
+    SELECT entity_key, status, obs_id, source, ts, lat, lon, speed FROM s WHERE status IS NOT NULL""")
+def expiring(spark, sf):
+    """Entities silent for two days leave the state; taken in over two runs of one checkpoint."""
+    out, path, checkpoint = scratch(spark, "out"), feed(spark, sf), scratch(spark, "ck")
+    for _ in range(2):
+        rows = as_obs(event_stream(spark, path, 2))
+        presence_table(rows, "entity_key", "ts", 172_800, "1 hour", ["obs_id"], out, checkpoint)
+    live, lost = read_presence(spark, out, "entity_key", "ts", ["obs_id"])
+    both = live.withColumn("status", F.lit("live")).unionByName(lost.withColumn("status", F.lit("lost")))
+    return plain_times(both).select("entity_key", "status", "obs_id", "source", "ts", "lat", "lon", "speed")

@@ -1,10 +1,9 @@
 from pyspark.sql import functions as F
 
-from ...functions.skew import HotKeys
 from ...operators.decode import route_rejects, split_fields
 from ...operators.validate import (Rule, apply_rules, check_motion, check_reference, check_unique,
                                    quality_report, reconcile, split_quarantine)
-from .base import OBS, events, haversine_sql, obs, query, table
+from .base import FORCED, OBS, events, haversine_sql, obs, query, table
 from .decode import LINE, broken_lines
 
 RULES = (
@@ -69,12 +68,9 @@ def motion(spark, sf):
     return _motion(spark, sf)
 
 
-# The same over chunks: every entity counts as hot, so the SQL check covers that path.
-FORCED = HotKeys(min_rows=30, max_keys=400)
-
-
 @query("check_motion_hot", MOTION)
 def motion_hot(spark, sf):
+    """The same over chunks: every entity counts as hot, so the SQL check covers that path."""
     return _motion(spark, sf, hot=FORCED)
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,6 +68,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package's code to the Python workers, which need not have it installed."""
+    context = spark.sparkContext
+    if getattr(context, "_tidewright_shipped", False):
+        return
+    top = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="tidewright-code-"), "tidewright_code.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(top):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, name)
+                out.write(full, os.path.relpath(full, os.path.dirname(top)))
+    context.addPyFile(path)
+    context._tidewright_shipped = True
+
+
 def _file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
