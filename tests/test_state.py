@@ -125,3 +125,43 @@ def test_rows_out_of_order_within_the_delay(spark, tmp_path):
     live, lost = read_presence(spark, str(tmp_path / "out"), "k", "ts", ["v"])
     # 0 to 30 to 50 is never silent for over 40 s: the row at 30 came late but within the delay
     assert rows(lost, "k", "v") == [(1, 2), (2, 1), (2, 2)] and rows(live, "k", "v") == [(9, 0)]
+
+
+def test_sentences_of_a_stream_killed_and_resumed(spark, tmp_path):
+    """The last micro-batch is written, its commit is not: the run that follows does it again."""
+    import os
+
+    from tidewright.operators.validate import Rule
+    from tidewright.plans.catalog.sentences import SOURCES, position_lines, sentence, static_lines
+    from tidewright.plans.sentences import run_sentence_stream, sentence_picture, stored_sentences
+
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "ck")
+    odd = spark.createDataFrame([("odd", 1_704_500_000, "!AIVDM,1,1,,A,x*00"), ("odd", 1_704_500_001, "nothing"), ("odd", 1_704_500_002, None)],
+                                "source string, at long, raw string").select("source", F.timestamp_seconds("at").alias("received_ts"), "raw")
+    fields = odd.limit(1).select("source", "received_ts", sentence(F.lit("17~"), 2, 3, F.lit("1")).alias("raw")).unionByName(
+        odd.limit(1).select("source", "received_ts", sentence(F.lit("17~")).alias("raw")))
+    lines = position_lines(spark, SF).unionByName(static_lines(spark, SF)).unionByName(odd).unionByName(fields)
+    end = lines.agg((F.max("received_ts") + F.expr("interval 1 day")).alias("received_ts")).select(
+        F.lit("clock").alias("source"), "received_ts", sentence(F.lit("4" + "0" * 27)).alias("raw"))
+    lines = sorted(map(tuple, lines.unionByName(end).select("source", "received_ts", "raw").collect()), key=lambda r: r[1])
+    schema = "source string, received_ts timestamp, raw string"
+    third = len(lines) // 3
+    rules = [Rule("north", "lat > -60"), Rule("slow", "speed < 50", "warning")]
+    for k in range(3):
+        part = lines[k * third:(k + 1) * third if k < 2 else None]
+        write_part(spark, str(tmp_path / "feed"), k, part, schema)
+        for again in (False, True):
+            stream = spark.readStream.schema(schema).parquet(str(tmp_path / "feed") + "/t*")
+            run_sentence_stream(stream, out, checkpoint, rules, 50)
+            if not again:
+                last = max((n for n in os.listdir(f"{checkpoint}/commits") if n.isdigit()), key=int)
+                for name in (last, f".{last}.crc"):
+                    if os.path.exists(f"{checkpoint}/commits/{name}"):
+                        os.unlink(f"{checkpoint}/commits/{name}")
+    whole = sentence_picture(spark.createDataFrame(lines, schema), rules, SOURCES, 50)
+    found = stored_sentences(spark, out, SOURCES)
+    assert rows(found["fused"]) == rows(whole["fused"]) and whole["fused"].count() == 15
+    for side, cols in (("rejects", ["source", "stage", "text", "error"]), ("quarantine", ["obs_id", "entity_key", "lat", "violations"]),
+                       ("static", ["entity_key", "valid_from", "name", "kind", "length", "width"]), ("other", ["source", "payload", "msg_type"])):
+        assert rows(found[side], *cols) == rows(whole[side], *cols), side
+    assert {r.stage for r in found["rejects"].collect()} == {"integrity", "reassembly", "type"}

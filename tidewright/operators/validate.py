@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.geo import haversine_m
 from ..functions.ordered import neighbour_row
@@ -66,13 +66,17 @@ def check_motion(df: DataFrame, key: str, ts: str, max_speed: float, lat: str =
     placed = F.col(lat).isNotNull() & F.col(lon).isNotNull()
     prev = neighbour_row(df.filter(placed), [key], order, [ts, lat, lon], "__prev", hot=hot)
     prev = prev.unionByName(df.filter(~placed), allowMissingColumns=True)
-    dist = haversine_m(F.col(f"__prev.{lat}"), F.col(f"__prev.{lon}"), F.col(lat), F.col(lon))
-    prev = prev.withColumns({"prev_dist_m": dist,
-                             "prev_seconds": seconds_between(F.col(f"__prev.{ts}"), F.col(ts))})
+    return moved(prev, F.col(f"__prev.{ts}"), F.col(f"__prev.{lat}"), F.col(f"__prev.{lon}"), ts, lat, lon, max_speed).drop("__prev")
+
+
+def moved(df: DataFrame, prev_ts: Column, prev_lat: Column, prev_lon: Column, ts: str, lat: str, lon: str,
+          max_speed: float) -> DataFrame:
+    """Distance, time and implied speed (m/s) from a previous fix given as columns, and `too_fast`."""
+    df = df.withColumns({"prev_dist_m": haversine_m(prev_lat, prev_lon, F.col(lat), F.col(lon)),
+                         "prev_seconds": seconds_between(prev_ts, F.col(ts))})
     jumped = (F.col("prev_seconds") == 0) & (F.col("prev_dist_m") > 0)
-    return (prev.withColumn("speed_mps", F.try_divide("prev_dist_m", "prev_seconds"))
-            .withColumn("too_fast", F.coalesce((F.col("speed_mps") > max_speed) | jumped, F.lit(False)))
-            .drop("__prev"))
+    return (df.withColumn("speed_mps", F.try_divide("prev_dist_m", "prev_seconds"))
+            .withColumn("too_fast", F.coalesce((F.col("speed_mps") > max_speed) | jumped, F.lit(False))))
 
 
 def quality_report(df: DataFrame, dims: Sequence[str]) -> DataFrame:

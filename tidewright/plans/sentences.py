@@ -8,18 +8,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sixbit import Field
 from ..functions.skew import DEFAULT_HOT, Hot
-from ..operators.decode import SENTENCE, check_integrity, decode_bits, reassemble_parts, route_rejects, split_fields
+from ..operators.decode import (ERROR, SENTENCE, check_integrity, decode_bits, reassemble_parts, route_rejects, sane_parts,
+                                split_fields)
 from ..operators.enrich import lookup
 from ..operators.fuse import fuse_attributes
 from ..operators.ingest import first_rows
 from ..operators.normalize import conform, normalize_text, union_sources, wrap_angles
-from ..operators.validate import Rule, apply_rules, check_motion, split_quarantine
+from ..operators.validate import Rule, apply_rules, check_motion, moved, split_quarantine
 from ..schemas import OBS, STATIC
 from ..sources.readers import content_id, envelope
+from ..streaming.run import run_available
+from ..streaming.state import assemble_stream, previous_row_stream
 from .layouts import POSITION_REPORT, STATIC_REPORT
 
 FIELDS = (("talker", "string"), ("n_parts", "int"), ("part_no", "int"), ("seq", "string"), ("channel", "string"),
@@ -65,8 +68,123 @@ def sentence_picture(lines: DataFrame, rules: Sequence[Rule] = (), priority: Seq
     there were, how many of them moved faster than max_speed (m/s), and its last name."""
     tables = decode_sentences(lines, gap_seconds, hot)
     valid, quarantine = split_quarantine(apply_rules(tables["obs"], rules), rules)
-    moved = check_motion(valid, "entity_key", "ts", max_speed, tie=["obs_id"], hot=hot)
-    fused = fuse_attributes(moved, "entity_key", ["lat", "lon", "speed", "course", "status"], priority, also=[
+    motion = check_motion(valid, "entity_key", "ts", max_speed, tie=["obs_id"], hot=hot)
+    return {**tables, "quarantine": quarantine, "fused": fuse_sentences(motion, tables["static"], priority, hot)}
+
+
+def fuse_sentences(motion: DataFrame, static: DataFrame, priority: Sequence[str], hot: Hot = DEFAULT_HOT) -> DataFrame:
+    """One record per entity of checked observations and static reports."""
+    fused = fuse_attributes(motion, "entity_key", ["lat", "lon", "speed", "course", "status"], priority, also=[
         F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_reports"), F.count_if("too_fast").alias("n_too_fast")])
-    names = first_rows(tables["static"], ["entity_key"], [F.desc("valid_from"), F.asc("name")])
-    return {**tables, "quarantine": quarantine, "fused": lookup(fused, names, ["entity_key"], ["name", "kind"], hot=hot)}
+    names = first_rows(static, ["entity_key"], [F.desc("valid_from"), F.asc("name")])
+    return lookup(fused, names, ["entity_key"], ["name", "kind"], hot=hot)
+
+
+# Columns that each side of the stream keeps, under the names of the batch tables
+SIDES = {
+    "obs": [*OBS.names, "prev_dist_m", "prev_seconds", "speed_mps", "too_fast"],
+    "quarantine": [*OBS.names, "violations"],
+    "static": ["entity_key", "ts AS valid_from", "name", "kind", "length", "width"],
+    "other": ["source", "ts AS started", "text AS payload", "msg_type", "obs_id"],
+    "rejects": ["source", "stage", "text", "error"],
+}
+
+
+def _stream_messages(lines: DataFrame, gap_seconds: float, watermark: str) -> DataFrame:
+    """(source, ts, known, payload, stage, text, error): whole messages, and what was refused
+    on the way to them."""
+    tagged = envelope(lines.withWatermark("received_ts", watermark), F.col("source"), "raw", "received_ts")
+    sound = check_integrity(tagged, "raw").withColumnRenamed(ERROR, "spoiled")
+    body = F.when(F.col("spoiled").isNull(), F.regexp_extract("raw", SENTENCE, 1))
+    checked = split_fields(sound.withColumn("body", body), "body", ",", FIELDS)
+    broken = F.coalesce("spoiled", ERROR)
+    whole = F.coalesce((F.col("part_no") == 1) & (F.col("n_parts") == 1), F.lit(False))
+    several = F.coalesce((F.col("n_parts") > 1) & F.col("part_no").between(1, F.col("n_parts")), F.lit(False))
+    stage = (F.when(F.col("spoiled").isNotNull(), "integrity").when(F.col(ERROR).isNotNull(), "fields")
+             .when(~whole, "reassembly"))
+    direct = checked.filter(broken.isNotNull() | ~several).select(
+        "source", F.col("received_ts").alias("ts"), F.col("received_ts").alias("known"),
+        F.when(stage.isNull(), F.col("payload")).alias("payload"), stage.alias("stage"),
+        F.when(broken.isNotNull(), F.col("raw")).otherwise(F.col("payload")).alias("text"),
+        F.when(stage.isNotNull(), F.coalesce(broken, F.lit("bad part number"))).alias(ERROR))
+    keys = ["source", "channel", "seq"]
+    parts = sane_parts(checked.filter(broken.isNull() & several), keys, "received_ts", "part_no", "n_parts", "payload")
+    joined = assemble_stream(parts, keys, "received_ts", gap_seconds)
+    given = F.array_join(F.transform("parts", lambda p: p["payload"]), "")
+    joined = joined.select("source", F.col("started").alias("ts"), "known", "payload",
+                           F.when(F.col(ERROR).isNotNull(), "reassembly").alias("stage"), given.alias("text"), ERROR)
+    return joined.unionByName(direct)
+
+
+def _told_apart(messages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Messages decoded in place, each with its `side`; a message has the columns of its side."""
+    typed = decode_bits(messages.withColumnRenamed(ERROR, "spoiled"), "payload", MESSAGE_TYPE)
+    kind = F.col("msg_type")
+    of = lambda which: F.when(F.col("spoiled").isNull() & F.col("untyped").isNull() & which, F.col("payload"))
+    typed = typed.withColumnRenamed(ERROR, "untyped").withColumns({
+        "__p": of(kind.between(1, 3)), "__s": of(kind == 5),
+        "obs_id": content_id(["source", F.col("ts").alias("started"), "payload"])})
+    base = [F.col(c) for c in ("source", "ts", "known", "payload", "stage", "text", "spoiled", "untyped", "msg_type", "obs_id", "__p", "__s")]
+    positions = decode_bits(typed.select(*base), "__p", [f for f in POSITION_REPORT if f.name != "msg_type"])
+    positions = wrap_angles(positions, "lon", "course")
+    report = F.when(F.col("__p").isNotNull(), F.struct(*[F.col(f.name) for f in POSITION_REPORT if f.name != "msg_type"], F.col(ERROR)))
+    statics = decode_bits(positions.select(*base, F.explode(F.array(report)).alias("position")), "__s",
+                          [f for f in STATIC_REPORT if f.name != "msg_type"])
+    statics = normalize_text(statics, ["name"])
+    is_position, is_static = F.col("__p").isNotNull(), F.col("__s").isNotNull()
+    flat = statics.select(
+        "source", "ts", "known", "payload", "msg_type", "obs_id", is_position.alias("is_position"), is_static.alias("is_static"),
+        F.coalesce("stage", F.when(F.col("untyped").isNotNull(), "type").when(F.col("position.error").isNotNull(), "position")
+                   .when(is_static & F.col(ERROR).isNotNull(), "static")).alias("stage"),
+        F.coalesce("spoiled", "untyped", "position.error", F.when(is_static, F.col(ERROR))).alias("error"),
+        F.when(F.col("spoiled").isNotNull(), F.col("text")).otherwise(F.col("payload")).alias("text"),
+        F.coalesce(F.col("position.entity_key"), F.when(is_static, F.col("entity_key"))).cast("bigint").alias("entity_key"),
+        *[F.col(f"position.{c}").cast("double").alias(c) for c in ("lat", "lon", "speed", "course")],
+        F.col("position.status").cast("int").alias("status"), "name", F.col("kind").cast("int").alias("kind"),
+        (F.col("to_bow") + F.col("to_stern")).cast("double").alias("length"),
+        (F.col("to_port") + F.col("to_starboard")).cast("double").alias("width"))
+    ruled = apply_rules(flat, rules)
+    held = [r.name for r in rules if r.severity == "error"]
+    breaks = F.arrays_overlap("violations", F.array(*[F.lit(n) for n in held])) if held else F.lit(False)
+    side = (F.when(F.col("error").isNotNull(), "rejects").when(F.col("is_static"), "static").when(~F.col("is_position"), "other")
+            .when(breaks, "quarantine").otherwise("obs"))
+    return ruled.withColumn("side", side).drop("is_position", "is_static", "payload")
+
+
+def run_sentence_stream(lines: DataFrame, out: str, checkpoint: str, rules: Sequence[Rule] = (), max_speed: float = 100,
+                        gap_seconds: float = 60, watermark: str = "1 minute", forget_seconds: float | None = None):
+    """The stages of `sentence_picture` up to checked observations as one streaming query:
+    what has arrived is taken in and stored below `out`, each micro-batch under its id, the
+    sides in folders of their own (observations, quarantine, static, other, rejects).
+
+    Two stages keep state under the one watermark: parts wait for the rest of their message
+    (`Assembling`), then a position waits until no earlier one of its entity can come
+    (`Previous`; two gaps behind the watermark, since a message may take so long). All sides
+    go through both, so the source is read once for messages of several parts and once for
+    the rest. A stopped or killed run goes on from `checkpoint`; a repeated micro-batch
+    replaces its folder. `forget_seconds` drops entities silent for so long from the state;
+    their next position then has none before it.
+    """
+    told = _told_apart(_stream_messages(lines, gap_seconds, watermark), rules)
+    chained = F.coalesce((F.col("side") == "obs") & F.col("lat").isNotNull() & F.col("lon").isNotNull(), F.lit(False))
+    # rows that have nothing to wait for are spread over many keys
+    key = F.when(chained, F.col("entity_key")).otherwise(-1 - F.pmod(F.xxhash64("source", "ts", "text"), F.lit(1024)))
+    rows = told.withColumns({"__chained": chained, "__key": key})
+    rows = previous_row_stream(rows, "__key", "ts", ["ts", "lat", "lon"], "__chained", "known", ["obs_id"],
+                               2 * gap_seconds, forget_seconds, "__prev_")
+    rows = moved(rows, F.col("__prev_ts"), F.col("__prev_lat"), F.col("__prev_lon"), "ts", "lat", "lon", max_speed)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        (batch.drop("known", "__chained", "__key", "__prev_ts", "__prev_lat", "__prev_lon")
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("side")
+         .parquet(f"{out}/batch_id={batch_id}"))
+
+    return run_available(rows, put, checkpoint)
+
+
+def stored_sentences(spark: SparkSession, out: str, priority: Sequence[str] = (), hot: Hot = DEFAULT_HOT) -> dict[str, DataFrame]:
+    """The tables of `sentence_picture` over everything taken in so far; `obs` are the
+    observations that keep the rules, with their motion."""
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").drop("batch_id")
+    tables = {side: rows.filter(F.col("side") == side).selectExpr(*cols) for side, cols in SIDES.items()}
+    return {**tables, "fused": fuse_sentences(tables["obs"], tables["static"], priority, hot)}
