@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -105,6 +106,40 @@ def test_tiling_beside_plain_version():
         assert tile(np.array(a, np.uint64), np.array(b, np.uint64), size) == want
 
 
+def test_long_repeats_take_time_by_length():
+    for text, item in ((np.ones(20_000), np.ones(2_000)), (np.tile([1, 2, 3], 5_000), np.tile([1, 2, 3, 4], 300))):
+        start = time.perf_counter()
+        tiles = tile(text.astype(np.uint64), item.astype(np.uint64), 5)
+        assert time.perf_counter() - start < 10
+        assert tiles == ([(0, 0, 2_000)] if len(item) == 2_000 else [])
+
+
+def test_contaminated_beside_plain_version(spark):
+    """Every document tiled with every item."""
+    rng = random.Random(8)
+    items = [(k, " ".join(words(rng.randint(3, 30), rng))) for k in range(12)] + [(3, "a b c d e f a b c d e f")]
+    docs = []
+    for d in range(80):
+        text = words(rng.randint(0, 60), rng)
+        for _ in range(rng.randint(0, 3)):
+            piece = rng.choice(items)[1].split()
+            a = rng.randrange(len(piece))
+            at = rng.randint(0, len(text))
+            text[at:at] = piece[a:a + rng.randint(3, 30)] * rng.choice([1, 1, 2])
+        docs.append((d, rng.choice([" ", ", ", "\n"]).join(text).upper() if d % 3 == 0 else " ".join(text)))
+    want = set()
+    number: dict[str, int] = {}
+    plain = lambda text: np.array([number.setdefault(w, len(number)) for w in re.findall(r"[a-z0-9]+", text.lower())], np.uint64)
+    for d, text in docs:
+        for k, item in items:
+            size = len(plain(item))
+            covered = sum(t[2] for t in tile(plain(text), plain(item), 5))
+            if covered and covered >= 0.6 * size:
+                want.add((d, k, covered / size))
+    found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id, r.coverage) for r in found.collect()} == want and len(want) > 20
+
+
 def leaks(rng):
     items = [(k, words(40, rng)) for k in range(6)] + [(6, ["short", "one"]), (None, words(30, rng))]
     plain = lambda: " ".join(words(200, rng))

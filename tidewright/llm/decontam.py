@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -84,48 +85,89 @@ class Items:
 def tile(text: np.ndarray, item: np.ndarray, size: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two sequences of words: (place in text, place in item,
     words) of matches that do not overlap, the longest first; of equal ones the first
-    in the text, then in the item. None is shorter than `size`."""
-    free_text, free_item = np.ones(len(text), bool), np.ones(len(item), bool)
-    tiles = []
-    pairs = _seed_pairs(text, item, size)
-    while len(pairs):
-        x, y = pairs[:, 0].copy(), pairs[:, 1].copy()
-        # how far each pair of free places runs on, all pairs side by side
-        length = np.zeros(len(x), np.int64)
-        alive = np.arange(len(x))
-        while len(alive):
-            a, b = x[alive] + length[alive], y[alive] + length[alive]
-            inside = (a < len(text)) & (b < len(item))
-            alive, a, b = alive[inside], a[inside], b[inside]
-            alive = alive[(text[a] == item[b]) & free_text[a] & free_item[b]]
-            length[alive] += 1
-        keep = length >= size
-        pairs, length = pairs[keep], length[keep]
-        if not len(pairs):
-            break
-        longest = int(length.max())
-        for a, b in pairs[length == longest].tolist():
-            if free_text[a:a + longest].all() and free_item[b:b + longest].all():
-                free_text[a:a + longest] = free_item[b:b + longest] = False
-                tiles.append((a, b, longest))
-        pairs = pairs[free_text[pairs[:, 0]] & free_item[pairs[:, 1]]]
+    in the text, then in the item. None is shorter than `size`.
+
+    Matches wait by length, longest first. One that has been cut into by longer ones goes
+    back as what is left of it, so each is looked at once and once more per cut.
+    """
+    used_text, used_item = np.zeros(len(text) + 1, np.int32), np.zeros(len(item) + 1, np.int32)
+    left_text, left_item, tiles = len(text), len(item), []
+    waiting: dict[int, list[np.ndarray]] = {}
+    found = _diagonals(text, item, size)
+    found = found[np.argsort(found[:, 2], kind="stable")]
+    for part in np.split(found, np.flatnonzero(np.diff(found[:, 2])) + 1) if len(found) else []:
+        waiting[int(part[0, 2])] = [part[:, :2]]
+    lengths = [-n for n in waiting]
+    heapify(lengths)
+    while lengths and min(left_text, left_item) >= size:
+        n = -heappop(lengths)
+        places = np.concatenate(waiting.pop(n))
+        places = places[np.lexsort((places[:, 1], places[:, 0]))]
+        before_text, before_item = np.cumsum(used_text) - used_text, np.cumsum(used_item) - used_item
+        x, y = places[:, 0], places[:, 1]
+        lost = np.maximum(before_text[x + n] - before_text[x], before_item[y + n] - before_item[y])
+        for x, y in places[lost <= n - size].tolist():
+            free = (used_text[x:x + n] | used_item[y:y + n]) == 0
+            if free.all():
+                used_text[x:x + n] = used_item[y:y + n] = 1
+                left_text, left_item = left_text - n, left_item - n
+                tiles.append((x, y, n))
+                if min(left_text, left_item) < size:
+                    break
+                continue
+            edge = np.flatnonzero(np.diff(free, prepend=False, append=False))
+            for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+                if b - a >= size:
+                    if b - a not in waiting:
+                        waiting[b - a] = []
+                        heappush(lengths, a - b)
+                    waiting[b - a].append(np.array([[x + a, y + a]]))
     return tiles
 
 
-def _seed_pairs(text: np.ndarray, item: np.ndarray, size: int) -> np.ndarray:
-    """Pairs of places where `size` words agree. A seed that an item repeats often meets
-    its places in the text block by block of the item, so pairs stay bounded by text
-    times the item's repeats."""
+def _diagonals(text: np.ndarray, item: np.ndarray, size: int, most: int = 1 << 20) -> np.ndarray:
+    """(place in text, place in item, words) of all matches that cannot be made longer.
+    Seeds that follow one another on a diagonal make a match; the text is gone through in
+    blocks of about `most` seeds, and matches that touch a block's end go on in the next."""
     ours, theirs = running_hashes(text, size), running_hashes(item, size)
     order = np.argsort(theirs, kind="stable")
     low = np.searchsorted(theirs[order], ours, side="left")
     count = np.searchsorted(theirs[order], ours, side="right") - low
-    x = np.repeat(np.arange(len(ours)), count)
-    y = order[np.repeat(low, count) + np.arange(len(x)) - np.repeat(np.cumsum(count) - count, count)]
-    same = np.ones(len(x), bool)
-    for k in range(size):
-        same &= text[x + k] == item[y + k]
-    return np.stack([x[same], y[same]], 1)
+    # equal hashes must be equal words: the item's among themselves, the text's with the first of them
+    steps = np.arange(size)
+    twins = np.flatnonzero(theirs[order][1:] == theirs[order][:-1])
+    sound = bool((item[order[twins][:, None] + steps] == item[order[twins + 1][:, None] + steps]).all())
+    if sound:
+        some = np.flatnonzero(count)
+        alike = (text[some[:, None] + steps] == item[order[low[some]][:, None] + steps]).all(1)
+        count[some[~alike]] = 0
+    ends = np.cumsum(count)
+    done, open_ = [], np.zeros((0, 3), np.int64)
+    a = 0
+    while a < len(ours):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, side="right")))
+        n = count[a:b]
+        x = np.repeat(np.arange(a, b), n)
+        y = order[np.repeat(low[a:b], n) + np.arange(len(x)) - np.repeat(np.cumsum(n) - n, n)]
+        if not sound:
+            same = (text[x[:, None] + steps] == item[y[:, None] + steps]).all(1)
+            x, y = x[same], y[same]
+        # what is open from before, as one seed of its own length, then the seeds by diagonal
+        x0, y0 = np.append(open_[:, 0], x), np.append(open_[:, 1], y)
+        length = np.append(open_[:, 2], np.full(len(x), size))
+        by = np.lexsort((x0, x0 - y0))
+        x0, y0, length = x0[by], y0[by], length[by]
+        last = x0 + length - size  # the last seed of each
+        new = np.ones(len(x0), bool)
+        new[1:] = (x0[1:] - y0[1:] != x0[:-1] - y0[:-1]) | (x0[1:] != last[:-1] + 1)
+        first = np.flatnonzero(new)
+        stop = last[np.append(first[1:], len(x0)) - 1] if len(first) else last
+        runs = np.stack([x0[first], y0[first], stop - x0[first] + size], 1)
+        goes_on = stop == b - 1
+        done.append(runs[~goes_on])
+        open_ = runs[goes_on]
+        a = b
+    return np.concatenate([*done, open_])
 
 
 def around(places: np.ndarray, size: int, reach: int, n: int) -> list[tuple[int, int]]:
@@ -135,33 +177,34 @@ def around(places: np.ndarray, size: int, reach: int, n: int) -> list[tuple[int,
     return [(max(0, int(p[0]) - reach), min(n, int(p[-1]) + size + reach)) for p in np.split(places, cuts) if len(p)]
 
 
+def matches(texts: list[bytes], items: Items, size: int, least: float) -> Iterator[tuple[int, int, float, list]]:
+    """(row, item, coverage, tiles) of all texts that cover an item."""
+    words, counts = plain_words(texts)
+    if len(words) < size:
+        return
+    ends = np.cumsum(counts)
+    at, rank = items.seed_hits(running_hashes(words, size))
+    doc = np.searchsorted(ends, at, side="right")
+    whole = at + size <= ends[doc]
+    at, rank, doc = at[whole], rank[whole], doc[whole]
+    for d in np.unique(doc).tolist():
+        mine = doc == d
+        begin, n = int(ends[d] - counts[d]), int(counts[d])
+        for owner, places in _by_owner(items, at[mine] - begin, rank[mine]):
+            item = items.words[owner]
+            tiles = _tile_parts(words[begin:begin + n], item, np.unique(places), size)
+            covered = sum(t[2] for t in tiles)
+            if covered >= least * len(item):
+                yield d, owner, covered / len(item), tiles
+
+
 def find_items(batches: Iterable[pa.RecordBatch], sent: Broadcast, id_col: str, text_col: str, size: int, least: float,
                chunk_bytes: int) -> Iterator[pa.RecordBatch]:
     items: Items = sent.value
     for batch in slices(batches, text_col, chunk_bytes):
         ids = batch.column(id_col).cast(pa.int64()).to_pylist()
-        words, counts = plain_words(text_bytes(batch.column(text_col)))
-        if len(words) < size:
-            continue
-        ends = np.cumsum(counts)
-        at, rank = items.seed_hits(running_hashes(words, size))
-        doc = np.searchsorted(ends, at, side="right")
-        whole = at + size <= ends[doc]
-        at, rank, doc = at[whole], rank[whole], doc[whole]
-        rows = []
-        for d in np.unique(doc).tolist():
-            mine = doc == d
-            begin, n = int(ends[d] - counts[d]), int(counts[d])
-            for owner, places in _by_owner(items, at[mine] - begin, rank[mine]):
-                item = items.words[owner]
-                # seeds alone bound what tiles can cover
-                if len(np.unique(places)) == 0:
-                    continue
-                text = words[begin:begin + n]
-                tiles = _tile_parts(text, item, np.unique(places), size)
-                covered = sum(t[2] for t in tiles)
-                if covered >= least * len(item):
-                    rows.append((ids[d], int(items.ids[owner]), covered / len(item), tiles))
+        rows = [(ids[d], int(items.ids[owner]), share, tiles)
+                for d, owner, share, tiles in matches(text_bytes(batch.column(text_col)), items, size, least)]
         if rows:
             yield pa.record_batch([
                 pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
@@ -208,6 +251,20 @@ def _by_owner(items: Items, places: np.ndarray, rank: np.ndarray) -> Iterator[tu
             yield int(o[0]), p
 
 
+def _blocks(docs: DataFrame, benchmark: DataFrame, item_col: str, text_col: str, min_match: int,
+            block_bytes: int) -> Iterator[tuple[Broadcast, bool]]:
+    """The benchmark in blocks of at most about `block_bytes` of text, sent one at a time,
+    and whether there are several."""
+    items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item"),
+                             F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text")).filter("item is not null")
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks = 1 + 2 * total // block_bytes if total > block_bytes else 1
+    for k in range(blocks):
+        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).distinct().collect()
+        yield docs.sparkSession.sparkContext.broadcast(
+            Items.of([r[0] for r in rows], [r[1].encode() for r in rows], min_match)), blocks > 1
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text_col: str = "text", min_match: int = 5, least: float = 0.6,
                  block_bytes: int = 16 << 20, chunk_bytes: int = 2 << 20) -> DataFrame:
@@ -220,35 +277,46 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     Nulls: null texts are empty; items without an id are left out, documents without one
     keep a null. Items of fewer than `min_match` words cannot be told from chance and
-    match nothing. Repeated rows: a row each. Empty tables: no rows. Extra columns are
-    not read.
+    match nothing. Very long texts: a text and an item are compared in blocks of seeds, so
+    memory goes by their words, not by their repeats. Ties: see `tile`. Repeated rows: a row
+    each. Empty tables: no rows. Extra columns are not read.
     """
     ship(docs)
-    spark = docs.sparkSession
-    items = benchmark.select(F.col(f"`{item_col}`").cast("bigint").alias("item"),
-                             F.coalesce(F.col(f"`{item_text_col}`"), F.lit("")).alias("text")).filter("item is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + 2 * total // block_bytes if total > block_bytes else 1
     docs = docs.select(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     found = None
-    for k in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).distinct().collect()
-        sent = spark.sparkContext.broadcast(Items.of([r[0] for r in rows], [r[1].encode() for r in rows], min_match))
+    for sent, several in _blocks(docs, benchmark, item_col, item_text_col, min_match, block_bytes):
         part = docs.mapInArrow(
             lambda b, sent=sent: find_items(b, sent, id_col, text_col, min_match, least, chunk_bytes), FOUND)
-        if blocks > 1:  # one block at a time on the driver and the executors
+        if several:  # one block at a time on the driver and the executors
             part = cut_lineage(part)
             sent.destroy()
         found = part if found is None else found.union(part)
     return found
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """`docs` without the rows whose text covers a benchmark item; same columns. Rows with
-    equal text share their fate, so the verdict is joined by a hash of the text."""
-    key = "__text_key"
-    while key in (c.lower() for c in docs.columns):
-        key += "_"
-    hashed = docs.withColumn(key, F.xxhash64(F.col(f"`{text_col}`")))
-    bad = contaminated(hashed, benchmark, key, text_col, **options).select(F.col("doc_id").alias(key)).distinct()
-    return hashed.join(bad, key, "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
+                  item_text_col: str = "text", min_match: int = 5, least: float = 0.6, block_bytes: int = 16 << 20,
+                  chunk_bytes: int = 2 << 20) -> DataFrame:
+    """`docs` without the rows whose text covers a benchmark item (see `contaminated`); same
+    columns. Only texts go through Python, and a flag comes back; rows never move."""
+    ship(docs)
+    for sent, several in _blocks(docs, benchmark, item_col, item_text_col, min_match, block_bytes):
+        docs = docs.filter(~_holds_item(sent, min_match, least, chunk_bytes)(F.col(f"`{text_col}`")))
+        if several:
+            docs = cut_lineage(docs)
+            sent.destroy()
+    return docs
+
+
+def _holds_item(sent: Broadcast, size: int, least: float, chunk_bytes: int):
+    @F.arrow_udf(returnType="boolean")
+    def holds_item(texts: pa.Array) -> pa.Array:
+        found = [np.zeros(0, bool)]
+        for part in slices([pa.record_batch([texts], names=["text"])], "text", chunk_bytes):
+            held = np.zeros(part.num_rows, bool)
+            for row, *_ in matches(text_bytes(part.column("text")), sent.value, size, least):
+                held[row] = True
+            found.append(held)
+        return pa.array(np.concatenate(found))
+
+    return holds_item
