@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,14 +13,14 @@ import corpus_pipeline
 from check import compare
 from llm_cases import SF, awkward, nothing  # noqa: F401
 from tidewright.llm.queries import QUERIES, SQL
-from tidewright.llm.simhash import keep_one_of_each, similar_links
+from tidewright.llm.simhash import LINK, HeldSets, keep_one_of_each, similar_links
 
 WORD = r"[^\x20\x09-\x0D]+"
 
 
 def test_every_query_is_registered():
     assert set(QUERIES) <= set(entry.queries()) and "pipeline" in entry.queries()
-    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 11))
+    assert {int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -189,3 +190,20 @@ def test_a_repeated_line_hides_no_copy(spark):
     assert left_by_brute_force(rows) == set(range(0, 60, 2))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     assert {r.doc_id for r in keep_one_of_each(docs).collect()} == set(range(0, 60, 2))
+
+
+def test_sets_are_compared_as_one_by_one():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(0, 30)).astype("<u4")) for _ in range(60)]
+    nodes = rng.permutation(1000)[:60].astype(np.int64) - 500
+    links = np.zeros(800, LINK)
+    links["a"], links["b"] = nodes[rng.integers(0, 60, 800)], nodes[rng.integers(0, 60, 800)]
+    own = dict(zip(nodes.tolist(), sets))
+    want = []
+    for a, b in links.tolist():
+        both = len(np.intersect1d(own[a], own[b]))
+        if both >= 0.3 * (len(own[a]) + len(own[b]) - both) - 1e-9:
+            want.append((a, b))
+    held = HeldSets(nodes, sets)
+    assert sorted(held.alike(links, 0.3).tolist()) == sorted(want) and len(want) > 100
+    assert sorted(held.alike(links, 0.3, most=1).tolist()) == sorted(want)

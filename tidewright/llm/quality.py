@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import IS_SPACE, ship, slices, text_bytes, with_fields, without, word_spans
+from .common import IS_SPACE, fresh, ship, slices, text_bytes, with_fields, without, word_spans
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[[ord(c) for c in "#*$%&|<>"]] = True
@@ -189,7 +189,7 @@ def judged(stats: DataFrame, model: VoteModel, rules: list[QualityRule] = RULES,
 def filter_quality(docs: DataFrame, text_col: str = "text", model: VoteModel | None = None, rules: list[QualityRule] = RULES,
                    threshold: float = 0.5) -> DataFrame:
     """The rows of `docs` that are kept, with its columns. Texts are read twice, once for
-    the votes and once to filter; rows never move.
+    the votes and once to filter; only texts go through Python, and their numbers come back.
 
     Nulls: a null text has no words and goes; other columns do not matter. Repeated rows:
     equal texts get equal verdicts. Empty table: no rows. Clashing names cannot occur:
@@ -198,20 +198,16 @@ def filter_quality(docs: DataFrame, text_col: str = "text", model: VoteModel | N
     ship(docs)
     if model is None:
         model = learn(statistics(docs.select(F.col(f"`{text_col}`").alias("text"))), rules)
-    numbers = "__text_numbers"
-    while numbers in (c.lower() for c in docs.columns):
-        numbers += "_"
-    schema = with_fields(docs, f"`{numbers}` struct<{', '.join(f'{s}: bigint' for s in STATS)}>")
+    numbers = fresh(docs, "__text_numbers")
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text_col, 4 << 20):
-            found = np.array([measure(t) for t in text_bytes(batch.column(text_col))], np.int64).reshape(-1, len(STATS))
-            column = pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(len(STATS))], names=STATS)
-            yield pa.record_batch([*batch.columns, column], names=[*batch.schema.names, numbers])
+    @F.arrow_udf(returnType=f"struct<{', '.join(f'{s}: bigint' for s in STATS)}>")
+    def measured(texts: pa.Array) -> pa.Array:
+        found = np.array([measure(t) for t in text_bytes(texts)], np.int64).reshape(-1, len(STATS))
+        return pa.StructArray.from_arrays([pa.array(found[:, k]) for k in range(len(STATS))], names=STATS)
 
     inside = [QualityRule(r.name, _within(r.bad, numbers), _within(r.good, numbers)) for r in rules]
     keep = ~F.expr(_within(BASE_FAILED, numbers)) & (model.posterior(votes(inside)) >= threshold)
-    return docs.mapInArrow(run, schema).filter(keep).drop(numbers)
+    return docs.withColumn(numbers, measured(F.col(f"`{text_col}`"))).filter(keep).drop(numbers)
 
 
 def _within(condition: str, struct: str) -> str:

@@ -13,7 +13,7 @@ exceed the radius.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -21,7 +21,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from .common import (PIECES, U, by_bucket, cut_lineage, dealt, fresh, gathered, mixed, ship, slices, text_bytes, with_fields,
+from .common import (PIECES, U, by_bucket, cut_lineage, dealt, fresh, gathered, mixed, pieces, ship, slices, text_bytes, with_fields,
                      without)
 from .graph import components
 
@@ -421,8 +421,22 @@ def crowd_links(nodes: DataFrame, radius: int, similarity: float, crowd: int = 6
     return by_bucket(keyed).mapInArrow(join, "a bigint, b bigint").distinct()
 
 
+PAIRS, ASKED, SETS = 1, 2, 0
+
+
 def similar_links(nodes: DataFrame, radius: int, similarity: float, block: int = 20_000, bucket_rows: int = 20_000) -> DataFrame:
-    """(a, b): all pairs of nodes of different labels that share a key, differ in at most
+    """(a, b): the pairs of `similar_pairs` as rows, each once."""
+    def unpack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob in batch.column("blob").to_pylist():
+                yield _told(np.frombuffer(blob, LINK))
+
+    packed = similar_pairs(nodes, radius, similarity, block, bucket_rows).filter(F.col("kind") == PAIRS)
+    return packed.mapInArrow(unpack, "a bigint, b bigint").distinct()
+
+
+def similar_pairs(nodes: DataFrame, radius: int, similarity: float, block: int = 20_000, bucket_rows: int = 20_000) -> DataFrame:
+    """Per bucket, packed (PAIRS) and with the nodes they are of (ASKED): all pairs of nodes of different labels that share a key, differ in at most
     `radius` bits of the fingerprint and whose sketches do not speak against the similarity;
     to be checked. `nodes` has node, bits, keys (an array), sketch and label: nodes of one
     label are linked already.
@@ -457,7 +471,7 @@ def similar_links(nodes: DataFrame, radius: int, similarity: float, block: int =
                 yield from dealt(0, (members["key"] % U(buckets)).astype(np.int64), members)
 
     def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in gathered(batches):
+        for bucket, rows in gathered(batches):
             members, new, sizes = _groups(np.frombuffer(b"".join(blob for _, blob in rows), MEMBER))
             # the largest label of each key comes last and does not ask itself
             of = np.repeat(np.arange(len(new)), sizes)
@@ -470,15 +484,88 @@ def similar_links(nodes: DataFrame, radius: int, similarity: float, block: int =
             members = members[order]
             last = np.repeat(members["label"][new + sizes - 1], sizes)
             silent = members["label"] == last
+            asked = np.zeros(len(members), bool)
             for pairs in links_of(members["bits"], members["key"], 0, radius, places=True, silent=silent):
                 x, y = pairs["a"].astype(np.int64), pairs["b"].astype(np.int64)
                 apart = members["label"][x] != members["label"][y]
                 x, y = x[apart], y[apart]
                 close = likeness(members["sketch"][x], members["sketch"][y]) >= loose
-                yield _told(_ordered(members["node"][x[close]], members["node"][y[close]]))
+                x, y = x[close], y[close]
+                asked[x] = asked[y] = True
+                if len(x):
+                    yield pieces([(bucket, PAIRS, np.unique(_ordered(members["node"][x], members["node"][y])).tobytes())])
+            if asked.any():
+                yield pieces([(bucket, ASKED, np.unique(members["node"][asked]).tobytes())])
 
     keyed = nodes.select("node", "bits", "keys", "sketch", "label").mapInArrow(deal, PIECES)
-    return by_bucket(keyed).mapInArrow(compare, "a bigint, b bigint").distinct()
+    return by_bucket(keyed).mapInArrow(compare, PIECES)
+
+
+def links_that_hold(packed: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """(a, b): the pairs of `similar_pairs` whose sets of hashes have at least the similarity;
+    `sets_of` gives (node, grams) for a table of nodes. A set goes once to each bucket that asks for it, and pairs
+    never become rows before they hold, so a crowd costs its members in rows."""
+    def nodes_asked(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, blob in zip(batch.column("bucket").to_pylist(), batch.column("blob").to_pylist()):
+                nodes = pa.array(np.frombuffer(blob, "<i8"))
+                yield pa.record_batch([pa.array(np.full(len(nodes), bucket, np.int32)), nodes], names=["bucket", "node"])
+
+    def verify(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in gathered(batches):
+            known, grams = [], []
+            held: HeldSets | None = None
+            for kind, blob in rows:
+                if kind == SETS:
+                    known.append(int(np.frombuffer(blob, "<i8", 1)[0]))
+                    grams.append(np.frombuffer(blob, "<u4", offset=8))
+                    continue
+                held = held or HeldSets(np.array(known, np.int64), grams)
+                yield _told(held.alike(np.frombuffer(blob, LINK), similarity))
+
+    def with_node(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "grams", 4 << 20):
+            yield pieces((bucket, SETS, node.to_bytes(8, "little", signed=True) + grams) for bucket, node, grams in
+                         zip(*(batch.column(c).to_pylist() for c in ("bucket", "node", "grams"))))
+
+    asked = packed.filter(F.col("kind") == ASKED).select("bucket", "blob").mapInArrow(nodes_asked, "bucket int, node bigint")
+    asked = cut_lineage(asked)
+    given = asked.join(sets_of(asked.select("node")), "node").mapInArrow(with_node, PIECES)
+    pairs = packed.filter(F.col("kind") == PAIRS)
+    return by_bucket(given.union(pairs)).mapInArrow(verify, "a bigint, b bigint").distinct()
+
+
+class HeldSets:
+    """Sets of hashes of some nodes, to compare many pairs of them."""
+
+    def __init__(self, nodes: np.ndarray, sets: list[np.ndarray]):
+        order = np.argsort(nodes)
+        self.nodes = nodes[order]
+        self.sizes = np.array([len(sets[k]) for k in order], np.int64)
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        known, self.numbers = np.unique(np.concatenate([sets[k] for k in order]), return_inverse=True)
+        self.mark = np.zeros(len(known), np.int32)
+
+    def alike(self, links: np.ndarray, similarity: float, most: int = 1 << 20) -> np.ndarray:
+        """The links whose sets have at least the similarity; the set of one end is marked,
+        and the sets of all its others are counted against the marks."""
+        links = links[np.argsort(links["a"], kind="stable")]
+        a, b = np.searchsorted(self.nodes, links["a"]), np.searchsorted(self.nodes, links["b"])
+        both = np.zeros(len(links), np.int64)
+        cuts = np.append(np.flatnonzero(np.diff(a, prepend=-1)), len(a))
+        for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            own = self.numbers[self.begins[a[lo]]:self.begins[a[lo]] + self.sizes[a[lo]]]
+            self.mark[own] = 1
+            while lo < hi:
+                stop = min(hi, lo + max(1, most // max(1, int(self.sizes[b[lo:hi]].max()))))
+                n = self.sizes[b[lo:stop]]
+                at = np.cumsum(n) - n
+                flat = np.repeat(self.begins[b[lo:stop]] - at, n) + np.arange(n.sum())
+                total = np.append(0, np.cumsum(self.mark[self.numbers[flat]]))
+                both[lo:stop] = total[at + n] - total[at]
+                lo = stop
+            self.mark[own] = 0
+        return links[both >= similarity * (self.sizes[a] + self.sizes[b] - both) - 1e-9]
 
 
 def checked_links(pairs: DataFrame, sets: DataFrame, similarity: float, chunk_bytes: int = 4 << 20) -> DataFrame:
@@ -539,15 +626,18 @@ def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     nodes = cut_lineage(known.select("node", "id", "bits", "keys", "sketch").join(firsts, ["node", "id"]).dropDuplicates(["node"]))
 
     def checked(pairs: DataFrame) -> DataFrame:
-        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "id"), "node")
-        sets = cut_lineage(known.select("node", "id", "grams").join(asked, ["node", "id"]).dropDuplicates(["node"]))
-        return cut_lineage(checked_links(pairs, sets, similarity))
+        return cut_lineage(checked_links(pairs, sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node"))), similarity))
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        first = asked.distinct().join(nodes.select("node", "id"), "node")
+        return cut_lineage(known.select("node", "id", "grams").join(first, ["node", "id"]).dropDuplicates(["node"]))
 
     trees = checked(cut_lineage(crowd_links(nodes, radius, similarity)))
     labels = components(trees).withColumnRenamed("node", "linked")
     labelled = cut_lineage(nodes.join(labels, F.col("node") == F.col("linked"), "left").select(
         "node", "bits", "keys", "sketch", F.coalesce("root", "node").alias("label")))
-    links = trees.unionByName(checked(cut_lineage(similar_links(labelled, radius, similarity))))
+    packed = cut_lineage(similar_pairs(labelled, radius, similarity))
+    links = trees.unionByName(links_that_hold(packed, sets_of, similarity))
     roots = components(cut_lineage(links)).withColumnRenamed("node", "linked")
     best = (nodes.select("node", "id").join(roots, F.col("node") == F.col("linked"), "left")
             .groupBy(F.coalesce("root", "node").alias("group")).agg(F.min(F.struct("id", "node")).alias("best"))
