@@ -17,19 +17,29 @@ from tidewright.llm.queries import TOKENIZERS, table
 from tidewright.llm.simhash import keep_one_of_each
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python in batches of a few MB: what a worker holds at once, and what the
+    JVM holds for it, follow from that."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts that fail the base rules or are junk by the weighed votes go."""
+    small_batches(spark)
     return filter_quality(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies, the document of the smallest id stays."""
+    small_batches(spark)
     return keep_one_of_each(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words in windows that stand elsewhere too are cut from the texts; a document keeps
     its row even if no word is left, and n_chars follows its text."""
+    small_batches(spark)
     words, spans, kept = (fresh(docs, name) for name in ("__words", "__spans", "__kept"))
     found = remove_repeated_words(docs, words_col=words, spans_col=spans, kept_col=kept)
     new = {"text": F.col(kept), "n_chars": F.length(kept).cast("bigint")}
@@ -39,11 +49,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    small_batches(spark)
     return decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with the length and a digest of what they decode to."""
+    small_batches(spark)
     return encode_decode(docs, f"{TOKENIZERS}/word_bpe_49k.json").select(
         "doc_id", "lang", "source", F.size("token_ids").cast("bigint").alias("n_tokens"), "token_ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
