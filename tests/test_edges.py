@@ -13,11 +13,14 @@ from tidewright.operators.correlate import interval_correlate, proximity_pairs
 from tidewright.operators.decode import reassemble_parts
 from tidewright.operators.enrich import zone_containment
 from tidewright.operators.final import changes, merge_into, top_n
+from tidewright.operators.fuse import fuse_measurements
 from tidewright.operators.ingest import dedup
 from tidewright.operators.validate import check_motion
+from tidewright.operators.xml import to_xml_column
 from tidewright.session import exists, remove, scratch
 from tidewright.sources.readers import content_id
-from tidewright.sources.sinks import deliver, read_deliveries, write_final
+from tidewright.sources.staged import deliver_staged, published, read_staged, sweep
+from tidewright.sources.sinks import deliver, read_deliveries, write_final, write_xml, xml_ready
 
 T0 = datetime(2024, 1, 1)
 SCHEMA = "id long, p string, v long, version int"
@@ -140,3 +143,51 @@ def test_small_edges(spark):
     assert [r["rank"] for r in top_n(twice, [], ["k", "t"], 2).collect()] == [1, 2]
     times = lambda us: spark.createDataFrame([(1, T0 + timedelta(microseconds=us))], "k long, ts timestamp")
     assert rows(changes(times(123_456), times(123_999), ["k"])) == [(1, "altered")]
+
+
+def test_measurements_that_are_no_numbers_do_not_count(spark):
+    df = spark.createDataFrame([(1, datetime(2024, 1, 1), v, c) for v, c in
+                                ((1.0, 90.0), (float("nan"), float("nan")), (float("inf"), float("-inf")), (1e300, 90.0), (3.0, None))],
+                               "k int, ts timestamp, v double, c double")
+    r = fuse_measurements(df, "k", "ts", "1 day", {"v": 0.01}, ["c"]).first()
+    assert (r.n_rows, r.v, round(r.c, 6)) == (5, 2.0, 90.0)
+
+
+def test_texts_that_xml_cannot_hold(spark, tmp_path):
+    texts = ["plain", "a\x01b", "\x00", "tab\tline\nend", "￾￿", "🙂 é", None, "<&>\x0b\x1f"]
+    clean = ["plain", "a�b", "�", "tab\tline\nend", "��", "🙂 é", None, "<&>��"]
+    df = spark.createDataFrame([(k, t, [t], (t,), {"k": t}) for k, t in enumerate(texts)],
+                               "id int, name string, many array<string>, one struct<x: string>, by map<string, string>")
+    path = str(tmp_path / "xml")
+    write_xml(df.select("id", "name"), path, "rows", "row")
+    back = spark.read.format("xml").schema("id int, name string").option("rowTag", "row").option("ignoreSurroundingSpaces", "false").load(path)
+    assert rows(back) == sorted(zip(range(8), clean))
+    safe = xml_ready(df).collect()
+    assert [(r.name, r.many, r.one.x, r.by["k"]) for r in safe] == [(t, [t], t, t) for t in clean]
+    assert to_xml_column(df, ["id", "name"], "row").filter("xml is null").count() == 0
+
+
+def test_a_failed_delivery_leaves_nothing(spark, tmp_path):
+    import os
+    path = str(tmp_path / "staged")
+    good = spark.range(0, 20_000, 1, 4).withColumn("v", F.col("id") * 2)
+    # one task fails after it has written most of its rows; the others may have finished
+    bad = good.withColumn("v", F.when(F.col("id") == 19_999, F.raise_error("broken")).otherwise(F.col("v")).cast("long"))
+    with pytest.raises(Exception):
+        deliver_staged(bad, path, "a/b 1")
+    assert published(path) == [] and read_staged(spark, path, "id long, v long").count() == 0
+    sweep(path)  # a task that was killed while the others were being undone may have left its file
+    assert [f for _, _, names in os.walk(path) for f in names] == []
+    deliver_staged(good, path, "a/b 1")
+    deliver_staged(good.limit(5), path, "a/b 1")  # published already
+    deliver_staged(good.filter("id < 0"), path, "empty")
+    back = read_staged(spark, path, "id long, v long")
+    assert rows(back.select("id", "v")) == rows(good) and back.select("batch_id").distinct().collect()[0][0] == "a/b 1"
+    assert [(p["batch_id"], p["rows"]) for p in published(path)] == [("a/b 1", 20_000), ("empty", 0)]
+    # what a killed driver left is not read, and goes when swept
+    os.makedirs(f"{path}/data/dead")
+    with open(f"{path}/data/dead/x.parquet", "wb") as out:
+        out.write(b"half a file")
+    assert read_staged(spark, path, "id long, v long").count() == 20_000
+    assert sweep(path) == 1 and sweep(path) == 0
+    assert read_staged(spark, path, "id long, v long").count() == 20_000

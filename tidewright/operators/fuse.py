@@ -46,16 +46,18 @@ def fuse_measurements(df: DataFrame, key: str, ts: str, step: str, means: Mappin
     `means` names each value's unit (0.01 = two decimals); sums are taken over
     whole units, and over sines and cosines in steps of 1e-9, so the result does
     not depend on the order rows arrive in. `circular` values are degrees. Rows
-    with a null value do not count for that value; `weight` is a whole number.
+    with a null value do not count for that value, nor do values that are no number, infinite
+    or beyond 64 bits of units; `weight` is a whole number.
     """
     w = F.col(weight).cast("bigint") if weight else F.lit(1).cast("bigint")
     sums = [F.count(F.lit(1)).alias("n_rows")]
     for c, unit in means.items():
-        sums.append(F.sum(w * F.round(F.col(c) / unit).cast("bigint")).alias(f"__s_{c}"))
-        sums.append(F.sum(F.when(F.col(c).isNotNull(), w)).alias(f"__w_{c}"))
+        units = F.round(F.col(c) / unit).try_cast("bigint")
+        sums.append(F.sum(w * units).alias(f"__s_{c}"))
+        sums.append(F.sum(F.when(units.isNotNull(), w)).alias(f"__w_{c}"))
     for c in circular:
         for name, fn in (("y", F.sin), ("x", F.cos)):
-            sums.append(F.sum(w * F.round(fn(F.radians(c)) * 1e9).cast("bigint")).alias(f"__{name}_{c}"))
+            sums.append(F.sum(w * F.round(fn(F.radians(c)) * 1e9).try_cast("bigint")).alias(f"__{name}_{c}"))
     out = df.groupBy(key, F.window(ts, step).alias("__w")).agg(*sums)
     cols = [F.col(key), F.col("__w.start").alias("bucket_start"), F.col("n_rows")]
     cols += [(F.try_divide(F.col(f"__s_{c}").cast("double"), F.col(f"__w_{c}").cast("double")) * u).alias(c)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ..sources.readers import content_id
 
 
 def first_rows(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
@@ -23,11 +25,22 @@ def dedup(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column] = ()
     return first_rows(df, keys, order or [c for c in df.columns if c not in keys] or list(keys))
 
 
-def checksum(cols: Sequence[str]) -> Column:
-    """Order-free sum of row hashes: equal row multisets give equal sums, and a
-    repeated row does not cancel itself out."""
-    total = F.sum(F.xxhash64(*cols).cast("decimal(38,0)"))
-    return F.pmod(total, F.lit(2 ** 63 - 1).cast("decimal(38,0)")).cast("bigint")
+BITS = 60  # of each row's SHA-256: fifteen hex digits, so that any engine can add them up
+
+
+def row_number(df: DataFrame) -> Column:
+    """A number for a row: the leading 60 bits of the SHA-256 of its columns as texts, times
+    as microseconds."""
+    times = (T.TimestampType, T.TimestampNTZType)
+    texts = [F.unix_micros(F.col(f"`{f.name}`").cast("timestamp")) if isinstance(f.dataType, times) else F.col(f"`{f.name}`")
+             for f in df.schema.fields]
+    return F.conv(F.substring(content_id(texts), 1, BITS // 4), 16, 10).cast("decimal(38,0)")
+
+
+def checksum(total: Column) -> Column:
+    """Order-free: equal row multisets give equal sums of row numbers, and a repeated row
+    does not cancel itself out."""
+    return F.pmod(total.cast("decimal(38,0)"), F.lit(2 ** BITS).cast("decimal(38,0)")).cast("bigint")
 
 
 def source_inventory(df: DataFrame, by: Sequence[str], ts: str, entity: str,
@@ -39,10 +52,9 @@ def source_inventory(df: DataFrame, by: Sequence[str], ts: str, entity: str,
     """
     inner = [F.count(F.lit(1)).alias("n"), F.min(ts).alias("a"), F.max(ts).alias("b")]
     if with_checksum:
-        inner.append(F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("h"))
+        inner.append(F.sum(row_number(df)).alias("h"))
     outer = [F.sum("n").alias("n_rows"), F.min("a").alias("first_ts"), F.max("b").alias("last_ts"),
              F.count(entity).alias("n_entities")]
     if with_checksum:
-        outer.append(F.pmod(F.sum("h").cast("decimal(38,0)"), F.lit(2 ** 63 - 1).cast("decimal(38,0)"))
-                     .cast("bigint").alias("checksum"))
+        outer.append(checksum(F.sum("h")).alias("checksum"))
     return df.groupBy(*by, entity).agg(*inner).groupBy(*by).agg(*outer)

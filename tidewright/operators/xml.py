@@ -8,15 +8,17 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.ordered import row_numbers
 from ..functions.skew import DEFAULT_HOT, Hot
-from ..sources.sinks import XML_TIMES
+from ..sources.sinks import XML_TIMES, xml_safe
 
 CORRUPT = "_corrupt"
 
 
 def to_xml_column(df: DataFrame, cols: Sequence[str], row_tag: str, out: str = "xml") -> DataFrame:
     """Adds the row as one XML element, children in the given order; a null is an
-    absent element. One line per element, without padding."""
-    text = F.to_xml(F.struct(*cols), {"rowTag": row_tag, **XML_TIMES})
+    absent element. One line per element, without padding. Characters that XML cannot
+    hold become U+FFFD."""
+    safe = [xml_safe(F.col(f"`{c}`"), df.schema[c].dataType).alias(c) for c in cols]
+    text = F.to_xml(F.struct(*safe), {"rowTag": row_tag, **XML_TIMES})
     return df.withColumn(out, F.regexp_replace(text, r">\s+<", "><"))
 
 

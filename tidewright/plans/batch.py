@@ -26,7 +26,7 @@ from ..operators.validate import Rule, apply_rules, split_quarantine
 from ..operators.xml import check_xml, to_xml_column
 from ..schemas import LEDGER
 from ..sources.readers import content_id, envelope
-from ..sources.sinks import XML_TIMES, write_final, write_split
+from ..sources.sinks import XML_TIMES, write_final, write_split, xml_ready
 
 CONTRACTS = os.path.join(os.path.dirname(__file__), "contracts")
 
@@ -128,7 +128,7 @@ def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
     checked = check_xml(elements, "xml", ENTITY, contract, row_tag).select("entity_key", "digest", "xml", "doc", "error")
     valid, invalid = write_split(checked, f"{out}/_checked", F.col("error").isNull())
     deliver(valid.select("entity_key", "digest", "xml"), f"{out}/xml", batch_id)
-    deliver(valid.select("doc.*"), f"{out}/documents", batch_id, "xml", rootTag=root_tag, rowTag=row_tag, **XML_TIMES)
+    deliver(xml_ready(valid.select("doc.*")), f"{out}/documents", batch_id, "xml", rootTag=root_tag, rowTag=row_tag, **XML_TIMES)
     deliver(invalid.drop("doc", "digest"), f"{out}/refused", batch_id)
     sent = spark.read.parquet(f"{out}/xml/batch_id={batch_id}")
     deliver(manifest(sent, [], batch_id).drop("batch_id"), f"{out}/manifest", batch_id)

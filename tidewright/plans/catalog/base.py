@@ -94,3 +94,9 @@ def plain_times(df: DataFrame) -> DataFrame:
     """Instants back to the tables' timestamp type."""
     return df.select(*[F.col(f.name).cast("timestamp_ntz").alias(f.name)
                        if f.dataType.typeName() == "timestamp" else F.col(f.name) for f in df.schema.fields])
+
+
+# The checksum of rows of events, as the operators take it
+EVENT_SUM = """CAST(sum(CAST('0x' || substr(sha256(concat_ws('|', length(event_id::VARCHAR) || ':' || event_id, length(epoch_us(ts)::VARCHAR) || ':' || epoch_us(ts),
+        length(user_id::VARCHAR) || ':' || user_id, length(event_type) || ':' || event_type, length(value::VARCHAR) || ':' || value::VARCHAR,
+        length(props) || ':' || props)), 1, 15) AS BIGINT)) % (CAST(1 AS HUGEINT) << 60) AS BIGINT)"""

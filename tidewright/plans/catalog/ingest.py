@@ -5,7 +5,7 @@ from ...schemas import EVENTS
 from ...session import scratch
 from ...sources.readers import envelope, read_source
 from ...streaming.run import run_available
-from .base import event_stream, events, feed, plain_times, query, table
+from .base import EVENT_SUM, event_stream, events, feed, plain_times, query, table
 
 ALL_EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
@@ -97,7 +97,9 @@ def inventory(spark, sf):
     return source_inventory(seen, ["source"], "ts", "user_id", with_checksum=False)
 
 
-@query("source_inventory_checksum")
+@query("source_inventory_checksum", f"""
+    SELECT event_type AS source, count(*) AS n_rows, min(ts) AS first_ts, max(ts) AS last_ts,
+           count(DISTINCT user_id) AS n_entities, {EVENT_SUM} AS checksum FROM events GROUP BY 1""")
 def inventory_checksum(spark, sf):
     seen = events(spark, sf).withColumnRenamed("event_type", "source")
     return source_inventory(seen, ["source"], "ts", "user_id")

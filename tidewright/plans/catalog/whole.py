@@ -94,3 +94,19 @@ def published_changes(spark, sf):
         publish(spark, path, out, batch)
     sent = read_deliveries(spark, f"{out}/documents", "xml", ENTITY, rowTag="entity", **XML_TIMES)
     return sent.select("entity_key", "name", "n_reports", "batch_id")
+
+
+ODD_NAME = "replace(name, 'Customer', 'Cust' || chr({mark}) || 'omer')"
+
+
+@query("publish_odd_texts", f"""
+    SELECT entity_key, CASE WHEN entity_key % 11 = 0 THEN {ODD_NAME.format(mark=65533)} ELSE name END AS name, n_reports
+    FROM ({PICTURE})""")
+def published_odd_texts(spark, sf):
+    """Every 11th name holds a control character that XML has no way to write: the rest of
+    the batch goes out all the same, and these with the replacement character."""
+    final, out = scratch(spark, "final"), scratch(spark, "out")
+    odd = F.when(F.col("entity_key") % 11 == 0, F.expr(ODD_NAME.format(mark=1))).otherwise(F.col("name"))
+    store(entity_picture(spark, sf).withColumn("name", odd), final)
+    publish(spark, final, out, "b1")
+    return read_deliveries(spark, f"{out}/documents", "xml", ENTITY, rowTag="entity", **XML_TIMES).select("entity_key", "name", "n_reports")

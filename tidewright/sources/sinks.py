@@ -39,14 +39,50 @@ XML_TIMES = {
 }
 
 
+# Fixed pattern: characters that XML 1.0 cannot hold, however they are written
+NOT_XML = r"[^\x09\x0A\x0D\x{20}-\x{D7FF}\x{E000}-\x{FFFD}\x{10000}-\x{10FFFF}]"
+
+
+def xml_safe(value: Column, kind: T.DataType) -> Column:
+    """The value with every character that XML cannot hold, in texts at any depth, put as
+    U+FFFD; other values as they are."""
+    if isinstance(kind, T.StringType):
+        return F.regexp_replace(value, NOT_XML, "\uFFFD")
+    if isinstance(kind, T.ArrayType) and _has_text(kind):
+        return F.transform(value, lambda x: xml_safe(x, kind.elementType))
+    if isinstance(kind, T.StructType) and _has_text(kind):
+        fields = [xml_safe(value.getField(f.name), f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(kind, T.MapType) and _has_text(kind):
+        return F.transform_values(value, lambda _, x: xml_safe(x, kind.valueType))
+    return value
+
+
+def _has_text(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _has_text(kind.elementType)
+    if isinstance(kind, T.MapType):
+        return _has_text(kind.valueType)
+    if isinstance(kind, T.StructType):
+        return any(_has_text(f.dataType) for f in kind.fields)
+    return isinstance(kind, T.StringType)
+
+
+def xml_ready(df: DataFrame) -> DataFrame:
+    """Rows that the XML writer takes without an error: one bad character in one text would
+    end the whole job."""
+    return df.select(*[xml_safe(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
+
+
 def write_xml(df: DataFrame, path: str, root_tag: str, row_tag: str) -> None:
-    (df.write.mode("overwrite").format("xml")
+    """XML files; characters that XML cannot hold become U+FFFD."""
+    (xml_ready(df).write.mode("overwrite").format("xml")
        .options(rootTag=root_tag, rowTag=row_tag, **XML_TIMES).save(path))
 
 
 def stream_xml(df: DataFrame, path: str, root_tag: str, row_tag: str, checkpoint: str):
     """Started query that appends XML files; run it with the available data."""
-    return (df.writeStream.format("xml").outputMode("append")
+    return (xml_ready(df).writeStream.format("xml").outputMode("append")
             .options(rootTag=root_tag, rowTag=row_tag, checkpointLocation=checkpoint, **XML_TIMES)
             .trigger(availableNow=True).start(path))
 
