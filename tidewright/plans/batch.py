@@ -18,13 +18,13 @@ from ..functions.skew import DEFAULT_HOT, HotKeys
 from ..functions.timecols import micros
 from ..operators.correlate import asof_within
 from ..operators.decode import parse_document, route_rejects
-from ..operators.deliver import deliver, manifest, record_delivery, undelivered
+from ..operators.deliver import deliver, manifest
 from ..operators.enrich import lookup
 from ..operators.fuse import fuse_attributes
+from ..operators.ledger import Ledger
 from ..operators.normalize import conform
 from ..operators.validate import Rule, apply_rules, split_quarantine
 from ..operators.xml import check_xml, to_xml_column
-from ..schemas import LEDGER
 from ..sources.readers import content_id, envelope
 from ..sources.sinks import XML_TIMES, write_final, write_split, xml_ready
 
@@ -106,30 +106,30 @@ def publish(spark: SparkSession, final_path: str, out: str, batch_id: str,
             root_tag: str = "entities") -> None:
     """Delivers the stored records that the ledger does not know, or knows with other
     content: XML files below `documents`, the same elements one a row below `xml`,
-    elements that break the contract below `refused`, and a manifest; the ledger last.
+    elements that break the contract below `refused`, keys that have left the table below
+    `withdrawn`, and a manifest; the ledger last. Of the ledger only ranges of keys in which
+    something differs are read (see `Ledger`).
 
     A run that dies before the ledger entry repeats the same batch; the same batch
     id replaces its folders. The elements are made and checked once, into
     `_checked`, and read back for the rest, so all outputs tell of the same rows.
     """
-    def ledger() -> DataFrame:
-        try:
-            known = spark.read.schema(LEDGER).option("basePath", f"{out}/ledger").parquet(f"{out}/ledger/batch_id=*")
-        except Exception as none_yet:
-            if "PATH_NOT_FOUND" not in str(none_yet):
-                raise
-            return spark.createDataFrame([], LEDGER)
-        return known.filter(F.col("batch_id") != batch_id)
-
+    ledger = Ledger(spark, f"{out}/ledger")
+    if ledger.is_folded(batch_id):  # long done, and later batches build on it
+        return
     stored = spark.read.parquet(final_path)
-    told = stored.withColumn("digest", content_id(ENTITY.names))
-    todo = undelivered(told, ledger(), "entity_key", digest="digest")
+    told = stored.withColumns({"digest": content_id(ENTITY.names), "record_key": F.col("entity_key").cast("string")})
+    changed = ledger.changes(told.select("record_key", "digest"), batch_id)
+    todo = told.join(changed.filter("new IS NOT NULL").select("record_key"), "record_key", "left_semi")
     elements = to_xml_column(todo, ENTITY.names, row_tag).select("entity_key", "digest", "xml")
     checked = check_xml(elements, "xml", ENTITY, contract, row_tag).select("entity_key", "digest", "xml", "doc", "error")
     valid, invalid = write_split(checked, f"{out}/_checked", F.col("error").isNull())
     deliver(valid.select("entity_key", "digest", "xml"), f"{out}/xml", batch_id)
     deliver(xml_ready(valid.select("doc.*")), f"{out}/documents", batch_id, "xml", rootTag=root_tag, rowTag=row_tag, **XML_TIMES)
     deliver(invalid.drop("doc", "digest"), f"{out}/refused", batch_id)
+    gone = changed.filter("new IS NULL")
+    deliver(gone.select("record_key", F.col("old").alias("digest")), f"{out}/withdrawn", batch_id)
     sent = spark.read.parquet(f"{out}/xml/batch_id={batch_id}")
     deliver(manifest(sent, [], batch_id).drop("batch_id"), f"{out}/manifest", batch_id)
-    record_delivery(sent, f"{out}/ledger", "entity_key", batch_id, digest="digest")
+    done = sent.select(F.col("entity_key").cast("string").alias("record_key"))
+    ledger.record(changed.join(done, "record_key", "left_semi").unionByName(gone), batch_id)

@@ -110,3 +110,23 @@ def published_odd_texts(spark, sf):
     store(entity_picture(spark, sf).withColumn("name", odd), final)
     publish(spark, final, out, "b1")
     return read_deliveries(spark, f"{out}/documents", "xml", ENTITY, rowTag="entity", **XML_TIMES).select("entity_key", "name", "n_reports")
+
+
+@query("publish_withdrawn", f"""
+    WITH picture AS ({PICTURE})
+    SELECT CAST(entity_key AS VARCHAR) AS record_key, 'sent' AS what, 'b1' AS batch_id FROM picture
+    UNION ALL SELECT CAST(entity_key AS VARCHAR), 'withdrawn', 'b2' FROM picture WHERE entity_key % 3 = 1
+    UNION ALL SELECT CAST(entity_key AS VARCHAR), 'sent', 'b2' FROM picture WHERE entity_key % 3 = 0
+    UNION ALL SELECT CAST(entity_key AS VARCHAR), 'sent', 'b4' FROM picture WHERE entity_key % 3 <> 2""")
+def published_withdrawn(spark, sf):
+    """Published; then a third of the records are gone and a third altered; then nothing is
+    new; then all is as at first. What is gone is withdrawn once, what comes back is sent."""
+    first, second, out = scratch(spark, "final"), scratch(spark, "final"), scratch(spark, "out")
+    store(entity_picture(spark, sf), first)
+    altered = F.when(F.col("entity_key") % 3 == 0, F.col("n_reports") + 1).otherwise(F.col("n_reports"))
+    store(spark.read.parquet(first).filter("entity_key % 3 <> 1").withColumn("n_reports", altered), second)
+    for path, batch in ((first, "b1"), (second, "b2"), (second, "b2"), (second, "b3"), (first, "b4")):
+        publish(spark, path, out, batch)
+    sent = read_deliveries(spark, f"{out}/xml").select(F.col("entity_key").cast("string").alias("record_key"), F.lit("sent").alias("what"), "batch_id")
+    gone = read_deliveries(spark, f"{out}/withdrawn").select("record_key", F.lit("withdrawn").alias("what"), "batch_id")
+    return sent.unionByName(gone)

@@ -95,6 +95,17 @@ def exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What a folder holds; nothing if there is none."""
+    files, place = _file_system(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.mkdirs(place)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Removes a folder and all in it."""
     files, place = _file_system(spark, path)
