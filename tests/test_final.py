@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewright import session
-from tidewright.operators.final import changes, period_sketch, period_summary, row_changes, top_n, upsert_final
+from tidewright.operators.final import changes, changes_blocks, merge_sketches, period_sketch, read_sketches, sketch_panes, period_summary, row_changes, top_n, upsert_final
 from tidewright.operators.fuse import conflicts, fuse_attributes, fuse_measurements
 from tidewright.operators.ingest import dedup, source_inventory
 from tidewright.operators.normalize import normalize_time
@@ -182,3 +182,32 @@ def test_publish_sends_what_is_new_and_holds_back_what_breaks_the_contract(spark
     publish(spark, final, out, "b2")
     assert sent("b2") == 1
     assert spark.read.parquet(f"{out}/manifest/batch_id=b1").first()["n_rows"] == fused.count() - 1
+
+
+def test_one_altered_row_costs_its_block(spark):
+    old = spark.range(200_000).select("id", (F.col("id") % 7).alias("v"), F.lit(None).cast("string").alias("t"))
+    new = old.withColumn("v", F.when(F.col("id") == 77, 99).otherwise(F.col("v"))).filter("id <> 5")
+    found = changes_blocks(old, new, ["id"])
+    assert rows(found) == [(5, "removed"), (77, "altered")]
+    assert rows(changes_blocks(old, old, ["id"])) == []
+    # rows that reach the join of whole rows: those of two blocks
+    plan = found._jdf.queryExecution()
+    assert "LeftSemi" in plan.toString()
+    alike = spark.createDataFrame([(None, 1), (1, None), (2, 2)], "k int, v int")
+    other = spark.createDataFrame([(None, 2), (1, None), (3, 2)], "k int, v int")
+    assert rows(changes_blocks(alike, other, ["k"])) == rows(changes(alike, other, ["k"]))
+
+
+def test_panes_merge_to_the_sketch_of_all(spark):
+    start = datetime(2024, 1, 1)
+    df = spark.range(20_000).select((F.col("id") % 3).alias("d"), (F.lit(start) + F.make_dt_interval(secs=F.col("id") * 10)).alias("ts"),
+                                    (F.col("id") * 7919 % 5000).alias("e"), (F.col("id") * 31 % 1000).cast("double").alias("v"))
+    panes = sketch_panes(df, "ts", 600, ["d"], "e", "v")
+    twice = panes.unionByName(panes)  # a pane told twice counts its rows twice, its entities once
+    day, again = (read_sketches(merge_sketches(p, 600, 86_400)).orderBy("period_start").collect() for p in (panes, twice))
+    exact = df.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count("*").alias("n"), F.countDistinct("e").alias("e")).orderBy("w").collect()
+    for a, b, x in zip(day, again, exact):
+        assert a.n_rows == x.n and b.n_rows == 2 * x.n and abs(a.n_entities - x.e) <= 0.03 * x.e and abs(b.n_entities - x.e) <= 0.03 * x.e
+        assert abs(a.quantiles[0] - 500) <= 30 and abs(a.quantiles[1] - 950) <= 30
+    with pytest.raises(ValueError):
+        merge_sketches(panes, 600, 1000)

@@ -6,9 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from tidewright.functions.geo import EARTH_M, haversine_m, wrap_course, wrap_lon
+from tidewright.functions.geo import EARTH_M, Quads, haversine_m, wrap_course, wrap_lon
 from tidewright.operators.correlate import best_match, interval_correlate, link_clusters, proximity_pairs
-from tidewright.operators.enrich import lookup, nearest_reference, zone_containment
+from tidewright.operators.enrich import lookup, nearest_any, nearest_reference, zone_containment, zone_containment_wide
 from tidewright.functions.skew import HotKeys
 from tidewright.schemas import ZONES
 
@@ -116,3 +116,82 @@ def test_lookup_refuses_or_reduces_repeated_reference_keys(spark):
     with pytest.raises(ValueError, match="not unique"):
         lookup(df, ref, ["k"], ["v"])
     assert rows(lookup(df, ref, ["k"], ["v"], "first", ["o"])) == [(None, None), (1, "a"), (2, None)]
+
+
+def plain_holds(ring, x, y):
+    inside = False
+    for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+        if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+            inside = not inside
+    return inside
+
+
+ZONE = "zone_id string, ring array<struct<x: double, y: double>>, min_x double, max_x double, min_y double, max_y double"
+
+
+def random_zones(rng):
+    found = []
+    for z in range(24):
+        size = rng.choice([0.001, 0.1, 5, 40, 150])
+        cx, cy = rng.uniform(-180, 180), rng.uniform(-88, 88)
+        n = rng.randint(3, 12)
+        ring = []
+        for k in range(n):  # a star shape, seldom convex
+            r, a = size * rng.uniform(0.2, 1), 2 * math.pi * k / n
+            ring.append((cx + r * math.cos(a), max(-90.0, min(90.0, cy + r * math.sin(a)))))
+        low = min(x for x, _ in ring)
+        ring = [(x + 360, y) if low < -180 else (x, y) for x, y in ring]  # on the turn where its box begins
+        if z % 5 == 0:
+            ring.append(ring[0])  # closed in so many words
+        found.append((f"z{z}", ring, min(x for x, _ in ring), max(x for x, _ in ring), min(y for _, y in ring), max(y for _, y in ring)))
+    return found
+
+
+def test_zones_of_all_sizes_beside_plain_rays(spark):
+    rng = random.Random(6)
+    zones = random_zones(rng)
+    points = [(k, rng.uniform(-90, 90), rng.uniform(-180, 180)) for k in range(1500)]
+    for z in zones:  # points in and around each zone, however small
+        for _ in range(12):
+            x, y = rng.uniform(z[2], z[3]), rng.uniform(z[4], z[5])
+            points.append((len(points), y, (x + 180) % 360 - 180))
+    points += [(9001, 90.0, 0.0), (9002, -90.0, 179.9), (9003, None, 1.0), (9004, 1.0, None), (9005, 10.0, 540.0), (9006, 89.99, -180.0)]
+    want = {(i, z[0]) for i, y, x in points if y is not None and x is not None for z in zones
+            if any(plain_holds(z[1], (x + 180) % 360 - 180 + t, y) for t in (0.0, 360.0))}
+    df = spark.createDataFrame(points, "obs_id int, lat double, lon double")
+    shapes = spark.createDataFrame([(*z[:1], [(float(a), float(b)) for a, b in z[1]], *z[2:]) for z in zones], ZONE)
+    for depth in (0, 3, 6):
+        assert {tuple(r) for r in zone_containment_wide(df, shapes, depth).collect()} == want
+    assert len(want) > 200
+
+
+def test_a_cover_goes_by_the_outline_not_by_the_size(spark):
+    def box(name, x, y, w, h):
+        ring = [(x, y), (x + w, y), (x + w, y + h), (x, y + h)]
+        edges = [(*a, *b) for a, b in zip(ring, ring[1:] + ring[:1])]
+        return name, edges, x, x + w, y, y + h
+    zones = spark.createDataFrame([box("harbour", 10.0, 50.0, 0.01, 0.01), box("ocean", -170.0, -60.0, 300.0, 120.0),
+                                   box("line", 170.0, -5.0, 20.0, 10.0)],
+                                  "zone_id string, edges array<struct<ax: double, ay: double, bx: double, by: double>>, "
+                                  "min_x double, max_x double, min_y double, max_y double")
+    cells = Quads.cover(zones, 6).groupBy("zone_id").agg(F.count("*").alias("n"), F.max(F.size("edges")).alias("e")).collect()
+    assert {r.zone_id for r in cells} == {"harbour", "ocean", "line"}
+    assert all(0 < r.n < 1500 and r.e <= 4 for r in cells)
+
+
+def test_nearest_however_far(spark):
+    rng = random.Random(9)
+    refs = [(k, rng.uniform(-90, 90), rng.uniform(-180, 180)) for k in range(30)] + [(100, 90.0, 0.0), (101, -90.0, 50.0), (102, 0.0, 180.0), (103, 0.0, -180.0)]
+    points = [(k, rng.uniform(-90, 90), rng.uniform(-180, 180)) for k in range(60)] + [
+        (900, 90.0, 10.0), (901, -90.0, 0.0), (902, 0.0, 179.999), (903, 0.0, -179.999), (904, None, 1.0)]
+    df = spark.createDataFrame(points, "obs_id int, lat double, lon double")
+    ref = spark.createDataFrame(refs, "ref_id int, lat double, lon double")
+    want = set()
+    for i, la, lo in points:
+        if la is not None:
+            order = sorted((round(metres((la, lo), (b, c)), 3), r) for r, b, c in refs)
+            want |= {(i, d) for d, _ in order[:3]}
+    found = nearest_any(df, ref, 3, start_m=50_000.0).collect()
+    assert {(r.obs_id, round(r.dist_m, 3)) for r in found} == want and len(found) == 3 * 64
+    few = nearest_any(df, ref.limit(2), 3).collect()
+    assert len(few) == 2 * 64 and nearest_any(df, ref.limit(0), 3).count() == 0 and nearest_any(df.limit(0), ref, 3).count() == 0

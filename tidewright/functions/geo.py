@@ -6,6 +6,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..session import cut_lineage
+
 EARTH_M = 6_371_008.8          # mean radius
 METRES_PER_DEGREE = EARTH_M * math.pi / 180
 
@@ -107,3 +109,89 @@ def in_ring(x: Column, y: Column, ring: Column) -> Column:
         return spans & (x < at)
 
     return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
+def in_edges(x: Column, y: Column, edges: Column) -> Column:
+    """`in_ring` over an array of edges {ax, ay, bx, by}."""
+    def crosses(e: Column) -> Column:
+        spans = (e["ay"] > y) != (e["by"] > y)
+        at = e["ax"] + (y - e["ay"]) * (e["bx"] - e["ax"]) / F.when(e["by"] == e["ay"], F.lit(1.0)).otherwise(e["by"] - e["ay"])
+        return spans & (x < at)
+
+    return F.size(F.filter(edges, crosses)) % 2 == 1
+
+
+class Quads:
+    """Cells of all sizes: level L cuts longitude and latitude into 2^L parts each, and a
+    cell's four children are on the next level. A cell is one number, so a point meets a
+    cell of any level by equality with its ancestor there."""
+
+    LEVELS = 24
+
+    @staticmethod
+    def number(level: Column, x: Column, y: Column) -> Column:
+        return F.shiftleft(level.cast("bigint"), 56) + F.shiftleft(x.cast("bigint"), 28) + y.cast("bigint")
+
+    @staticmethod
+    def across(level: Column) -> Column:
+        """Cells of a level side by side."""
+        return F.call_function("shiftleft", F.lit(1).cast("bigint"), level.cast("int"))
+
+    @staticmethod
+    def of_point(level: Column, lat: Column, lon: Column) -> Column:
+        """The cell of a level that holds the point; lon in [-180, 180)."""
+        n = Quads.across(level)
+        clip = lambda c: F.least(F.greatest(c, F.lit(0)), n - 1)
+        return Quads.number(level, clip(F.floor((lon + 180.0) / 360.0 * n)), clip(F.floor((lat + 90.0) / 180.0 * n)))
+
+    @staticmethod
+    def cover(zones: DataFrame, depth: int) -> DataFrame:
+        """(zone_id, cell, level, turn, edges): cells that make up each zone. `zones` has
+        zone_id, edges and the box (min_x <= max_x, from -180 on). Cells wholly inside have
+        no edges; those the outline touches have the edges a ray from them to the east can
+        meet, and longitudes of such a cell are `turn` degrees behind its zone's.
+
+        Cells begin at the size of the box and are cut where the outline runs, `depth`
+        times: their number goes by the shape of the outline, not by the size of the zone.
+        """
+        width = F.greatest((F.col("max_x") - F.col("min_x")) / 360.0, (F.col("max_y") - F.col("min_y")) / 180.0)
+        level = F.greatest(F.lit(0), F.least(F.lit(Quads.LEVELS - depth), F.floor(-F.log2(F.greatest(width, F.lit(1e-9)))))).cast("int")
+        zones = zones.withColumn("level", level)
+        n = Quads.across(F.col("level"))
+        first = lambda c, low, size: F.floor((F.col(c) - low) / size * n).cast("bigint")
+        rows = F.sequence(F.greatest(first("min_y", -90.0, 180.0), F.lit(0)), F.least(first("max_y", -90.0, 180.0), n - 1))
+        cells = (zones.withColumn("x", F.explode(F.sequence(first("min_x", -180.0, 360.0), first("max_x", -180.0, 360.0))))
+                 .withColumn("y", F.explode(rows)).select("zone_id", "edges", "level", "x", "y"))
+        done = []
+        for step in range(depth + 1):
+            n = Quads.across(F.col("level"))
+            cells = cells.withColumns({"x0": F.col("x") / n * 360.0 - 180.0, "x1": (F.col("x") + 1) / n * 360.0 - 180.0,
+                                       "y0": F.col("y") / n * 180.0 - 90.0, "y1": (F.col("y") + 1) / n * 180.0 - 90.0})
+            here = F.filter("edges", lambda e: (F.greatest(e["ay"], e["by"]) >= F.col("y0")) & (F.least(e["ay"], e["by"]) <= F.col("y1"))
+                            & (F.greatest(e["ax"], e["bx"]) >= F.col("x0")))
+            cells = cells.withColumn("edges", here)
+            inside = in_edges((F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2, F.col("edges"))
+            state = F.when(F.exists("edges", _touches), "outline").when(inside, "inner").otherwise("outside")
+            cells = cut_lineage(cells.withColumn("state", state).filter("state <> 'outside'").drop("x0", "x1", "y0", "y1"))
+            done.append(cells.filter(F.lit(True) if step == depth else F.col("state") == "inner"))
+            four = F.array(*[F.struct((F.col("x") * 2 + i).alias("x"), (F.col("y") * 2 + j).alias("y")) for i in (0, 1) for j in (0, 1)])
+            cells = (cells.filter("state = 'outline'").withColumn("__c", F.explode(four))
+                     .select("zone_id", "edges", (F.col("level") + 1).alias("level"), "__c.x", "__c.y"))
+        found = done[0]
+        for part in done[1:]:
+            found = found.unionByName(part)
+        n = Quads.across(F.col("level"))
+        return found.select("zone_id", Quads.number(F.col("level"), F.pmod(F.col("x"), n), F.col("y")).alias("cell"), "level",
+                            (F.floor(F.col("x") / n) * 360.0).cast("double").alias("turn"),
+                            F.when(F.col("state") == "outline", F.col("edges")).alias("edges"))
+
+
+def _touches(e: Column) -> Column:
+    """Whether an edge may meet the closed box x0..x1, y0..y1: their boxes meet, and the
+    corners do not all lie on one side of the edge's line."""
+    x0, x1, y0, y1 = (F.col(c) for c in ("x0", "x1", "y0", "y1"))
+    meet = ((F.greatest(e["ax"], e["bx"]) >= x0) & (F.least(e["ax"], e["bx"]) <= x1)
+            & (F.greatest(e["ay"], e["by"]) >= y0) & (F.least(e["ay"], e["by"]) <= y1))
+    side = lambda x, y: (e["bx"] - e["ax"]) * (y - e["ay"]) - (e["by"] - e["ay"]) * (x - e["ax"])
+    sides = [side(x, y) for x in (x0, x1) for y in (y0, y1)]
+    return meet & (F.least(*sides) <= 1e-9) & (F.greatest(*sides) >= -1e-9)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geo import BAND, CELL, Cells, haversine_m, in_ring
+from ..functions.geo import BAND, CELL, EARTH_M, Cells, Quads, haversine_m, in_edges, in_ring
 from ..functions.ordered import neighbour_row
 from ..functions.skew import (BROADCAST_BYTES, BROADCAST_ROWS, DEFAULT_HOT, Hot, fits_broadcast,
                               unique_lookup)
+from ..session import cut_lineage
 from .correlate import asof_attach
 from .ingest import first_rows
 
@@ -91,6 +93,70 @@ def zone_containment(df: DataFrame, zones: DataFrame, cell_m: float, id_col: str
     return near.filter(box).filter(in_ring(F.col("__x"), y, F.col("ring"))).select(id_col, "zone_id")
 
 
+def zone_containment_wide(df: DataFrame, zones: DataFrame, depth: int = 6, id_col: str = "obs_id", lat: str = "lat",
+                          lon: str = "lon") -> DataFrame:
+    """The rows of `zone_containment`, for zones of any and very different sizes: (id, zone_id).
+
+    Zones are covered by a quadtree of cells, large ones inside and small ones along the
+    outline, so a zone costs some hundred rows whether it is a harbour or an ocean. Points
+    meet the cells that are their ancestors on the levels in use. Inside cells need no test;
+    the others bring the few edges that matter in them, so rings are joined to nothing.
+    Points without a position are in no zone. Building the cover stores `depth` small tables.
+    """
+    over = F.col("min_x") > F.col("max_x")
+    west = F.col("min_x")
+    # longitudes of a zone from one that lies in [-180, 180) on; beyond 180 if it goes over the line
+    base = F.pmod(west + 180.0, F.lit(360.0)) - 180.0 - west
+    x_of = lambda p: F.when(over & (p["x"] < west), p["x"] + 360.0).otherwise(p["x"]) + base
+    ring = F.transform("ring", lambda p: F.struct(x_of(p).alias("x"), p["y"].alias("y")))
+    shapes = zones.filter(F.size("ring") > 0).select(
+        "zone_id", ring.alias("ring"), (west + base).alias("min_x"),
+        (F.when(over, F.col("max_x") + 360.0).otherwise(F.col("max_x")) + base).alias("max_x"), "min_y", "max_y")
+    ahead = F.concat(F.slice("ring", 2, F.size("ring")), F.slice("ring", 1, 1))
+    edges = F.transform(F.arrays_zip(F.col("ring").alias("a"), ahead.alias("b")), lambda e: F.struct(
+        e["a"]["x"].alias("ax"), e["a"]["y"].alias("ay"), e["b"]["x"].alias("bx"), e["b"]["y"].alias("by")))
+    cells = cut_lineage(Quads.cover(shapes.withColumn("edges", edges).drop("ring"), depth))
+    levels = sorted(r[0] for r in cells.select("level").distinct().collect())  # at most Quads.LEVELS numbers
+    near = F.when(F.col(lon).between(-180.0, 179.999999999), F.col(lon)).otherwise(F.pmod(F.col(lon) + 180.0, F.lit(360.0)) - 180.0)
+    points = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(id_col), F.col(lat).alias("__y"), near.alias("__x"))
+    ancestors = F.array(*[Quads.of_point(F.lit(level), F.col("__y"), F.col("__x")) for level in levels]).cast("array<bigint>")
+    points = points.withColumn("cell", F.explode(ancestors))
+    cells = F.broadcast(cells) if fits_broadcast(cells) else cells
+    held = F.col("edges").isNull() | in_edges(F.col("__x") + F.col("turn"), F.col("__y"), F.col("edges"))
+    return points.join(cells, "cell").filter(held).select(id_col, "zone_id")
+
+
+def nearest_any(df: DataFrame, ref: DataFrame, k: int, id_col: str = "obs_id", ref_id: str = "ref_id", lat: str = "lat",
+                lon: str = "lon", start_m: float | None = None) -> DataFrame:
+    """The k nearest reference points of each row, however far: (id, ref_id, dist_m, rank),
+    ties by ref_id; ids are unique, and fewer come back only where the reference has fewer.
+
+    Rings grow twofold from `start_m` (by default the radius that would hold k points if they
+    were spread evenly): a row that finds k points within the ring has its nearest, and
+    leaves; only the others look further. Each round is stored; the last ring is the globe.
+    """
+    placed = ref.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
+    n = placed.count()
+    globe = 21_000_000.0
+    radius = start_m or max(1_000.0, 2 * EARTH_M * math.sqrt(k / max(1, n)))
+    todo = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon)
+    found = None
+    while True:
+        radius = min(radius, globe)
+        near = nearest_reference(todo, placed, k, radius, id_col, ref_id, lat, lon)
+        if radius < globe:
+            near = cut_lineage(near)
+            full = near.filter(F.col("rank") == k).select(id_col)
+            done = near.join(full, id_col, "left_semi")
+            todo = cut_lineage(todo.join(full, id_col, "left_anti"))
+        else:
+            done = near
+        found = done if found is None else found.unionByName(done)
+        if radius >= globe or todo.isEmpty():
+            return found
+        radius *= 2
+
+
 def nearest_reference(df: DataFrame, ref: DataFrame, k: int, max_m: float, id_col: str = "obs_id",
                       ref_id: str = "ref_id", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """The k nearest reference points within max_m of each row: (id, ref_id,

@@ -8,7 +8,7 @@ from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, Window
 
-from ..session import exists, remove
+from ..session import cut_lineage, exists, remove
 from ..sources.sinks import write_final
 from .ingest import first_rows
 
@@ -98,6 +98,43 @@ def period_sketch(df: DataFrame, ts: str, size_seconds: int, dims: Sequence[str]
               .select(*dims, F.col("__w.start").alias("period_start"), "n_entities", "percentiles"))
 
 
+def sketch_panes(df: DataFrame, ts: str, pane_seconds: int, dims: Sequence[str], entity: str, value: str,
+                 precision: int = 14, k: int = 400) -> DataFrame:
+    """(dims…, pane_start, n_rows, entities, values): per pane of time a HyperLogLog sketch of
+    the entities (2 to the `precision` registers) and a KLL sketch of the values, as binary
+    columns of bounded size. To be stored: panes can be merged to any longer period, also
+    several of one time, as a stream or late rows bring them."""
+    start = F.window(ts, f"{pane_seconds} seconds")["start"].alias("pane_start")
+    return df.groupBy(*dims, start).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.hll_sketch_agg(entity, precision).alias("entities"),
+        F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("values"))
+
+
+def merge_sketches(panes: DataFrame, pane_seconds: int, size_seconds: int, slide_seconds: int | None = None,
+                   dims: Sequence[str] = ()) -> DataFrame:
+    """Stored panes merged to tumbling or sliding periods: (dims…, period_start, n_rows,
+    entities, values). Both lengths are whole numbers of panes; `dims` may be fewer than
+    the panes have. Rows are never read again, and a pane is copied once per period it is in.
+    """
+    slide = slide_seconds or size_seconds
+    if size_seconds % slide or slide % pane_seconds:
+        raise ValueError("a period must be a whole number of slides, a slide of panes")
+    at = F.unix_micros(F.col("pane_start").cast("timestamp"))
+    width = F.lit(slide * 1_000_000).cast("bigint")
+    first = at - F.pmod(at, width)
+    start = F.timestamp_micros(first - F.col("__k") * width).cast(panes.schema["pane_start"].dataType)
+    spread = panes.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(size_seconds // slide - 1)))).withColumn("period_start", start)
+    return spread.groupBy(*dims, "period_start").agg(
+        F.sum("n_rows").alias("n_rows"), F.hll_union_agg("entities").alias("entities"),
+        F.kll_merge_agg_double("values").alias("values"))
+
+
+def read_sketches(merged: DataFrame, fractions: Sequence[float] = (0.5, 0.95)) -> DataFrame:
+    """What the sketches tell: n_entities and the values at the given fractions."""
+    at = F.array(*[F.kll_sketch_get_quantile_double("values", F.lit(float(f))) for f in fractions])
+    return merged.withColumns({"n_entities": F.hll_sketch_estimate("entities"), "quantiles": at}).drop("entities", "values")
+
+
 SALTS = 256
 
 
@@ -121,6 +158,34 @@ def top_n(df: DataFrame, group: Sequence[str], order: Sequence[str | Column], n:
 def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys with change = added, removed or altered between two tables of unique
     keys. Rows travel as a SHA-256 of their other columns, not whole."""
+    digest = _digests(old, new, keys)
+    return _differences(digest(old, "__old"), digest(new, "__new"), keys)
+
+
+def changes_blocks(old: DataFrame, new: DataFrame, keys: Sequence[str], blocks: int = 16_384) -> DataFrame:
+    """The rows of `changes`, for tables that are mostly alike: both are first summed by
+    blocks of keys (rows, and the sum of their content numbers, combined map-side), and only
+    rows of blocks whose sums differ are shuffled and joined. One altered row costs its
+    block, a `blocks`-th of the table."""
+    digest = _digests(old, new, keys)
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks)).cast("int").alias("__block")
+
+    def sums(df: DataFrame, name: str) -> DataFrame:
+        number = F.conv(F.substring(F.sha2(F.concat(F.to_json(F.struct(*keys)).cast("binary"), name), 256), 1, 15), 16, 10)
+        return df.groupBy(block).agg(F.count(F.lit(1)).alias(f"n{name}"), F.sum(number.cast("decimal(38,0)")).alias(f"t{name}"))
+
+    a, b = digest(old, "__old"), digest(new, "__new")
+    both = sums(a, "__old").join(sums(b, "__new"), "__block", "full_outer")
+    apart = cut_lineage(both.filter(~(F.col("n__old").eqNullSafe(F.col("n__new")) & F.col("t__old").eqNullSafe(F.col("t__new"))))
+                        .select("__block"))
+
+    def within(df: DataFrame) -> DataFrame:  # at most `blocks` numbers are sent
+        return df.withColumn("__block", block).join(F.broadcast(apart), "__block", "left_semi").drop("__block")
+
+    return _differences(within(a), within(b), keys)
+
+
+def _digests(old: DataFrame, new: DataFrame, keys: Sequence[str]):
     rest = sorted(c for c in old.columns if c not in keys)
     if set(new.columns) != set(old.columns):
         raise ValueError("both tables must have the same columns")
@@ -131,7 +196,10 @@ def changes(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
             "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}) if rest else F.lit("")
         return df.select(*keys, F.unhex(F.sha2(body, 256)).alias(name))
 
-    a, b = digest(old, "__old"), digest(new, "__new")
+    return digest
+
+
+def _differences(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     b = b.withColumnsRenamed({k: f"__{k}" for k in keys})
     cond = F.lit(True)
     for k in keys:

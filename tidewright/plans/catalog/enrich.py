@@ -1,6 +1,6 @@
 from pyspark.sql import Window, functions as F
 
-from ...operators.enrich import lookup, lookup_valid_time, nearest_reference, zone_containment
+from ...operators.enrich import lookup, lookup_valid_time, nearest_any, nearest_reference, zone_containment, zone_containment_wide
 from ...session import scratch
 from ...streaming.run import run_available
 from .base import OBS, event_stream, events, feed, haversine_sql, obs, plain_times, query, table
@@ -101,3 +101,36 @@ def ports(spark, sf):
 def nearest(spark, sf):
     found = nearest_reference(obs(spark, sf), ports(spark, sf), 3, 500_000)
     return found.withColumn("dist_m", F.round("dist_m", 3))
+
+
+@query("zone_containment_wide", f"""
+    SELECT o.obs_id, z.n_name AS zone_id FROM {OBS} o JOIN
+      (SELECT n_name, n_nationkey * 14.0 - 175.0 AS x, n_nationkey * 6.0 - 89.0 AS y FROM nation) z
+      ON ((o.lon >= z.x AND o.lon < z.x + 20.0) OR (o.lon + 360 >= z.x AND o.lon + 360 < z.x + 20.0))
+         AND o.lat >= z.y AND o.lat < z.y + 15.0
+    UNION ALL SELECT obs_id, 'NORTH' FROM {OBS} WHERE lat >= -60.0
+    UNION ALL SELECT obs_id, 'LEFT OF THE LINE' FROM {OBS} WHERE lat >= -90 AND lat < 90 AND lon < lat
+    UNION ALL SELECT obs_id, 'POINT' FROM {OBS} WHERE lat >= -89.5 AND lat < -89.499 AND lon >= 10.0 AND lon < 10.001""")
+def zones_wide(spark, sf):
+    """The nations' rectangles with half the globe, all that lies left of a slanting line, and
+    a hundred metres: a hundred million of the last fit into the first."""
+    corner = lambda x, y: F.struct(F.lit(float(x)).alias("x"), F.lit(float(y)).alias("y"))
+
+    def zone(name, *ring):
+        xs, ys = [p[0] for p in ring], [p[1] for p in ring]
+        return spark.range(1).select(F.lit(name).alias("zone_id"), F.array(*[corner(*p) for p in ring]).alias("ring"),
+                                     *[F.lit(float(v)).alias(c) for c, v in (("min_x", min(xs)), ("max_x", max(xs)), ("min_y", min(ys)), ("max_y", max(ys)))])
+
+    wide = (nation_zones(spark, sf).unionByName(zone("NORTH", (-180, -60), (180, -60), (180, 90.001), (-180, 90.001)))
+            .unionByName(zone("LEFT OF THE LINE", (-180, -90), (-90, -90), (90, 90), (-180, 90)))
+            .unionByName(zone("POINT", (10, -89.5), (10.001, -89.5), (10.001, -89.499), (10, -89.499))))
+    return zone_containment_wide(obs(spark, sf), wide)
+
+
+@query("nearest_any", f"""
+    SELECT obs_id, ref_id, round(dist_m, 3) AS dist_m, CAST(rank AS INTEGER) AS rank FROM (
+      SELECT *, row_number() OVER (PARTITION BY obs_id ORDER BY dist_m, ref_id) AS rank
+      FROM (SELECT a.obs_id, b.ref_id, {haversine_sql('a', 'b')} AS dist_m FROM {OBS} a CROSS JOIN {PORTS} b)) WHERE rank <= 2""")
+def nearest_anywhere(spark, sf):
+    found = nearest_any(obs(spark, sf), ports(spark, sf), 2)
+    return found.withColumn("dist_m", F.round("dist_m", 3))

@@ -1,7 +1,7 @@
 from pyspark.sql import functions as F
 
-from ...operators.final import (changes, merge_into, period_sketch, period_summary, row_changes, top_n,
-                                upsert_final)
+from ...operators.final import (changes, changes_blocks, merge_into, merge_sketches, period_sketch, period_summary,
+                                read_sketches, row_changes, sketch_panes, top_n, upsert_final)
 from ...session import scratch
 from ...sources.sinks import write_final
 from ...streaming.run import dropped_rows, run_available
@@ -107,6 +107,31 @@ def sketch(spark, sf):
     return period_sketch(obs(spark, sf), "ts", 86400, ["source"], "entity_key", "speed")
 
 
+@query("period_sketch_merged", f"""
+    SELECT source, period_start, count(*) AS n_rows, true AS entities_near, true AS median_near, true AS high_near FROM (
+      SELECT source, unnest([time_bucket(INTERVAL 1 DAY, ts) - INTERVAL 1 DAY * k FOR k IN range(7)]) AS period_start FROM {OBS})
+    GROUP BY 1, 2""")
+def sketch_merged(spark, sf):
+    """Panes of six hours, stored, then merged to weeks that slide by a day: whether the number
+    of entities is within 3 % of the exact one, and whether the rank of the median and of the
+    95th percentile are within 3 % of all rows."""
+    path, rows = scratch(spark, "panes"), obs(spark, sf)
+    sketch_panes(rows, "ts", 21_600, ["source"], "entity_key", "speed").write.parquet(path)
+    told = read_sketches(merge_sketches(spark.read.parquet(path), 21_600, 7 * 86_400, 86_400, ["source"]))
+    days = rows.select("source", "entity_key", "speed", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("k"),
+                       F.date_trunc("day", F.col("ts")).cast("timestamp_ntz").alias("day"))
+    weeks = days.withColumn("period_start", (F.col("day") - F.make_dt_interval(F.col("k"))).cast("timestamp_ntz"))
+    told = told.withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
+    exact = weeks.join(told, ["source", "period_start"]).groupBy("source", "period_start").agg(
+        F.first("n_rows").alias("n_rows"), F.first("n_entities").alias("told"), F.countDistinct("entity_key").alias("n_entities"),
+        *[F.count_if(F.col("speed") < F.col("quantiles")[i]).alias(f"below{i}") for i in (0, 1)],
+        *[F.count_if(F.col("speed") <= F.col("quantiles")[i]).alias(f"upto{i}") for i in (0, 1)])
+    # the fraction lies between the shares of values below the estimate and up to it, or 3 % off
+    near = lambda i, f: ((F.col(f"below{i}") <= (f + 0.03) * F.col("n_rows")) & (F.col(f"upto{i}") >= (f - 0.03) * F.col("n_rows")))
+    return exact.select("source", "period_start", "n_rows", (F.abs(F.col("told") - F.col("n_entities")) <= 0.03 * F.col("n_entities")).alias("entities_near"),
+                        near(0, 0.5).alias("median_near"), near(1, 0.95).alias("high_near"))
+
+
 @query("top_n", """
     SELECT l_suppkey, l_orderkey, l_linenumber, l_partkey, l_extendedprice, CAST(rank AS INTEGER) AS rank FROM (
       SELECT *, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) AS rank
@@ -116,16 +141,28 @@ def best(spark, sf):
     return top_n(lines, ["l_suppkey"], [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber", "l_partkey"], 3)
 
 
-@query("changes", """
+CHANGES = """
     SELECT o_orderkey, change FROM (
       SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'altered' WHEN o_orderpriority = '5-LOW' THEN 'removed' END AS change FROM orders
-      UNION ALL SELECT o_orderkey + 100000000, 'added' FROM orders WHERE o_orderpriority = '2-HIGH') WHERE change IS NOT NULL""")
-def differences(spark, sf):
+      UNION ALL SELECT o_orderkey + 100000000, 'added' FROM orders WHERE o_orderpriority = '2-HIGH') WHERE change IS NOT NULL"""
+
+
+def order_tables(spark, sf):
     old = table(spark, sf, "orders")
     new = old.filter("o_orderpriority <> '5-LOW'").withColumn(
         "o_orderstatus", F.when(F.col("o_orderpriority") == "1-URGENT", F.lit(None)).otherwise(F.col("o_orderstatus")))
     added = old.filter("o_orderpriority = '2-HIGH'").withColumn("o_orderkey", F.col("o_orderkey") + 100_000_000)
-    return changes(old, new.unionByName(added), ["o_orderkey"])
+    return old, new.unionByName(added)
+
+
+@query("changes", CHANGES)
+def differences(spark, sf):
+    return changes(*order_tables(spark, sf), ["o_orderkey"])
+
+
+@query("changes_blocks", CHANGES)
+def block_differences(spark, sf):
+    return changes_blocks(*order_tables(spark, sf), ["o_orderkey"])
 
 
 @query("row_changes", """
