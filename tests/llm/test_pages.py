@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 
 import pytest
 
@@ -154,3 +155,30 @@ def test_many_comments_are_not_the_article():
     said = f"<li><article class='comment-body'><p>{LONG} No.</p></article></li>" * 20
     page = f"<body><article><p>{LONG}</p></article><div class='comments-area'><ol>{said}</ol></div></body>"
     assert main_text(page) == LONG
+
+
+LONG = "Some words of prose, with a comma, that go on for a while so that it counts as a paragraph of the article itself."
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<body><form id="aspnetForm"><input name="q"><div><p>{LONG}</p><p>{LONG} Two.</p></div></form></body>', f"{LONG}\n{LONG} Two."),
+    (f'<body><form><article><h1>Title</h1><p>{LONG}</p></article></form></body>', f"Title\n{LONG}"),
+    (f'<body role="form"><div role="form"><article><p>{LONG}</p></article></div></body>', LONG),
+    (f'<body><article><p>{LONG}</p><form><p>Subscribe here</p></form></article></body>', LONG),
+    ("<body><div>About us</div><article>" + "".join(f'<p><a href="/{k}">{LONG} {k}</a></p>' for k in range(8)) + "</article></body>",
+     "\n".join(f"{LONG} {k}" for k in range(8))),
+    (f'<body><ul><li><a href="/">Home</a></li></ul><div><p>{LONG}</p><p><a href="/r">Read the full report</a></p><p>{LONG} Two.</p>'
+     f'<ul><li><a href="/1">First reference, 1999</a></li></ul></div></body>',
+     f"{LONG}\nRead the full report\n{LONG} Two.\nFirst reference, 1999"),
+    (f'<body><ul><li><a href="/">Home</a></li></ul><p>{LONG}</p><ul><li><a href="/1">A list, in between</a></li></ul><p>{LONG} Two.</p>'
+     f'<div><a href="/x">More</a></div></body>', f"{LONG}\nA list, in between\n{LONG} Two."),
+])
+def test_nothing_of_the_article_goes(page, want):
+    assert main_text(page) == want
+
+
+@pytest.mark.parametrize("piece", ["<a b", '<a b="', "<a b='>", "<!x ", "</a ", "<p", "<a b=\"'>", "<div>", "<svg>", "<ul><li>"])
+def test_long_runs_of_open_tags(piece):
+    start = time.perf_counter()
+    main_text("<body><p>" + LONG + "</p>" + piece * (200_000 // len(piece)))
+    assert time.perf_counter() - start < 20

@@ -36,7 +36,9 @@ SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}
 DEEPEST = 500
 # Elements that never hold the article's text
 DROPPED = frozenset("head script style noscript template iframe svg math object embed canvas audio video map nav footer aside "
-                    "form button select option input textarea label fieldset legend dialog menu".split())
+                    "button select option input textarea legend menu".split())
+# Elements that rarely do: they go unless they hold the article (some pages wrap all of it in a form)
+DOUBTED = frozenset("form fieldset label dialog".split())
 # Names of what is not the article: in a class or id all parts must be such names or say
 # only where or how; WEAK ones do not count within an article
 NAMED = frozenset("ad ads advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promos promotion "
@@ -52,9 +54,13 @@ PART_OF_NAME = re.compile(r"[-_]+")
 KEPT = re.compile(r"(^|[\s_-])(article|content|entry|post|story|main|body|text)($|[\s_-])", re.I)
 ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alertdialog alert".split())
 TOKEN = re.compile(
-    r"<!--(?P<comment>.*?)(?:-->|--!>|\Z)|<[!?][^>]*>|</(?P<end>[a-zA-Z][^\s/>]*)[^>]*>|"
-    r"<(?P<start>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+    r"<!--(?P<comment>.*?)(?:-->|--!>|\Z)|<[!?][^>]*+>|</(?P<end>[a-zA-Z][^\s/<>]*+)[^>]*+>|"
+    r"<(?P<start>[a-zA-Z][^\s/<>]*+)(?P<attrs>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 LOOSE = re.compile(r"<[a-zA-Z/!?][^<>]*>?")
+# The same without quoted signs, which never looks beyond the next tag
+SIMPLE = re.compile(r"</(?P<end>[a-zA-Z][^\s/<>]*)[^<>]*>|<(?P<start>[a-zA-Z][^\s/<>]*)(?P<attrs>[^<>]*)>")
+# Tags without an end may make a match run on to the end of the page: so often it may be tried
+TRIES = 50
 ATTR = re.compile(r"([^\s=/\"'<>]+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 SPACE = re.compile(r"\s+")
 
@@ -72,7 +78,7 @@ class Node:
 
 def unwanted(tag: str, attrs: dict[str, str], parent: Node) -> bool:
     """Whether an element is not part of the article, by what it is."""
-    if tag in DROPPED or attrs.get("role", "").lower() in ROLES or "hidden" in attrs:
+    if tag in DROPPED or "hidden" in attrs:
         return True
     if attrs.get("aria-hidden", "").lower() == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower():
         return True
@@ -82,9 +88,12 @@ def unwanted(tag: str, attrs: dict[str, str], parent: Node) -> bool:
 
 
 def named(node: Node) -> bool:
-    """Whether one of an element's names says that it is not part of the article."""
+    """Whether an element's kind, role or one of its names says that it is not part of the
+    article."""
     if node.tag in ("html", "body", "article", "main"):
         return False
+    if node.tag in DOUBTED or node.attrs.get("role", "").lower() in ROLES:
+        return True
     names = f"{node.attrs.get('class', '')} {node.attrs.get('id', '')}".lower().split()
     if not names:
         return False
@@ -145,7 +154,8 @@ def parse(page: str) -> Node:
     """A tree of the page, whatever its faults: open paragraphs end where a block begins,
     end tags without a start are dropped, open elements end with their parent."""
     root = node = Node("#root", {}, None)
-    at, n = 0, len(page)
+    at, n, tries = 0, len(page), TRIES
+    unclosed: set[str] = set()  # raw elements whose end comes no more
     while at < n:
         tag_at = page.find("<", at)
         if tag_at < 0:
@@ -153,13 +163,16 @@ def parse(page: str) -> Node:
             break
         if tag_at > at:
             node.children.append(page[at:tag_at])
-        found = TOKEN.match(page, tag_at) or LOOSE.match(page, tag_at)
+        found = (TOKEN if tries or page.startswith("<!--", tag_at) else SIMPLE).match(page, tag_at)
+        if not found:
+            found = LOOSE.match(page, tag_at)
+            tries -= bool(found and tries)
         if not found:
             node.children.append("<")
             at = tag_at + 1
             continue
         at = found.end()
-        groups = found.groupdict() if found.re is TOKEN else {}
+        groups = found.groupdict() if found.re is not LOOSE else {}
         if groups.get("start"):
             tag = groups["start"].lower()
             if tag in BLOCK:
@@ -173,8 +186,10 @@ def parse(page: str) -> Node:
             child = Node(tag, attrs, node)
             node.children.append(child)
             if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|</{re.escape(tag)}\Z", re.I).search(page, at)
+                close = None if tag in unclosed else re.compile(
+                    rf"</{re.escape(tag)}(?=[\s/>])[^>]*>|</{re.escape(tag)}\Z", re.I).search(page, at)
                 if close is None:
+                    unclosed.add(tag)
                     at = n if tag not in ("svg", "math", "noscript", "iframe", "template") else at
                 else:
                     at = close.end()
@@ -297,7 +312,9 @@ def main_text(page: str) -> str:
 
     place = {id(node): k for k, node in enumerate(order)}
     best = max(scored.values(), key=lambda node: (worth(node), -place.get(id(node), 0)))
-    whole = [a for a in ancestors(best) if a.tag in ("article", "main") and link_share(a) < 0.5]
+    whole = [a for a in ancestors(best) if a.tag in ("article", "main")]
+    if not whole:  # an article of links scores nothing, and is the article all the same
+        whole = [node for node in reversed(order) if node.tag in ("article", "main") and 2 * node.chars > root.chars][-1:]
     if whole:
         top = whole[-1]
         keep = [top]
@@ -305,10 +322,9 @@ def main_text(page: str) -> str:
             keep = [s for s in top.parent.children
                     if isinstance(s, Node) and (s is top or s.tag == "article" and not s.dropped and link_share(s) < 0.5)]
     else:
-        top = shared([inner for value, inner in prose if value >= 2] or [inner for _, inner in prose] or [best])
-        if top.tag not in ("article", "main", "body", "html", "#root"):
-            top = top.parent
-        for s in top.children:
+        core = shared([inner for value, inner in prose if value >= 2] or [inner for _, inner in prose] or [best])
+        top = core if core.tag in ("body", "html", "#root") else core.parent
+        for s in margins(core, prose) if top is core else (s for s in top.children if s is not core):
             if isinstance(s, Node) and s.tag in BLOCK and link_share(s) >= 0.5:
                 s.dropped = True
         keep = [top]
@@ -318,6 +334,17 @@ def main_text(page: str) -> str:
     return "\n".join(lines)
 
 
+def margins(core: Node, prose: list[tuple[float, Node]]) -> list[Node]:
+    """Children of the page's body before the first and after the last that holds prose, but
+    for paragraphs: lists of links there are menus, among the prose they are its own."""
+    held = {id(a) for _, inner in prose for a in ancestors(inner)}
+    children = [c for c in core.children if isinstance(c, Node) and c.tag in BLOCK]
+    own = [k for k, c in enumerate(children) if id(c) in held or c.tag == "p" and link_share(c) < 0.5]
+    if not own:
+        return []
+    return [c for k, c in enumerate(children) if not own[0] < k < own[-1] and c.tag != "p"]
+
+
 def shared(nodes: list[Node]) -> Node:
     """The lowest element that holds all of them."""
     found = nodes[0]
