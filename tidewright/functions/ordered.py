@@ -200,3 +200,19 @@ def row_numbers(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: s
                .agg(F.count(F.lit(1)).alias("__before")))
     done = cut.join_carry(parts.withColumn(out, number), cut.carry_sum(summary, "__before"), "__before")
     return done.withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__before", CHUNK)
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str,
+                hot: Hot = DEFAULT_HOT) -> DataFrame:
+    """Adds `out`: the sum of a whole number over the rows of the key up to and including
+    this one, in the given total order."""
+    cut = OrderedCut.of(df, keys, order[0], hot)
+    w = Window.partitionBy(*cut.by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.sum(F.col(value).cast("bigint")).over(w)
+    if cut.cuts is None:
+        return df.withColumn(out, total)
+    parts = cut.assign(df, order[0])
+    summary = (parts.filter(F.col(CHUNK) >= 0).groupBy(*cut.by)
+               .agg(F.sum(F.col(value).cast("bigint")).alias("__before")))
+    done = cut.join_carry(parts.withColumn(out, total), cut.carry_sum(summary, "__before"), "__before")
+    return done.withColumn(out, F.col(out) + F.coalesce("__before", F.lit(0))).drop("__before", CHUNK)

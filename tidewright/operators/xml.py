@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..functions.ordered import row_numbers
+from ..functions.ordered import row_numbers, running_sum
 from ..functions.skew import DEFAULT_HOT, Hot
 from ..sources.sinks import XML_TIMES, xml_safe
 
@@ -41,6 +41,29 @@ def xml_documents(df: DataFrame, group: Sequence[str], order: Sequence[str], col
                  F.concat(F.lit(f"<{root_tag}>"), body, F.lit(f"</{root_tag}>")).alias("document")))
 
 
+def xml_documents_by_bytes(df: DataFrame, group: Sequence[str], order: Sequence[str], cols: Sequence[str],
+                           root_tag: str, row_tag: str, max_bytes: int = 8 << 20, hot: Hot = DEFAULT_HOT) -> DataFrame:
+    """Documents per delivery unit, none of more than `max_bytes` UTF-8 bytes:
+    (group…, part, n_rows, n_bytes, document). `order` must be total within a unit.
+
+    Elements are cut where their running size, summed along the order without gathering a
+    large unit in one task, passes the next multiple of what the bound leaves beside the
+    largest element; part numbers rise along the order and may leave gaps. A single element
+    beyond the bound raises an error, which names its size.
+    """
+    sized = to_xml_column(df, cols, row_tag, "__x").withColumn("__b", F.octet_length("__x"))
+    largest = sized.agg(F.max("__b")).first()[0] or 0
+    room = max_bytes - 2 * len(root_tag.encode()) - len("<></>") - largest
+    if room < 0:
+        raise ValueError(f"an element of {largest} bytes does not fit a document of {max_bytes}")
+    summed = running_sum(sized, group, order, "__b", "__sum", hot)
+    part = F.floor((F.col("__sum") - 1) / F.lit(max(1, room))).cast("bigint").alias("part")
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("__sum", "__x"))), lambda r: r["__x"]), "")
+    document = F.concat(F.lit(f"<{root_tag}>"), body, F.lit(f"</{root_tag}>")).alias("document")
+    return (summed.groupBy(*group, part).agg(F.count(F.lit(1)).alias("n_rows"), document)
+            .withColumn("n_bytes", F.octet_length("document").cast("bigint")))
+
+
 def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 

@@ -2,7 +2,7 @@ import os
 
 from pyspark.sql import functions as F, types as T
 
-from ...operators.xml import check_xml, to_xml_column, validate_xml_files, xml_documents
+from ...operators.xml import check_xml, to_xml_column, validate_xml_files, xml_documents, xml_documents_by_bytes
 from ...schemas import EVENTS
 from ...session import scratch
 from ...sources.readers import read_source
@@ -58,6 +58,28 @@ def documents_hot(spark, sf):
                          500, hot=FORCED)
 
 
+BY_BYTES = f"""
+    WITH x AS (SELECT event_type, ts, event_id, {ELEMENT} AS x FROM events),
+    s AS (SELECT *, sum(strlen(x)) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS upto, (SELECT max(strlen(x)) FROM x) AS largest FROM x)
+    SELECT event_type, CAST((upto - 1) // (5000 - 19 - largest) AS BIGINT) AS part, count(*) AS n_rows,
+           '<reports>' || string_agg(x, '' ORDER BY ts, event_id) || '</reports>' AS document,
+           CAST(sum(strlen(x)) + 19 AS BIGINT) AS n_bytes, sum(strlen(x)) + 19 <= 5000 AS fits
+    FROM s GROUP BY 1, 2"""
+
+
+@query("xml_documents_by_bytes", BY_BYTES)
+def documents_by_bytes(spark, sf):
+    found = xml_documents_by_bytes(report_columns(spark, sf), ["event_type"], ["ts", "id"], ["id", "kind", "user"], "reports", "report", 5_000)
+    return found.withColumn("fits", F.col("n_bytes") <= 5_000)
+
+
+@query("xml_documents_by_bytes_hot", BY_BYTES)
+def documents_by_bytes_hot(spark, sf):
+    found = xml_documents_by_bytes(report_columns(spark, sf), ["event_type"], ["ts", "id"], ["id", "kind", "user"], "reports", "report",
+                                   5_000, hot=FORCED)
+    return found.withColumn("fits", F.col("n_bytes") <= 5_000)
+
+
 REPORT = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.DoubleType())])
 REPORT_XSD = os.path.join(CONTRACTS, "report.xsd")
 
