@@ -1,3 +1,4 @@
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -5,12 +6,13 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewright import session
+from tidewright.functions.skew import HotKeys
 from tidewright.operators.final import changes, changes_blocks, merge_sketches, period_sketch, read_sketches, sketch_panes, period_summary, row_changes, top_n, upsert_final
 from tidewright.operators.fuse import conflicts, fuse_attributes, fuse_measurements
 from tidewright.operators.ingest import dedup, source_inventory
 from tidewright.operators.normalize import normalize_time
 from tidewright.operators.validate import Rule, apply_rules, reconcile, split_quarantine, watch
-from tidewright.operators.xml import to_xml_column, xml_documents
+from tidewright.operators.xml import to_xml_column, xml_documents, xml_documents_by_bytes
 from tidewright.plans.batch import Plan, publish, run_batch, store
 from tidewright.plans.catalog.base import events, obs
 from tidewright.plans.catalog.whole import PLAN, named_places
@@ -211,3 +213,16 @@ def test_panes_merge_to_the_sketch_of_all(spark):
         assert abs(a.quantiles[0] - 500) <= 30 and abs(a.quantiles[1] - 950) <= 30
     with pytest.raises(ValueError):
         merge_sketches(panes, 600, 1000)
+
+
+@pytest.mark.parametrize("hot", [None, HotKeys(min_rows=50, max_keys=20)])
+def test_no_document_is_larger_than_its_bound(spark, hot):
+    df = spark.range(400).select((F.col("id") % 2).alias("g"), "id", F.repeat(F.lit("é"), (F.col("id") * 7 % 60).cast("int")).alias("t"))
+    found = xml_documents_by_bytes(df, ["g"], ["id"], ["id", "t"], "rows", "row", 600, hot=hot).orderBy("g", "part").collect()
+    assert all(r.n_bytes == len(r.document.encode()) <= 600 for r in found) and sum(r.n_rows for r in found) == 400
+    for g in (0, 1):
+        text = "".join(r.document.removeprefix("<rows>").removesuffix("</rows>") for r in found if r.g == g)
+        assert [int(x) for x in re.findall("<id>([0-9]+)</id>", text)] == list(range(g, 400, 2))
+    with pytest.raises(ValueError):
+        xml_documents_by_bytes(df, ["g"], ["id"], ["id", "t"], "rows", "row", 100, hot=hot)
+    assert xml_documents_by_bytes(df.limit(0), ["g"], ["id"], ["id", "t"], "rows", "row", 100, hot=hot).count() == 0
