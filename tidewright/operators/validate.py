@@ -33,13 +33,16 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 def split_quarantine(df: DataFrame, rules: Sequence[Rule],
                      severities: Sequence[str] = ("error",)) -> tuple[DataFrame, DataFrame]:
     """(valid, quarantine): rows that break a rule of a listed severity are kept aside."""
-    names = [r.name for r in rules if r.severity in severities]
-    if not names:
-        return df, df.filter(F.lit(False))
-    held = F.arrays_overlap("violations", F.array(*[F.lit(n) for n in names]))
+    held = is_held(rules, severities)
     return df.filter(~held), df.filter(held)
 
 
+def is_held(rules: Sequence[Rule], severities: Sequence[str] = ("error",)) -> Column:
+    """Whether a row of `apply_rules` breaks a rule of a listed severity."""
+    names = [r.name for r in rules if r.severity in severities]
+    return F.arrays_overlap("violations", F.array(*[F.lit(n) for n in names])) if names else F.lit(False)
+
+
 def check_unique(df: DataFrame, keys: Sequence[str], out: str = "is_repeated",
                  hot: Hot = DEFAULT_HOT) -> DataFrame:
     """Flags rows whose key occurs more than once. Keys are counted with a

@@ -85,16 +85,28 @@ def run_batch(raw: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFr
 
 def fuse_valid(valid: DataFrame, places: DataFrame, plan: Plan) -> dict[str, DataFrame]:
     """Correlation, enrichment and fusion of validated reports: linked, fused."""
-    linked = asof_within(valid, F.col("source") == plan.then_source, F.col("source") == plan.lead_source,
-                         ["entity_key"], "ts", ["ts", "obs_id", "speed"], prefix="lead_", hot=plan.hot)
+    linked = correlate_valid(valid, plan)
+    return {"linked": linked, "fused": enrich_entities(fuse_linked(valid, linked, plan), places, plan)}
+
+
+def correlate_valid(valid: DataFrame, plan: Plan) -> DataFrame:
+    """Reports of `then_source` with the last one of `lead_source` before them."""
+    return asof_within(valid, F.col("source") == plan.then_source, F.col("source") == plan.lead_source,
+                       ["entity_key"], "ts", ["ts", "obs_id", "speed"], prefix="lead_", hot=plan.hot)
+
+
+def fuse_linked(valid: DataFrame, linked: DataFrame, plan: Plan) -> DataFrame:
+    """One record per entity, with the number of its links within the time allowed."""
     fused = fuse_attributes(valid, "entity_key", ["speed"], plan.priority,
                             also=[F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_reports")])
     within = micros("ts") - micros("lead_ts") <= int(plan.within_seconds * 1e6)
     followed = linked.groupBy("entity_key").agg(F.count_if(within).alias("n_followed"))
-    entity = (fused.join(followed, "entity_key", "left")
-                   .withColumn("n_followed", F.coalesce("n_followed", F.lit(0).cast("bigint"))))
-    entity = lookup(entity, places, ["entity_key"], ["name", "nation"], hot=plan.hot)
-    return {"linked": linked, "fused": entity}
+    return (fused.join(followed, "entity_key", "left")
+                 .withColumn("n_followed", F.coalesce("n_followed", F.lit(0).cast("bigint"))))
+
+
+def enrich_entities(entity: DataFrame, places: DataFrame, plan: Plan) -> DataFrame:
+    return lookup(entity, places, ["entity_key"], ["name", "nation"], hot=plan.hot)
 
 
 def store(fused: DataFrame, path: str, partition_cols: Sequence[str] = ()) -> None:

@@ -6,6 +6,7 @@ from ...operators.validate import Rule
 from ...session import scratch
 from ...sources.sinks import XML_TIMES, read_deliveries
 from ..batch import ENTITY, Plan, publish, run_batch, store
+from ..journal import Journal, run_batch_resumed
 from ..stream import run_stream, stored_picture
 from .base import event_stream, events, feed, query, table
 
@@ -65,6 +66,35 @@ def sides(spark, sf):
             .unionAll(count("linked", parts["linked"])))
 
 
+def _resumed(spark, sf):
+    """A run that ends after validation, and one that goes on from there: its raw input
+    fails when it is read, and need not be."""
+    path, raw, places = scratch(spark, "journal"), events(spark, sf), named_places(spark, sf)
+    gone = raw.withColumn("event_id", F.raise_error(F.lit("read again")).cast("bigint"))
+    run_batch_resumed(spark, raw, places, PLAN, path, raw_mark=sf, until="validate")
+    return path, run_batch_resumed(spark, gone, places, PLAN, path, raw_mark=sf)
+
+
+@query("run_batch_resumed", PICTURE)
+def resumed(spark, sf):
+    return _resumed(spark, sf)[1]["fused"]
+
+
+@query("batch_journal", """
+    WITH valid AS (SELECT * FROM events WHERE value < 200.0 AND json_extract(props, '$.k') IS NOT NULL)
+    SELECT 'decode' AS stage, 1 AS n_runs, count(*) AS n_rows FROM events
+    UNION ALL SELECT 'validate', 1, count(*) FROM events
+    UNION ALL SELECT 'correlate', 1, count(*) FROM valid WHERE event_type = 'click'
+    UNION ALL SELECT 'fuse', 1, count(DISTINCT user_id) FROM valid
+    UNION ALL SELECT 'enrich', 2, count(DISTINCT user_id) FROM valid""")
+def journal_of_runs(spark, sf):
+    """What the journal tells of the two runs and a third one with other reference data, which
+    computes the last stage only."""
+    path, _ = _resumed(spark, sf)
+    run_batch_resumed(spark, events(spark, sf), named_places(spark, sf).withColumn("nation", F.concat("nation", F.lit(" (old)"))), PLAN, path, raw_mark=sf)
+    return Journal(spark, path).entries().groupBy("stage").agg(F.count(F.lit(1)).cast("int").alias("n_runs"), F.max("n_rows").alias("n_rows"))
+
+
 @query("publish", f"SELECT CAST(entity_key AS VARCHAR) AS record_key, 'b1' AS batch_id, count(*) AS n FROM ({PICTURE}) GROUP BY 1")
 def published(spark, sf):
     """Stored, published, and published again under the next id: the second batch
