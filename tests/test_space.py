@@ -9,7 +9,8 @@ from conftest import rows
 from tidewright.functions.geo import EARTH_M, Quads, haversine_m, wrap_course, wrap_lon
 from tidewright.operators.correlate import best_match, interval_correlate, link_clusters, proximity_pairs
 from tidewright.operators.enrich import lookup, nearest_any, nearest_reference, zone_containment, zone_containment_wide
-from tidewright.functions.skew import HotKeys
+from tidewright.functions import skew
+from tidewright.functions.skew import COLUMN, ROW, HotKeys, spread_crowds
 from tidewright.schemas import ZONES
 
 
@@ -31,14 +32,14 @@ def scattered(seed, n):
     return out
 
 
-@pytest.mark.parametrize("radius", [20_000.0, 150_000.0, 2_500_000.0])
-def test_proximity_and_nearest_against_brute_force(spark, radius):
+@pytest.mark.parametrize("radius, crowd", [(20_000.0, None), (150_000.0, 4), (2_500_000.0, 100_000), (2_500_000.0, 4)])
+def test_proximity_and_nearest_against_brute_force(spark, radius, crowd):
     a, b = scattered(1, 150), scattered(2, 150)
     schema = "obs_id long, lat double, lon double, ts timestamp"
     da, db = spark.createDataFrame(a, schema), spark.createDataFrame(b, schema)
     want = sorted((x[0], y[0]) for x in a for y in b
                   if abs((x[3] - y[3]).total_seconds()) <= 900 and metres(x[1:3], y[1:3]) <= radius)
-    got = proximity_pairs(da, db, 900, radius)
+    got = proximity_pairs(da, db, 900, radius, crowd=crowd)
     assert sorted(tuple(r) for r in got.select("left_id", "right_id").collect()) == want and want
     near = sorted((x[0], r, y[0]) for x in a for r, y in enumerate(sorted(
         (y for y in b if metres(x[1:3], y[1:3]) <= radius), key=lambda y: (metres(x[1:3], y[1:3]), y[0]))[:3], 1))
@@ -77,8 +78,9 @@ def test_points_in_concave_rings(spark):
         assert rows(zone_containment(df, zones, cell)) == sorted(want, key=lambda r: (str(r[0]), r[1]))
 
 
+@pytest.mark.parametrize("crowd", [None, 2, 100_000])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_interval_join_against_brute_force(spark, how):
+def test_interval_join_against_brute_force(spark, how, crowd):
     rng = random.Random(9)
     t = lambda: datetime(2024, 1, 1) + timedelta(seconds=rng.randrange(-3000, 3000, 10))
     a = [(i, rng.choice([1, 1, 1, 2, None]), t()) for i in range(80)]
@@ -88,11 +90,39 @@ def test_interval_join_against_brute_force(spark, how):
             "left": [(x, y) for x, ys in hit.items() for y in (ys or [None])],
             "left_semi": [(x,) for x, ys in hit.items() if ys], "left_anti": [(x,) for x, ys in hit.items() if not ys]}[how]
     schema = "id long, k long, ts timestamp"
-    got = interval_correlate(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "k", "ts", 60, 90, how)
+    got = interval_correlate(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), "k", "ts", 60, 90, how, crowd=crowd)
     cols = ["id"] if how.startswith("left_") else ["id", "right_id"]
     assert rows(got, *cols) == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
 
 
+def test_crowds_are_cut_into_parts_of_about_the_limit(spark):
+    """A third of the rows of both sides stand at one key: every pair meets once, and no part
+    holds much more than the limit; equal rows count too."""
+    a = spark.range(6000).select((F.col("id") % 3 * (1 + F.col("id") % 1000)).alias("k"), F.col("id").alias("x"),
+                                 F.create_map(F.lit("m"), "id").alias("m"))
+    b = spark.range(3000).select((F.col("id") % 3 * (1 + F.col("id") % 1000)).alias("k2"), F.col("id").alias("y"))
+    left, right = spread_crowds(a, b, ["k"], ["k2"], 200)
+    on = [left["k"] == right["k2"], left[ROW] == right[ROW], left[COLUMN] == right[COLUMN]]
+    want = a.join(b, F.col("k") == F.col("k2")).agg(F.count(F.lit(1)), F.count_distinct("x", "y")).first()
+    assert left.join(right, on).agg(F.count(F.lit(1)), F.count_distinct("x", "y")).first() == want and want[0] == want[1]
+    for side, key in ((left, "k"), (right, "k2")):
+        sizes = side.groupBy(key, ROW, COLUMN).count()
+        assert sizes.agg(F.max("count")).first()[0] < 300 and sizes.filter(F.col(key) == 0).count() == 50
+    one, other = spread_crowds(a, b, ["k"], ["k2"], 200, both=False)
+    assert one.count() == 6000 and other.count() == 3000 + 9 * 1000
+
+
+def test_more_crowds_than_a_broadcast_takes(spark, monkeypatch):
+    """Only the largest are cut then, as many as the bound allows; no pair is lost."""
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
+    a = spark.range(400).select(F.floor(F.sqrt("id")).alias("k"), F.col("id").alias("x"))
+    left, right = spread_crowds(a, a.withColumnsRenamed({"k": "k2", "x": "y"}), ["k"], ["k2"], 2)
+    cut = left.filter(F.col(ROW) > 0).select("k").distinct().count()
+    assert cut <= 3
+    on = [left["k"] == right["k2"], left[ROW] == right[ROW], left[COLUMN] == right[COLUMN]]
+    assert left.join(right, on).count() == sum((2 * k + 1) ** 2 for k in range(20))
+
+
 def test_best_match_is_mutual_and_breaks_ties_by_id(spark):
     pairs = spark.createDataFrame([(1, 10, .9), (1, 11, .9), (2, 10, .95), (3, 11, .5), (4, 12, .1), (5, 12, .1)],
                                   "left_id long, right_id long, score double")

@@ -12,6 +12,8 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..session import cut_lineage
+
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
 
@@ -99,3 +101,58 @@ def unique_lookup(left: DataFrame, right: DataFrame, on: Sequence[str], how: str
     hot_part = joined(side(left, "left_semi"), F.broadcast(hot_right))
     rest = joined(side(left, "left_anti"), right)
     return hot_part.unionByName(rest)
+
+
+CROWD = 100_000
+ROW, COLUMN = "__row", "__column"
+
+
+def spread_crowds(a: DataFrame, b: DataFrame, a_keys: Sequence[str], b_keys: Sequence[str], limit: int | None = CROWD,
+                  both: bool = True) -> tuple[DataFrame, DataFrame]:
+    """The two sides of an equi-join with `ROW` and `COLUMN` added, to be joined on as well:
+    of a key with more than `limit` rows the pairs become a grid of parts. A row of `a` goes
+    to one part of its side by a hash of all its columns and is copied to each part of the
+    other, and a row of `b` the other way round, so that every pair meets once, in a task
+    that reads about `limit` rows of each. With `both` off only `a` is cut, and a row of `a`
+    still meets all its partners in one place, as outer, semi and anti joins need it.
+
+    Keys are counted by one map-side combined pass over each side cut. The crowded ones are
+    stored and broadcast: if they are more than BROADCAST_ROWS, only those that hold more
+    than that share of all crowded rows, which cannot be more than BROADCAST_ROWS. Equal
+    rows share a part.
+    """
+    if limit is None:
+        return a.withColumns({ROW: F.lit(0), COLUMN: F.lit(0)}), b.withColumns({ROW: F.lit(0), COLUMN: F.lit(0)})
+    a_crowds, b_crowds = _crowds(a, a_keys, limit), _crowds(b, b_keys, limit) if both else None
+    return (_dealt(_dealt(a, a_keys, a_crowds, ROW, one=True), a_keys, b_crowds, COLUMN, one=False),
+            _dealt(_dealt(b, b_keys, b_crowds, COLUMN, one=True), b_keys, a_crowds, ROW, one=False))
+
+
+def _crowds(df: DataFrame, keys: Sequence[str], limit: int) -> DataFrame | None:
+    """(__k0…, __parts) of the keys with more than `limit` rows; None if there are none."""
+    counted = df.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("__n"))
+    found = cut_lineage(counted.filter(F.col("__n") > limit))
+    size = found.agg(F.count(F.lit(1)).alias("n"), F.sum("__n").alias("rows")).first()
+    if not size["n"]:
+        return None
+    if size["n"] > BROADCAST_ROWS:
+        limit = -(-size["rows"] // BROADCAST_ROWS)
+    parts = F.ceil(F.col("__n") / limit).cast("int").alias("__parts")
+    return found.filter(F.col("__n") > limit).select(*[f"__k{i}" for i in range(len(keys))], parts)
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], crowds: DataFrame | None, out: str, one: bool) -> DataFrame:
+    """Adds `out`: a row's part of its crowd (`one`), or all parts, a copy each."""
+    if crowds is None:
+        return df.withColumn(out, F.lit(0))
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & (F.col(k) == F.col(f"__k{i}"))
+    held = df.join(F.broadcast(crowds), same, "left")
+    parts = F.coalesce("__parts", F.lit(1))
+    if one:
+        part = F.when(parts > 1, F.pmod(F.xxhash64(*plain), parts).cast("int")).otherwise(0)
+    else:
+        part = F.explode(F.sequence(F.lit(0), parts - 1))
+    return held.withColumn(out, part).drop("__parts", *[f"__k{i}" for i in range(len(keys))])

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.geo import BAND, CELL, Cells, haversine_m
 from ..functions.ordered import CHUNK, OrderedCut, running_last
-from ..functions.skew import DEFAULT_HOT, Hot, fits_broadcast, unique_lookup
+from ..functions.skew import COLUMN, CROWD, DEFAULT_HOT, ROW, Hot, fits_broadcast, spread_crowds, unique_lookup
 from ..functions.timecols import bucket, micros, seconds_between
 from ..session import cut_lineage
 from .ingest import first_rows
@@ -19,17 +19,20 @@ def prefixed(df: DataFrame, prefix: str) -> DataFrame:
 
 
 def interval_correlate(a: DataFrame, b: DataFrame, on: str, ts: str, before: float, after: float,
-                       how: str = "inner", prefix: str = "right_", watermark: str | None = None) -> DataFrame:
+                       how: str = "inner", prefix: str = "right_", watermark: str | None = None,
+                       crowd: int | None = CROWD) -> DataFrame:
     """Rows of `b` for the same entity within [ts - before, ts + after] seconds of
     a row of `a`; how = inner, left, left_semi or left_anti. Columns of `b` get the
     prefix.
 
     In batch the join key is (entity, time bucket): a row of `a` is in one bucket,
     a row of `b` is copied to the one or two buckets it can match. So an entity
-    holding very many rows is spread over its buckets, no pair is tried that is
-    more than two bucket widths apart, and adaptive execution can still split a
-    crowded bucket. Streams join on the entity with both sides' watermarks, which
-    bound the state.
+    holding very many rows is spread over its buckets, and no pair is tried that is
+    more than two bucket widths apart. Buckets with more than `crowd` rows of one side
+    are cut into parts (`spread_crowds`; the other kinds than inner cut rows of `a`
+    only, and a bucket crowded with rows of `b` is left to adaptive execution). None
+    saves the counts where no bucket can be crowded. Streams join on the entity with
+    both sides' watermarks, which bound the state.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"rows of b stand in several buckets, so a {how} join cannot tell its unmatched rows")
@@ -46,9 +49,12 @@ def interval_correlate(a: DataFrame, b: DataFrame, on: str, ts: str, before: flo
     left = a.withColumn("__b", bucket(ts, width))
     spread = F.sequence(bucket(rts, width, -after), bucket(rts, width, before))
     right = right.withColumn("__rb", F.explode(spread))
+    left, right = spread_crowds(left, right, [on, "__b"], [prefix + on, "__rb"], crowd, both=how == "inner")
+    right = right.withColumnsRenamed({ROW: "__r_row", COLUMN: "__r_column"})
+    same = same & (F.col("__b") == F.col("__rb")) & (F.col(ROW) == F.col("__r_row")) & (F.col(COLUMN) == F.col("__r_column"))
     gap = micros(rts) - micros(ts)
     near = gap.between(round(-before * 1e6), round(after * 1e6))
-    return left.join(right, same & (F.col("__b") == F.col("__rb")) & near, how).drop("__b", "__rb")
+    return left.join(right, same & near, how).drop("__b", "__rb", ROW, COLUMN, "__r_row", "__r_column")
 
 
 def asof_attach(left: DataFrame, right: DataFrame, by: Sequence[str], on: str, cols: Sequence[str],
@@ -93,7 +99,8 @@ def _last_right(rows, keep, by, on, cols, tolerance, prefix, tie, hot) -> DataFr
 
 
 def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_col: str = "obs_id",
-                    ts: str = "ts", lat: str = "lat", lon: str = "lon", ordered: bool = False) -> DataFrame:
+                    ts: str = "ts", lat: str = "lat", lon: str = "lon", ordered: bool = False,
+                    crowd: int | None = CROWD) -> DataFrame:
     """Pairs no more than `window` seconds and `max_m` metres apart, as
     left_id, right_id, dt_seconds, dist_m, score (1 = same place and time).
     `ordered` keeps left_id < right_id, for pairing a table with itself.
@@ -101,8 +108,8 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
     Space is cut into cells of twice max_m and time into twice the window, so a
     row of `b` (pass the smaller side) is copied about eight times to the cells it
     can reach, and a row of `a` has one cell. Only pairs in a shared cell are
-    tried, each once; the shuffle carries ids and positions only, and adaptive
-    execution splits crowded cells.
+    tried, each once; the shuffle carries ids and positions only. A cell with more
+    than `crowd` rows of one side at one time is cut into parts (`spread_crowds`).
     """
     cells, width = Cells(max(2 * max_m, 1.0)), max(2 * window, 1.0)
 
@@ -117,7 +124,9 @@ def proximity_pairs(a: DataFrame, b: DataFrame, window: float, max_m: float, id_
     there = cells.reach(there, "__lat2", "__lon2", max_m)
     dt = seconds_between("__ts", "__ts2")
     dist = haversine_m(F.col("__lat"), F.col("__lon"), F.col("__lat2"), F.col("__lon2"))
-    pairs = here.join(there, [BAND, CELL, "__t"])
+    cell = [BAND, CELL, "__t"]
+    here, there = spread_crowds(here, there, cell, cell, crowd)
+    pairs = here.join(there, [*cell, ROW, COLUMN])
     if ordered:
         pairs = pairs.filter(F.col("left_id") < F.col("right_id"))
     pairs = pairs.select("left_id", "right_id", dt.alias("dt_seconds"), dist.alias("dist_m"))

@@ -52,6 +52,13 @@ def interval_anti(spark, sf):
     return interval_correlate(_clicks(rows), _buys(rows), "entity_key", "ts", 0, 1800, "left_anti")
 
 
+@query("interval_correlate_crowded", PAIRS)
+def interval_crowded(spark, sf):
+    """The same, every bucket with two rows counted as crowded."""
+    rows = obs(spark, sf)
+    return interval_correlate(_clicks(rows), _buys(rows), "entity_key", "ts", 0, 1800, crowd=1)
+
+
 @query("interval_correlate_stream", PAIRS)
 def interval_stream(spark, sf):
     path, out = feed(spark, sf), scratch(spark, "out")
@@ -108,9 +115,9 @@ NEAR = f"""
     WHERE {haversine_sql('a', 'b')} <= 300000"""
 
 
-def near(spark, sf):
+def near(spark, sf, **kw):
     rows = obs(spark, sf)
-    return proximity_pairs(rows, rows, 3600, 300_000, ordered=True)
+    return proximity_pairs(rows, rows, 3600, 300_000, ordered=True, **kw)
 
 
 @query("proximity_pairs", f"SELECT left_id, right_id, dt_seconds, round(dist_m, 3) AS dist_m FROM ({NEAR})")
@@ -118,6 +125,11 @@ def proximity(spark, sf):
     return near(spark, sf).select("left_id", "right_id", "dt_seconds", F.round("dist_m", 3).alias("dist_m"))
 
 
+@query("proximity_pairs_crowded", f"SELECT left_id, right_id, dt_seconds, round(dist_m, 3) AS dist_m FROM ({NEAR})")
+def proximity_crowded(spark, sf):
+    return near(spark, sf, crowd=1).select("left_id", "right_id", "dt_seconds", F.round("dist_m", 3).alias("dist_m"))
+
+
 SEGMENTS = f"""
     SELECT obs_id, entity_key, max(opens) OVER (PARTITION BY entity_key ORDER BY ts, obs_id) AS session_start
     FROM (SELECT *, CASE WHEN p IS NULL OR epoch_us(ts) - epoch_us(p) > 1800000000 THEN ts END AS opens
