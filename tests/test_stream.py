@@ -16,7 +16,8 @@ from tidewright.plans.catalog.base import as_obs, event_stream, events
 from tidewright.schemas import EVENTS
 from tidewright.sources.readers import stream_source
 from tidewright.sources.sinks import XML_TIMES, deliver, write_final, write_split, write_xml
-from tidewright.streaming.run import deliver_to, dropped_rows, late_split, run_available
+from tidewright.operators.validate import reconcile_stream
+from tidewright.streaming.run import BatchCounts, counted, deliver_to, dropped_rows, late_split, read_counts, run_available
 
 SF = "/root/testdata/sf0.001"
 
@@ -188,3 +189,35 @@ def test_event_time_gap_is_exclusive_at_the_boundary(spark):
     t = datetime(2024, 1, 1)
     df = spark.createDataFrame([(1, t), (1, t + timedelta(seconds=1800))], "k long, ts timestamp")
     assert session_spans(df, "k", "ts", 1800).count() == 1
+
+
+def test_counts_of_a_stream_that_crashes_and_goes_on(spark, ordered, tmp_path):
+    """The third micro-batch dies after its write and is repeated: its rows count once."""
+    out, seen, ck = (str(tmp_path / n) for n in ("out", "seen", "ck"))
+    dies = [True]
+
+    def sink(batch, batch_id):
+        deliver(batch, out, batch_id)
+        if batch_id == 2 and dies.pop():
+            dies.append(False)
+            raise OSError("lost")
+
+    with pytest.raises(Exception, match="lost"), BatchCounts(spark, seen):
+        run_available(counted(event_stream(spark, ordered), "in"), sink, ck)
+    assert rows(read_counts(spark, seen), "batch_id") == [(0,), (1,)]
+    stored = lambda: {"in": {"out": read_deliveries(spark, out)}}
+    part = reconcile_stream(read_counts(spark, seen), stored()).first()
+    assert not part["balanced"] and part["n_out"] > part["n_in"]
+    dies[:] = [False]
+    with BatchCounts(spark, seen):
+        run_available(counted(event_stream(spark, ordered), "in"), sink, ck)
+    want = [tuple(r) for r in read_deliveries(spark, out).groupBy(F.col("batch_id").cast("bigint")).count().collect()]
+    assert rows(read_counts(spark, seen), "batch_id", "n_rows") == sorted(want)
+    assert tuple(reconcile_stream(read_counts(spark, seen), stored()).first()) == ("in", 4, 0, 1000, 1000, True)
+
+
+def test_a_count_that_is_missing_is_not_balanced(spark):
+    seen = spark.createDataFrame([("a", 0, 5), ("a", 2, 5), ("b", 0, 1)], "stage string, batch_id long, n_rows long")
+    ten, none = spark.range(10), spark.range(0)
+    found = reconcile_stream(seen, {"a": {"x": ten}, "b": {"x": none}, "c": {"x": none, "y": none}})
+    assert rows(found) == [("a", 2, 1, 10, 10, False), ("b", 1, 0, 1, 0, False), ("c", 0, 0, 0, 0, True)]

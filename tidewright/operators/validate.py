@@ -106,6 +106,23 @@ def reconcile(stages: Mapping[str, tuple[DataFrame, Mapping[str, DataFrame]]]) -
     return reduce(DataFrame.unionAll, [counted(n, s, o) for n, (s, o) in stages.items()])
 
 
+def reconcile_stream(seen: DataFrame, outputs: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
+    """The same for stages of streams: `seen` (stage, batch_id, n_rows) tells what each
+    micro-batch took in (`streaming.run.BatchCounts`), `outputs` what is stored. A
+    micro-batch without a count, as a crash between its end and its report leaves one,
+    is missing, and its stage not balanced: unknown is not the same as equal."""
+    def stored(name: str, outs: Mapping[str, DataFrame]) -> DataFrame:
+        return (reduce(DataFrame.unionAll, [d.select(F.lit(1).alias("o")) for d in outs.values()])
+                .agg(F.count(F.lit(1)).alias("n_out")).select(F.lit(name).alias("stage"), "n_out"))
+    told = seen.groupBy("stage").agg(F.count(F.lit(1)).alias("n_batches"), F.max("batch_id").alias("last"), F.sum("n_rows").alias("n_in"))
+    both = reduce(DataFrame.unionAll, [stored(n, o) for n, o in outputs.items()]).join(told, "stage", "left")
+    zero = F.lit(0).cast("bigint")
+    batches, known = F.coalesce("n_batches", zero), F.coalesce("n_in", zero)
+    missing = F.coalesce(F.col("last") + 1, zero) - batches
+    return both.select("stage", batches.alias("n_batches"), missing.alias("n_missing"), known.alias("n_in"), "n_out",
+                       ((known == F.col("n_out")) & (missing == 0)).alias("balanced"))
+
+
 def watch(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Counts rows on the way through a job that runs anyway; read the
     observation after the action, instead of scanning again for `reconcile`."""

@@ -13,9 +13,13 @@ from .base import FORCED, events, feed_of, query, table
 
 
 def broken_lines(spark, sf):
+    return broken(events(spark, sf))
+
+
+def broken(rows):
     """Events as delimited lines; every 7th has a value that is no number."""
     value = F.when(F.col("event_id") % 7 == 0, F.lit("n/k")).otherwise(F.col("value").cast("string"))
-    return events(spark, sf).select(F.concat_ws(";", "event_id", "user_id", "event_type", value).alias("raw"))
+    return rows.select(F.concat_ws(";", "event_id", "user_id", "event_type", value).alias("raw"))
 
 
 LINE = [("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"), ("value", "double")]

@@ -2,13 +2,16 @@
 
 from pyspark.sql import functions as F
 
-from ...operators.validate import Rule
+from ...operators.decode import route_rejects, split_fields
+from ...operators.validate import Rule, reconcile_stream
 from ...session import scratch
 from ...sources.sinks import XML_TIMES, read_deliveries
+from ...streaming.run import BatchCounts, counted, deliver_to, read_counts, run_available
 from ..batch import ENTITY, Plan, publish, run_batch, store
 from ..journal import Journal, run_batch_resumed
 from ..stream import run_stream, stored_picture
 from .base import event_stream, events, feed, query, table
+from .decode import LINE, broken
 
 PLAN = Plan(
     rules=(Rule("speed_high", "speed < 200.0"), Rule("k_known", "k IS NOT NULL"),
@@ -52,6 +55,26 @@ def entity_picture_stream(spark, sf):
     return stored_picture(spark, out, named_places(spark, sf), PLAN)["fused"]
 
 
+@query("reconcile_stream", """
+    SELECT stage, 4 AS n_batches, 0 AS n_missing, count(*) AS n_in, count(*) AS n_out, true AS balanced
+    FROM events, (VALUES ('decode'), ('reports')) s(stage) GROUP BY 1""")
+def stream_balance(spark, sf):
+    """Lines decoded, and reports decoded, checked and parted, as streams over two runs each:
+    what the micro-batches took in beside what is stored."""
+    seen, lines, out = (scratch(spark, n) for n in ("seen", "lines", "out"))
+    feed_path, checkpoints = feed(spark, sf), [scratch(spark, "ck"), scratch(spark, "ck")]
+    with BatchCounts(spark, seen):
+        for _ in range(2):
+            raw = counted(broken(event_stream(spark, feed_path)), "decode")
+            run_available(split_fields(raw, "raw", ";", LINE), deliver_to(lines), checkpoints[0])
+            rows = event_stream(spark, feed_path).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+            run_stream(counted(rows, "reports"), PLAN, out, checkpoints[1])
+    good, bad = route_rejects(read_deliveries(spark, lines))
+    sides = {n: read_deliveries(spark, f"{out}/{n}") for n in ("valid", "quarantine", "rejects")}
+    found = reconcile_stream(read_counts(spark, seen), {"decode": {"good": good, "rejects": bad}, "reports": sides})
+    return found.withColumns({c: F.col(c).cast("int") for c in ("n_batches", "n_missing")})
+
+
 @query("run_batch_sides", """
     SELECT side, count(*) AS n_rows FROM (
       SELECT CASE WHEN value < 200.0 AND json_extract(props, '$.k') IS NOT NULL THEN 'valid' ELSE 'quarantine' END AS side FROM events)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.streaming import StreamingQueryListener
 
 from ..functions.timecols import micros
+from ..session import names_in
 from ..sources.sinks import deliver
 
 
@@ -77,3 +80,66 @@ def read_latest(spark: SparkSession, path: str, key: str, ts: str, tie: list[str
     from ..operators.fuse import latest_state
     rows = spark.read.option("basePath", path).parquet(f"{path}/batch_id=*").drop("batch_id")
     return latest_state(rows, key, ts, tie)
+
+
+SEEN = T.StructType([
+    T.StructField("stage", T.StringType()),
+    T.StructField("batch_id", T.LongType()),
+    T.StructField("n_rows", T.LongType()),
+])
+
+
+def read_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(stage, batch_id, n_rows) of all runs so far."""
+    if not names_in(spark, path):
+        return spark.createDataFrame([], SEEN)
+    return spark.read.option("basePath", path).schema(SEEN).parquet(f"{path}/stage=*/batch_id=*").select(SEEN.names)
+
+
+def counted(stream: DataFrame, stage: str) -> DataFrame:
+    """The rows as they are, counted on their way through each micro-batch under a stage's
+    name. Rows are counted where they pass: leave no shuffle between here and a sink that
+    writes once per micro-batch, or tasks that run again are counted again."""
+    return stream.observe(stage, F.count(F.lit(1)).alias("n_rows"))
+
+
+class BatchCounts(StreamingQueryListener):
+    """Gathers what `counted` saw into a table below `path`, a folder per stage and
+    micro-batch, so that a micro-batch that is repeated after a crash replaces its count.
+    Use it as a context around the runs: leaving waits for the counts of all that ended."""
+
+    def __init__(self, spark: SparkSession, path: str, patience: float = 60):
+        self.spark, self.path, self.patience = spark, path, patience
+        self._open, self._change = {}, threading.Condition()
+
+    def __enter__(self) -> BatchCounts:
+        self.spark.streams.addListener(self)
+        return self
+
+    def __exit__(self, *error) -> None:
+        with self._change:
+            quiet = self._change.wait_for(lambda: all(self._open.values()), self.patience)
+        self.spark.streams.removeListener(self)
+        if not quiet and error[0] is None:
+            raise TimeoutError("a query that ended has not told its last counts")
+
+    def onQueryStarted(self, event) -> None:
+        self._told(event.runId, False)
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        for stage, seen in progress.observedMetrics.items():
+            if seen["n_rows"] is not None:
+                row = self.spark.createDataFrame([(stage, progress.batchId, seen["n_rows"])], SEEN)
+                deliver(row.select("n_rows").coalesce(1), f"{self.path}/stage={stage}", progress.batchId)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self._told(event.runId, True)
+
+    def _told(self, run, ended: bool) -> None:
+        with self._change:
+            self._open[str(run)] = ended
+            self._change.notify_all()
