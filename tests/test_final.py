@@ -8,7 +8,8 @@ from conftest import rows
 from tidewright import session
 from tidewright.functions.skew import HotKeys
 from tidewright.operators.final import changes, changes_blocks, merge_sketches, period_sketch, read_sketches, sketch_panes, period_summary, row_changes, top_n, upsert_final
-from tidewright.operators.fuse import conflicts, fuse_attributes, fuse_measurements
+from tidewright.operators import fuse
+from tidewright.operators.fuse import conflicts, fuse_attributes, fuse_measurements, resample
 from tidewright.operators.ingest import dedup, source_inventory
 from tidewright.operators.normalize import normalize_time
 from tidewright.operators.validate import Rule, apply_rules, reconcile, split_quarantine, watch
@@ -226,3 +227,15 @@ def test_no_document_is_larger_than_its_bound(spark, hot):
     with pytest.raises(ValueError):
         xml_documents_by_bytes(df, ["g"], ["id"], ["id", "t"], "rows", "row", 100, hot=hot)
     assert xml_documents_by_bytes(df.limit(0), ["g"], ["id"], ["id", "t"], "rows", "row", 100, hot=hot).count() == 0
+
+
+def test_a_long_gap_is_laid_out_in_stretches(spark, monkeypatch):
+    start = datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, start, 1.0), (1, datetime(2024, 1, 11), 2.0), (2, start, 5.0), (2, start, 6.0), (3, None, 1.0)],
+                               "k long, ts timestamp, v double").withColumn("i", F.monotonically_increasing_id())
+    whole = resample(df.filter("k = 1"), "k", "ts", 1, ["v"], "linear")
+    assert whole.count() == whole.distinct().count() == 10 * 86_400 + 1
+    want = rows(resample(df, "k", "ts", 3600, ["v"], "linear", tie=["i"]))
+    for points in (1, 7):
+        monkeypatch.setattr(fuse, "GRID_ROWS", points)
+        assert rows(resample(df, "k", "ts", 3600, ["v"], "linear", tie=["i"])) == want

@@ -12,11 +12,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.sixbit import Field
 from ..functions.skew import DEFAULT_HOT, Hot
+from ..operators.correlate import asof_attach
 from ..operators.decode import (ERROR, SENTENCE, check_integrity, decode_bits, reassemble_parts, route_rejects, sane_parts,
                                 split_fields)
-from ..operators.enrich import lookup
+from ..operators.enrich import lookup, zone_containment
 from ..operators.fuse import fuse_attributes
-from ..operators.ingest import first_rows
+from ..operators.ingest import first_rows, source_inventory
 from ..operators.normalize import conform, normalize_text, union_sources, wrap_angles
 from ..operators.validate import Rule, apply_rules, check_motion, moved, split_quarantine
 from ..schemas import OBS, STATIC
@@ -27,6 +28,9 @@ from .layouts import POSITION_REPORT, STATIC_REPORT
 
 FIELDS = (("talker", "string"), ("n_parts", "int"), ("part_no", "int"), ("seq", "string"), ("channel", "string"),
           ("payload", "string"), ("fill", "int"))
+TEXTS = ["name", "call_sign", "destination"]
+# What the last static report of an entity adds to its record
+TOLD = ["name", "kind", "length", "width", "call_sign", "destination"]
 MESSAGE_TYPE = (Field("msg_type", 0, 6),)
 
 
@@ -53,7 +57,7 @@ def decode_sentences(lines: DataFrame, gap_seconds: float = 60, hot: Hot = DEFAU
     kind = F.col("msg_type")
     positions = passed(decode_bits(typed.filter(kind.between(1, 3)), "payload", POSITION_REPORT), "position", "payload")
     statics = passed(decode_bits(typed.filter(kind == 5), "payload", STATIC_REPORT), "static", "payload")
-    statics = normalize_text(statics, ["name"]).withColumns({
+    statics = normalize_text(statics, TEXTS).withColumns({
         "length": F.col("to_bow") + F.col("to_stern"), "width": F.col("to_port") + F.col("to_starboard")})
     return {"obs": conform(wrap_angles(positions, "lon", "course"), OBS, {"ts": "started"}),
             "static": conform(statics, STATIC, {"valid_from": "started"}),
@@ -62,14 +66,35 @@ def decode_sentences(lines: DataFrame, gap_seconds: float = 60, hot: Hot = DEFAU
 
 
 def sentence_picture(lines: DataFrame, rules: Sequence[Rule] = (), priority: Sequence[str] = (), max_speed: float = 100,
-                     gap_seconds: float = 60, hot: Hot = DEFAULT_HOT) -> dict[str, DataFrame]:
-    """All stages: the tables of `decode_sentences`, the quarantine of the rules, and
-    `fused`, one record per entity with every attribute of its observations, how many
-    there were, how many of them moved faster than max_speed (m/s), and its last name."""
+                     gap_seconds: float = 60, hot: Hot = DEFAULT_HOT, zones: DataFrame | None = None,
+                     zone_cell_m: float = 50_000) -> dict[str, DataFrame]:
+    """All stages: the tables of `decode_sentences`, the quarantine of the rules, `inventory`
+    of the observations by source, and what `linked_sentences` makes of the valid ones."""
     tables = decode_sentences(lines, gap_seconds, hot)
     valid, quarantine = split_quarantine(apply_rules(tables["obs"], rules), rules)
     motion = check_motion(valid, "entity_key", "ts", max_speed, tie=["obs_id"], hot=hot)
-    return {**tables, "quarantine": quarantine, "fused": fuse_sentences(motion, tables["static"], priority, hot)}
+    return {**tables, "quarantine": quarantine, "inventory": source_inventory(tables["obs"], ["source"], "ts", "entity_key"),
+            **linked_sentences(motion, tables["static"], priority, hot, zones, zone_cell_m)}
+
+
+def linked_sentences(motion: DataFrame, static: DataFrame, priority: Sequence[str], hot: Hot = DEFAULT_HOT,
+                     zones: DataFrame | None = None, zone_cell_m: float = 50_000) -> dict[str, DataFrame]:
+    """Correlation, enrichment and fusion of checked observations: `linked`, each with the
+    static report of its entity that was the last at its time (ties: the greatest name);
+    with zones also `visits` (obs_id, entity_key, zone_id); and `fused`, one record per
+    entity with every attribute of its observations, how many there were, how many moved
+    faster than max_speed, what its last static report tells, and with zones `n_zones`,
+    how many it was seen in."""
+    told = static.select("entity_key", F.col("valid_from").alias("ts"), *TOLD)
+    found = {"linked": asof_attach(motion, told, ["entity_key"], "ts", ["ts", *TOLD], prefix="static_", tie=["name"], hot=hot)}
+    fused = fuse_sentences(motion, static, priority, hot)
+    if zones is not None:
+        seen = motion.withColumn("__id", F.struct("obs_id", "entity_key")).select("__id", "lat", "lon")
+        found["visits"] = zone_containment(seen, zones, zone_cell_m, id_col="__id").select("__id.*", "zone_id")
+        count = (found["visits"].groupBy("entity_key", "zone_id").agg(F.lit(1).alias("__one"))
+                 .groupBy("entity_key").agg(F.count(F.lit(1)).alias("n_zones")))
+        fused = fused.join(count, "entity_key", "left").withColumn("n_zones", F.coalesce("n_zones", F.lit(0).cast("bigint")))
+    return {**found, "fused": fused}
 
 
 def fuse_sentences(motion: DataFrame, static: DataFrame, priority: Sequence[str], hot: Hot = DEFAULT_HOT) -> DataFrame:
@@ -77,14 +102,14 @@ def fuse_sentences(motion: DataFrame, static: DataFrame, priority: Sequence[str]
     fused = fuse_attributes(motion, "entity_key", ["lat", "lon", "speed", "course", "status"], priority, also=[
         F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_reports"), F.count_if("too_fast").alias("n_too_fast")])
     names = first_rows(static, ["entity_key"], [F.desc("valid_from"), F.asc("name")])
-    return lookup(fused, names, ["entity_key"], ["name", "kind"], hot=hot)
+    return lookup(fused, names, ["entity_key"], TOLD, hot=hot)
 
 
 # Columns that each side of the stream keeps, under the names of the batch tables
 SIDES = {
     "obs": [*OBS.names, "prev_dist_m", "prev_seconds", "speed_mps", "too_fast"],
     "quarantine": [*OBS.names, "violations"],
-    "static": ["entity_key", "ts AS valid_from", "name", "kind", "length", "width"],
+    "static": ["entity_key", "ts AS valid_from", *TOLD],
     "other": ["source", "ts AS started", "text AS payload", "msg_type", "obs_id"],
     "rejects": ["source", "stage", "text", "error"],
 }
@@ -130,7 +155,7 @@ def _told_apart(messages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     report = F.when(F.col("__p").isNotNull(), F.struct(*[F.col(f.name) for f in POSITION_REPORT if f.name != "msg_type"], F.col(ERROR)))
     statics = decode_bits(positions.select(*base, F.explode(F.array(report)).alias("position")), "__s",
                           [f for f in STATIC_REPORT if f.name != "msg_type"])
-    statics = normalize_text(statics, ["name"])
+    statics = normalize_text(statics, TEXTS)
     is_position, is_static = F.col("__p").isNotNull(), F.col("__s").isNotNull()
     flat = statics.select(
         "source", "ts", "known", "payload", "msg_type", "obs_id", is_position.alias("is_position"), is_static.alias("is_static"),
@@ -142,7 +167,7 @@ def _told_apart(messages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         *[F.col(f"position.{c}").cast("double").alias(c) for c in ("lat", "lon", "speed", "course")],
         F.col("position.status").cast("int").alias("status"), "name", F.col("kind").cast("int").alias("kind"),
         (F.col("to_bow") + F.col("to_stern")).cast("double").alias("length"),
-        (F.col("to_port") + F.col("to_starboard")).cast("double").alias("width"))
+        (F.col("to_port") + F.col("to_starboard")).cast("double").alias("width"), "call_sign", "destination")
     ruled = apply_rules(flat, rules)
     held = [r.name for r in rules if r.severity == "error"]
     breaks = F.arrays_overlap("violations", F.array(*[F.lit(n) for n in held])) if held else F.lit(False)
@@ -182,9 +207,10 @@ def run_sentence_stream(lines: DataFrame, out: str, checkpoint: str, rules: Sequ
     return run_available(rows, put, checkpoint)
 
 
-def stored_sentences(spark: SparkSession, out: str, priority: Sequence[str] = (), hot: Hot = DEFAULT_HOT) -> dict[str, DataFrame]:
+def stored_sentences(spark: SparkSession, out: str, priority: Sequence[str] = (), hot: Hot = DEFAULT_HOT,
+                     zones: DataFrame | None = None, zone_cell_m: float = 50_000) -> dict[str, DataFrame]:
     """The tables of `sentence_picture` over everything taken in so far; `obs` are the
     observations that keep the rules, with their motion."""
     rows = spark.read.option("basePath", out).parquet(f"{out}/batch_id=*").drop("batch_id")
     tables = {side: rows.filter(F.col("side") == side).selectExpr(*cols) for side, cols in SIDES.items()}
-    return {**tables, "fused": fuse_sentences(tables["obs"], tables["static"], priority, hot)}
+    return {**tables, **linked_sentences(tables["obs"], tables["static"], priority, hot, zones, zone_cell_m)}

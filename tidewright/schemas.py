@@ -29,6 +29,8 @@ STATIC = T.StructType([
     T.StructField("kind", T.IntegerType()),
     T.StructField("length", T.DoubleType()),
     T.StructField("width", T.DoubleType()),
+    T.StructField("call_sign", T.StringType()),
+    T.StructField("destination", T.StringType()),
 ])
 
 LINKS = T.StructType([
