@@ -9,6 +9,7 @@ from conftest import rows
 from tidewright.functions.skew import HotKeys
 from tidewright.operators.decode import reassemble_parts
 from tidewright.plans.catalog.base import as_obs, event_stream, feed
+from tidewright.session import STATE_STORE
 from tidewright.streaming.run import deliver_to, run_available
 from tidewright.streaming.state import (Pieces, in_order, latest_state_expiring, presence_table, read_presence,
                                         reassemble_stream)
@@ -165,3 +166,20 @@ def test_sentences_of_a_stream_killed_and_resumed(spark, tmp_path):
                        ("static", ["entity_key", "valid_from", "name", "kind", "length", "width"]), ("other", ["source", "payload", "msg_type"])):
         assert rows(found[side], *cols) == rows(whole[side], *cols), side
     assert {r.stage for r in found["rejects"].collect()} == {"integrity", "reassembly", "type"}
+
+
+def test_states_of_a_session_built_elsewhere(spark, tmp_path):
+    default = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    kept = spark.conf.get(STATE_STORE)
+    data = str(tmp_path / "in")
+    write_part(spark, data, 0, [("a", 1, START, 1, 2, "P"), ("a", 1, START, 2, 2, "Q"), ("b", 1, START, 1, 1, "R"),
+                                ("z", 1, START + timedelta(hours=1), 1, 1, "S")], PARTS)
+    spark.conf.set(STATE_STORE, default)
+    try:
+        feed = spark.readStream.schema(PARTS).parquet(data + "/t*")
+        run_available(reassemble_stream(feed, ["source", "seq"], "ts", "part_no", "n_parts", "payload", 60, "1 minute"),
+                      deliver_to(str(tmp_path / "out")), str(tmp_path / "ck"))
+    finally:
+        spark.conf.set(STATE_STORE, kept)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert rows(out, "source", "payload") == [("a", "PQ"), ("b", "R"), ("z", "S")]
