@@ -225,3 +225,23 @@ def test_nearest_however_far(spark):
     assert {(r.obs_id, round(r.dist_m, 3)) for r in found} == want and len(found) == 3 * 64
     few = nearest_any(df, ref.limit(2), 3).collect()
     assert len(few) == 2 * 64 and nearest_any(df, ref.limit(0), 3).count() == 0 and nearest_any(df.limit(0), ref, 3).count() == 0
+
+
+def test_candidates_of_a_nearest_search_stay_few(spark, monkeypatch):
+    """Many reference points on one side of the globe, rows among them and far away."""
+    from tidewright.operators import enrich
+    rng = random.Random(5)
+    refs = [(k, rng.uniform(-90, -30), rng.uniform(-180, 180)) for k in range(4000)] + [(5000 + k, -50.0, 7.0) for k in range(500)]
+    points = [(k, rng.uniform(-90, 90), rng.uniform(-180, 180)) for k in range(300)] + [(900 + k, -50.0, 7.0) for k in range(50)]
+    df = spark.createDataFrame(points, "obs_id int, lat double, lon double")
+    ref = spark.createDataFrame(refs, "ref_id int, lat double, lon double")
+    tried, plain = [], enrich._tried
+    monkeypatch.setattr(enrich, "_tried", lambda points, spots, pairs, *rest: (
+        tried.append(pairs.groupBy("q").agg(F.first("q_n").alias("n"), F.first("left").alias("m")).agg(F.sum(F.col("n") * F.col("m"))).first()[0]),
+        plain(points, spots, pairs, *rest))[1])
+    found = {(r.obs_id, r.rank): (r.ref_id, r.dist_m) for r in nearest_any(df, ref, 3).collect()}
+    for i, la, lo in points[::7]:
+        order = sorted((round(metres((la, lo), (b, c)), 3), r) for r, b, c in refs)
+        assert [round(found[i, n][1], 3) for n in (1, 2, 3)] == [d for d, _ in order[:3]]
+    assert [found[900, n][0] for n in (1, 2, 3)] == [5000, 5001, 5002]
+    assert sum(tried) <= 300 * len(points)  # of 4,500 each

@@ -186,6 +186,56 @@ class Quads:
                             F.when(F.col("state") == "outline", F.col("edges")).alias("edges"))
 
 
+class Octs:
+    """Cells of all sizes in space, for points as unit vectors: level L cuts each axis into
+    2^L parts. A cell's number interleaves the three, so its parent is the number shifted by
+    three bits. No cell is special at the poles or at the ±180° line."""
+
+    LEVELS = 20
+
+    @staticmethod
+    def place(df: DataFrame, lat: str, lon: str) -> DataFrame:
+        """Adds __x, __y, __z and the point's cell on the last level, __code; points without
+        a position are left out."""
+        p, l = F.radians(F.col(lat)), F.radians(F.col(lon))
+        at = df.withColumns({"__x": F.cos(p) * F.cos(l), "__y": F.cos(p) * F.sin(l), "__z": F.sin(p)})
+        at = at.filter(~F.isnan("__x") & ~F.isnan("__y") & ~F.isnan("__z")
+                       & F.col("__x").isNotNull() & F.col("__y").isNotNull() & F.col("__z").isNotNull())
+        n = 1 << Octs.LEVELS
+
+        def spread(c: str) -> Column:
+            v = F.least(F.greatest(F.floor((F.col(c) + 1) / 2 * n), F.lit(0)), F.lit(n - 1)).cast("bigint")
+            for shift, mask in ((32, 0x1f00000000ffff), (16, 0x1f0000ff0000ff), (8, 0x100f00f00f00f00f),
+                                (4, 0x10c30c30c30c30c3), (2, 0x1249249249249249)):
+                v = v.bitwiseOR(F.shiftleft(v, shift)).bitwiseAND(F.lit(mask))
+            return v
+
+        return at.withColumn("__code", spread("__x").bitwiseOR(F.shiftleft(spread("__y"), 1)).bitwiseOR(F.shiftleft(spread("__z"), 2)))
+
+    @staticmethod
+    def at(level: int) -> Column:
+        """The cell of a level that holds the point."""
+        return F.shiftright("__code", 3 * (Octs.LEVELS - level))
+
+    @staticmethod
+    def boxes(placed: DataFrame, level: int, name: str) -> DataFrame:
+        """(name, name_n, name_box) of the cells of a level that hold points: how many, and the box around them."""
+        sides = [f(c).alias(f"{c}{i}") for c in ("x", "y", "z") for i, f in ((0, lambda c: F.min(f"__{c}")), (1, lambda c: F.max(f"__{c}")))]
+        found = placed.groupBy(Octs.at(level).alias(name)).agg(F.count(F.lit(1)).alias(f"{name}_n"), *sides)
+        return found.select(name, f"{name}_n", F.struct("x0", "x1", "y0", "y1", "z0", "z1").alias(f"{name}_box"))
+
+    @staticmethod
+    def apart(a: str, b: str) -> tuple[Column, Column]:
+        """Least and greatest squared chord between points of two boxes."""
+        near, far = [], []
+        for c in ("x", "y", "z"):
+            gap = F.greatest(F.col(f"{a}.{c}0") - F.col(f"{b}.{c}1"), F.col(f"{b}.{c}0") - F.col(f"{a}.{c}1"), F.lit(0.0))
+            span = F.greatest(F.col(f"{a}.{c}1") - F.col(f"{b}.{c}0"), F.col(f"{b}.{c}1") - F.col(f"{a}.{c}0"))
+            near.append(gap * gap)
+            far.append(span * span)
+        return near[0] + near[1] + near[2], far[0] + far[1] + far[2]
+
+
 def _touches(e: Column) -> Column:
     """Whether an edge may meet the closed box x0..x1, y0..y1: their boxes meet, and the
     corners do not all lie on one side of the edge's line."""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.geo import BAND, CELL, EARTH_M, Cells, Quads, haversine_m, in_edges, in_ring
+from ..functions.geo import BAND, CELL, EARTH_M, Cells, Octs, Quads, haversine_m, in_edges, in_ring
 from ..functions.ordered import neighbour_row
 from ..functions.skew import (BROADCAST_BYTES, BROADCAST_ROWS, DEFAULT_HOT, Hot, fits_broadcast,
                               unique_lookup)
@@ -126,51 +126,91 @@ def zone_containment_wide(df: DataFrame, zones: DataFrame, depth: int = 6, id_co
     return points.join(cells, "cell").filter(held).select(id_col, "zone_id")
 
 
+GLOBE = 21_000_000.0  # more than half the way around
+
+
 def nearest_any(df: DataFrame, ref: DataFrame, k: int, id_col: str = "obs_id", ref_id: str = "ref_id", lat: str = "lat",
                 lon: str = "lon", start_m: float | None = None) -> DataFrame:
     """The k nearest reference points of each row, however far: (id, ref_id, dist_m, rank),
     ties by ref_id; ids are unique, and fewer come back only where the reference has fewer.
-
-    Rings grow twofold from `start_m` (by default the radius that would hold k points if they
-    were spread evenly): a row that finds k points within the ring has its nearest, and
-    leaves; only the others look further. Each round is stored; the last ring is the globe.
+    `nearest_reference` without a bound: what it looks at goes by how many reference points
+    there are beside a row, so `start_m`, where a search by rings would begin, plays no part.
     """
-    placed = ref.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-    n = placed.count()
-    globe = 21_000_000.0
-    radius = start_m or max(1_000.0, 2 * EARTH_M * math.sqrt(k / max(1, n)))
-    todo = df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(id_col, lat, lon)
-    found = None
-    while True:
-        radius = min(radius, globe)
-        near = nearest_reference(todo, placed, k, radius, id_col, ref_id, lat, lon)
-        if radius < globe:
-            near = cut_lineage(near)
-            full = near.filter(F.col("rank") == k).select(id_col)
-            done = near.join(full, id_col, "left_semi")
-            todo = cut_lineage(todo.join(full, id_col, "left_anti"))
-        else:
-            done = near
-        found = done if found is None else found.unionByName(done)
-        if radius >= globe or todo.isEmpty():
-            return found
-        radius *= 2
+    return nearest_reference(df, ref, k, GLOBE, id_col, ref_id, lat, lon)
+
+
+FIRST = 3  # level of space at which the search begins: some hundred cells
+FEW = 16   # candidates beside k that are tried one by one
+SLACK = 1e-9  # of chords on the unit sphere, for rounding: six millimetres
 
 
 def nearest_reference(df: DataFrame, ref: DataFrame, k: int, max_m: float, id_col: str = "obs_id",
                       ref_id: str = "ref_id", lat: str = "lat", lon: str = "lon") -> DataFrame:
     """The k nearest reference points within max_m of each row: (id, ref_id,
-    dist_m, rank), ties by ref_id. Candidates come from shared grid cells."""
-    cells = Cells(max_m)
-    spread = (ref.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                 .select(F.col(ref_id), F.col(lat).alias("__lat2"), F.col(lon).alias("__lon2")))
-    spread = cells.reach(spread, "__lat2", "__lon2", max_m)
-    spread = F.broadcast(spread) if fits_broadcast(spread) else spread
-    points = (df.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull())
-                .select(F.col(id_col), F.col(lat).alias("__lat"), F.col(lon).alias("__lon")))
-    points = cells.place(points, "__lat", "__lon")
-    dist = haversine_m(F.col("__lat"), F.col("__lon"), F.col("__lat2"), F.col("__lon2"))
-    near = (points.join(spread, [BAND, CELL]).select(id_col, ref_id, dist.alias("dist_m"))
-                  .filter(F.col("dist_m") <= max_m))
+    dist_m, rank), ties by ref_id.
+
+    Cells of rows meet cells of reference points, from large ones to small ones: of a cell's
+    partners only those stay that may hold one of the k nearest of some row in it, told by
+    the boxes around their points. A cell with few candidates left is done, the others are
+    cut into smaller ones. So a row tries some dozen points wherever it lies and
+    however many there are. Each level is stored; of reference points at one place only
+    the first k are kept.
+    """
+    cap = 4.0 if max_m >= GLOBE else (2 * math.sin(min(max_m / EARTH_M, math.pi) / 2) + SLACK) ** 2
+    points = Octs.place(df.select(F.col(id_col), F.col(lat).alias("__lat"), F.col(lon).alias("__lon")), "__lat", "__lon")
+    points = cut_lineage(points.select(id_col, "__lat", "__lon", "__x", "__y", "__z", "__code"))
+    spots = ref.filter(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(
+        F.col(ref_id), F.col(lat).alias("__lat2"), F.col(lon).alias("__lon2"))
+    first = Window.partitionBy("__lat2", "__lon2").orderBy(ref_id)
+    spots = spots.withColumn("__k", F.row_number().over(first)).filter(F.col("__k") <= k).drop("__k")
+    spots = cut_lineage(Octs.place(spots, "__lat2", "__lon2"))
+
+    def beside(pairs: DataFrame) -> DataFrame:
+        """Pairs of cells (q, r) that may be needed, with the squared chord within which
+        every row of q has its k nearest, and how many candidates q has."""
+        near, far = Octs.apart("q_box", "r_box")
+        pairs = pairs.select("q", "r", "q_n", "r_n", near.alias("near"), far.alias("far")).filter(F.col("near") <= cap)
+        q = Window.partitionBy("q")
+        upto = F.sum("r_n").over(q.orderBy("far").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        pairs = pairs.withColumn("upto", upto)
+        pairs = pairs.withColumn("within", F.least(F.coalesce(F.min(F.when(F.col("upto") >= k, F.col("far"))).over(q), F.lit(4.0)), F.lit(cap)))
+        pairs = pairs.filter(F.sqrt("near") <= F.sqrt("within") + SLACK)
+        return pairs.withColumn("left", F.sum("r_n").over(q)).select("q", "r", "q_n", "within", "left")
+
+    level, found = FIRST, None
+    pairs = Octs.boxes(points, level, "q").crossJoin(F.broadcast(Octs.boxes(spots, level, "r")))
+    while True:
+        pairs = cut_lineage(beside(pairs))
+        few = (F.col("left") <= k + FEW) | (F.col("left") * F.col("q_n") <= 64 * FEW) | F.lit(level == Octs.LEVELS)
+        counts = pairs.agg(F.count_if(few).alias("done"), F.count_if(~few).alias("open")).first()
+        if counts["done"]:
+            near = _tried(points, spots, pairs.filter(few), level, id_col, ref_id)
+            found = near if found is None else found.unionByName(near)
+        if not counts["open"]:
+            break
+        up, level = F.shiftright("cell", 3), level + 1
+        cells = [Octs.boxes(side, level, name).withColumnRenamed(name, "cell").withColumn("__" + name, up)
+                 for side, name in ((points, "q"), (spots, "r"))]
+        pairs = pairs.filter(~few).select(F.col("q").alias("__q"), F.col("r").alias("__r"))
+        pairs = (pairs.join(cells[0].withColumnRenamed("cell", "q"), "__q")
+                 .join(cells[1].withColumnRenamed("cell", "r"), "__r").drop("__q", "__r"))
+    if found is None:
+        found = points.crossJoin(spots).select(id_col, ref_id, F.lit(0.0).alias("dist_m")).limit(0)
+    near = found.filter(F.col("dist_m") <= max_m)
     w = Window.partitionBy(id_col).orderBy("dist_m", ref_id)
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def _tried(points: DataFrame, spots: DataFrame, pairs: DataFrame, level: int, id_col: str, ref_id: str) -> DataFrame:
+    """(id, ref_id, dist_m) of the rows in the cells of one level and their candidates."""
+    within = 2 * EARTH_M * F.asin(F.least(F.sqrt("within") / 2 + SLACK, F.lit(1.0)))
+    there = spots.select(Octs.at(level).alias("r"), ref_id, "__lat2", "__lon2")
+    there = pairs.select("q", "r", within.alias("__within")).join(there, "r").drop("r")
+    here = points.select(Octs.at(level).alias("q"), id_col, "__lat", "__lon")
+    cells = pairs.select("q").distinct()
+    if fits_broadcast(cells):  # rows of other levels are not shuffled
+        here = here.join(F.broadcast(cells), "q", "left_semi")
+    there = F.broadcast(there) if fits_broadcast(there) else there
+    dist = haversine_m(F.col("__lat"), F.col("__lon"), F.col("__lat2"), F.col("__lon2"))
+    return here.join(there, "q").select(id_col, ref_id, dist.alias("dist_m"), "__within").filter(
+        F.col("dist_m") <= F.col("__within") + 1.0).drop("__within")
