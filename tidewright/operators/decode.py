@@ -15,6 +15,7 @@ from ..session import cut_lineage
 from .correlate import sessions
 
 ERROR = "error"
+TASK_ROWS = 250_000
 
 
 def _reasons(*conditions):
@@ -107,6 +108,10 @@ def reassemble_parts(df: DataFrame, group_keys: Sequence[str], ts: str, part_no:
     keys = [*group_keys, "n_parts"]
     parts = sane_parts(df, group_keys, ts, part_no, n_parts, payload)
     many = parts.filter(F.col("sane") & (F.col("n_parts") > 1)).drop("sane")
+    # the steps below sort a task's rows several times over, so tasks get about TASK_ROWS each
+    some = many.count()
+    if some > TASK_ROWS:
+        many = many.repartition(-(-some // TASK_ROWS), *keys)
     cut = OrderedCut.of(many, keys, ts, hot)
     inner = cut.hot if cut.cuts is not None else None  # no part of a key is hot unless the key is
     cut = cut if cut.cuts is not None else None
