@@ -112,6 +112,15 @@ def test_crowds_are_cut_into_parts_of_about_the_limit(spark):
     assert one.count() == 6000 and other.count() == 3000 + 9 * 1000
 
 
+def test_copies_of_crowds_stay_in_proportion(spark):
+    """Parts of one row would copy each row a thousand times."""
+    a = spark.range(4000).select((F.col("id") % 4).alias("k"), F.col("id").alias("x"))
+    left, right = spread_crowds(a, a.withColumnsRenamed({"k": "k2", "x": "y"}), ["k"], ["k2"], 1)
+    assert left.count() + right.count() <= 10 * 8000
+    on = [left["k"] == right["k2"], left[ROW] == right[ROW], left[COLUMN] == right[COLUMN]]
+    assert left.join(right, on).agg(F.count(F.lit(1)), F.count_distinct("x", "y")).first() == (4_000_000, 4_000_000)
+
+
 def test_more_crowds_than_a_broadcast_takes(spark, monkeypatch):
     """Only the largest are cut then, as many as the bound allows; no pair is lost."""
     monkeypatch.setattr(skew, "BROADCAST_ROWS", 3)
