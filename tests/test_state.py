@@ -183,3 +183,27 @@ def test_states_of_a_session_built_elsewhere(spark, tmp_path):
         spark.conf.set(STATE_STORE, kept)
     out = spark.read.parquet(str(tmp_path / "out"))
     assert rows(out, "source", "payload") == [("a", "PQ"), ("b", "R"), ("z", "S")]
+
+
+def test_a_feed_of_many_rows_has_more_files(spark, monkeypatch):
+    from tidewright.plans.catalog import base
+    monkeypatch.setattr(base, "FILE_ROWS", 100)
+    given = spark.range(1000).select("id", F.timestamp_seconds(F.col("id") * 37 % 1000).alias("ts"))
+    path = base.feed_of(spark, given, "ts")
+    read = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    sizes = [r["count"] for r in read.groupBy("file").count().collect()]
+    assert len(sizes) == 10 and max(sizes) <= 150 and rows(read, "id", "ts") == rows(given)
+
+
+def test_parts_of_many_messages_go_to_tasks_of_bounded_size(spark, monkeypatch):
+    from tidewright.operators import decode
+    parts = random_parts(6)
+    given = spark.createDataFrame(parts, PARTS)
+    args = ["source", "seq"], "ts", "part_no", "n_parts", "payload", 20
+    plain = reassemble_parts(given, *args)
+    monkeypatch.setattr(decode, "TASK_ROWS", 50)
+    spread = reassemble_parts(given, *args)
+    assert joined(spread) == joined(plain) == plain_messages(parts, 20)
+    several = sum(1 for p in parts if p[3] is not None and p[4] is not None and 1 <= p[3] <= p[4] and p[4] > 1)
+    assert f"hashpartitioning(source#" in spread._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-several // 50)}), REPARTITION_BY_NUM" in spread._jdf.queryExecution().executedPlan().toString()
