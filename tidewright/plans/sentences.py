@@ -21,6 +21,7 @@ from ..operators.ingest import first_rows, source_inventory
 from ..operators.normalize import conform, normalize_text, union_sources, wrap_angles
 from ..operators.validate import Rule, apply_rules, check_motion, moved, split_quarantine
 from ..schemas import OBS, STATIC
+from ..session import cut_lineage
 from ..sources.readers import content_id, envelope
 from ..streaming.run import run_available
 from ..streaming.state import assemble_stream, previous_row_stream
@@ -35,12 +36,13 @@ MESSAGE_TYPE = (Field("msg_type", 0, 6),)
 
 
 def decode_sentences(lines: DataFrame, gap_seconds: float = 60, hot: Hot = DEFAULT_HOT) -> dict[str, DataFrame]:
-    """Lines (source, received_ts, raw) to lazy tables: obs, static, other (messages of
-    types without a layout) and rejects (source, stage, text, error)."""
+    """Lines (source, received_ts, raw) to tables: obs, static, other (messages of
+    types without a layout) and rejects (source, stage, text, error). What a stage has checked
+    or decoded is stored, good and bad, so that none works through the lines again."""
     refused = []
 
     def passed(df: DataFrame, stage: str, text: str) -> DataFrame:
-        good, bad = route_rejects(df)
+        good, bad = route_rejects(cut_lineage(df))
         refused.append(bad.select("source", F.lit(stage).alias("stage"), F.col(text).alias("text"), "error"))
         return good
 
