@@ -83,3 +83,16 @@ def test_good_and_rejects_are_everything(spark):
     good, bad = route_rejects(parsed)
     assert good.count() + bad.count() == 4
     assert [r.doc.k for r in good.collect()] == [1]
+
+
+def test_lines_are_decoded_once(spark):
+    """What comes out reads stored tables: no stage before it is worked through again."""
+    from datetime import datetime
+    from tidewright.plans.sentences import decode_sentences
+    lines = spark.createDataFrame([("a", datetime(2024, 1, 1), "no sentence"), ("a", datetime(2024, 1, 2), "!AIVDM,1,1,,A,x*00")],
+                                  "source string, received_ts timestamp, raw string")
+    tables = decode_sentences(lines)
+    for name in ("obs", "static", "rejects"):
+        plan = tables[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert "RLIKE" not in plan and "unbase64" not in plan
+    assert {(r.stage, r.error) for r in tables["rejects"].collect()} == {("integrity", "malformed sentence"), ("integrity", "wrong checksum")}
