@@ -21,7 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import ship, slices, text_bytes, with_fields, without
+from .common import REMEMBERED, ship, slices, text_bytes, with_fields, without
 
 # White space as the vocabulary's normalizer knows it (Unicode White_Space)
 WHITE = "".join(map(chr, [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
@@ -177,6 +177,9 @@ def vocabulary(text: str) -> Vocabulary:
     return Vocabulary(text)
 
 
+REMEMBERED.append(vocabulary)
+
+
 def encode_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "token_ids",
                   decoded_col: str = "decoded", chunk_bytes: int = 2 << 20) -> DataFrame:
     """`docs` with the token ids of its text and the text decoded from them. `path` names
@@ -196,7 +199,7 @@ def encode_decode(docs: DataFrame, path: str, text_col: str = "text", ids_col: s
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab = vocabulary(sent.value)
-        for batch in slices(batches, text_col, chunk_bytes):
+        for batch in slices(batches, text_col, chunk_bytes, vocabulary):
             blobs = [vocab.encode(t.decode("utf-8", "replace")) for t in text_bytes(batch.column(text_col))]
             ends = np.cumsum([0, *(len(b) // 4 for b in blobs)])
             ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(blobs), "<i4")))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import groupby
 
 import numpy as np
@@ -71,8 +72,25 @@ def text_bytes(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.to_pylist()]
 
 
-def slices(batches: Iterable[pa.RecordBatch], column: str, budget: int) -> Iterator[pa.RecordBatch]:
-    """Batches cut so that each holds about `budget` bytes of `column`, or one row."""
+# What workers remember from task to task: functools caches, each of one operator
+REMEMBERED: list[Callable] = []
+
+
+def begin(own: Callable | None = None) -> None:
+    """At the start of a task: gives back what this worker, which Spark uses again and again,
+    still holds from tasks of other operators. `own` is what goes on being used."""
+    others = [c for c in REMEMBERED if c is not own and c.cache_info().currsize]
+    for c in others:
+        c.cache_clear()
+    if others:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
+def slices(batches: Iterable[pa.RecordBatch], column: str, budget: int, own: Callable | None = None) -> Iterator[pa.RecordBatch]:
+    """Batches cut so that each holds about `budget` bytes of `column`, or one row. A task
+    begins here; `own` is what it remembers from others (`begin`)."""
+    begin(own)
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -163,7 +181,9 @@ def pieces(rows: Iterable[tuple[int, int, bytes]]) -> pa.RecordBatch:
 
 
 def gathered(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
-    """The (kind, blob) rows of each bucket, from rows sorted by bucket."""
+    """The (kind, blob) rows of each bucket, from rows sorted by bucket. A task begins here."""
+    begin()
+
     def rows():
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):

@@ -62,7 +62,7 @@ class FMIndex:
         self.base = self.tree.rank(symbols, np.zeros(len(symbols), np.int64))
         # words shared with the suffix before, up to depth; -1 at both ends
         shared = np.zeros(n + 1, np.int32)
-        alive = np.arange(1, n)
+        alive = np.arange(1, n, dtype=np.int32)
         padded = np.concatenate([text, np.full(depth, -1, text.dtype)])
         for d in range(depth):
             a, b = padded[order[alive] + d], padded[order[alive - 1] + d]
@@ -72,13 +72,13 @@ class FMIndex:
             shared[alive] = d + 1
         shared[0] = shared[n] = -1
         self.shared = shared
-        place = np.arange(n + 1)
-        self.low, self.high = np.zeros(n + 1, np.int64), np.full(n + 1, n, np.int64)
+        place = np.arange(n + 1, dtype=np.int32)
+        self.low, self.high = np.zeros(n + 1, np.int32), np.full(n + 1, n, np.int32)
         for d in np.unique(shared[1:n]).tolist():  # nearest place with a smaller value, on both sides
             less = shared < d
             at = np.flatnonzero(shared == d)
-            self.low[at] = np.maximum.accumulate(np.where(less, place, 0))[at]
-            self.high[at] = np.minimum.accumulate(np.where(less, place, n)[::-1])[::-1][at]
+            self.low[at] = np.maximum.accumulate(np.where(less, place, np.int32(0)))[at]
+            self.high[at] = np.minimum.accumulate(np.where(less, place, np.int32(n))[::-1])[::-1][at]
 
     def extend(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         shift = self.first[symbol] - self.base[symbol]
@@ -133,18 +133,20 @@ class FMIndex:
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Places in the order of the next `depth` numbers, by doubling the sorted length."""
     n = len(text)
-    rank = text.astype(np.int64)
+    rank = text.astype(np.int32)
     reach = 1
     while True:
-        after = np.zeros(n, np.int64)
+        key = rank.astype(np.int64)
+        key *= n + int(rank.max()) + 2
         if reach < n:
-            after[:-reach] = rank[reach:] + 1
-        key = rank * (n + int(rank.max()) + 2) + after
-        order = np.argsort(key, kind="stable")
-        new = np.zeros(n, np.int64)
-        new[1:] = key[order][1:] != key[order][:-1]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(new)
+            key[:-reach] += rank[reach:]
+            key[:-reach] += 1
+        order = np.argsort(key, kind="stable").astype(np.int32)
+        key = key[order]
+        new = np.zeros(n, bool)
+        new[1:] = key[1:] != key[:-1]
+        del key
+        rank[order] = np.cumsum(new, dtype=np.int32)
         reach *= 2
         if reach >= depth + 1 or rank.max() == n - 1:
             return order
@@ -156,7 +158,7 @@ def search(contents: list[np.ndarray], head: np.ndarray, w: Windows) -> list[np.
     _, numbers = np.unique(np.concatenate(contents), return_inverse=True)
     sizes = np.fromiter(map(len, contents), np.int64, len(contents))
     of = np.repeat(np.arange(len(contents)), sizes)
-    text = np.zeros(len(numbers) + len(contents) + 1, np.int64)  # a 0 before each segment and at the end
+    text = np.zeros(len(numbers) + len(contents) + 1, np.int32)  # a 0 before each segment and at the end
     text[np.arange(len(numbers)) + of + 1] = numbers + 1
     begins = np.cumsum(sizes + 1) - sizes
     index = FMIndex(text, w.length)
