@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from tidewright.functions.geo import EARTH_M, Quads, haversine_m, wrap_course, wrap_lon
-from tidewright.operators.correlate import best_match, interval_correlate, link_clusters, proximity_pairs
+from tidewright.operators.correlate import best_match, best_scores, interval_correlate, link_clusters, proximity_pairs
 from tidewright.operators.enrich import lookup, nearest_any, nearest_reference, zone_containment, zone_containment_wide
 from tidewright.functions import skew
 from tidewright.functions.skew import COLUMN, ROW, HotKeys, spread_crowds
@@ -254,3 +254,27 @@ def test_candidates_of_a_nearest_search_stay_few(spark, monkeypatch):
         assert [round(found[i, n][1], 3) for n in (1, 2, 3)] == [d for d, _ in order[:3]]
     assert [found[900, n][0] for n in (1, 2, 3)] == [5000, 5001, 5002]
     assert sum(tried) <= 300 * len(points)  # of 4,500 each
+
+
+def test_best_match_by_best_scores_sorts_no_pairs(spark):
+    rng = random.Random(9)
+    pairs = [(rng.randint(1, 30), rng.randint(100, 130), rng.choice([None, -1.0, 0.5, 0.5, 2.0])) for _ in range(400)]
+    df = spark.createDataFrame(pairs, "left_id long, right_id long, score double")
+    tops = best_scores(df)
+    scored = (df.join(tops.select(F.col("id").alias("left_id"), "left_best"), "left_id")
+                .join(tops.select(F.col("id").alias("right_id"), "right_best"), "right_id"))
+    got = best_match(scored, best=("left_best", "right_best"))
+    assert rows(got) == rows(best_match(df)) and got.columns == ["left_id", "right_id", "score"]
+    few = df.filter("score IS NULL")  # ids that have no score at all are ranked by id
+    tops = best_scores(few)
+    scored = (few.join(tops.select(F.col("id").alias("left_id"), "left_best"), "left_id")
+                 .join(tops.select(F.col("id").alias("right_id"), "right_best"), "right_id"))
+    assert rows(best_match(scored, best=("left_best", "right_best"))) == rows(best_match(few))
+
+
+def test_pairs_carry_columns_of_their_sides(spark):
+    df = spark.createDataFrame([(1, 0, 10.0, 20.0, "a"), (2, 5, 10.1, 20.0, "b"), (3, 5, 14.0, 20.0, "c")], "obs_id int, s int, lat double, lon double, x string")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    got = proximity_pairs(df.withColumnRenamed("x", "l"), df.withColumnRenamed("x", "r"), 60, 50_000.0, ordered=True,
+                          left_cols=["l"], right_cols=["r"])
+    assert rows(got, "left_id", "right_id", "l", "r") == [(1, 2, "a", "b")]
