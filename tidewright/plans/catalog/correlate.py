@@ -192,4 +192,5 @@ def best(spark, sf):
               UNION SELECT r.id, e.b FROM reach r JOIN both_ways e ON r.other = e.a)
     SELECT id, min(other) AS cluster_id FROM reach GROUP BY id""")
 def clusters(spark, sf):
-    return link_clusters(near(spark, sf).filter("dist_m <= 50000"))
+    # pairs within 300 km of which those within 50 km are taken are those within 50 km
+    return link_clusters(near(spark, sf, max_m=50_000))
