@@ -278,3 +278,22 @@ def test_pairs_carry_columns_of_their_sides(spark):
     got = proximity_pairs(df.withColumnRenamed("x", "l"), df.withColumnRenamed("x", "r"), 60, 50_000.0, ordered=True,
                           left_cols=["l"], right_cols=["r"])
     assert rows(got, "left_id", "right_id", "l", "r") == [(1, 2, "a", "b")]
+
+
+def test_pairs_of_a_table_with_itself_are_those_of_two(spark, monkeypatch):
+    """The way of one table beside that of two tables, plain, in many tasks and crowded; rows
+    at one time and place, ids that come twice and none, and values of both sides."""
+    points = scattered(5, 120)
+    points += [(1000 + i, *points[i // 2][1:]) for i in range(12)] + [(3, *points[7][1:]), (None, *points[1][1:]), (2000, 1.0, None, points[0][3])]
+    df = spark.createDataFrame(points, "obs_id long, lat double, lon double, ts timestamp").withColumn("x", F.col("lat") * 2)
+    df = df.withColumn("y", -F.col("lon"))
+    sides = dict(ordered=True, left_cols=["x"], right_cols=["y"])
+    want = rows(proximity_pairs(df, df.select("*"), 900, 150_000.0, **sides))
+    assert want and any(r[2] < 0 for r in want) and any(r[2] == 0 for r in want)
+    assert rows(proximity_pairs(df, df, 900, 150_000.0, **sides)) == want
+    assert rows(proximity_pairs(df, df, 900, 150_000.0, crowd=1, **sides)) == want
+    monkeypatch.setattr("tidewright.operators.correlate.TASK_ROWS", 100)
+    many = proximity_pairs(df, df, 900, 150_000.0, **sides)
+    assert rows(many) == want
+    plan = many._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan  # Spark's own number of tasks made them spill
