@@ -297,3 +297,11 @@ def test_pairs_of_a_table_with_itself_are_those_of_two(spark, monkeypatch):
     assert rows(many) == want
     plan = many._jdf.queryExecution().executedPlan().toString()
     assert "REPARTITION_BY_NUM" in plan  # Spark's own number of tasks made them spill
+
+
+def test_crowded_pairs_are_copied_twice(spark):
+    a = spark.range(4000).select((F.col("id") % 4).alias("k"), F.col("id").alias("x"))
+    left, right = spread_crowds(a, a.withColumnsRenamed({"k": "k2", "x": "y"}), ["k"], ["k2"], 1, copies=2)
+    assert left.count() + right.count() <= 2 * 8000
+    on = [left["k"] == right["k2"], left[ROW] == right[ROW], left[COLUMN] == right[COLUMN]]
+    assert left.join(right, on).agg(F.count(F.lit(1)), F.count_distinct("x", "y")).first() == (4_000_000, 4_000_000)
