@@ -7,7 +7,7 @@ from ..layouts import EVENT_PACK
 from ...session import cut_lineage, scratch
 from ...sources.readers import stream_source
 from ...sources.sinks import read_deliveries
-from ...streaming.run import deliver_to, run_available
+from ...streaming.run import deliver_to, python_tasks, run_available
 from ...streaming.state import reassemble_stream
 from .base import FORCED, events, feed_of, query, table
 
@@ -181,7 +181,7 @@ def reassemble_as_stream(spark, sf):
     for _ in range(2):
         rows = stream_source(spark, path, "parquet", parts.schema, 1)
         whole = reassemble_stream(rows, ["user_id"], "received_ts", "part_no", "n_parts", "payload", 60, "30 seconds")
-        run_available(whole, deliver_to(out), checkpoint)
+        run_available(whole, deliver_to(out), checkpoint, state_tasks=python_tasks(spark))
     return told(read_deliveries(spark, out))
 
 
