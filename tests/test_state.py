@@ -207,3 +207,100 @@ def test_parts_of_many_messages_go_to_tasks_of_bounded_size(spark, monkeypatch):
     several = sum(1 for p in parts if p[3] is not None and p[4] is not None and 1 <= p[3] <= p[4] and p[4] > 1)
     assert f"hashpartitioning(source#" in spread._jdf.queryExecution().executedPlan().toString()
     assert f", {-(-several // 50)}), REPARTITION_BY_NUM" in spread._jdf.queryExecution().executedPlan().toString()
+
+
+class Store:
+    """A state store of one entry and its timers; counts what is asked of it."""
+
+    def __init__(self):
+        self.calls, self.value, self.timers = 0, None, set()
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.calls, self.value = self.calls + 1, value
+
+    def clear(self):
+        self.calls, self.value = self.calls + 1, None
+
+    def registerTimer(self, at):
+        self.calls += 1
+        self.timers.add(at)
+
+    def deleteTimer(self, at):
+        self.calls += 1
+        self.timers.remove(at)
+
+    def getCurrentWatermarkInMs(self):
+        return self.passed
+
+
+def test_keys_of_a_bucket_share_one_entry_and_one_timer():
+    """Asked for by key, state and timers cost several calls for each of many keys."""
+    from pyspark.sql import types as T
+    from tidewright.streaming.state import MARK, Assembling, Previous
+
+    named = lambda *names: T.StructType([T.StructField(n, T.StringType()) for n in names])
+    store, keys = Store(), range(200)
+    store.passed = 0
+    row = lambda k, us, counts="1": (7, MARK.join([counts, str(us), f"key{k}", "{}", f"b{us}", f"d{k}-{us}"]), None)
+    previous = Previous(named("__bucket", "__data", "__before"), [], 1_000_000, None)
+    previous.init(store)
+    given = [row(k, us) for k in keys for us in (5_000_000 + k, 3_000_000 + k)]
+    assert list(previous.handleInputRows((7,), iter(given), store)) == [] and store.timers == {4000}
+    assert [tuple(r) for r in previous.handleInputRows((7,), iter([row(1, 9, "0")]), store)] == [(7, "d1-9", None)]
+    store.passed = 10_000
+    told = {tuple(r) for r in previous.handleExpiredTimer((7,), store, None)}
+    assert told == {(7, f"d{k}-{3_000_000 + k}", None) for k in keys} | {(7, f"d{k}-{5_000_000 + k}", f"b{3_000_000 + k}") for k in keys}
+    assert store.calls <= 8 and not store.timers
+
+    store = Store()
+    store.passed = 10
+    part = lambda k, no: (7, MARK.join(["5000", "2", str(no), f"key{k}", "=\x1fp" if no == 1 else ""]), None)
+    assembling = Assembling(named("__bucket", "__key", "n_parts", *"abcdefg"), 1_000_000)
+    assembling.init(store)
+    told = list(assembling.handleInputRows((7,), iter([part(k, no) for k in keys for no in (1, 2)]), store))
+    assert len(told) == 200 and {(r[2], r[5], r[6], r[8]) for r in told} == {(2, 2, "\x1fp", None)}
+    assert store.calls <= 4 and len(store.timers) == 1
+
+
+def test_state_of_a_stream_goes_by_cores(spark, tmp_path):
+    import json
+    import os
+
+    schema = "k int, ts timestamp, v int"
+    write_part(spark, str(tmp_path / "feed"), 0, [(1, START, 1), (2, START, 1)], schema)
+    stream = spark.readStream.schema(schema).parquet(str(tmp_path / "feed") + "/t*").groupBy("k").count()
+    for tasks in (3, 2):  # a checkpoint keeps what it began with
+        run_available(stream, lambda batch, n: batch.collect() and None, str(tmp_path / "ck"), "update", state_tasks=tasks)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "4"
+    found = {json.loads(open(f"{tmp_path}/ck/offsets/{n}").read().split("\n")[1])["conf"]["spark.sql.shuffle.partitions"]
+             for n in os.listdir(f"{tmp_path}/ck/offsets") if n.isdigit()}
+    assert found == {"3"}
+
+
+def test_odd_values_go_through_the_state_as_they_are(spark, tmp_path):
+    """Keys without a value, ties of other types, instants and texts with marks."""
+    from tidewright.streaming.state import previous_row_stream
+
+    schema = "k bigint, n int, ts timestamp, w timestamp_ntz, x double, s string, c boolean, a array<string>"
+    at = lambda us: datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(microseconds=us)
+    given = [(2**60 + 1, 1, at(7), datetime(1815, 6, 18, 1, 2, 3, 4), float("nan"), "a\x1fb\u0000\"\\é", True, ["x", None]),
+             (2**60 + 1, None, at(7), None, None, None, True, None), (2**60, 1, at(9), None, float("-inf"), "", True, []),
+             (None, 5, at(1), None, 0.1 + 0.2, "\x1f", True, ["\x1f"]), (None, 6, at(2), None, -0.0, "t", None, None)]
+    write_part(spark, str(tmp_path / "feed"), 0, given, schema)
+    write_part(spark, str(tmp_path / "feed"), 1, [(0, 0, at(10**12), None, 0.0, "end", True, None)], schema)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "feed") + "/t*").withWatermark("ts", "1 minute")
+    told = previous_row_stream(stream, "k", "ts", ["ts", "s", "w"], "c", "ts", ["n"])
+    assert told.schema["prev_w"].dataType.typeName() == "timestamp_ntz"
+    run_available(told, deliver_to(str(tmp_path / "out")), str(tmp_path / "ck"))
+    out = spark.read.parquet(f"{tmp_path}/out/batch_id=*")
+    read = spark.createDataFrame(given, schema)
+    assert str(rows(out.filter("k IS NULL OR k > 0"), *read.columns)) == str(rows(read))  # NaN is no equal of itself
+    one = out.filter("n = 1 AND prev_ts IS NOT NULL").first()
+    assert one.k == 2**60 + 1 and one.prev_s is None and out.filter("prev_ts IS NOT NULL").count() == 1
